@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paylake.functions.numeric import cents, half_up_ratio
 from paylake.functions.text import initcap_words
 from paylake.schemas import ACCEPTED_STATUSES
 
@@ -21,12 +22,12 @@ STAGING_COLUMNS = [
 def stg_transactions(fact: DataFrame, with_loaded_at: bool = False) -> DataFrame:
     """Fact-shaped rows -> staging rows (25 columns with ``loaded_at``).
 
-    ``fee_rate_pct = round(fee / nullif(amount, 0) * 100, 4)`` is computed on
-    decimals; the filter keeps non-null ids, positive amounts and the four
+    ``fee_rate_pct = round(fee / nullif(amount, 0) * 100, 4)`` is an exact
+    half-up ratio of cents (a double); the filter keeps non-null ids, positive amounts and the four
     known statuses (a null status is dropped here).
     """
     amount, fee = F.col("amount"), F.col("fee")
-    fee_rate = F.round(fee / F.nullif(amount, F.lit(0)) * 100, 4)
+    fee_rate = half_up_ratio(cents(fee), cents(amount), 4, 100)
     cols = [
         F.col("transaction_id"),
         F.col("timestamp").alias("transaction_timestamp"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylake.functions.calendar import epoch_micros, gap_seconds
-from paylake.operators.sequence import DEFAULT_HOT_ROWS, previous_value
+from paylake.operators.sequence import previous_value
 from paylake.schemas import HIGH_VALUE_QUANTILE, RAPID_GAP_SECONDS
 
 # Order-preserving coarse bucket: 3 significant digits per decade.
@@ -28,11 +28,12 @@ def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold") -
     """One-row DataFrame with the exact ``q`` quantile of ``col`` (linear
     interpolation between closest ranks, as pandas / ``quantile_cont``).
 
-    Distributed plan, no task ever holds all distinct values:
+    Distributed plan; no task ever holds all distinct values:
       1. histogram ``value -> count`` (map-side combined);
-      2. coarse histogram over order-preserving buckets (bounded size) and
-         its running counts -> the one or two buckets holding ranks
-         ``floor(r)`` and ``ceil(r)``, ``r = (n - 1) * q``;
+      2. coarse histogram over order-preserving buckets (bounded size by
+         construction) with running counts and the total in one window ->
+         the one or two buckets holding ranks ``floor(r)`` and ``ceil(r)``,
+         ``r = (n - 1) * q``;
       3. running counts inside those buckets only -> the two values;
       4. ``lo + (hi - lo) * (r - floor(r))`` in double.
     Empty input gives a null quantile.
@@ -41,19 +42,19 @@ def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold") -
     hist = (df.where(F.col(col).isNotNull()).groupBy(v.alias("v"))
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumn("b", _coarse_bucket(F.col("v"))))
-    coarse = hist.groupBy("b").agg(F.sum("n").alias("bn"))
+    everything = Window.partitionBy()
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    coarse = coarse.withColumn("start", F.coalesce(F.sum("bn").over(before), F.lit(0)))
-    pos = (coarse.agg(F.sum("bn").alias("total"))
-           .select((((F.col("total") - 1).cast("double")) * F.lit(float(q))).alias("r"))
-           .select("r", F.floor("r").alias("lo"), F.ceil("r").alias("hi")))
-    hit = lambda p: (F.col("start") <= F.col(p)) & (F.col(p) < F.col("start") + F.col("bn"))
-    targets = coarse.crossJoin(F.broadcast(pos)).where(hit("lo") | hit("hi"))
-    # at most two coarse buckets
-    fine = hist.join(F.broadcast(targets.select("b", F.col("start").alias("bstart"), "lo", "hi", "r")), "b")
+    r = ((F.sum("bn").over(everything) - 1).cast("double") * F.lit(float(q)))
+    coarse = (hist.groupBy("b").agg(F.sum("n").alias("bn"))
+              .select("b", "bn", F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("bstart"), r.alias("r"))
+              .withColumn("lo", F.floor("r")).withColumn("hi", F.ceil("r")))
+    hit = lambda p: (F.col("bstart") <= F.col(p)) & (F.col(p) < F.col("bstart") + F.col("bn"))
+    targets = coarse.where(hit("lo") | hit("hi")).select("b", "bstart", "lo", "hi", "r")
+    # at most two rows: broadcast is bounded
     within = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    fine = fine.withColumn("start", F.col("bstart") + F.coalesce(F.sum("n").over(within), F.lit(0)))
-    covers = lambda p: (F.col("start") <= F.col(p)) & (F.col(p) < F.col("start") + F.col("n"))
+    fine = (hist.join(F.broadcast(targets), "b")
+            .withColumn("start", F.col("bstart") + F.coalesce(F.sum("n").over(within), F.lit(0))))
+    covers = lambda p: (F.col("start") <= F.col(p)) & (F.col(p) < F.col("start") + F.col("n"))
     picked = fine.agg(
         F.max(F.when(covers("lo"), F.col("v"))).alias("vlo"),
         F.max(F.when(covers("hi"), F.col("v"))).alias("vhi"),
@@ -75,15 +76,15 @@ def flag_high_value(df: DataFrame, q: float = HIGH_VALUE_QUANTILE, col: str = "a
 
 
 def flag_rapid_succession(df: DataFrame, gap: float = RAPID_GAP_SECONDS,
-                          hot_rows: int = DEFAULT_HOT_ROWS,
-                          split_seconds: int = 3600) -> DataFrame:
+                          split_seconds: int = 86_400) -> DataFrame:
     """Seconds since the same sender's previous transaction and the flag
     ``gap < 120 s``. Order: (timestamp, transaction_id). Null senders never
-    have a predecessor (never rapid). Hot senders are split into
-    ``split_seconds`` time ranges (see :mod:`paylake.operators.sequence`)."""
+    have a predecessor (never rapid). Each sender's rows are split into
+    ``split_seconds`` time ranges so a hot sender spreads over many tasks
+    (see :mod:`paylake.operators.sequence`)."""
     bucket = F.floor(epoch_micros(F.col("timestamp")) / F.lit(split_seconds * 1_000_000))
     out = previous_value(df, "sender_msisdn", ["timestamp", "transaction_id"], "timestamp",
-                         "_prev_ts", bucket, hot_rows=hot_rows)
+                         "_prev_ts", bucket)
     secs = gap_seconds(F.col("_prev_ts"), F.col("timestamp"))
     return (out.withColumn("time_since_last_txn_sec", secs)
             .withColumn("is_rapid_succession", F.coalesce(F.col("time_since_last_txn_sec") < gap, F.lit(False)))

@@ -1,20 +1,18 @@
 """Previous row of the same key in a given order, robust to hot keys.
 
 ``lag(x) over (partition by key order by ...)`` puts every row of a key in
-one task. When one sender holds a third of all rows, that task holds a
-third of the data. This operator splits hot keys into buckets of a
-monotonic function of the order (time ranges, offset ranges), runs the
-window per (key, bucket), and repairs the first row of each bucket with
+one task: when one sender holds a third of all rows, one task holds a
+third of the data. Here each key is split into buckets of a monotonic
+function of the order (a time range, an offset range). The window runs per
+(key, bucket), so a hot key spreads over as many tasks as it has buckets,
+and the first row of each bucket takes its predecessor from a carry table:
 the last value of the key's previous non-empty bucket.
 
-* Hot keys are those with at least ``max(hot_rows, total / MAX_HOT_KEYS)``
-  rows, so the broadcast hot-key list has at most ``MAX_HOT_KEYS`` rows
-  whatever the data size.
-* The repair table has one row per (hot key, bucket) and is joined on
-  (key, bucket) -- the same keys the window partitions by, so the join's
-  shuffle is reused by the window.
-* Null keys get no predecessor; they are spread over buckets by a hash so
-  they never form one giant window partition.
+Plan: one map-side-combined aggregate to the carry table (one row per
+key-bucket), a window over that small table per key, and one shuffle of
+the rows on (key, bucket) shared by the carry join and the window.
+Null keys never have a predecessor; their bucket is a hash of the order
+columns so they never pile up in one task.
 """
 
 from __future__ import annotations
@@ -22,41 +20,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
-DEFAULT_HOT_ROWS = 5_000_000
 NULL_KEY_SPREAD = 1 << 16
 
 
 def previous_value(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                   bucket: Column, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                   bucket: Column) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row with the same ``key`` in
     ``order`` (null for the first row of a key, and for null keys).
 
-    ``bucket`` must be a non-decreasing function of ``order`` (e.g.
-    ``floor(epoch_seconds / 3600)``); it is only used for hot keys.
+    ``bucket`` must be a non-decreasing function of ``order`` (for example
+    the day of a timestamp).
     """
     k = F.col(key)
-    counts = df.where(k.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    cutoff = F.greatest(F.lit(hot_rows), F.ceil(F.col("_total") / F.lit(MAX_HOT_KEYS)))
-    hot = (counts.crossJoin(F.broadcast(total)).where(F.col("_n") >= cutoff)
-           .select(key, F.lit(True).alias("_hot")))
-    # at most MAX_HOT_KEYS rows by construction
-    marked = df.join(F.broadcast(hot), key, "left")
-    b = (F.when(k.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(NULL_KEY_SPREAD)))
-         .when(F.col("_hot"), bucket.cast("long"))
-         .otherwise(F.lit(0).cast("long")))
-    marked = marked.withColumn("_b", b)
+    b = F.when(k.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(NULL_KEY_SPREAD))) \
+        .otherwise(bucket).cast("long")
+    rows = df.withColumn("_b", b)
 
     last = F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v")))
-    summary = (marked.where(F.col("_hot")).groupBy(key, "_b").agg(last.alias("_last")))
-    summary = summary.select(
-        key, "_b",
-        F.lag(F.col("_last")).over(Window.partitionBy(key).orderBy("_b")).alias("_carry"))
+    carry = (rows.where(k.isNotNull()).groupBy(key, "_b").agg(last.alias("_last"))
+             .select(key, "_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_carry"))
+             .where(F.col("_carry").isNotNull()))
 
-    joined = marked.join(summary, [key, "_b"], "left")
     w = Window.partitionBy(key, "_b").orderBy(*[F.col(c) for c in order])
     within = F.lag(F.struct(F.col(value).alias("_v"))).over(w)
     prev = F.when(within.isNotNull(), within["_v"]).otherwise(F.col("_carry._v"))
-    return (joined.withColumn(out, F.when(k.isNotNull(), prev))
-            .drop("_hot", "_b", "_carry"))
+    return (rows.join(carry, [key, "_b"], "left")
+            .withColumn(out, F.when(k.isNotNull(), prev))
+            .drop("_b", "_carry"))

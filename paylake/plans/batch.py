@@ -15,12 +15,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paylake.session import materialize
+
 from paylake.operators import clean as C
 from paylake.operators import enrich as E
 from paylake.operators import fact as FT
 from paylake.operators.flags import flag_high_value, flag_rapid_succession
 from paylake.operators.report import quality_report
-from paylake.operators.sequence import DEFAULT_HOT_ROWS
 
 
 @dataclass
@@ -33,18 +34,28 @@ class Transformed:
         return quality_report(self.funnel, self.clean)
 
 
-def transform(raw: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> Transformed:
+def transform(raw: DataFrame, stage: bool = True, split_seconds: int = 86_400) -> Transformed:
+    """Clean, enrich and flag a raw feed.
+
+    With ``stage`` (the default) the de-duplicated, typed frame is written
+    once to the shared checkpoint folder: the funnel, the p95 histogram, the
+    hot-sender check and the main path all read that stage (only the
+    columns each needs) instead of re-running the scan and the
+    de-duplication shuffle per branch.
+    """
     classified = C.classify(raw)
+    if stage:
+        classified = materialize(classified, "classified")
     rows = C.clean_rows(classified)
     rows = E.enrich(rows)
     rows = flag_high_value(rows)
-    rows = flag_rapid_succession(rows, hot_rows=hot_rows)
+    rows = flag_rapid_succession(rows, split_seconds=split_seconds)
     rows = E.add_total_debit(rows)
     return Transformed(classified, rows, C.reject_funnel(classified))
 
 
-def clean_frame(raw: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    return transform(raw, hot_rows).clean
+def clean_frame(raw: DataFrame, stage: bool = True) -> DataFrame:
+    return transform(raw, stage).clean
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str) -> dict:

@@ -17,8 +17,13 @@ from paylake.functions.calendar import padded_day_name, padded_month_name
 from paylake.functions.numeric import avg_money, cents, half_up_ratio, money_double
 from paylake.schemas import ALERT_REASONS, RISK_RANK
 
-AMT = F.col("transaction_amount_ghs")
-STATUS = F.col("transaction_status")
+
+def _amt():
+    return F.col("transaction_amount_ghs")
+
+
+def _status():
+    return F.col("transaction_status")
 
 
 def _count_when(cond) -> "F.Column":
@@ -34,15 +39,15 @@ def mart_daily(stg: DataFrame) -> DataFrame:
     names and date parts are computed after the aggregation)."""
     agg = stg.groupBy("transaction_date", "is_weekend").agg(
         F.count("transaction_id").alias("total_transactions"),
-        _count_when(STATUS == "SUCCESS").alias("successful_transactions"),
-        _count_when(STATUS == "FAILED").alias("failed_transactions"),
-        _count_when(STATUS == "REVERSED").alias("reversed_transactions"),
-        F.sum(AMT).alias("_gross"),
-        _sum_when(STATUS == "SUCCESS", AMT).alias("_net"),
+        _count_when(_status() == "SUCCESS").alias("successful_transactions"),
+        _count_when(_status() == "FAILED").alias("failed_transactions"),
+        _count_when(_status() == "REVERSED").alias("reversed_transactions"),
+        F.sum(_amt()).alias("_gross"),
+        _sum_when(_status() == "SUCCESS", _amt()).alias("_net"),
         F.sum("transaction_fee_ghs").alias("_fees"),
-        F.count(AMT).alias("_n_amt"),
+        F.count(_amt()).alias("_n_amt"),
         _count_when(F.col("is_high_value")).alias("high_value_count"),
-        _sum_when(F.col("is_high_value"), AMT).alias("_hv"),
+        _sum_when(F.col("is_high_value"), _amt()).alias("_hv"),
     )
     d = F.col("transaction_date")
     return agg.select(
@@ -68,15 +73,15 @@ def mart_operator(stg: DataFrame) -> DataFrame:
         F.count("transaction_id").alias("total_transactions"),
         F.countDistinct("sender_msisdn").alias("unique_senders"),
         F.countDistinct("receiver_msisdn").alias("unique_receivers"),
-        F.sum(AMT).alias("_sum"), F.count(AMT).alias("_n_amt"),
-        F.min(AMT).alias("_min"), F.max(AMT).alias("_max"),
+        F.sum(_amt()).alias("_sum"), F.count(_amt()).alias("_n_amt"),
+        F.min(_amt()).alias("_min"), F.max(_amt()).alias("_max"),
         F.sum("transaction_fee_ghs").alias("_fees"),
         _count_when(code == "P2P").alias("p2p_count"),
         _count_when(code == "MBP").alias("merchant_payment_count"),
         _count_when(code == "WDR").alias("withdrawal_count"),
         _count_when(code == "DEP").alias("deposit_count"),
-        _count_when(STATUS == "SUCCESS").alias("_succ"),
-        _count_when(STATUS == "FAILED").alias("_fail"),
+        _count_when(_status() == "SUCCESS").alias("_succ"),
+        _count_when(_status() == "FAILED").alias("_fail"),
         _count_when(F.col("is_high_value")).alias("high_value_transactions"),
         _count_when(F.col("is_rapid_succession")).alias("rapid_succession_flags"),
     )
@@ -109,13 +114,13 @@ def mart_region(stg: DataFrame) -> DataFrame:
     agg = stg.groupBy("region").agg(
         F.count("transaction_id").alias("total_transactions"),
         F.countDistinct("sender_msisdn").alias("unique_customers"),
-        F.sum(AMT).alias("_sum"), F.count(AMT).alias("_n_amt"),
+        F.sum(_amt()).alias("_sum"), F.count(_amt()).alias("_n_amt"),
         F.sum("transaction_fee_ghs").alias("_fees"),
-        _count_when(STATUS == "SUCCESS").alias("_succ"),
+        _count_when(_status() == "SUCCESS").alias("_succ"),
         F.expr("mode() WITHIN GROUP (ORDER BY transaction_hour)").alias("peak_hour"),
         _count_when(F.col("is_weekend")).alias("weekend_transactions"),
         _count_when(F.col("is_high_value")).alias("high_value_count"),
-        _sum_when(F.col("is_high_value"), AMT).alias("_hv"),
+        _sum_when(F.col("is_high_value"), _amt()).alias("_hv"),
     )
     everything = Window.partitionBy()
     return agg.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +52,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and return a
+    frame that reads it back.
+
+    Cuts the lineage (a lost executor recomputes from these files, not from
+    the source), and later branches read only the columns they need with
+    predicate pushdown -- unlike ``DataFrame.checkpoint()``, whose row files
+    cannot be pruned.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/paylake/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def ensure_streaming_conf(spark: SparkSession) -> None:
     """Stateful stream operators need the RocksDB state store provider."""
     key = "spark.sql.streaming.stateStore.providerClass"

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.schemas import RAW_COLUMNS, TOPIC_NAME, PARTITION_COUNT
-from paylake.sources.tables import normalise_raw, table
+from paylake.sources.tables import memo_plan, normalise_raw, table
 
 # Fixed values of the adapter (event kind -> transaction type, etc.).
 RAW_TYPE_BY_EVENT = {"click": "P2P", "view": "mbp ", "purchase": "WDR", "signup": "DEP", "error": "XYZ"}
@@ -70,6 +70,10 @@ def _region_name() -> Column:
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, normalise: bool = True) -> DataFrame:
+    return memo_plan(spark, ("raw_feed", sf_dir, normalise), lambda: _raw_feed(spark, sf_dir, normalise))
+
+
+def _raw_feed(spark: SparkSession, sf_dir: str, normalise: bool) -> DataFrame:
     """The raw transaction feed: ``ingest_seq`` + the 11 string columns.
 
     Deterministic dirt is injected from ``event_id``: null ids, unparseable
@@ -112,6 +116,10 @@ def raw_feed(spark: SparkSession, sf_dir: str, normalise: bool = True) -> DataFr
 
 
 def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo_plan(spark, ("live_events", sf_dir), lambda: _live_events(spark, sf_dir))
+
+
+def _live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live event stream (one row per event, the A5 contract).
 
     Ten senders (``user_id % 10``) so that short gaps between one sender's

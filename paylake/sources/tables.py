@@ -5,22 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.functions.text import null_tokens
-from paylake.schemas import RAW, RAW_COLUMNS
+from paylake.schemas import NULL_TOKENS, RAW, RAW_COLUMNS
+
+
+_PLANS: dict = {}
+
+
+def memo_plan(spark: SparkSession, key: tuple, build):
+    """Reuse a source DataFrame *definition* within one Spark application.
+
+    Only the lazy plan is kept (file listing and footer reads happen once);
+    every action still scans and computes from the files.
+    """
+    k = (spark.sparkContext.applicationId,) + key
+    df = _PLANS.get(k)
+    if df is None:
+        df = _PLANS[k] = build()
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data directory (``<dir>/<name>.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return memo_plan(spark, ("table", path), lambda: spark.read.parquet(path))
+
+
+def _null_token_sql(c: str) -> str:
+    tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in NULL_TOKENS)
+    return f"CASE WHEN `{c}` IN ({tokens}) THEN NULL ELSE `{c}` END AS `{c}`"
 
 
 def normalise_raw(df: DataFrame) -> DataFrame:
     """Turn the CSV null tokens (``N/A``, ``NaN``, ``NULL``, ...) into nulls in
     every raw column; other columns pass through."""
-    return df.select(*[
-        null_tokens(F.col(c)).alias(c) if c in RAW_COLUMNS else F.col(c)
-        for c in df.columns
-    ])
+    return df.selectExpr(*[_null_token_sql(c) if c in RAW_COLUMNS else f"`{c}`" for c in df.columns])
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:

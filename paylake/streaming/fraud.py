@@ -20,7 +20,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from paylake.functions.calendar import epoch_micros
 from paylake.functions.text import money_text, plain_fixed
-from paylake.operators.sequence import DEFAULT_HOT_ROWS, previous_value
+from paylake.operators.sequence import previous_value
 from paylake.schemas import (LIVE_FAILED_HIGH_GHS, LIVE_RAPID_GAP_SECONDS, PARTITION_COUNT)
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
@@ -65,19 +65,19 @@ def _alerts(df: DataFrame) -> DataFrame:
                     F.current_timestamp().alias("detected_at")))
 
 
-def gaps(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS, split_offsets: int = 1_000_000) -> DataFrame:
+def gaps(events: DataFrame, split_offsets: int = 1_000_000) -> DataFrame:
     """``gap_sec`` = seconds since the sender's previous event in arrival
     (offset) order; negative for an event older than its predecessor."""
     ev = event_time(events)
     bucket = F.floor(F.col("offset") / F.lit(split_offsets))
-    out = previous_value(ev, "sender_msisdn", ["offset"], "event_us", "_prev_us", bucket, hot_rows=hot_rows)
+    out = previous_value(ev, "sender_msisdn", ["offset"], "event_us", "_prev_us", bucket)
     return out.withColumn("gap_sec", (F.col("event_us") - F.col("_prev_us")) / 1e6).drop("_prev_us")
 
 
 def fraud_alerts(events: DataFrame, partition: int | None = None,
-                 hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                 split_offsets: int = 1_000_000) -> DataFrame:
     """Batch twin of the fraud consumer: one row per event with any signal."""
-    return _alerts(gaps(partition_slice(events, partition), hot_rows=hot_rows))
+    return _alerts(gaps(partition_slice(events, partition), split_offsets=split_offsets))
 
 
 # --- streaming -------------------------------------------------------------

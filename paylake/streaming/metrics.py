@@ -13,16 +13,21 @@ from pyspark.sql import functions as F
 
 from paylake.functions.numeric import half_up_ratio
 
-AMOUNT = F.col("amount_ghs").cast("decimal(12,2)")
-FEE = F.col("fee_ghs").cast("decimal(12,2)")
+
+def _amount():
+    return F.col("amount_ghs").cast("decimal(12,2)")
+
+
+def _fee():
+    return F.col("fee_ghs").cast("decimal(12,2)")
 
 
 def metrics_totals(events: DataFrame) -> DataFrame:
     """One row of running totals."""
     return events.agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        F.coalesce(F.sum(AMOUNT), F.lit(0)).cast("double").alias("total_volume_ghs"),
-        F.coalesce(F.sum(FEE), F.lit(0)).cast("double").alias("total_fees_ghs"),
+        F.coalesce(F.sum(_amount()), F.lit(0)).cast("double").alias("total_volume_ghs"),
+        F.coalesce(F.sum(_fee()), F.lit(0)).cast("double").alias("total_fees_ghs"),
         F.count_if(F.col("status") == "SUCCESS").alias("successful"),
         F.count_if(F.col("status") == "FAILED").alias("failed"),
         F.count_if(F.coalesce(F.col("is_high_value"), F.lit(False))).alias("high_value_count"),
@@ -37,7 +42,7 @@ def metrics_by_key(events: DataFrame) -> DataFrame:
         F.struct(F.lit("region").alias("dimension"), F.col("region").alias("key")),
         F.struct(F.lit("type").alias("dimension"), F.col("transaction_type").alias("key")),
     )).alias("d")
-    return (events.select(dims, AMOUNT.alias("amt"))
+    return (events.select(dims, _amount().alias("amt"))
             .groupBy(F.col("d.dimension").alias("dimension"), F.col("d.key").alias("key"))
             .agg(F.sum("amt").cast("double").alias("volume_ghs"),
                  F.count(F.lit(1)).alias("transactions")))

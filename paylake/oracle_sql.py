@@ -513,4 +513,22 @@ FROM totals t""", BY_KEY),
     }
 
 
+def _stream_sql(base: dict[str, str]) -> dict[str, str]:
+    live_cols = ", ".join(f'"{f}"' for f in ["event_type", "topic", "partition", "offset", "timestamp",
+                                             "transaction_id", "sender_msisdn", "receiver_msisdn", "amount_ghs",
+                                             "fee_ghs", "transaction_type", "operator", "status", "region",
+                                             "is_high_value"])
+    return {
+        "stream_scan": q(f"SELECT {live_cols} FROM live"),
+        "stream_log": q(f"SELECT {live_cols} FROM live"),
+        "stream_rapid": q('SELECT transaction_id, "offset", sender_msisdn, gap_sec FROM gaps', GAPS),
+        "stream_alerts": base["fraud_alerts"],
+        "stream_alert_csv": q("""
+SELECT transaction_id, amount_ghs, operator, region, array_to_string(alerts, ' + ') AS alerts
+FROM alerts WHERE len(alerts) > 0""", GAPS),
+        "stream_metrics": base["metrics_snapshot"],
+    }
+
+
 ORACLE_SQL: dict[str, str] = _sql()
+ORACLE_SQL.update(_stream_sql(ORACLE_SQL))

@@ -26,7 +26,9 @@ from paylake.plans.batch import transform
 from paylake.plans.staging import stg_transactions
 from paylake.sources import fixtures as FX
 from paylake.streaming import fraud as FR
+from paylake.streaming import jobs as J
 from paylake.streaming import metrics as MT
+from paylake.schemas import EVENT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -314,6 +316,53 @@ def metrics_snapshot(spark, sf):
     return MT.metrics_snapshot(FX.live_events(spark, sf))
 
 
+# --- streaming jobs (file source, several micro-batches, drained) ----------
+
+def _stream_input(spark, sf, files=4):
+    path = J.scratch(spark, "events-in")
+    J.publish_events(FX.live_events(spark, sf), path, files=files)
+    return path
+
+
+def _run(start, spark, sf):
+    src = _stream_input(spark, sf)
+    out, ckpt = J.scratch(spark, "out"), J.scratch(spark, "ckpt")
+    J.drain(start(J.read_events(spark, src), out, ckpt))
+    return out
+
+
+def stream_scan(spark, sf):
+    def start(ev, out, ckpt):
+        return (ev.writeStream.format("parquet").option("path", out)
+                .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    return spark.read.schema(EVENT).parquet(_run(start, spark, sf))
+
+
+def stream_log(spark, sf):
+    return spark.read.schema(EVENT).json(_run(J.start_log, spark, sf))
+
+
+def stream_rapid(spark, sf):
+    out = _run(J.start_gaps, spark, sf)
+    return spark.read.parquet(out).select("transaction_id", "offset", "sender_msisdn", "gap_sec")
+
+
+def stream_alerts(spark, sf):
+    a = spark.read.parquet(_run(J.start_alerts, spark, sf))
+    return a.select("transaction_id", "amount_ghs", "operator", "region",
+                    F.size("alerts").alias("n_alerts"), F.array_join("alerts", " + ").alias("alerts_text"))
+
+
+def stream_alert_csv(spark, sf):
+    schema = "transaction_id string, amount_ghs double, operator string, region string, alerts string, detected_at timestamp"
+    out = _run(J.start_alert_csv, spark, sf)
+    return spark.read.schema(schema).option("header", True).csv(out).drop("detected_at")
+
+
+def stream_metrics(spark, sf):
+    return J.read_snapshot(spark, _run(J.start_metrics, spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "scan_raw": scan_raw,
     "scan_clean": scan_clean,
@@ -361,4 +410,10 @@ QUERIES: dict[str, Query] = {
     "metrics_totals": metrics_totals,
     "metrics_by_key": metrics_by_key,
     "metrics_snapshot": metrics_snapshot,
+    "stream_scan": stream_scan,
+    "stream_log": stream_log,
+    "stream_rapid": stream_rapid,
+    "stream_alerts": stream_alerts,
+    "stream_alert_csv": stream_alert_csv,
+    "stream_metrics": stream_metrics,
 }

@@ -17,7 +17,7 @@ def quality_report(funnel: DataFrame, clean: DataFrame) -> DataFrame:
     status in the denominator (as the batch pipeline does).
     """
     f = funnel.agg(
-        F.sum("rows").cast("long").alias("raw_count"),
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("raw_count"),
         *[F.coalesce(F.sum(F.when(F.col("reject_reason") == k, F.col("rows"))), F.lit(0)).cast("long").alias(k)
           for k in ISSUE_KEYS],
     )

@@ -244,7 +244,7 @@ report AS (
          c.high_value_flagged, c.rapid_succession_flagged,
          {hu('c.succ', 'c.clean_count', 2, 100)} AS success_rate_pct,
          f.duplicate_or_null_ids, f.invalid_timestamps, f.invalid_amounts
-  FROM (SELECT CAST(sum(rows) AS BIGINT) AS raw_count,
+  FROM (SELECT CAST(coalesce(sum(rows), 0) AS BIGINT) AS raw_count,
                CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'duplicate_or_null_ids'), 0) AS BIGINT) AS duplicate_or_null_ids,
                CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'invalid_timestamps'), 0) AS BIGINT) AS invalid_timestamps,
                CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'invalid_amounts'), 0) AS BIGINT) AS invalid_amounts

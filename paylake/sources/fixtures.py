@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.schemas import RAW_COLUMNS, TOPIC_NAME, PARTITION_COUNT
-from paylake.sources.tables import memo_plan, normalise_raw, table
+from paylake.sources.tables import memo_plan, normalise_raw, spread, table
 
 # Fixed values of the adapter (event kind -> transaction type, etc.).
 RAW_TYPE_BY_EVENT = {"click": "P2P", "view": "mbp ", "purchase": "WDR", "signup": "DEP", "error": "XYZ"}
@@ -36,25 +36,28 @@ def _by_mod3(c: Column, values: list) -> Column:
     return F.when(m == 0, values[0]).when(m == 1, values[1]).otherwise(values[2])
 
 
-def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``c_custkey -> region name``.
-
-    nation (25 rows) and region (5 rows) have a fixed size at every scale
-    factor, so broadcasting them is bounded; customer grows with the data
-    and is left to the planner's size-checked join choice.
-    """
+def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_nationkey -> r_name``: 25 rows at every scale factor."""
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return (cust.join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey, "left")
-            .select("c_custkey", "r_name"))
+    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
+            .select("n_nationkey", "r_name"))
 
 
 def _events_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    cr = customer_regions(spark, sf_dir)
-    return ev.join(cr, ev.user_id == cr.c_custkey, "left")
+    """events -> customer -> (nation -> region).
+
+    customer grows with the data, so its join is left to the optimizer's
+    size statistics (broadcast only under the configured threshold, a
+    shuffle join above it). The nation/region chain has a fixed size (25
+    rows) and is always broadcast, after the customer join, so the event
+    rows are never shuffled for it.
+    """
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    geo = nation_regions(spark, sf_dir)
+    return (ev.join(cust, ev.user_id == cust.c_custkey, "left")
+            .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey, "left"))
 
 
 def _base_amount() -> Column:

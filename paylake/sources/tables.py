@@ -30,6 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return memo_plan(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a source that has fewer splits than the cluster has task
+    slots (a small single-file table); a no-op for real inputs, which have
+    far more splits than slots."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _null_token_sql(c: str) -> str:
     tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in NULL_TOKENS)
     return f"CASE WHEN `{c}` IN ({tokens}) THEN NULL ELSE `{c}` END AS `{c}`"

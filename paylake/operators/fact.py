@@ -135,5 +135,12 @@ def append_audit(audit: DataFrame, path: str) -> None:
     audit.select(*[f.name for f in AUDIT.fields]).write.mode("append").parquet(path)
 
 
+def export_csv(df: DataFrame, path: str) -> None:
+    """Explicit CSV export of a frame (headered, one folder of part files).
+
+    Arrays are not representable in CSV: join them to text first."""
+    df.write.mode("errorifexists").option("header", True).csv(path)
+
+
 def issues_dict(issues_json: str) -> dict:
     return json.loads(issues_json)

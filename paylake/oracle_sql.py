@@ -527,6 +527,7 @@ def _stream_sql(base: dict[str, str]) -> dict[str, str]:
 SELECT transaction_id, amount_ghs, operator, region, array_to_string(alerts, ' + ') AS alerts
 FROM alerts WHERE len(alerts) > 0""", GAPS),
         "stream_metrics": base["metrics_snapshot"],
+        "csv_funnel": base["reject_funnel"],
     }
 
 

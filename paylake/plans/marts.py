@@ -66,13 +66,22 @@ def mart_daily(stg: DataFrame) -> DataFrame:
     ).orderBy("transaction_date")
 
 
-def mart_operator(stg: DataFrame) -> DataFrame:
-    """Per-operator volume, value, type mix, rates and market shares."""
+def _distinct(col: str, approx: bool):
+    return F.approx_count_distinct(col) if approx else F.countDistinct(col)
+
+
+def mart_operator(stg: DataFrame, approx_distinct: bool = False) -> DataFrame:
+    """Per-operator volume, value, type mix, rates and market shares.
+
+    Exact distinct counts are planned as one ``Expand`` with the distinct
+    values as shuffle keys (spread even for a hot operator);
+    ``approx_distinct`` switches to HyperLogLog++ sketches (fixed-size
+    buffers, no distinct shuffle)."""
     code = F.col("transaction_type_code")
     agg = stg.groupBy("operator").agg(
         F.count("transaction_id").alias("total_transactions"),
-        F.countDistinct("sender_msisdn").alias("unique_senders"),
-        F.countDistinct("receiver_msisdn").alias("unique_receivers"),
+        _distinct("sender_msisdn", approx_distinct).alias("unique_senders"),
+        _distinct("receiver_msisdn", approx_distinct).alias("unique_receivers"),
         F.sum(_amt()).alias("_sum"), F.count(_amt()).alias("_n_amt"),
         F.min(_amt()).alias("_min"), F.max(_amt()).alias("_max"),
         F.sum("transaction_fee_ghs").alias("_fees"),
@@ -104,7 +113,7 @@ def mart_operator(stg: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_volume_ghs"), "operator")
 
 
-def mart_region(stg: DataFrame) -> DataFrame:
+def mart_region(stg: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Per-region volume, customers, rates, peak hour and revenue share.
 
     ``peak_hour`` is the most frequent hour, smallest hour on ties
@@ -113,7 +122,7 @@ def mart_region(stg: DataFrame) -> DataFrame:
     """
     agg = stg.groupBy("region").agg(
         F.count("transaction_id").alias("total_transactions"),
-        F.countDistinct("sender_msisdn").alias("unique_customers"),
+        _distinct("sender_msisdn", approx_distinct).alias("unique_customers"),
         F.sum(_amt()).alias("_sum"), F.count(_amt()).alias("_n_amt"),
         F.sum("transaction_fee_ghs").alias("_fees"),
         _count_when(_status() == "SUCCESS").alias("_succ"),

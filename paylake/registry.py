@@ -316,6 +316,18 @@ def metrics_snapshot(spark, sf):
     return MT.metrics_snapshot(FX.live_events(spark, sf))
 
 
+# --- CSV source round trip -------------------------------------------------
+
+def csv_funnel(spark, sf):
+    """The raw feed written as CSV in input order, scanned back with the
+    all-string CSV reader (null tokens, file-order ``ingest_seq``), then the
+    reject funnel: first-copy-wins must follow the file order."""
+    from paylake.sources.tables import read_raw_csv, write_raw_csv
+    path = J.scratch(spark, "raw-csv")
+    write_raw_csv(FX.raw_feed(spark, sf, normalise=False), path)
+    return C.reject_funnel(C.classify(read_raw_csv(spark, path)))
+
+
 # --- streaming jobs (file source, several micro-batches, drained) ----------
 
 def _stream_input(spark, sf, files=4):
@@ -410,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "metrics_totals": metrics_totals,
     "metrics_by_key": metrics_by_key,
     "metrics_snapshot": metrics_snapshot,
+    "csv_funnel": csv_funnel,
     "stream_scan": stream_scan,
     "stream_log": stream_log,
     "stream_rapid": stream_rapid,

@@ -91,3 +91,38 @@ def test_report_bounds_hold(spark):
             for i in range(12)]
     rep = transform(raw_frame(spark, rows)).report()
     assert Q.report_bounds(rep).count() == 0
+
+
+def test_publish_marts_and_staging_view(spark):
+    from paylake.plans.publish import publish_marts
+    rows = [(i, f"T{i}", f"2024-01-0{1 + i % 3} 00:{i:02d}:00", f"S{i % 5}", f"{10 + i}.00", "SUCCESS", "ASIA", "0.1")
+            for i in range(30)]
+    fact = FT.fact_rows(transform(raw_frame(spark, rows)).clean, loaded_at=True)
+    out = tempfile.mkdtemp(prefix="paylake-marts-")
+    paths = publish_marts(fact, out)
+    assert set(paths) == {"mart_daily_revenue", "mart_operator_performance", "mart_region_summary",
+                          "mart_high_value_transactions"}
+    assert spark.read.parquet(paths["mart_daily_revenue"]).count() == 3
+    assert spark.table("stg_momo_transactions").count() == 30
+    assert "loaded_at" in spark.table("stg_momo_transactions").columns
+
+
+def test_schema_assertion_and_csv_export(spark):
+    rows = [(1, "A", "2024-01-01 00:00:00", "1", "10.00", "SUCCESS", "ASIA", "0.1")]
+    clean = transform(raw_frame(spark, rows)).clean
+    req = ["transaction_id", "timestamp", "amount", "txn_date", "txn_hour", "txn_day_of_week", "txn_month",
+           "txn_quarter", "amount_bucket", "is_high_value", "is_rapid_succession", "transaction_type_label"]
+    assert Q.required_columns(clean, req, ["is_high_value", "is_rapid_succession", "is_weekend"]) == []
+    assert Q.required_columns(clean.drop("amount"), req) == ["missing:amount"]
+    path = os.path.join(tempfile.mkdtemp(prefix="paylake-csv-"), "export")
+    FT.export_csv(FT.fact_rows(clean), path)
+    back = spark.read.option("header", True).csv(path)
+    assert back.count() == 1 and back.first().transaction_id == "A"
+
+
+def test_approx_distinct_option(spark):
+    rows = [(i, f"T{i}", f"2024-01-01 00:{i:02d}:00", f"S{i % 7}", "10.00", "SUCCESS", "ASIA", "0.1") for i in range(40)]
+    stg = _stg(spark, rows)
+    exact = M.mart_operator(stg).first()
+    approx = M.mart_operator(stg, approx_distinct=True).first()
+    assert exact.unique_senders == 7 and abs(approx.unique_senders - 7) <= 1

@@ -1,4 +1,4 @@
-"""Fact-table projection, key upsert, versioned publication and audit rows."""
+"""Fact-table projection, key upsert, partition-scoped publication and audit rows."""
 
 from __future__ import annotations
 
@@ -60,67 +60,67 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = KEY,
     return joined.select(*out)
 
 
-# --- versioned publication ------------------------------------------------
+# --- publication ------------------------------------------------------------
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions (``version=<n>`` folders with a ``_SUCCESS`` marker).
-
-    Uses the Hadoop filesystem of the path, so it works on any shared store.
-    """
+def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    v = _versions(spark, root)
-    return v[-1] if v else None
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame | None:
-    v = latest_version(spark, root)
-    if v is None:
+    if not _exists(spark, root):
         return None
-    return spark.read.schema(FACT).parquet(os.path.join(root, f"version={v}"))
+    return spark.read.schema(FACT).parquet(root)
+
+
+def touched_dates(existing: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
+    """Date partitions an upsert changes: the incoming rows' dates plus the
+    dates of existing rows whose key is in the batch (an updated row keeps
+    its original date). At most one row per calendar day."""
+    matched = (existing.select(key, "txn_date")
+               .join(incoming.select(key), key, "left_semi").select("txn_date"))
+    return incoming.select("txn_date").union(matched).distinct()
 
 
 def publish_fact(spark: SparkSession, root: str, incoming: DataFrame) -> int:
-    """Upsert ``incoming`` (fact rows with ``loaded_at``) into the table at
-    ``root`` and publish the result as a new version; returns its number.
-
-    A Parquet directory cannot be overwritten while it is being read, so
-    every publication writes a complete new ``version=<n>`` folder
-    (partitioned by ``txn_date``); readers pick the highest committed one.
-    With a MERGE-capable table format configured, ``MERGE INTO`` replaces
-    this. Re-running the same batch is idempotent apart from ``loaded_at``.
+    """Upsert ``incoming`` (fact rows with ``loaded_at``) into the fact table
+    at ``root`` (Parquet partitioned by ``txn_date``); returns the number of
+    partitions rewritten.
+
+    Only touched partitions are rewritten: the merged rows of those dates are
+    staged in the checkpoint folder (a table cannot be overwritten while it
+    is read), then swapped in with dynamic partition overwrite. The touched
+    date list is bounded by the calendar, so it is broadcast; reading the
+    existing rows of those dates is pruned to their partitions. Matching
+    the batch keys scans only the key and date columns. Re-running a batch
+    is idempotent apart from ``loaded_at``. With a MERGE-capable table format
+    configured, ``MERGE INTO`` replaces this.
     """
-    current = read_fact(spark, root)
-    version = (latest_version(spark, root) or 0) + 1
-    if current is None:
-        result = incoming.select(*[f.name for f in FACT.fields])
-    else:
-        result = upsert(current, incoming.select(*current.columns), stamp="loaded_at")
-    (result.write.mode("errorifexists").partitionBy("txn_date")
-     .parquet(os.path.join(root, f"version={version}")))
-    return version
-
-
-def audit_row(spark: SparkSession, report: DataFrame, run_id: str, fact_version: int | None = None) -> DataFrame:
+    from paylake.session import materialize
+
+    cols = [f.name for f in FACT.fields]
+    incoming = incoming.select(*cols)
+    if not _exists(spark, root):
+        incoming.write.mode("errorifexists").partitionBy("txn_date").parquet(root)
+        return incoming.select("txn_date").distinct().count()
+    existing = read_fact(spark, root)
+    dates = materialize(touched_dates(existing, incoming), "touched-dates")
+    current = existing.join(F.broadcast(dates), "txn_date", "left_semi")
+    merged = upsert(current.select(*cols), incoming, stamp="loaded_at")
+    staged = materialize(merged, "fact-upsert")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("txn_date").parquet(root))
+    return dates.count()
+
+
+def audit_row(spark: SparkSession, report: DataFrame, run_id: str, partitions_written: int | None = None) -> DataFrame:
     """The audit record of a run (built from the one-row quality report)."""
     issues = F.to_json(F.col("issues"))
     return report.select(
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("run_timestamp"),
-        F.lit(fact_version).cast("long").alias("fact_version"),
+        F.lit(partitions_written).cast("long").alias("partitions_written"),
         F.col("raw_count").cast("long").alias("raw_count"),
         F.col("clean_count").cast("long").alias("clean_count"),
         F.col("high_value_flagged").cast("long").alias("high_value_flagged"),
@@ -131,7 +131,7 @@ def audit_row(spark: SparkSession, report: DataFrame, run_id: str, fact_version:
 
 
 def append_audit(audit: DataFrame, path: str) -> None:
-    """Append the audit row; written only after the fact version is published."""
+    """Append the audit row; written only after the fact partitions are published."""
     audit.select(*[f.name for f in AUDIT.fields]).write.mode("append").parquet(path)
 
 

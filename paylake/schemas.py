@@ -120,7 +120,7 @@ FACT = T.StructType([
 AUDIT = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("run_timestamp", T.TimestampType(), True),
-    T.StructField("fact_version", T.LongType(), True),
+    T.StructField("partitions_written", T.LongType(), True),
     T.StructField("raw_count", T.LongType(), True),
     T.StructField("clean_count", T.LongType(), True),
     T.StructField("high_value_flagged", T.LongType(), True),

@@ -76,16 +76,39 @@ def test_run_batch_publishes_versions_and_audit(spark):
             for i in range(40)]
     raw = raw_frame(spark, rows)
     r1 = run_batch(spark, raw, out, "run-1")
+    before = {r.transaction_id: r for r in FT.read_fact(spark, os.path.join(out, "fact")).collect()}
     r2 = run_batch(spark, raw, out, "run-2")
-    assert r1["fact_version"] == 1 and r2["fact_version"] == 2
+    assert r1["partitions_written"] == 3 and r2["partitions_written"] == 3
     fact = FT.read_fact(spark, os.path.join(out, "fact"))
     assert fact.count() == 40 and fact.select("transaction_id").distinct().count() == 40
+    after = {r.transaction_id: r for r in fact.collect()}
+    strip = lambda r: {k: v for k, v in r.asDict().items() if k != "loaded_at"}
+    assert all(strip(before[k]) == strip(after[k]) for k in before)
     audit = spark.read.parquet(os.path.join(out, "audit")).collect()
     assert sorted(a.run_id for a in audit) == ["run-1", "run-2"]
     assert all(FT.issues_dict(a.issues) == {"duplicate_or_null_ids": 0, "invalid_timestamps": 0,
                                             "invalid_amounts": 0} for a in audit)
 
 
+def test_upsert_rewrites_only_touched_partitions(spark):
+    out = tempfile.mkdtemp(prefix="paylake-upsert-")
+    root = os.path.join(out, "fact")
+    rows = [(i, f"T{i}", f"2024-01-0{1 + i % 4} 00:{i:02d}:00", f"S{i % 5}", f"{10 + i}.00", "SUCCESS", "ASIA", "0.1")
+            for i in range(40)]
+    fact = FT.fact_rows(transform(raw_frame(spark, rows)).clean, loaded_at=True)
+    assert FT.publish_fact(spark, root, fact) == 4
+    # a later batch: T1 changes status (a 2024-01-02 row) and a new row lands on 2024-01-09
+    upd = fact.where(F.col("transaction_id") == "T1").withColumn("status", F.lit("REVERSED"))
+    new = fact.where(F.col("transaction_id") == "T2").withColumn("transaction_id", F.lit("T999")) \
+        .withColumn("txn_date", F.to_date(F.lit("2024-01-09")))
+    assert FT.publish_fact(spark, root, upd.unionByName(new)) == 2
+    got = FT.read_fact(spark, root)
+    assert got.count() == 41
+    assert got.where("transaction_id = 'T1'").first().status == "REVERSED"
+    assert got.where("status = 'REVERSED'").count() == 1
+    assert sorted(r.txn_date.day for r in got.select("txn_date").distinct().collect()) == [1, 2, 3, 4, 9]
+
+
 def test_report_bounds_hold(spark):
     rows = [(i, f"T{i}", "2024-01-01 00:00:00", "S", "1.00" if i % 4 else "N/A", "SUCCESS", "ASIA", "0")
             for i in range(12)]

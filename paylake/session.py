@@ -67,8 +67,45 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``paylake`` importable in executor-side Python workers (needed
+    by the stateful stream processor): zip the package, write it to the
+    shared checkpoint folder and register it with ``addPyFile``. Once per
+    application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import io
+    import os
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    target = f"{checkpoint_dir(spark).rstrip('/')}/paylake/pkg-{uuid.uuid4().hex}.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_streaming_conf(spark: SparkSession) -> None:
-    """Stateful stream operators need the RocksDB state store provider."""
+    """Stateful stream operators need the RocksDB state store provider and
+    the package on the executors."""
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, "") != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
+    ship_package(spark)

@@ -9,10 +9,12 @@ signal expressions build the alerts.
 
 from __future__ import annotations
 
+import sys
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,11 @@ from paylake.schemas import (LIVE_FAILED_HIGH_GHS, LIVE_RAPID_GAP_SECONDS, PARTI
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
+# The stateful processors below run in Python workers (and in a driver-side
+# pre-init runner) that may not have this package on their path: serialize
+# this module's classes by value instead of by import reference.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def with_queue_partition(events: DataFrame) -> DataFrame:
     """``queue_partition = (offset - 1) mod 3``: the round-robin queue an event
@@ -119,14 +126,49 @@ class LastSeenProcessor(StatefulProcessor):
         pass
 
 
-def stream_gaps(events: DataFrame) -> DataFrame:
-    """Streaming ``gap_sec`` per event (keyed state per sender)."""
+class ExpiringLastSeenProcessor(LastSeenProcessor):
+    """Event-time variant: after each batch a timer at ``last + 10 s`` is
+    set; when the watermark passes it the sender's state is dropped. A gap
+    above 10 s never alerts, so alerts of in-order events are unchanged,
+    while state holds only senders active within watermark + 10 s. Events
+    older than the watermark are dropped by the engine."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for t in self.handle.listTimers():
+            self.handle.deleteTimer(t)
+        out = list(super().handleInputRows(key, rows, timerValues))
+        last_us = self.last.get()[0]
+        self.handle.registerTimer(last_us // 1000 + LIVE_RAPID_GAP_SECONDS * 1000)
+        yield from out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield from ()
+
+
+def stream_gaps(events: DataFrame, mode: str = "parity", watermark: str = "10 seconds") -> DataFrame:
+    """Streaming ``gap_sec`` per event (keyed state per sender).
+
+    ``parity``: arrival order, state kept for every sender seen (a late
+    event gets a negative gap). ``bounded``: event-time watermark plus an
+    expiry timer per sender (see :class:`ExpiringLastSeenProcessor`).
+    """
     ev = event_time(events).where(F.col("sender_msisdn").isNotNull())
-    ev = ev.select(*[f.name for f in GAP_FIELDS.fields if f.name != "gap_sec"], "event_us")
+    cols = [f.name for f in GAP_FIELDS.fields if f.name != "gap_sec"] + ["event_us"]
+    if mode == "parity":
+        return (ev.select(*cols).groupBy("sender_msisdn")
+                .transformWithStateInPandas(LastSeenProcessor(), GAP_FIELDS, "Append", "None"))
+    if mode != "bounded":
+        raise ValueError(f"unknown mode {mode!r}")
+    ev = ev.withWatermark("event_ts", watermark).select(*cols, "event_ts")
     return (ev.groupBy("sender_msisdn")
-            .transformWithStateInPandas(LastSeenProcessor(), GAP_FIELDS, "Append", "None"))
+            .transformWithStateInPandas(ExpiringLastSeenProcessor(), GAP_FIELDS, "Append", "EventTime"))
 
 
-def stream_alerts(events: DataFrame) -> DataFrame:
+def stream_alerts(events: DataFrame, mode: str = "parity") -> DataFrame:
     """Streaming fraud alerts (append)."""
-    return _alerts(stream_gaps(events))
+    return _alerts(stream_gaps(events, mode))

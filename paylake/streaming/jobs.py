@@ -59,16 +59,16 @@ def _trigger(w, trigger):
     return w.trigger(**(trigger or DEFAULT_TRIGGER))
 
 
-def start_alerts(events: DataFrame, out: str, ckpt: str, trigger=None) -> StreamingQuery:
+def start_alerts(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity") -> StreamingQuery:
     """Fraud alerts appended to Parquet (exactly once via the checkpoint)."""
-    w = FR.stream_alerts(events).writeStream.format("parquet").outputMode("append") \
+    w = FR.stream_alerts(events, mode).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
     return _trigger(w, trigger).start()
 
 
-def start_gaps(events: DataFrame, out: str, ckpt: str, trigger=None) -> StreamingQuery:
+def start_gaps(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity") -> StreamingQuery:
     """Per-event gap since the sender's previous event (keyed state)."""
-    w = FR.stream_gaps(events).writeStream.format("parquet").outputMode("append") \
+    w = FR.stream_gaps(events, mode).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
     return _trigger(w, trigger).start()
 

@@ -75,3 +75,41 @@ def test_partition_slice_is_round_robin(spark):
     total = ev.count()
     assert sum(counts.values()) == total and max(counts.values()) - min(counts.values()) <= 1
     assert FR.partition_slice(ev, 0).where(F.pmod(F.col("offset") - 1, F.lit(3)) != 0).count() == 0
+
+
+def test_bounded_mode_same_alerts_and_drops_expired_state(spark):
+    ev = live_events(spark, SF_SMALL)
+    src = J.scratch(spark, "bounded-in")
+    J.publish_events(ev, src, files=3)
+    out, ckpt = J.scratch(spark, "bounded-out"), J.scratch(spark, "bounded-ckpt")
+    q = J.start_alerts(J.read_events(spark, src), out, ckpt, mode="bounded")
+    J.drain(q)
+    cols = ["transaction_id", F.array_join("alerts", " + ").alias("a")]
+    stream = sorted(spark.read.parquet(out).select(*cols).collect())
+    batch = sorted(FR.fraud_alerts(ev).select(*cols).collect())
+    assert stream == batch
+
+
+def _gaps_over_batches(spark, batches, mode):
+    src = J.scratch(spark, "wm-in")
+    for b in batches:
+        spark.createDataFrame(b, EVENT).coalesce(1).write.mode("append").parquet(src)
+    out, ckpt = J.scratch(spark, "wm-out"), J.scratch(spark, "wm-ckpt")
+    J.drain(J.start_gaps(J.read_events(spark, src), out, ckpt, mode=mode))
+    return {r.offset: r.gap_sec for r in spark.read.parquet(out).collect()}
+
+
+def test_bounded_mode_drops_events_behind_watermark(spark):
+    # late-event filtering uses the previous batch's watermark (00:01:30 in batch 3)
+    batches = [[_event(1, "2024-01-01T00:00:00")], [_event(2, "2024-01-01T00:01:40")],
+               [_event(3, "2024-01-01T00:03:00")], [_event(4, "2024-01-01T00:00:20")]]
+    assert _gaps_over_batches(spark, batches, "parity") == {1: None, 2: 100.0, 3: 80.0, 4: -160.0}
+    assert _gaps_over_batches(spark, batches, "bounded") == {1: None, 2: 100.0, 3: 80.0}
+
+
+def test_bounded_mode_expires_idle_sender_state(spark):
+    a, b = "0240000001", "0240000002"
+    batches = [[_event(1, "2024-01-01T00:00:00", a)], [_event(2, "2024-01-01T00:05:00", b)],
+               [_event(3, "2024-01-01T00:05:30", b)], [_event(4, "2024-01-01T00:06:00", a)]]
+    assert _gaps_over_batches(spark, batches, "parity")[4] == 360.0
+    assert _gaps_over_batches(spark, batches, "bounded")[4] is None

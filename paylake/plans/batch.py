@@ -48,8 +48,11 @@ def transform(raw: DataFrame, stage: bool = True, split_seconds: int = 86_400) -
         classified = materialize(classified, "classified")
     rows = C.clean_rows(classified)
     rows = E.enrich(rows)
-    rows = flag_high_value(rows)
+    # rapid first: its carry aggregate then does not wait for the quantile
+    # branch (the high-value flag joins the one-row threshold), so AQE runs
+    # both branches' stages concurrently
     rows = flag_rapid_succession(rows, split_seconds=split_seconds)
+    rows = flag_high_value(rows)
     rows = E.add_total_debit(rows)
     return Transformed(classified, rows, C.reject_funnel(classified))
 

@@ -64,7 +64,7 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/paylake/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set = set()

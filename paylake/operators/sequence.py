@@ -36,7 +36,14 @@ def previous_value(df: DataFrame, key: str, order: list[str], value: str, out: s
         .otherwise(bucket).cast("long")
     rows = df.withColumn("_b", b)
 
-    last = F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v")))
+    # value of the last row of each (key, bucket); fixed-width buffers keep it
+    # a hash aggregate in the common cases
+    if value == order[0]:
+        last = F.struct(F.max(value).alias("_v"))
+    elif len(order) == 1:
+        last = F.struct(F.max_by(value, order[0]).alias("_v"))
+    else:
+        last = F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v")))
     carry = (rows.where(k.isNotNull()).groupBy(key, "_b").agg(last.alias("_last"))
              .select(key, "_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_carry"))
              .where(F.col("_carry").isNotNull()))

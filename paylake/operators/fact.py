@@ -115,11 +115,14 @@ def publish_fact(spark: SparkSession, root: str, incoming: DataFrame) -> int:
 
 
 def audit_row(spark: SparkSession, report: DataFrame, run_id: str, partitions_written: int | None = None) -> DataFrame:
-    """The audit record of a run (built from the one-row quality report)."""
+    """The audit record of a run (built from the one-row quality report),
+    including the completion fields: run date, records loaded, status."""
     issues = F.to_json(F.col("issues"))
     return report.select(
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("run_timestamp"),
+        F.current_date().alias("run_date"),
+        F.lit("SUCCESS").alias("status"),
         F.lit(partitions_written).cast("long").alias("partitions_written"),
         F.col("raw_count").cast("long").alias("raw_count"),
         F.col("clean_count").cast("long").alias("clean_count"),

@@ -404,6 +404,7 @@ FROM clean GROUP BY region"""),
                          "WHERE region IS NOT NULL GROUP BY 1 ORDER BY total_ghs DESC, region LIMIT 5"),
         "audit_row": q("""
 SELECT raw_count, clean_count, high_value_flagged, rapid_succession_flagged, success_rate_pct,
+  'SUCCESS' AS status,
   '{"duplicate_or_null_ids":' || duplicate_or_null_ids || ',"invalid_timestamps":' || invalid_timestamps
     || ',"invalid_amounts":' || invalid_amounts || '}' AS issues
 FROM report""", FUNNEL, REPORT),

@@ -173,7 +173,8 @@ def top_regions_q(spark, sf):
 
 def audit_row(spark, sf):
     t = _t(spark, sf)
-    return FT.audit_row(spark, t.report(), "oracle").drop("run_id", "run_timestamp", "partitions_written")
+    return FT.audit_row(spark, t.report(), "oracle").drop("run_id", "run_timestamp", "run_date",
+                                                           "partitions_written")
 
 
 # --- staging and marts -----------------------------------------------------

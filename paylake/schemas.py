@@ -120,6 +120,8 @@ FACT = T.StructType([
 AUDIT = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("run_timestamp", T.TimestampType(), True),
+    T.StructField("run_date", T.DateType(), True),
+    T.StructField("status", T.StringType(), True),
     T.StructField("partitions_written", T.LongType(), True),
     T.StructField("raw_count", T.LongType(), True),
     T.StructField("clean_count", T.LongType(), True),

@@ -55,6 +55,20 @@ def read_events(spark: SparkSession, path: str, files_per_batch: int = 1, fmt: s
             .format(fmt).load(path))
 
 
+def read_kafka_events(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
+    """Streaming events from a Kafka topic: JSON values parsed with the
+    typed event schema (malformed JSON gives null fields, never an error).
+    Needs the spark-sql-kafka package on the classpath (not available in
+    this environment, so this path is untested here)."""
+    ensure_streaming_conf(spark)
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic))
+    for k, v in options.items():
+        r = r.option(k, v)
+    raw = r.load()
+    return raw.select(F.from_json(F.col("value").cast("string"), EVENT).alias("e")).select("e.*")
+
+
 def _trigger(w, trigger):
     return w.trigger(**(trigger or DEFAULT_TRIGGER))
 

@@ -67,12 +67,13 @@ def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold") -
 def flag_high_value(df: DataFrame, q: float = HIGH_VALUE_QUANTILE, col: str = "amount") -> DataFrame:
     """``is_high_value = amount >= quantile(amount, q)`` over this batch.
 
-    The threshold is a one-row frame, broadcast to every task.
+    The threshold is a scalar subquery: computed once, before the main
+    stage, and used as a value in every task (no join). A query that does
+    not use ``is_high_value`` has the whole quantile plan pruned away.
     """
-    th = exact_quantile(df, col, q, "_threshold")
-    out = df.crossJoin(F.broadcast(th))
-    flag = F.coalesce(F.col(col).cast("double") >= F.col("_threshold"), F.lit(False))
-    return out.withColumn("is_high_value", flag).drop("_threshold")
+    th = exact_quantile(df, col, q, "_threshold").scalar()
+    flag = F.coalesce(F.col(col).cast("double") >= th, F.lit(False))
+    return df.withColumn("is_high_value", flag)
 
 
 def flag_rapid_succession(df: DataFrame, gap: float = RAPID_GAP_SECONDS,

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions.parse import parse_decimal, parse_timestamp
-from paylake.schemas import RAW_COLUMNS
 
 KEY = "transaction_id"
 SEQ = "ingest_seq"
@@ -99,6 +98,6 @@ def raw_count(raw: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "RAW_COLUMNS", "first_copies", "dedup_first", "parse_survivors", "classify",
+    "first_copies", "dedup_first", "parse_survivors", "classify",
     "clean_rows", "reject_funnel", "raw_count", "ISSUE_KEYS",
 ]

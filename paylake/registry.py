@@ -20,7 +20,7 @@ from paylake.operators import enrich as E
 from paylake.operators import fact as FT
 from paylake.operators import quality as Q
 from paylake.operators.flags import quantile_frame
-from paylake.operators.report import quality_report, summary_by_type, top_regions
+from paylake.operators.report import summary_by_type, top_regions
 from paylake.plans import marts as M
 from paylake.plans.batch import transform
 from paylake.plans.staging import stg_transactions

@@ -108,8 +108,6 @@ def start_metrics(events: DataFrame, out: str, ckpt: str, trigger=None) -> list[
     """Running totals and keyed sums (complete mode). Each micro-batch
     replaces ``out/totals`` and ``out/by_key`` with the current state, so
     :func:`read_snapshot` always sees a consistent pair per table."""
-    spark = events.sparkSession
-
     def sink(name):
         def write(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(os.path.join(out, name))
@@ -120,7 +118,6 @@ def start_metrics(events: DataFrame, out: str, ckpt: str, trigger=None) -> list[
         w = frame.writeStream.outputMode("complete").foreachBatch(sink(name)) \
             .option("checkpointLocation", os.path.join(ckpt, name))
         qs.append(_trigger(w, trigger).start())
-    del spark
     return qs
 
 

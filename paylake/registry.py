@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylake.functions import parse as P
 from paylake.functions import text as TX
 from paylake.functions.numeric import cents, half_up_ratio
 from paylake.operators import clean as C
@@ -94,17 +95,17 @@ def reject_funnel(spark, sf):
 
 
 def parse_timestamp(spark, sf):
-    p = C.parse_survivors(_survivors(spark, sf))
-    s = _survivors(spark, sf).select("transaction_id", F.col("timestamp").alias("timestamp_text"))
-    return s.join(p.select("transaction_id", "timestamp"), "transaction_id")
+    s = _survivors(spark, sf)
+    return s.select("transaction_id", F.col("timestamp").alias("timestamp_text"),
+                    P.parse_timestamp(F.col("timestamp")).alias("timestamp"))
 
 
 def parse_amount(spark, sf):
     s = _survivors(spark, sf)
-    p = C.parse_survivors(s).select("transaction_id", "amount", "fee")
-    return decimals_to_double(
-        s.select("transaction_id", F.col("amount").alias("amount_text"), F.col("fee").alias("fee_text"))
-        .join(p, "transaction_id"))
+    fee = F.coalesce(P.parse_decimal(F.col("fee"), 8, 2), F.lit(0).cast("decimal(8,2)"))
+    return decimals_to_double(s.select(
+        "transaction_id", F.col("amount").alias("amount_text"), F.col("fee").alias("fee_text"),
+        P.parse_decimal(F.col("amount"), 12, 2).alias("amount"), fee.alias("fee")))
 
 
 def standardise_text(spark, sf):
@@ -200,11 +201,11 @@ def mart_high_value(spark, sf):
 
 
 def market_share(spark, sf):
-    op = M.mart_operator(_stg(spark, sf)).select(
+    stg = _stg(spark, sf)
+    op = M.mart_operator(stg).select(
         F.lit("operator").alias("dimension"), F.col("operator").alias("member"),
         F.col("market_share_by_volume_pct").alias("share_by_volume_pct"),
         F.col("market_share_by_value_pct").alias("share_by_value_pct"))
-    stg = _stg(spark, sf)
     reg = (stg.groupBy("region").agg(F.count("transaction_id").alias("n"), F.sum("transaction_amount_ghs").alias("v")))
     w = Window.partitionBy()
     reg = reg.select(F.lit("region").alias("dimension"), F.col("region").alias("member"),

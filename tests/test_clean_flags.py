@@ -125,3 +125,20 @@ def test_null_status_counts_in_batch_rate(spark):
             (2, "B", "2024-01-01 00:10:00", "2", "10.00", None, None, "0.1")]
     r = transform(raw_frame(spark, rows)).report().first()
     assert r.success_rate_pct == 50.0
+
+
+def test_exact_quantile_property(spark):
+    from hypothesis import given, settings, HealthCheck
+    from hypothesis import strategies as st
+
+    cents = st.integers(min_value=-10**9, max_value=10**11)
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(cents, min_size=1, max_size=300), st.sampled_from([0.0, 0.25, 0.5, 0.95, 1.0]))
+    def check(values, q):
+        vals = [v / 100 for v in values]
+        df = spark.createDataFrame([(v,) for v in vals], "a double")
+        got = exact_quantile(df, "a", q).first()[0]
+        want = float(np.quantile(np.array(vals), q))
+        assert abs(got - want) <= 1e-9 * max(1.0, abs(want)), (got, want)
+
+    check()

@@ -22,7 +22,7 @@ MARTS = {
 }
 
 
-def register_staging(fact: DataFrame, name: str = "stg_momo_transactions") -> DataFrame:
+def register_staging(fact: DataFrame, name: str = "stg_transactions") -> DataFrame:
     stg = stg_transactions(fact, with_loaded_at="loaded_at" in fact.columns)
     stg.createOrReplaceTempView(name)
     return stg

@@ -126,8 +126,8 @@ def test_publish_marts_and_staging_view(spark):
     assert set(paths) == {"mart_daily_revenue", "mart_operator_performance", "mart_region_summary",
                           "mart_high_value_transactions"}
     assert spark.read.parquet(paths["mart_daily_revenue"]).count() == 3
-    assert spark.table("stg_momo_transactions").count() == 30
-    assert "loaded_at" in spark.table("stg_momo_transactions").columns
+    assert spark.table("stg_transactions").count() == 30
+    assert "loaded_at" in spark.table("stg_transactions").columns
 
 
 def test_schema_assertion_and_csv_export(spark):

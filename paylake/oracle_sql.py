@@ -8,7 +8,7 @@ deliberately different from the Spark plans (window-based de-duplication,
 
 from __future__ import annotations
 
-from paylake.schemas import ALERT_REASONS, NULL_TOKENS, RAW_COLUMNS, TYPE_LABELS
+from paylake.schemas import ALERT_REASONS, NULL_TOKENS, RAW_COLUMNS, TOPIC_NAME, TYPE_LABELS
 
 WS = r"'^\s+|\s+$'"
 
@@ -176,7 +176,7 @@ stg AS (
   WHERE transaction_id IS NOT NULL AND amount > 0 AND status IN ('SUCCESS', 'FAILED', 'PENDING', 'REVERSED')
 ),
 live AS (
-  SELECT 'TRANSACTION' AS event_type, 'momo.transactions.live' AS topic,
+  SELECT 'TRANSACTION' AS event_type, {_q(TOPIC_NAME)} AS topic,
     CAST((event_id + 1) % 3 AS INTEGER) AS partition,
     CAST(event_id + 1 AS BIGINT) AS "offset",
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,

@@ -27,13 +27,17 @@ def padded_day_name(d: Column) -> Column:
 
 
 def epoch_micros(ts: Column) -> Column:
-    """Microseconds since the epoch (the session time zone must be UTC)."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Wall-clock microseconds since 1970-01-01 00:00 of a timestamp, read as
+    ``timestamp_ntz``: built from its calendar fields, so it does not depend
+    on the session time zone and is monotonic (no DST folds or gaps)."""
+    t = ts.cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.date_part(F.lit("SECOND"), t)  # seconds with the fraction, decimal(8,6)
+    return (days * 86_400_000_000 + F.hour(t).cast("long") * 3_600_000_000
+            + F.minute(t).cast("long") * 60_000_000 + (secs * 1_000_000).cast("long"))
 
 
 def gap_seconds(prev: Column, ts: Column) -> Column:
-    """Fractional seconds from ``prev`` to ``ts`` (microsecond exact).
-
-    ``timestampdiff(SECOND, ...)`` would truncate 119.9 s to 119.
-    """
-    return F.timestamp_diff("MICROSECOND", prev, ts) / 1e6
+    """Fractional wall-clock seconds from ``prev`` to ``ts`` (microsecond
+    exact; ``timestampdiff(SECOND, ...)`` would truncate 119.9 s to 119)."""
+    return (epoch_micros(ts) - epoch_micros(prev)) / 1e6

@@ -46,9 +46,11 @@ def partition_slice(events: DataFrame, partition: int | None = None) -> DataFram
 
 
 def event_time(events: DataFrame) -> DataFrame:
-    """Parse the ISO ``timestamp`` text into ``event_ts`` and ``event_us``."""
+    """Parse the ISO ``timestamp`` text into ``event_ts`` (a timestamp, for
+    watermarks) and ``event_us`` (wall-clock micros, for gaps: a naive ISO
+    time difference does not depend on a time zone)."""
     ts = F.try_to_timestamp(F.col("timestamp"), F.lit(ISO_FORMAT))
-    return events.withColumn("event_ts", ts).withColumn("event_us", epoch_micros(F.col("event_ts")))
+    return events.withColumn("event_ts", ts).withColumn("event_us", epoch_micros(ts))
 
 
 def alert_texts(amount: Column, status: Column, is_high_value: Column, gap_sec: Column) -> Column:

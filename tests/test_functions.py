@@ -89,3 +89,29 @@ def test_money_text_matches_python_format(spark):
     for r in df.collect():
         assert r.m == f"{r.x:,.2f}"
         assert r.p == f"{r.x:.1f}"
+
+
+def test_timestamp_parse_is_zone_independent(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-02-30 00:00:00",), ("2024-01-01 00:00:00.5",)], "v string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r.t for r in df.select(parse.parse_timestamp(F.col("v")).alias("t")).collect()]
+        mic = [r.m for r in df.select(calendar.epoch_micros(parse.parse_timestamp(F.col("v"))).alias("m")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [dt.datetime(2024, 3, 10, 2, 30), None, dt.datetime(2024, 1, 1, 0, 0, 0, 500000)]
+    assert mic[0] == int(dt.datetime(2024, 3, 10, 2, 30, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+
+
+def test_gap_across_dst_change_is_wall_clock(spark):
+    df = spark.createDataFrame([("2024-03-10 01:59:00", "2024-03-10 03:01:00")], "a string, b string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        g = df.select(calendar.gap_seconds(parse.parse_timestamp(F.col("a")),
+                                           parse.parse_timestamp(F.col("b"))).alias("g")).first().g
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert g == 3720.0

@@ -27,15 +27,19 @@ def quality_report(funnel: DataFrame, clean: DataFrame) -> DataFrame:
         F.count_if(F.col("is_rapid_succession")).alias("rapid_succession_flagged"),
         F.count_if(F.col("status") == "SUCCESS").alias("_succ"),
     )
+    # the funnel totals join the clean-row totals as one struct-valued scalar
+    # subquery (both sides are single-row aggregates; no join)
+    fs = f.select(F.struct(*f.columns).alias("f")).scalar()
+    out = c.select("*", fs.alias("_f")).select("*", "_f.*").drop("_f")
     issues = F.create_map(*[x for k in ISSUE_KEYS for x in (F.lit(k), F.col(k))])
-    return (f.crossJoin(c).select(
+    return out.select(
         "raw_count", "clean_count",
         (F.col("raw_count") - F.col("clean_count")).alias("records_dropped"),
         "high_value_flagged", "rapid_succession_flagged",
         half_up_ratio(F.col("_succ"), F.col("clean_count"), 2, 100).alias("success_rate_pct"),
         *ISSUE_KEYS,
         issues.alias("issues"),
-    ))
+    )
 
 
 def summary_by_type(clean: DataFrame) -> DataFrame:

@@ -61,7 +61,9 @@ def snapshot_from(totals: DataFrame, by_key: DataFrame) -> DataFrame:
         F.max(F.when(F.col("dimension") == "operator", F.col("top"))).alias("top_operator"),
         F.max(F.when(F.col("dimension") == "region", F.col("top"))).alias("top_region"))
     n = F.col("total_transactions")
-    return totals.crossJoin(tops).select(
+    # tops is a single-row aggregate: a struct-valued scalar subquery, no join
+    ts = tops.select(F.struct("top_operator", "top_region").alias("t")).scalar()
+    return totals.select("*", ts.alias("_t")).select("*", "_t.*").select(
         "total_transactions",
         F.round("total_volume_ghs", 2).alias("total_volume_ghs"),
         F.round("total_fees_ghs", 2).alias("total_fees_ghs"),

@@ -239,20 +239,28 @@ funnel AS (
 )"""
 
 REPORT = f"""
+fagg AS (
+  SELECT CAST(coalesce(sum(rows), 0) AS BIGINT) AS raw_count,
+         CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'duplicate_or_null_ids'), 0) AS BIGINT) AS duplicate_or_null_ids,
+         CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'invalid_timestamps'), 0) AS BIGINT) AS invalid_timestamps,
+         CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'invalid_amounts'), 0) AS BIGINT) AS invalid_amounts
+  FROM funnel
+),
+cagg AS (
+  SELECT count(*) AS clean_count, count(*) FILTER (WHERE is_high_value) AS high_value_flagged,
+         count(*) FILTER (WHERE is_rapid_succession) AS rapid_succession_flagged,
+         count(*) FILTER (WHERE status = 'SUCCESS') AS succ
+  FROM clean
+),
 report AS (
-  SELECT f.raw_count, c.clean_count, f.raw_count - c.clean_count AS records_dropped,
-         c.high_value_flagged, c.rapid_succession_flagged,
-         {hu('c.succ', 'c.clean_count', 2, 100)} AS success_rate_pct,
-         f.duplicate_or_null_ids, f.invalid_timestamps, f.invalid_amounts
-  FROM (SELECT CAST(coalesce(sum(rows), 0) AS BIGINT) AS raw_count,
-               CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'duplicate_or_null_ids'), 0) AS BIGINT) AS duplicate_or_null_ids,
-               CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'invalid_timestamps'), 0) AS BIGINT) AS invalid_timestamps,
-               CAST(coalesce(sum(rows) FILTER (WHERE reject_reason = 'invalid_amounts'), 0) AS BIGINT) AS invalid_amounts
-        FROM funnel) f,
-       (SELECT count(*) AS clean_count, count(*) FILTER (WHERE is_high_value) AS high_value_flagged,
-               count(*) FILTER (WHERE is_rapid_succession) AS rapid_succession_flagged,
-               count(*) FILTER (WHERE status = 'SUCCESS') AS succ
-        FROM clean) c
+  SELECT (SELECT raw_count FROM fagg) AS raw_count, clean_count,
+         (SELECT raw_count FROM fagg) - clean_count AS records_dropped,
+         high_value_flagged, rapid_succession_flagged,
+         {hu('succ', 'clean_count', 2, 100)} AS success_rate_pct,
+         (SELECT duplicate_or_null_ids FROM fagg) AS duplicate_or_null_ids,
+         (SELECT invalid_timestamps FROM fagg) AS invalid_timestamps,
+         (SELECT invalid_amounts FROM fagg) AS invalid_amounts
+  FROM cagg
 )"""
 
 OPERATOR_MART = f"""

@@ -332,16 +332,14 @@ def csv_funnel(spark, sf):
 
 # --- streaming jobs (file source, several micro-batches, drained) ----------
 
-def _stream_input(spark, sf, files=4):
-    path = J.scratch(spark, "events-in")
-    J.publish_events(FX.live_events(spark, sf), path, files=files)
-    return path
-
-
-def _run(start, spark, sf):
-    src = _stream_input(spark, sf)
+def _run(start, spark, sf, parts=4):
+    """Replay the live events in offset order, ``parts`` micro-batches, each
+    drained (and the query restarted from its checkpoint) before the next
+    range is appended; return the sink folder."""
+    src = J.scratch(spark, "events-in")
     out, ckpt = J.scratch(spark, "out"), J.scratch(spark, "ckpt")
-    J.drain(start(J.read_events(spark, src), out, ckpt))
+    J.replay_in_order(FX.live_events(spark, sf), src, parts,
+                      lambda: J.drain(start(J.read_events(spark, src), out, ckpt)))
     return out
 
 

@@ -28,31 +28,42 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/paylake/{name}-{uuid.uuid4().hex}"
 
 
-def publish_events(events: DataFrame, path: str, files: int = 4) -> None:
-    """Append ``events`` to ``path`` as ``files`` Parquet files in offset
-    order, one file after the other, so a file source with
-    ``maxFilesPerTrigger=1`` replays them as successive micro-batches."""
+def offset_ranges(events: DataFrame, parts: int) -> list[DataFrame]:
+    """``events`` split into ``parts`` consecutive offset ranges (only the
+    min and max offset reach the driver)."""
     bounds = events.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
-        return
+        return []
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    step = max(1, (hi - lo + files) // files)
-    for i in range(files):
-        a, b = lo + i * step, lo + (i + 1) * step
-        (events.where((F.col("offset") >= a) & (F.col("offset") < b))
-         .coalesce(1).sortWithinPartitions("offset")
-         .write.mode("append").parquet(path))
+    step = max(1, (hi - lo + parts) // parts)
+    return [events.where((F.col("offset") >= lo + i * step) & (F.col("offset") < lo + (i + 1) * step))
+            for i in range(parts)]
 
 
-def read_events(spark: SparkSession, path: str, files_per_batch: int = 1, fmt: str = "parquet") -> DataFrame:
+def replay_in_order(events: DataFrame, path: str, parts: int, drain_once) -> None:
+    """Feed ``events`` to a file source at ``path`` the way a live topic
+    fills: append one offset range (written in parallel, many files), then
+    call ``drain_once()`` to run the stream until it has caught up, and so
+    on. Each range becomes a micro-batch of its own, in offset order, and
+    every run after the first restarts from the query's checkpoint."""
+    for part in offset_ranges(events, parts):
+        part.sortWithinPartitions("offset").write.mode("append").parquet(path)
+        drain_once()
+
+
+def read_events(spark: SparkSession, path: str, files_per_batch: int | None = None,
+                fmt: str = "parquet") -> DataFrame:
     """Streaming event source over files (typed schema, no inference).
 
-    For a Kafka topic use ``spark.readStream.format("kafka")`` and
-    ``from_json(value, EVENT)``; the downstream jobs are the same.
+    ``files_per_batch`` caps the files per micro-batch (default: all new
+    files). For a Kafka topic see :func:`read_kafka_events`; the downstream
+    jobs are the same.
     """
     ensure_streaming_conf(spark)
-    return (spark.readStream.schema(EVENT).option("maxFilesPerTrigger", files_per_batch)
-            .format(fmt).load(path))
+    r = spark.readStream.schema(EVENT)
+    if files_per_batch:
+        r = r.option("maxFilesPerTrigger", files_per_batch)
+    return r.format(fmt).load(path)
 
 
 def read_kafka_events(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:

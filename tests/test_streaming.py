@@ -23,7 +23,7 @@ def test_late_event_parity_mode_across_batches(spark):
     for b in batches:
         spark.createDataFrame(b, EVENT).coalesce(1).write.mode("append").parquet(src)
     out, ckpt = J.scratch(spark, "late-out"), J.scratch(spark, "late-ckpt")
-    J.drain(J.start_gaps(J.read_events(spark, src), out, ckpt))
+    J.drain(J.start_gaps(J.read_events(spark, src, files_per_batch=1), out, ckpt))
     got = {r.offset: r.gap_sec for r in spark.read.parquet(out).collect()}
     assert got == {1: None, 2: 100.0, 3: -80.0}
 
@@ -42,11 +42,16 @@ def test_stream_restart_resumes_state(spark):
 def test_stream_alerts_equal_batch_twin(spark):
     ev = live_events(spark, SF_SMALL)
     src = J.scratch(spark, "alerts-in")
-    J.publish_events(ev, src, files=3)
     out, ckpt = J.scratch(spark, "alerts-out"), J.scratch(spark, "alerts-ckpt")
-    q = J.start_alerts(J.read_events(spark, src), out, ckpt)
-    J.drain(q)
-    assert J.progress_summary(q)["batches"] >= 3
+    runs = []
+
+    def once():
+        q = J.start_alerts(J.read_events(spark, src), out, ckpt)
+        J.drain(q)
+        runs.append(J.progress_summary(q))
+
+    J.replay_in_order(ev, src, 3, once)
+    assert len(runs) == 3 and sum(r["input_rows"] for r in runs) == ev.count()
     cols = ["transaction_id", F.array_join("alerts", " + ").alias("a")]
     stream = sorted(spark.read.parquet(out).select(*cols).collect())
     batch = sorted(FR.fraud_alerts(ev).select(*cols).collect())
@@ -56,9 +61,8 @@ def test_stream_alerts_equal_batch_twin(spark):
 def test_stream_metrics_snapshot_equals_batch(spark):
     ev = live_events(spark, SF_SMALL)
     src = J.scratch(spark, "metrics-in")
-    J.publish_events(ev, src, files=2)
     out, ckpt = J.scratch(spark, "metrics-out"), J.scratch(spark, "metrics-ckpt")
-    J.drain(J.start_metrics(J.read_events(spark, src), out, ckpt))
+    J.replay_in_order(ev, src, 2, lambda: J.drain(J.start_metrics(J.read_events(spark, src), out, ckpt)))
     assert J.read_snapshot(spark, out).collect() == MT.metrics_snapshot(ev).collect()
 
 
@@ -80,10 +84,9 @@ def test_partition_slice_is_round_robin(spark):
 def test_bounded_mode_same_alerts_and_drops_expired_state(spark):
     ev = live_events(spark, SF_SMALL)
     src = J.scratch(spark, "bounded-in")
-    J.publish_events(ev, src, files=3)
     out, ckpt = J.scratch(spark, "bounded-out"), J.scratch(spark, "bounded-ckpt")
-    q = J.start_alerts(J.read_events(spark, src), out, ckpt, mode="bounded")
-    J.drain(q)
+    J.replay_in_order(ev, src, 3, lambda: J.drain(
+        J.start_alerts(J.read_events(spark, src), out, ckpt, mode="bounded")))
     cols = ["transaction_id", F.array_join("alerts", " + ").alias("a")]
     stream = sorted(spark.read.parquet(out).select(*cols).collect())
     batch = sorted(FR.fraud_alerts(ev).select(*cols).collect())
@@ -95,7 +98,7 @@ def _gaps_over_batches(spark, batches, mode):
     for b in batches:
         spark.createDataFrame(b, EVENT).coalesce(1).write.mode("append").parquet(src)
     out, ckpt = J.scratch(spark, "wm-out"), J.scratch(spark, "wm-ckpt")
-    J.drain(J.start_gaps(J.read_events(spark, src), out, ckpt, mode=mode))
+    J.drain(J.start_gaps(J.read_events(spark, src, files_per_batch=1), out, ckpt, mode=mode))
     return {r.offset: r.gap_sec for r in spark.read.parquet(out).collect()}
 
 

@@ -66,12 +66,14 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return normalise_raw(df.select("ingest_seq", *RAW_COLUMNS))
 
 
-def write_raw_csv(df: DataFrame, path: str, files: int = 4, order: str = "ingest_seq") -> None:
+def write_raw_csv(df: DataFrame, path: str, order: str = "ingest_seq") -> None:
     """Write a raw feed as headered CSV (the original input format), in
-    ``order``: range-partitioned, sorted inside each file, so the file names
-    and the row positions reproduce the input order. Whitespace is kept
-    as is (Spark's CSV writer trims it by default)."""
-    (df.repartitionByRange(files, order).sortWithinPartitions(order).select(*RAW_COLUMNS)
+    ``order``: range-partitioned (as many ranges as shuffle partitions,
+    adjacent ones merged by AQE up to the advisory size, so file sizes
+    follow the data), sorted inside each file, so the file names and the
+    row positions reproduce the input order. Whitespace is kept as is
+    (Spark's CSV writer trims it by default)."""
+    (df.repartitionByRange(order).sortWithinPartitions(order).select(*RAW_COLUMNS)
      .write.mode("errorifexists").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))

@@ -362,7 +362,7 @@ existing AS (
 incoming AS (
   SELECT transaction_id, timestamp, CAST(amount + 1 AS DECIMAL(12,2)) AS amount, fee,
          'REVERSED' AS status, is_high_value, is_rapid_succession
-  FROM clean WHERE ingest_seq % 2 = 0
+  FROM clean WHERE ingest_seq % 3 <> 1
 )"""
 
 

@@ -155,14 +155,16 @@ def _live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_pair(clean_fact: DataFrame, seq_col: str = "ingest_seq") -> tuple[DataFrame, DataFrame]:
-    """(existing, incoming) halves of a clean batch for upsert checks.
+    """(existing, incoming) sides of a clean batch for upsert checks; every
+    row is on at least one side, so the upsert result covers the whole batch.
 
-    existing: rows with ``seq % 3 <> 0``; incoming: rows with ``seq % 2 = 0``,
-    status ``REVERSED`` and amount + 1.
+    ``seq % 3``: 1 -> existing only (kept), 0 -> incoming only (inserted),
+    2 -> both (updated). Incoming rows carry status ``REVERSED`` and
+    amount + 1 (the amount must not change on update).
     """
     seq = F.col(seq_col)
     existing = clean_fact.where(F.pmod(seq, F.lit(3)) != 0)
-    incoming = (clean_fact.where(F.pmod(seq, F.lit(2)) == 0)
+    incoming = (clean_fact.where(F.pmod(seq, F.lit(3)) != 1)
                 .withColumn("status", F.lit("REVERSED"))
                 .withColumn("amount", (F.col("amount") + 1).cast("decimal(12,2)")))
     return existing, incoming

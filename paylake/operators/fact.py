@@ -96,7 +96,7 @@ def publish_fact(spark: SparkSession, root: str, incoming: DataFrame) -> int:
     is idempotent apart from ``loaded_at``. With a MERGE-capable table format
     configured, ``MERGE INTO`` replaces this.
     """
-    from paylake.session import materialize
+    from paylake.session import materialize_at, release
 
     cols = [f.name for f in FACT.fields]
     incoming = incoming.select(*cols)
@@ -104,13 +104,16 @@ def publish_fact(spark: SparkSession, root: str, incoming: DataFrame) -> int:
         incoming.write.mode("errorifexists").partitionBy("txn_date").parquet(root)
         return incoming.select("txn_date").distinct().count()
     existing = read_fact(spark, root)
-    dates = materialize(touched_dates(existing, incoming), "touched-dates")
+    dates, dates_path = materialize_at(touched_dates(existing, incoming), "touched-dates")
     current = existing.join(F.broadcast(dates), "txn_date", "left_semi")
     merged = upsert(current.select(*cols), incoming, stamp="loaded_at")
-    staged = materialize(merged, "fact-upsert")
+    staged, staged_path = materialize_at(merged, "fact-upsert")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("txn_date").parquet(root))
-    return dates.count()
+    n = dates.count()
+    for path in (staged_path, dates_path):  # swapped in: the stages are not read again
+        release(spark, path)
+    return n
 
 
 def audit_row(spark: SparkSession, report: DataFrame, run_id: str, partitions_written: int | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.session import materialize
+from paylake.session import materialize_at, release
 
 from paylake.operators import clean as C
 from paylake.operators import enrich as E
@@ -29,6 +29,7 @@ class Transformed:
     classified: DataFrame   # one row per key group, typed, with reject_reason
     clean: DataFrame        # clean, enriched, flagged rows
     funnel: DataFrame       # reject_reason -> rows
+    staged: str | None = None  # folder of the staged de-dup frame, if staged
 
     def report(self) -> DataFrame:
         return quality_report(self.funnel, self.clean)
@@ -44,8 +45,9 @@ def transform(raw: DataFrame, stage: bool = True, split_seconds: int = 86_400) -
     de-duplication shuffle per branch.
     """
     classified = C.classify(raw)
+    staged = None
     if stage:
-        classified = materialize(classified, "classified")
+        classified, staged = materialize_at(classified, "classified")
     rows = C.clean_rows(classified)
     rows = E.enrich(rows)
     # rapid first: its carry aggregate then does not wait for the quantile
@@ -54,7 +56,7 @@ def transform(raw: DataFrame, stage: bool = True, split_seconds: int = 86_400) -
     rows = flag_rapid_succession(rows, split_seconds=split_seconds)
     rows = flag_high_value(rows)
     rows = E.add_total_debit(rows)
-    return Transformed(classified, rows, C.reject_funnel(classified))
+    return Transformed(classified, rows, C.reject_funnel(classified), staged)
 
 
 def clean_frame(raw: DataFrame, stage: bool = True) -> DataFrame:
@@ -81,4 +83,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str) ->
     FT.append_audit(audit, os.path.join(out_dir, "audit"))
     row = report.first().asDict()
     row["partitions_written"] = written
+    # everything derived from the staged de-dup frame is written now
+    if t.staged:
+        release(spark, t.staged)
     return row

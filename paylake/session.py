@@ -52,9 +52,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def materialize(df, name: str):
-    """Write ``df`` as Parquet under the shared checkpoint folder and return a
-    frame that reads it back.
+def _stage_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/paylake/"
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by :func:`materialize_at` (shared storage, via
+    the Hadoop filesystem). Refuses any path outside the staging root. Only
+    for folders no lazy frame will read again."""
+    if not path.startswith(_stage_root(spark)):
+        raise ValueError(f"not a staged folder: {path}")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def materialize_at(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder; return the
+    frame that reads it back and the folder.
 
     Cuts the lineage (a lost executor recomputes from these files, not from
     the source), and later branches read only the columns they need with
@@ -62,9 +77,14 @@ def materialize(df, name: str):
     cannot be pruned.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/paylake/{name}-{uuid.uuid4().hex}"
+    path = f"{_stage_root(spark)}{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df, name: str):
+    """:func:`materialize_at` without the folder."""
+    return materialize_at(df, name)[0]
 
 
 _SHIPPED: set = set()

@@ -86,6 +86,12 @@ def test_run_batch_publishes_versions_and_audit(spark):
     assert all(strip(before[k]) == strip(after[k]) for k in before)
     audit = spark.read.parquet(os.path.join(out, "audit")).collect()
     assert sorted(a.run_id for a in audit) == ["run-1", "run-2"]
+    # the staged de-dup frame of a run is released once the run is written
+    from paylake.session import _stage_root, release
+    import pytest
+    with pytest.raises(ValueError):
+        release(spark, os.path.join(out, "fact"))
+    assert os.path.exists(os.path.join(out, "fact"))
     assert all(FT.issues_dict(a.issues) == {"duplicate_or_null_ids": 0, "invalid_timestamps": 0,
                                             "invalid_amounts": 0} for a in audit)
 

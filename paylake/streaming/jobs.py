@@ -115,27 +115,21 @@ def start_log(events: DataFrame, out: str, ckpt: str, trigger=None) -> Streaming
     return _trigger(w, trigger).start()
 
 
-def start_metrics(events: DataFrame, out: str, ckpt: str, trigger=None) -> list[StreamingQuery]:
-    """Running totals and keyed sums (complete mode). Each micro-batch
-    replaces ``out/totals`` and ``out/by_key`` with the current state, so
-    :func:`read_snapshot` always sees a consistent pair per table."""
-    def sink(name):
-        def write(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(os.path.join(out, name))
-        return write
-
-    qs = []
-    for name, frame in (("totals", MT.metrics_totals(events)), ("by_key", MT.metrics_by_key(events))):
-        w = frame.writeStream.outputMode("complete").foreachBatch(sink(name)) \
-            .option("checkpointLocation", os.path.join(ckpt, name))
-        qs.append(_trigger(w, trigger).start())
-    return qs
+def start_metrics(events: DataFrame, out: str, ckpt: str, trigger=None) -> StreamingQuery:
+    """Running keyed sums (complete mode; state bounded by the key domain).
+    Each micro-batch replaces ``out/by_key`` with the current state, and
+    :func:`read_snapshot` derives the totals and tops from it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(out, "by_key"))
+
+    w = MT.keyed_sums(events).writeStream.outputMode("complete").foreachBatch(write) \
+        .option("checkpointLocation", ckpt)
+    return _trigger(w, trigger).start()
 
 
 def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """The metrics snapshot row from the two tables the metrics job keeps."""
-    return MT.snapshot_from(spark.read.parquet(os.path.join(out, "totals")),
-                            spark.read.parquet(os.path.join(out, "by_key")))
+    """The metrics snapshot row from the keyed table the metrics job keeps."""
+    return MT.snapshot_from(spark.read.parquet(os.path.join(out, "by_key")))
 
 
 def drain(queries) -> None:

@@ -34,36 +34,56 @@ def metrics_totals(events: DataFrame) -> DataFrame:
     )
 
 
-def metrics_by_key(events: DataFrame) -> DataFrame:
-    """``(dimension, key, volume_ghs, transactions)`` for operator, region and
-    type in one aggregation (each event contributes to the three keys)."""
+def keyed_sums(events: DataFrame) -> DataFrame:
+    """Exact running sums per (dimension, key) for operator, region and type,
+    in one aggregation (each event contributes one row to each dimension):
+    volume and fees as decimals, transactions, successful, failed and
+    high-value counts. The operator dimension alone adds up to the totals."""
     dims = F.explode(F.array(
         F.struct(F.lit("operator").alias("dimension"), F.col("operator").alias("key")),
         F.struct(F.lit("region").alias("dimension"), F.col("region").alias("key")),
         F.struct(F.lit("type").alias("dimension"), F.col("transaction_type").alias("key")),
     )).alias("d")
-    return (events.select(dims, _amount().alias("amt"))
+    return (events.select(dims, _amount().alias("amt"), _fee().alias("fee"), "status", "is_high_value")
             .groupBy(F.col("d.dimension").alias("dimension"), F.col("d.key").alias("key"))
-            .agg(F.sum("amt").cast("double").alias("volume_ghs"),
-                 F.count(F.lit(1)).alias("transactions")))
+            .agg(F.sum("amt").alias("volume"), F.sum("fee").alias("fees"),
+                 F.count(F.lit(1)).alias("transactions"),
+                 F.count_if(F.col("status") == "SUCCESS").alias("successful"),
+                 F.count_if(F.col("status") == "FAILED").alias("failed"),
+                 F.count_if(F.coalesce(F.col("is_high_value"), F.lit(False))).alias("high_value_count")))
+
+
+def metrics_by_key(events: DataFrame) -> DataFrame:
+    """``(dimension, key, volume_ghs, transactions)`` for operator, region and type."""
+    return keyed_sums(events).select("dimension", "key", F.col("volume").cast("double").alias("volume_ghs"),
+                                     "transactions")
 
 
-def snapshot_from(totals: DataFrame, by_key: DataFrame) -> DataFrame:
-    """One snapshot row from the totals row and the keyed sums.
+def snapshot_from(keyed: DataFrame) -> DataFrame:
+    """One snapshot row from :func:`keyed_sums`, in a single aggregation over
+    its few rows (no join, no subquery).
 
-    Top operator/region: largest volume, smallest name on ties, ``N/A`` when
-    nothing was seen. Success rate is a one-decimal percentage, 0 when empty.
+    Totals come from the operator dimension. Top operator/region: largest
+    volume, smallest name on ties, ``N/A`` when nothing was seen. Success
+    rate is a one-decimal percentage, 0 when empty.
     """
-    top = (by_key.where(F.col("dimension").isin("operator", "region") & F.col("key").isNotNull())
-           .groupBy("dimension")
-           .agg(F.min_by("key", F.struct(-F.col("volume_ghs"), F.col("key"))).alias("top")))
-    tops = top.agg(
-        F.max(F.when(F.col("dimension") == "operator", F.col("top"))).alias("top_operator"),
-        F.max(F.when(F.col("dimension") == "region", F.col("top"))).alias("top_region"))
+    dim, key = F.col("dimension"), F.col("key")
+
+    def total(c, dtype="long"):
+        return F.coalesce(F.sum(F.when(dim == "operator", F.col(c))), F.lit(0)).cast(dtype)
+
+    def top(d):
+        return F.min_by(key, F.when((dim == d) & key.isNotNull(), F.struct(-F.col("volume"), key)))
+
+    agg = keyed.agg(
+        total("transactions").alias("total_transactions"),
+        total("volume", "double").alias("total_volume_ghs"),
+        total("fees", "double").alias("total_fees_ghs"),
+        total("successful").alias("successful"),
+        total("high_value_count").alias("high_value_count"),
+        top("operator").alias("top_operator"), top("region").alias("top_region"))
     n = F.col("total_transactions")
-    # tops is a single-row aggregate: a struct-valued scalar subquery, no join
-    ts = tops.select(F.struct("top_operator", "top_region").alias("t")).scalar()
-    return totals.select("*", ts.alias("_t")).select("*", "_t.*").select(
+    return agg.select(
         "total_transactions",
         F.round("total_volume_ghs", 2).alias("total_volume_ghs"),
         F.round("total_fees_ghs", 2).alias("total_fees_ghs"),
@@ -76,4 +96,4 @@ def snapshot_from(totals: DataFrame, by_key: DataFrame) -> DataFrame:
 
 
 def metrics_snapshot(events: DataFrame) -> DataFrame:
-    return snapshot_from(metrics_totals(events), metrics_by_key(events))
+    return snapshot_from(keyed_sums(events))

@@ -46,8 +46,8 @@ def test_each_stage_against_brute_force(spark, tmp_path):
     assert len(learned) == 1 and len(learned[0]) == 1
     rule = learned[0][0]
     def rejected(t):
-        n, _, symbols, *_, failed = brute(t)
-        value = {"symbols": symbols / n if n else 0.0}[rule.feature]
+        n, chars, symbols, _, repeats, failed = brute(t)
+        value = {"words": n, "word_length": chars / max(n, 1), "symbols": symbols / max(n, 1), "repeats": repeats / max(n, 1)}[rule.feature]
         return failed or (value > rule.cut) == rule.above
     want = [(d, t) for d, t in plain(docs) if not rejected(t)]
     assert plain(kept) == want

@@ -107,7 +107,7 @@ def test_better_than_the_base_on_held_out_texts(spark):
     rng = random.Random(7)
     rows = [(i, text_of(rng).decode()) for i in range(300)]
     got = pst.score_texts(docs_frame(spark, rows)).filter("held_out").agg({"score": "sum", "base_score": "sum"}).first()
-    assert got["sum(score)"] > 0.9 * got["sum(base_score)"] > got["sum(base_score)"]
+    assert got["sum(score)"] > 0.97 * got["sum(base_score)"] > got["sum(base_score)"]
 
 
 def test_empty_and_nothing_to_learn(spark):

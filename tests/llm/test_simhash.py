@@ -40,7 +40,7 @@ def near_corpus():
         w = rows[i % 8][1].split(" ")
         w[rng.randrange(len(w))] = rng.choice(words)
         rows.append((1000 + i, " ".join(w)))
-    return rows + corpus(4)
+    return rows + [(None if d is None else d + 5000, t) for d, t in corpus(4)]
 
 
 def test_against_brute_force(spark):

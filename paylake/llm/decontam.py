@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import texts_of
+from paylake.llm.common import bounded_batches, texts_of
 from paylake.session import materialize
 
 WINDOW = 10
@@ -148,6 +148,7 @@ def mark(docs: DataFrame, bench: DataFrame, keep: list[str], text_col: str = "te
     """The columns ``keep`` as ``k_<name>``, then ``n_words, n_hit, items`` and, with
     ``cut``, ``clean_text``; one row for each input row. See :func:`decontaminate`."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     items = bench.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
                          F.col(item_text).cast("string").alias("body"))
     pairs = materialize(items.mapInArrow(_windows(window), "win binary, item string").distinct(), "bench-windows")

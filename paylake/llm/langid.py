@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.llm.common import remainder, texts_of
+from paylake.llm.common import bounded_batches, remainder, texts_of
 
 SAMPLE_TEXTS = 48
 SAMPLE_CHARS = 1024
@@ -198,6 +198,7 @@ def identify(docs: DataFrame, sample: list[tuple[str, bytes]], id_col: str = "do
     - null ids and repeated rows are answered like any other row;
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(sample)
     kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     body = F.col(text_col).cast("string")

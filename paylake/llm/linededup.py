@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import NULL_ID, SPACE, texts_of
+from paylake.llm.common import NULL_ID, SPACE, bounded_batches, texts_of
 from paylake.session import materialize
 
 MIN_CHARS = 10
@@ -81,6 +81,7 @@ def mark(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str
          min_docs: int = MIN_DOCS) -> DataFrame:
     """The columns ``keep`` as ``k_<name>`` with what stays of the text, then ``n_lines`` and
     ``n_dropped``; one row for each input row. See :func:`dedup_lines`."""
+    bounded_batches(docs.sparkSession)
     keep = list(dict.fromkeys([*keep, text_col]))
     rows = docs.select(*[(F.col(c).cast("string") if c == text_col else F.col(c)).alias("k_" + c) for c in keep],
                        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"))

@@ -22,7 +22,7 @@ from bisect import bisect_left, insort
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import NULL_ID, texts_of
+from paylake.llm.common import NULL_ID, bounded_batches, texts_of
 from paylake.session import materialize
 
 CAPACITY = 2048
@@ -110,6 +110,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     - repeated rows are copies of each other, hence in different bins;
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("body"))
     pieces = materialize(rows.mapInArrow(

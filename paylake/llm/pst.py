@@ -27,7 +27,7 @@ from itertools import repeat
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import remainder, texts_of
+from paylake.llm.common import bounded_batches, remainder, texts_of
 from paylake.session import materialize
 
 DEPTH = 3
@@ -273,6 +273,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     - if nothing teaches, N and V are 0 and every probability is 1;
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     held_out = remainder(F.col(id_col), held_out_mod) == held_out_rest
     body = F.col(text_col).cast("string").alias("body")
     counts, model = learn(docs.filter(~held_out).select(body), depth)

@@ -26,7 +26,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import NULL_ID, texts_of
+from paylake.llm.common import NULL_ID, bounded_batches, texts_of
 from paylake.session import materialize, materialize_at, release
 
 SHINGLE = 3
@@ -245,6 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - a null id sorts after every other; its component is null only if no other id is reached;
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).cast("string").alias("body"))
     fps = materialize(rows.mapInArrow(_fingerprints(shingle), "id long, fp long"), "fingerprints")
     reps = materialize(fps.groupBy("fp").agg(F.min("id").alias("rep")), "fingerprint-reps")

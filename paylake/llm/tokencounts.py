@@ -16,7 +16,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paylake.llm.common import texts_of
+from paylake.llm.common import bounded_batches, texts_of
 from paylake.session import materialize
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -71,6 +71,7 @@ def length_histogram(docs: DataFrame, ranks: dict[bytes, int], text_col: str = "
     """``(length, n_docs)``: how many documents have each encoded length. Null and
     empty texts have length 0; every row counts, repeated ones too; an empty table
     gives no rows. Strings of special tokens in a text are ordinary text."""
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(ranks)
     rows = docs.select(F.col(text_col).cast("string").alias("body"))
     return (rows.mapInArrow(_lengths(held), "length long, n_docs long")

@@ -42,14 +42,15 @@ def _hashes(min_chars: int):
         import pyarrow as pa
 
         for b in batches:
-            ids, hashes = [], []
-            for d, t in zip(b.column(0).to_pylist(), texts_of(b, 1)):
+            ids, bodies, hashes = [], [], []
+            for d, h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b, 2)):
                 if t:
                     found = sorted({line_hash(x, min_chars) for x in t.split(b"\n")} - {None})
                     hashes += found
                     ids += [d] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary()), pa.array(ids, pa.int64())],
-                                             names=["line_hash", "id"])
+                    bodies += [h] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary()), pa.array(ids, pa.int64()), pa.array(bodies, pa.int64())],
+                                             names=["line_hash", "id", "body"])
     return run
 
 
@@ -84,13 +85,17 @@ def mark(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str
     bounded_batches(docs.sparkSession)
     keep = list(dict.fromkeys([*keep, text_col]))
     rows = docs.select(*[(F.col(c).cast("string") if c == text_col else F.col(c)).alias("k_" + c) for c in keep],
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"))
-    keys = materialize(rows.select("id", "k_" + text_col).mapInArrow(_hashes(min_chars), "line_hash binary, id long"), "line-hashes")
-    shared = (keys.groupBy("line_hash").agg(F.count_distinct("id").alias("n"), F.min("id").alias("first"))
-              .filter(F.col("n") >= min_docs).select("line_hash", "first"))
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("body"))
+    keys = materialize(rows.select("id", "body", "k_" + text_col)
+                       .mapInArrow(_hashes(min_chars), "line_hash binary, id long, body long"), "line-hashes")
+    # Written out, so that the join below has a shuffle on both sides and AQE may split a hot line.
+    shared = materialize(keys.groupBy("line_hash").agg(F.count_distinct("id").alias("n"), F.min("id").alias("first"))
+                         .filter(F.col("n") >= min_docs).select("line_hash", "first"), "shared-lines")
+    # By id and text, so that rows with one (or no) id don't gather all their lines in one place.
     gone = (keys.join(shared, "line_hash").filter(F.col("id") != F.col("first"))
-            .groupBy("id").agg(F.collect_set("line_hash").alias("gone")))
-    rows = rows.join(gone, "id", "left").drop("id")
+            .groupBy("id", "body").agg(F.collect_set("line_hash").alias("gone")))
+    rows = rows.join(gone, ["id", "body"], "left").drop("id", "body")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("gone").schema)
     return rows.mapInArrow(_reassemble(min_chars, keep.index(text_col)), f"{kinds}, n_lines long, n_dropped long")
 

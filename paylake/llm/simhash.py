@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylake.llm.common import NULL_ID, bounded_batches, texts_of
@@ -59,9 +59,10 @@ def _fingerprints(shingle: int):
         import pyarrow as pa
 
         for b in batches:
-            fps = [simhash((t or b"").lower().split(), shingle) for t in texts_of(b, 1)]
+            fps = [simhash((t or b"").lower().split(), shingle) for t in texts_of(b, 2)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([f - (1 << 64) if f >> 63 else f for f in fps], pa.int64())], names=["id", "fp"])
+                [b.column(0), b.column(1), pa.array([f - (1 << 64) if f >> 63 else f for f in fps], pa.int64())],
+                names=["id", "body", "fp"])
     return run
 
 
@@ -195,7 +196,8 @@ def link_edges(reps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataF
     part = [F.shiftrightunsigned("fp", cuts[k]).bitwiseAND(F.lit((1 << (cuts[k + 1] - cuts[k])) - 1)) for k in range(blocks)]
     shards = F.array(*[F.xxhash64(F.lit(k), *[part[x] for x in chosen]) for k, chosen in enumerate(combinations(range(blocks), same))])
     members = reps.select("fp", "rep", F.explode(shards).alias("shard"))
-    sizes = members.groupBy("shard").count().filter(F.col("count") > 1)
+    # Written out, so that the join has a shuffle on both sides and AQE may split a hot shard.
+    sizes = materialize(members.groupBy("shard").count().filter(F.col("count") > 1), "shard-sizes")
     tiles = F.ceil(F.col("count") / tile).cast("int")
     pairs = members.join(sizes, "shard").withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
     pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -212,6 +214,8 @@ def components(edges: DataFrame) -> DataFrame:
         # Large: what is larger than u goes to u's smallest neighbour; small: u and what is smaller does.
         both = e if small else e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least, folder = materialize_at(least, "least")  # as above: a hub's links may be split
+        used.append(folder)
         out = both.join(least, "a")
         if small:
             out = out.select(F.col("b").alias("x"), "m").unionByName(least.select(F.col("a").alias("x"), "m"))
@@ -222,12 +226,15 @@ def components(edges: DataFrame) -> DataFrame:
     def sum_up(e: DataFrame):
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
+    used: list[str] = []
     e, path = materialize_at(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "edges")
     seen = sum_up(e)
     while seen[0]:
         e2, path2 = materialize_at(star(star(e, False), True), "edges")
         now = sum_up(e2)
-        release(e.sparkSession, path)
+        for old in (path, *used):
+            release(e.sparkSession, old)
+        used.clear()
         e, path = e2, path2
         if now == seen:
             break
@@ -235,6 +242,20 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def classify(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, body, fp)`` of every row (``body``: a hash of the text), and ``(fp, component,
+    first)``: each fingerprint's component, named by one of its fingerprints, and the
+    smallest id in it. Nodes are fingerprints, since ids may be missing or repeated."""
+    bounded_batches(docs.sparkSession)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("body"), text.alias("text"))
+    fps = materialize(rows.mapInArrow(_fingerprints(shingle), "id long, body long, fp long"), "fingerprints")
+    reps = materialize(fps.groupBy("fp").agg(F.min("id").alias("id")), "fingerprint-ids")
+    found = components(link_edges(reps.select("fp", F.col("fp").alias("rep")), radius))
+    of = materialize(reps.join(found, reps.fp == found.node, "left").select("fp", "id", F.coalesce("component", "fp").alias("component")), "fingerprint-components")
+    return fps, of.join(of.groupBy("component").agg(F.min("id").alias("first")), "component").select("fp", "component", "first")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
     """Rows ``(<id_col>, fp, component_id)``, one for each input row: the fingerprint
@@ -245,24 +266,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - a null id sorts after every other; its component is null only if no other id is reached;
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """
-    bounded_batches(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).cast("string").alias("body"))
-    fps = materialize(rows.mapInArrow(_fingerprints(shingle), "id long, fp long"), "fingerprints")
-    reps = materialize(fps.groupBy("fp").agg(F.min("id").alias("rep")), "fingerprint-reps")
-    found = components(link_edges(reps, radius))
-    classes = reps.join(found, reps.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component"))
+    fps, classes = classify(docs, id_col, text_col, shingle, radius)
     return fps.join(classes, "fp").select(F.nullif("id", F.lit(NULL_ID)).alias(id_col), "fp",
-                                          F.nullif("component", F.lit(NULL_ID)).alias("component_id"))
+                                          F.nullif("first", F.lit(NULL_ID)).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` (all columns) without near-duplicates: of each component
-    the document of the smallest id, once (of repeated rows, the smallest text hash)."""
-    from pyspark.sql import Window
-
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    stay = (found.select(F.coalesce(id_col, F.lit(NULL_ID)).alias("l_id"), F.coalesce("component_id", F.lit(NULL_ID)).alias("l_first"))
-            .filter("l_id = l_first").select("l_id").distinct())
-    rows = docs.withColumn("l_id", F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))).join(stay, "l_id", "left_semi")
-    first = Window.partitionBy("l_id").orderBy(F.xxhash64(F.col(text_col)))
-    return rows.withColumn("l_row", F.row_number().over(first)).filter("l_row = 1").select(*docs.columns)
+    """The rows of ``docs`` (all columns, whatever their names) without near-duplicates:
+    of each component the document of the smallest id, once. A null id sorts after
+    every other; of rows with that same id the one of the smallest text hash stays."""
+    fps, classes = classify(docs, id_col, text_col, shingle, radius)
+    stay = fps.join(classes, "fp").groupBy("component").agg(F.min(F.struct("id", "body")).alias("first")).select("first.*").distinct()
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("body"))
+    copies = Window.partitionBy("id", "body").orderBy("id")  # all alike
+    return (rows.join(stay, ["id", "body"], "left_semi").withColumn("copy", F.row_number().over(copies))
+            .filter("copy = 1").select("row.*"))

@@ -61,3 +61,14 @@ def test_query_digest(spark):
     row = op6_linededup(spark, "/root/testdata/sf0.001").filter("n_dropped = 0").first()
     doc = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter(f"doc_id = {row.doc_id}").first()
     assert row.kept_sha256 == hashlib.sha256(doc.text.encode()).hexdigest()
+
+
+def test_missing_ids_are_one_document(spark):
+    shared, rows = "a shared line of some length", []
+    for k in range(5):
+        rows.append((None, f"{shared}\nanother line {k} of this one"))
+    rows.append((8, shared))
+    got = sorted((r.doc_id, r.n_dropped) for r in linededup.dedup_lines(docs_frame(spark, rows)).collect() if r.doc_id is not None)
+    assert got == [(8, 0)]
+    assert [r.n_dropped for r in linededup.dedup_lines(docs_frame(spark, rows)).collect() if r.doc_id is None] == [1] * 5
+    assert brute(rows) == sorted([(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in linededup.dedup_lines(docs_frame(spark, rows)).collect()], key=str)

@@ -110,3 +110,17 @@ def test_keep_one(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(docs_frame(spark, [])).count() == 0
+
+
+def test_missing_and_repeated_ids_lose_no_document(spark):
+    rng = random.Random(2)
+    words = [f"v{i}" for i in range(300)]
+    texts = [random_text(rng, words, 100) for _ in range(6)]
+    rows = [(None, t) for t in texts[:4]] + [(None, texts[0]), (7, texts[4]), (7, texts[5]), (3, texts[1])]
+    df = docs_frame(spark, rows, ["row", "id", "body", "copy", "l_id"])
+    out = simhash.keep_one(df)
+    assert out.columns == df.columns and {r.l_id for r in out.collect()} == {"x"}
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(None, texts[0]), (None, texts[2]), (None, texts[3]), (7, texts[4]), (7, texts[5]), (3, texts[1])], key=str)
+    got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(df).collect()}
+    assert got == {(None, None), (None, 3), (7, 7), (3, 3)}

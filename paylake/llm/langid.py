@@ -26,6 +26,8 @@ from paylake.llm.common import bounded_batches, remainder, texts_of
 SAMPLE_TEXTS = 48
 SAMPLE_CHARS = 1024
 PIECE = 1024
+#: Times the sample that is looked at to find it.
+OVER = 8
 #: Bytes that move through the automata at once.
 BATCH_BYTES = 8 << 20
 UNKNOWN = "und"
@@ -49,10 +51,18 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", texts
     each language."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("body"))
     rows = rows.filter(F.col("lang").isNotNull() & has_letter(F.col("body")))
-    picked = (rows.groupBy("lang", F.xxhash64("body").alias("h")).agg(F.count("*").alias("n"))
-              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("rank") <= texts))
-    sample = (rows.withColumn("h", F.xxhash64("body")).join(picked.select("lang", "h"), ["lang", "h"])
-              .groupBy("lang", "h").agg(F.min(F.substring(normalised(F.col("body")), 1, chars)).alias("body")).collect())
+    rows = rows.withColumn("h", F.xxhash64("body"))
+    # Hashes are evenly spread, so about OVER * texts distinct ones lie below this share of
+    # their range; what is ranked doesn't grow with the corpus, and no text is shuffled.
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    below = [(r.lang, min((1 << 63) - 1, int(OVER * texts / max(1, r.n) * (1 << 64)) - (1 << 63))) for r in sizes]
+    if not below:
+        return []
+    below = rows.sparkSession.createDataFrame(below, "lang string, below long")  # a row for each language
+    few = (rows.join(F.broadcast(below), "lang").filter(F.col("h") <= F.col("below"))
+           .groupBy("lang", "h").agg(F.min(F.substring(normalised(F.col("body")), 1, chars)).alias("body")))
+    sample = (few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+              .filter(F.col("rank") <= texts).select("lang", "h", "body").collect())
     by: dict[str, list[bytes]] = {}
     for r in sorted(sample, key=lambda r: (r.lang, r.h)):
         by.setdefault(r.lang, []).append(r.body.encode())

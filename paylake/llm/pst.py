@@ -16,7 +16,8 @@ Scale: words are counted over all training texts by a shuffle with map-side coun
 so are the sequences of each length, of which only those can be frequent whose two shorter
 parts are. At most ``1 / RARE`` sequences of a length are that frequent, and at most
 ``1 / HOT`` words exceed ``HOT * N``: that bounds what is broadcast, whatever the
-corpus. The other words of each text get their counts from a distributed join.
+corpus. The texts are written once as those words' numbers, which all later passes read;
+their other words get their counts from a distributed join.
 """
 
 from __future__ import annotations
@@ -35,8 +36,7 @@ RARE = 2.0 ** -18
 HOT = 2.0 ** -20
 LEAST = 8
 DISCOUNT = 0.5
-#: Tokens that a task works on at once, and sequences or words that it counts before passing counts on.
-CHUNK = 400_000
+#: Sequences and words that a task counts before it passes the counts on.
 KEYS = 4_000_000
 WORDS = 400_000
 #: The end of a text, as a word (no word is empty).
@@ -84,6 +84,7 @@ class Model:
         self.la: dict[int, object] = {}
         self.retained: dict[int, object] = {}
         self.index = None
+        self.end_id = None
 
     def ids(self, words: list[bytes]):
         import numpy as np
@@ -95,6 +96,12 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"index": None}
 
+    def without_words(self) -> "Model":
+        """The same without the words' texts: what passes over numbers need."""
+        self.end_id = self.end
+        self.words, self.index = [], {}
+        return self
+
     def levels(self, ids, depth: int):
         """Numbers of the frequent sequences of 1 to ``depth`` words that end at each token (-1: none)."""
         import numpy as np
@@ -121,9 +128,10 @@ class Model:
 
     @property
     def end(self) -> int:
-        if self.index is None:
+        if self.end_id is None:
             self.ids([])
-        return self.index.get(END, -2)
+            self.end_id = self.index.get(END, -2)
+        return self.end_id
 
     def add_level(self, m: int, keys, counts) -> None:
         import numpy as np
@@ -176,18 +184,40 @@ class Model:
         return base, now - base
 
 
-def _chunks(batches, column: int):
-    """Runs of whole texts with about CHUNK tokens: (batch, first row, token lists)."""
-    for b in batches:
-        held, size, first = [], 0, 0
-        for k, t in enumerate(texts_of(b, column)):
-            held.append(tokens(t))
-            size += len(held[-1])
-            if size >= CHUNK:
-                yield b, first, held
-                held, size, first = [], 0, k + 1
-        if held:
-            yield b, first, held
+def _encode(held):
+    """Texts to word numbers, once: every later pass reads the numbers. The words
+    without one are kept as they are."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        model, row = held.value, TaskContext.get().partitionId() << 36
+        for b in batches:
+            docs = [tokens(t) for t in texts_of(b, 2)]
+            if not docs:
+                continue
+            flat = [w for words in docs for w in words]
+            ids = model.ids(flat)
+            starts = np.cumsum([0, *map(len, docs)])
+            known = np.add.reduceat((ids >= 0).astype(np.int64), starts[:-1])
+            cold = [flat[k] for k in np.flatnonzero(ids < 0).tolist()]
+            cuts = np.concatenate([[0], np.cumsum(np.diff(starts) - known)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(row, row + len(docs))), b.column(0), b.column(1),
+                 pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(cold, pa.binary()))],
+                names=["row", "id", "held_out", "ids", "cold"])
+            row += len(docs)
+    return run
+
+
+def _numbers(column):
+    """The numbers of a batch's texts in one array, and where each text starts."""
+    import numpy as np
+
+    offsets = column.offsets.to_numpy()
+    return column.values.to_numpy()[offsets[0]:offsets[-1]].astype(np.int64), offsets - offsets[0]
 
 
 def _count_sequences(held, m: int):
@@ -202,8 +232,8 @@ def _count_sequences(held, m: int):
                                                  names=["key", "n"])
 
         model, keys, size = held.value, [], 0
-        for _, _, docs in _chunks(batches, 0):
-            ids = model.ids([w for words in docs for w in words])
+        for b in batches:
+            ids, _ = _numbers(b.column(0))
             key, ok = model.candidates(ids, model.levels(ids, m - 1)[m - 1])
             keys.append(key[ok])
             size += len(keys[-1])
@@ -219,46 +249,43 @@ def _score(held, depth: int):
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        model, row = held.value, TaskContext.get().partitionId() << 36
-        for b, first, docs in _chunks(batches, 2):
-            flat = [w for words in docs for w in words]
-            ids = model.ids(flat)
+        model = held.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids, starts = _numbers(b.column(3))
             base, extra = model.score(ids, depth)
-            starts = np.cumsum([0, *(len(w) for w in docs)])
-            cold = [flat[k] for k in np.flatnonzero(ids < 0).tolist()]
-            known = np.add.reduceat((ids >= 0).astype(np.int64), starts[:-1])
-            offsets = np.concatenate([[0], np.cumsum(np.diff(starts) - known)]).astype(np.int32)
-            n = len(docs)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + n)), b.column(0).slice(first, n), b.column(1).slice(first, n),
-                 pa.array(np.diff(starts).astype(np.int64)), pa.array(known),
-                 pa.array(np.add.reduceat(base, starts[:-1])), pa.array(np.add.reduceat(extra, starts[:-1])),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(cold, pa.binary()))],
-                names=["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "extra", "cold"])
-            row += n
+            sums = [np.add.reduceat(x, starts[:-1]) for x in ((ids >= 0).astype(np.int64), base, extra)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.diff(starts).astype(np.int64)), *map(pa.array, sums)],
+                                             names=["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "extra"])
     return run
 
 
-def learn(texts: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model]:
-    """All words' counts (a table ``word, c``) and the tree, from the column ``body`` of the training rows."""
+def learn(rows: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, "Model"]:
+    """From ``rows (id, held_out, body)``: all training words' counts (a table ``word, c``),
+    the rows in word numbers, and the tree."""
     import numpy as np
 
-    sc = texts.sparkSession.sparkContext
-    counts = materialize(texts.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
+    sc = rows.sparkSession.sparkContext
+    train = rows.filter(~F.col("held_out")).select("body")
+    counts = materialize(train.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     hot = counts.filter(F.col("c") >= HOT * total).toArrow()
     order = sorted(zip(hot.column("c").to_pylist(), hot.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
     model = Model([w for _, w in order], np.array([c for c, _ in order], np.float64), total, distinct)
+    kind = rows.schema["id"].dataType.simpleString()
+    encoded = materialize(rows.mapInArrow(
+        _encode(sc.broadcast(model)), f"row long, id {kind}, held_out boolean, ids array<int>, cold array<binary>"), "encoded")
+    model = model.without_words()
     for m in range(2, depth + 2):
         held = sc.broadcast(model)
-        found = (texts.mapInArrow(_count_sequences(held, m), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-                 .filter(F.col("n") >= model.least).toArrow())
+        found = (encoded.filter(~F.col("held_out")).select("ids").mapInArrow(_count_sequences(held, m), "key long, n long")
+                 .groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= model.least).toArrow())
         model.add_level(m, found.column("key").to_numpy(), found.column("n").to_numpy())
         held.unpersist()
     model.grow(depth)
-    return counts, model
+    return counts, encoded, model
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_mod: int = 7,
@@ -275,19 +302,17 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     bounded_batches(docs.sparkSession)
     held_out = remainder(F.col(id_col), held_out_mod) == held_out_rest
-    body = F.col(text_col).cast("string").alias("body")
-    counts, model = learn(docs.filter(~held_out).select(body), depth)
+    rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("body"))
+    counts, encoded, model = learn(rows, depth)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), body)
-    scored = materialize(rows.mapInArrow(
-        _score(held, depth), f"row long, id {kind}, held_out boolean, n_tokens long, hot_known long, hot_base double, "
-                             "extra double, cold array<binary>"), "scored")
+    kind = rows.schema["id"].dataType.simpleString()
+    scored = encoded.select("row", "id", "held_out", "ids").mapInArrow(
+        _score(held, depth), f"row long, id {kind}, held_out boolean, n_tokens long, hot_known long, hot_base double, extra double")
     room = F.lit(float(model.total + model.distinct + 1))
-    cold = (scored.select("row", F.explode("cold").alias("word")).join(counts, "word", "left")
+    cold = (encoded.select("row", F.explode("cold").alias("word")).join(counts, "word", "left")
             .groupBy("row").agg(F.sum(F.log10((F.coalesce("c", F.lit(0)) + 1) / room)).alias("cold_base"),
                                 F.count("c").alias("cold_known")))
-    out = scored.drop("cold").join(cold, "row", "left")
+    out = scored.join(cold, "row", "left")
     base = F.col("hot_base") + F.coalesce("cold_base", F.lit(0.0))
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens",
                       (F.col("hot_known") + F.coalesce("cold_known", F.lit(0))).alias("n_known"),

@@ -31,6 +31,13 @@ def parse_timestamp(c: Column, fmt: str = TIMESTAMP_FORMAT) -> Column:
     return F.when(c.rlike(_DEFAULT_TS), ts)
 
 
+def parse_iso_timestamp(c: Column) -> Column:
+    """ISO text (``yyyy-MM-ddTHH:mm:ss`` with an optional fraction) -> ``timestamp_ntz``;
+    anything else -> null. No time zone is involved."""
+    spaced = F.concat(F.substring(c, 1, 10), F.lit(" "), F.substring(c, 12, 1 << 30))
+    return F.when(F.substring(c, 11, 1) == "T", parse_timestamp(spaced))
+
+
 def parse_decimal(c: Column, precision: int = 12, scale: int = 2) -> Column:
     """Text -> decimal; ``N/A``, ``NaN``, ``inf``, ``1.5d`` and overflow -> null.
 

@@ -5,6 +5,10 @@ of the sender in arrival order via the skew-aware previous-value
 operator). Stream: :func:`stream_gaps` keeps the sender's last event time
 as keyed state (``transformWithStateInPandas``), then the same stateless
 signal expressions build the alerts.
+
+Every event is judged: one without a sender, or with a time that can't be read,
+has no gap and leaves the state as it is, but its other signals count. A gap is
+the time since the sender's last event whose time could be read.
 """
 
 from __future__ import annotations
@@ -21,12 +25,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from paylake.functions.calendar import epoch_micros
+from paylake.functions.parse import parse_iso_timestamp
 from paylake.functions.text import money_text, plain_fixed
 from paylake.operators.sequence import previous_value
 from paylake.schemas import (LIVE_FAILED_HIGH_GHS, LIVE_RAPID_GAP_SECONDS, PARTITION_COUNT)
 
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
-
 # The stateful processors below run in Python workers (and in a driver-side
 # pre-init runner) that may not have this package on their path: serialize
 # this module's classes by value instead of by import reference.
@@ -46,11 +49,9 @@ def partition_slice(events: DataFrame, partition: int | None = None) -> DataFram
 
 
 def event_time(events: DataFrame) -> DataFrame:
-    """Parse the ISO ``timestamp`` text into ``event_ts`` (a timestamp, for
-    watermarks) and ``event_us`` (wall-clock micros, for gaps: a naive ISO
-    time difference does not depend on a time zone)."""
-    ts = F.try_to_timestamp(F.col("timestamp"), F.lit(ISO_FORMAT))
-    return events.withColumn("event_ts", ts).withColumn("event_us", epoch_micros(ts))
+    """``event_us``: the ISO ``timestamp`` text as wall-clock micros (null if it can't be
+    read; a naive ISO time difference does not depend on a time zone)."""
+    return events.withColumn("event_us", epoch_micros(parse_iso_timestamp(F.col("timestamp"))))
 
 
 def alert_texts(amount: Column, status: Column, is_high_value: Column, gap_sec: Column) -> Column:
@@ -75,12 +76,12 @@ def _alerts(df: DataFrame) -> DataFrame:
 
 
 def gaps(events: DataFrame, split_offsets: int = 1_000_000) -> DataFrame:
-    """``gap_sec`` = seconds since the sender's previous event in arrival
-    (offset) order; negative for an event older than its predecessor."""
-    ev = event_time(events)
+    """``gap_sec`` = seconds since the sender's previous event with a readable time, in
+    arrival (offset) order; negative for an event older than its predecessor."""
+    ev = event_time(events).withColumn("_sender", F.when(F.col("event_us").isNotNull(), F.col("sender_msisdn")))
     bucket = F.floor(F.col("offset") / F.lit(split_offsets))
-    out = previous_value(ev, "sender_msisdn", ["offset"], "event_us", "_prev_us", bucket)
-    return out.withColumn("gap_sec", (F.col("event_us") - F.col("_prev_us")) / 1e6).drop("_prev_us")
+    out = previous_value(ev, "_sender", ["offset"], "event_us", "_prev_us", bucket)
+    return out.withColumn("gap_sec", (F.col("event_us") - F.col("_prev_us")) / 1e6).drop("_prev_us", "_sender")
 
 
 def fraud_alerts(events: DataFrame, partition: int | None = None,
@@ -104,71 +105,64 @@ GAP_FIELDS = T.StructType([
 ])
 
 
+#: Events that can't have a gap are dealt over so many keys, which hold no state.
+STATELESS_KEYS = 1 << 16
+#: How long ``bounded`` keeps an idle sender's state, by the clock of the cluster.
+STATE_TTL_MS = 3_600_000
+
+
 class LastSeenProcessor(StatefulProcessor):
     """Per sender: the last event time (epoch micros, a plain ``long`` so it
-    survives state restore unchanged). No eviction: arrival-order semantics
-    keep every sender's last time, like the original consumer."""
+    survives state restore unchanged). Without ``ttl_ms`` every sender's last
+    time is kept, like the original consumer does; with it a sender's state goes once
+    it has been idle for so long (processing time), which drops no event."""
+
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = T.StructType([T.StructField("us", T.LongType(), True)])
-        self.last = handle.getValueState("last_us", schema)
+        self.last = handle.getValueState("last_us", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("offset", kind="stable")
-        us = pdf["event_us"].to_numpy(dtype="int64")
-        prev = np.empty(len(us), dtype="float64")
-        prior = self.last.get() if self.last.exists() else None
-        prev[0] = np.nan if prior is None or prior[0] is None else float(prior[0])
-        prev[1:] = us[:-1]
-        pdf["gap_sec"] = (us - prev) / 1e6
-        self.last.update((int(us[-1]),))
+        # A micro-batch's rows of one sender; the source's rate limit bounds them.
+        pdf = pd.concat(list(rows), ignore_index=True)
+        if not pdf["timed"].iloc[0]:
+            pdf["gap_sec"] = np.nan
+        else:
+            pdf = pdf.sort_values("offset", kind="stable")
+            us = pdf["event_us"].to_numpy(dtype="int64")
+            prev = np.empty(len(us), dtype="float64")
+            prior = self.last.get() if self.last.exists() else None
+            prev[0] = np.nan if prior is None or prior[0] is None else float(prior[0])
+            prev[1:] = us[:-1]
+            pdf["gap_sec"] = (us - prev) / 1e6
+            self.last.update((int(us[-1]),))
         yield pdf[[f.name for f in GAP_FIELDS.fields]]
 
     def close(self) -> None:
         pass
 
 
-class ExpiringLastSeenProcessor(LastSeenProcessor):
-    """Event-time variant: after each batch a timer at ``last + 10 s`` is
-    set; when the watermark passes it the sender's state is dropped. A gap
-    above 10 s never alerts, so alerts of in-order events are unchanged,
-    while state holds only senders active within watermark + 10 s. Events
-    older than the watermark are dropped by the engine."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.handle = handle
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for t in self.handle.listTimers():
-            self.handle.deleteTimer(t)
-        out = list(super().handleInputRows(key, rows, timerValues))
-        last_us = self.last.get()[0]
-        self.handle.registerTimer(last_us // 1000 + LIVE_RAPID_GAP_SECONDS * 1000)
-        yield from out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        yield from ()
-
+def stream_gaps(events: DataFrame, mode: str = "parity", ttl_ms: int = STATE_TTL_MS) -> DataFrame:
+    """Streaming ``gap_sec`` for every event (keyed state per sender), in arrival order.
 
-def stream_gaps(events: DataFrame, mode: str = "parity", watermark: str = "10 seconds") -> DataFrame:
-    """Streaming ``gap_sec`` per event (keyed state per sender).
-
-    ``parity``: arrival order, state kept for every sender seen (a late
-    event gets a negative gap). ``bounded``: event-time watermark plus an
-    expiry timer per sender (see :class:`ExpiringLastSeenProcessor`).
+    ``parity``: state is kept for every sender seen (a late event gets a
+    negative gap). ``bounded``: an idle sender's state expires after ``ttl_ms``;
+    a sender's next event then has no gap, like a first one.
     """
-    ev = event_time(events).where(F.col("sender_msisdn").isNotNull())
-    cols = [f.name for f in GAP_FIELDS.fields if f.name != "gap_sec"] + ["event_us"]
-    if mode == "parity":
-        return (ev.select(*cols).groupBy("sender_msisdn")
-                .transformWithStateInPandas(LastSeenProcessor(), GAP_FIELDS, "Append", "None"))
-    if mode != "bounded":
+    if mode not in ("parity", "bounded"):
         raise ValueError(f"unknown mode {mode!r}")
-    ev = ev.withWatermark("event_ts", watermark).select(*cols, "event_ts")
-    return (ev.groupBy("sender_msisdn")
-            .transformWithStateInPandas(ExpiringLastSeenProcessor(), GAP_FIELDS, "Append", "EventTime"))
+    timed = F.col("sender_msisdn").isNotNull() & F.col("event_us").isNotNull()
+    other = F.concat(F.lit("-"), F.pmod(F.xxhash64("offset", "transaction_id"), F.lit(STATELESS_KEYS)).cast("string"))
+    ev = (event_time(events).withColumn("timed", timed)
+          .withColumn("state_key", F.when(F.col("timed"), F.concat(F.lit("+"), F.col("sender_msisdn"))).otherwise(other))
+          .withColumn("event_us", F.coalesce("event_us", F.lit(0))))
+    cols = [f.name for f in GAP_FIELDS.fields if f.name != "gap_sec"]
+    keyed = ev.select(*cols, "event_us", "timed", "state_key").groupBy("state_key")
+    if mode == "parity":
+        return keyed.transformWithStateInPandas(LastSeenProcessor(), GAP_FIELDS, "Append", "None")
+    return keyed.transformWithStateInPandas(LastSeenProcessor(ttl_ms), GAP_FIELDS, "Append", "ProcessingTime")
 
 
 def stream_alerts(events: DataFrame, mode: str = "parity") -> DataFrame:

@@ -15,54 +15,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paylake.schemas import EVENT
-from paylake.session import checkpoint_dir, ensure_streaming_conf
+from paylake.session import ensure_streaming_conf, stage_root
 from paylake.streaming import fraud as FR
 from paylake.streaming import metrics as MT
 
 DEFAULT_TRIGGER = {"availableNow": True}
+#: Input of one micro-batch by default; what is over it comes in the next ones.
+BYTES_PER_BATCH = 1 << 30
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
+    """A fresh folder in the application's part of the shared checkpoint folder."""
     import uuid
-    return f"{checkpoint_dir(spark).rstrip('/')}/paylake/{name}-{uuid.uuid4().hex}"
-
-
-def offset_ranges(events: DataFrame, parts: int) -> list[DataFrame]:
-    """``events`` split into ``parts`` consecutive offset ranges (only the
-    min and max offset reach the driver)."""
-    bounds = events.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
-        return []
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    step = max(1, (hi - lo + parts) // parts)
-    return [events.where((F.col("offset") >= lo + i * step) & (F.col("offset") < lo + (i + 1) * step))
-            for i in range(parts)]
-
-
-def replay_in_order(events: DataFrame, path: str, parts: int, drain_once) -> None:
-    """Feed ``events`` to a file source at ``path`` the way a live topic
-    fills: append one offset range (written in parallel, many files), then
-    call ``drain_once()`` to run the stream until it has caught up, and so
-    on. Each range becomes a micro-batch of its own, in offset order, and
-    every run after the first restarts from the query's checkpoint."""
-    for part in offset_ranges(events, parts):
-        part.sortWithinPartitions("offset").write.mode("append").parquet(path)
-        drain_once()
+    return f"{stage_root(spark)}{name}-{uuid.uuid4().hex}"
 
 
 def read_events(spark: SparkSession, path: str, files_per_batch: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
     """Streaming event source over files (typed schema, no inference).
 
-    ``files_per_batch`` caps the files per micro-batch (default: all new
-    files). For a Kafka topic see :func:`read_kafka_events`; the downstream
+    A micro-batch takes ``BYTES_PER_BATCH`` of new files at most (or
+    ``files_per_batch`` files), so that its size does not follow the backlog; all
+    files are drained, over as many batches as it takes. For a Kafka topic see :func:`read_kafka_events`; the downstream
     jobs are the same.
     """
     ensure_streaming_conf(spark)
     r = spark.readStream.schema(EVENT)
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        r = r.option("maxBytesPerTrigger", BYTES_PER_BATCH)
     return r.format(fmt).load(path)
 
 
@@ -80,12 +62,20 @@ def read_kafka_events(spark: SparkSession, servers: str, topic: str, **options)
     return raw.select(F.from_json(F.col("value").cast("string"), EVENT).alias("e")).select("e.*")
 
 
+def _live_only(mode: str, trigger) -> None:
+    """A state with a time to live makes the engine run batches for ever, so that a query
+    that is to drain its input and stop would never stop."""
+    if mode == "bounded" and "processingTime" not in (trigger or DEFAULT_TRIGGER):
+        raise ValueError("bounded state needs a periodic trigger, such as {'processingTime': '10 seconds'}")
+
+
 def _trigger(w, trigger):
     return w.trigger(**(trigger or DEFAULT_TRIGGER))
 
 
 def start_alerts(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity") -> StreamingQuery:
     """Fraud alerts appended to Parquet (exactly once via the checkpoint)."""
+    _live_only(mode, trigger)
     w = FR.stream_alerts(events, mode).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
     return _trigger(w, trigger).start()
@@ -93,6 +83,7 @@ def start_alerts(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str
 
 def start_gaps(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity") -> StreamingQuery:
     """Per-event gap since the sender's previous event (keyed state)."""
+    _live_only(mode, trigger)
     w = FR.stream_gaps(events, mode).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
     return _trigger(w, trigger).start()
@@ -116,20 +107,30 @@ def start_log(events: DataFrame, out: str, ckpt: str, trigger=None) -> Streaming
 
 
 def start_metrics(events: DataFrame, out: str, ckpt: str, trigger=None) -> StreamingQuery:
-    """Running keyed sums (complete mode; state bounded by the key domain).
-    Each micro-batch replaces ``out/by_key`` with the current state, and
-    :func:`read_snapshot` derives the totals and tops from it."""
+    """Running keyed sums (complete mode; state bounded by the key domain) and,
+    for every trigger, a snapshot row: batch ``n`` writes the current sums to
+    ``out/by_key/batch_id=n`` and its row to ``out/snapshots/batch_id=n``. A batch that
+    is run again after a failure writes the same folders again."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(out, "by_key"))
+        keyed, row = (os.path.join(out, name, f"batch_id={batch_id}") for name in ("by_key", "snapshots"))
+        batch.write.mode("overwrite").parquet(keyed)
+        MT.snapshot_from(batch.sparkSession.read.schema(batch.schema).parquet(keyed)).write.mode("overwrite").parquet(row)
 
     w = MT.keyed_sums(events).writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", ckpt)
     return _trigger(w, trigger).start()
 
 
+def read_snapshots(spark: SparkSession, out: str) -> DataFrame:
+    """One row per trigger of the metrics job, with its ``batch_id``."""
+    return spark.read.parquet(os.path.join(out, "snapshots"))
+
+
 def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """The metrics snapshot row from the keyed table the metrics job keeps."""
-    return MT.snapshot_from(spark.read.parquet(os.path.join(out, "by_key")))
+    """The last trigger's snapshot row."""
+    rows = read_snapshots(spark, out)
+    last = rows.agg(F.max("batch_id").alias("n")).scalar()
+    return rows.where(F.col("batch_id") == last).drop("batch_id")
 
 
 def drain(queries) -> None:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,15 +13,15 @@ KEY = "transaction_id"
 def fact_rows(clean: DataFrame, loaded_at: bool = False) -> DataFrame:
     """The flagged clean frame in fact column order and fact types.
 
-    ``time_since_last_txn_sec`` becomes decimal(10,2) (half up), as a
-    ``NUMERIC(10,2)`` column stores it; out-of-range gaps become null.
+    ``time_since_last_txn_sec`` is rounded half up to cents of a second; its type
+    holds any gap between two timestamps.
     """
     types = {f.name: f.dataType for f in FACT.fields}
     cols = []
     for c in FACT_COLUMNS:
         col = F.col(c)
         if c == "time_since_last_txn_sec":
-            col = col.try_cast(types[c])
+            col = col.cast(types[c])
         elif c in ("txn_hour", "txn_month", "txn_quarter"):
             col = col.cast("int")
         cols.append(col.alias(c))
@@ -60,17 +58,54 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = KEY,
 
 
 # --- publication ------------------------------------------------------------
+#
+# A table folder holds ``data/version=<n>/txn_date=<d>`` (the partitions that version n
+# wrote) and ``versions/<n>`` (a small Parquet table: for every date of the table, the
+# version that holds it). A version counts once the latter is committed, so readers see
+# all of a publication or nothing of it, and a reader of an older version is not disturbed.
+
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _versions(spark: SparkSession, root: str) -> list[int]:
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/versions")
+    fs = base.getFileSystem(conf)
+    if not fs.exists(base):
+        return []
+    done = lambda p: fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(base) if done(s.getPath()))
 
 
-def read_fact(spark: SparkSession, root: str) -> DataFrame | None:
-    if not _exists(spark, root):
+def _manifest(spark: SparkSession, root: str, version: int) -> dict[str, int]:
+    """date -> version that holds it: one entry per calendar day of the table."""
+    rows = spark.read.schema("txn_date string, version int").parquet(f"{root.rstrip('/')}/versions/{version}")
+    return {r.txn_date: r.version for r in rows.collect()}
+
+
+def read_fact(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
+    """The table's last (or the given) version; ``None`` before the first publication."""
+    versions = _versions(spark, root)
+    if not versions:
         return None
-    return spark.read.schema(FACT).parquet(root)
+    data = f"{root.rstrip('/')}/data"
+    held = _manifest(spark, root, versions[-1] if version is None else version)
+    if not held:
+        return spark.createDataFrame([], FACT)
+    return _dates(spark, data, held)
+
+
+def _dates(spark: SparkSession, data: str, held: dict[str, int]) -> DataFrame:
+    paths = [f"{data}/version={v}/txn_date={d}" for d, v in sorted(held.items())]
+    return spark.read.schema(FACT).option("basePath", data).parquet(*paths).select(*[f.name for f in FACT.fields])
+
+
+def write_by_date(df: DataFrame, path: str) -> None:
+    """Parquet partitioned by ``txn_date``. Rows are dealt by date first, so a date's
+    files follow its size: a large date is split at the advisory partition size, small
+    ones share a task."""
+    df.hint("rebalance", "txn_date").write.mode("overwrite").partitionBy("txn_date").parquet(path)
 
 
 def touched_dates(existing: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
@@ -83,37 +118,35 @@ def touched_dates(existing: DataFrame, incoming: DataFrame, key: str = KEY) -> D
 
 
 def publish_fact(spark: SparkSession, root: str, incoming: DataFrame) -> int:
-    """Upsert ``incoming`` (fact rows with ``loaded_at``) into the fact table
-    at ``root`` (Parquet partitioned by ``txn_date``); returns the number of
-    partitions rewritten.
-
-    Only touched partitions are rewritten: the merged rows of those dates are
-    staged in the checkpoint folder (a table cannot be overwritten while it
-    is read), then swapped in with dynamic partition overwrite. The touched
-    date list is bounded by the calendar, so it is broadcast; reading the
-    existing rows of those dates is pruned to their partitions. Matching
-    the batch keys scans only the key and date columns. Re-running a batch
-    is idempotent apart from ``loaded_at``. With a MERGE-capable table format
-    configured, ``MERGE INTO`` replaces this.
+    """Upsert ``incoming`` (fact rows with ``loaded_at``) into the fact table at
+    ``root`` as its next version; returns the number of date partitions written.
+
+    Only the touched dates are merged and written; the version's date list takes the
+    others from the versions before. Dates are bounded by the calendar, so the list
+    passes the driver. Matching the batch's keys scans the key and date columns
+    only. Running a batch again gives the same table but for ``loaded_at``. Two
+    publishers of the same version can't both succeed: the second finds the folder.
+    With a MERGE-capable table format, ``MERGE INTO`` replaces this.
     """
     from paylake.session import materialize_at, release
 
-    cols = [f.name for f in FACT.fields]
-    incoming = incoming.select(*cols)
-    if not _exists(spark, root):
-        incoming.write.mode("errorifexists").partitionBy("txn_date").parquet(root)
-        return incoming.select("txn_date").distinct().count()
-    existing = read_fact(spark, root)
-    dates, dates_path = materialize_at(touched_dates(existing, incoming), "touched-dates")
-    current = existing.join(F.broadcast(dates), "txn_date", "left_semi")
-    merged = upsert(current.select(*cols), incoming, stamp="loaded_at")
-    staged, staged_path = materialize_at(merged, "fact-upsert")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("txn_date").parquet(root))
-    n = dates.count()
-    for path in (staged_path, dates_path):  # swapped in: the stages are not read again
-        release(spark, path)
-    return n
+    incoming, staged = materialize_at(incoming.select(*[f.name for f in FACT.fields]), "fact-incoming")
+    versions, root = _versions(spark, root), root.rstrip("/")
+    held = _manifest(spark, root, versions[-1]) if versions else {}
+    next_version = versions[-1] + 1 if versions else 1
+    merged, dates = incoming, incoming.select("txn_date").distinct()
+    if held:
+        dates = touched_dates(_dates(spark, f"{root}/data", held), incoming)
+    touched = [NO_DATE if r.txn_date is None else str(r.txn_date) for r in dates.collect()]
+    before = {d: held[d] for d in touched if d in held}
+    if before:
+        merged = upsert(_dates(spark, f"{root}/data", before), incoming, stamp="loaded_at")
+    write_by_date(merged, f"{root}/data/version={next_version}")
+    held.update(dict.fromkeys(touched, next_version))
+    spark.createDataFrame(sorted(held.items()), "txn_date string, version int").coalesce(1) \
+        .write.mode("errorifexists").parquet(f"{root}/versions/{next_version}")
+    release(spark, staged)
+    return len(touched)
 
 
 def audit_row(spark: SparkSession, report: DataFrame, run_id: str, partitions_written: int | None = None) -> DataFrame:
@@ -145,7 +178,3 @@ def export_csv(df: DataFrame, path: str) -> None:
 
     Arrays are not representable in CSV: join them to text first."""
     df.write.mode("errorifexists").option("header", True).csv(path)
-
-
-def issues_dict(issues_json: str) -> dict:
-    return json.loads(issues_json)

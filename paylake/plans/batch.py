@@ -1,11 +1,11 @@
 """The batch job: raw feed -> clean, enriched, flagged rows -> fact + audit.
 
 Physical shape of ``transform``: one shuffle on ``transaction_id``
-(de-duplication, map-side combined), one small histogram aggregate for the
-exact p95, and one shuffle on (sender, time bucket) for the previous-event
-window. Everything else is narrow. ``run_batch`` writes the clean stage
-once and derives the report and the fact upsert from the written stage,
-so no stage re-runs the transform.
+(de-duplication), one small histogram aggregate for the exact p95, and one shuffle
+on (sender, time bucket) for the previous-event window. Everything else is narrow,
+and a query computes only the branches it uses. ``run_batch``, where several
+branches read the same rows, writes the de-duplicated and the clean stage once and
+derives everything else from the written stages, so no stage runs twice.
 """
 
 from __future__ import annotations
@@ -14,19 +14,23 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paylake.session import materialize_at, release
 
 from paylake.operators import clean as C
 from paylake.operators import enrich as E
 from paylake.operators import fact as FT
-from paylake.operators.flags import flag_high_value, flag_rapid_succession
-from paylake.operators.report import quality_report
+from paylake.operators import quality as Q
+from paylake.operators.flags import SPLIT_SECONDS, flag_high_value, flag_rapid_succession
+from paylake.operators.report import quality_report, summary_by_type, top_regions
+from paylake.plans.publish import publish_marts
+from paylake.plans.staging import stg_transactions
 
 
 @dataclass
 class Transformed:
-    classified: DataFrame   # one row per key group, typed, with reject_reason
+    classified: DataFrame   # de-duplicated rows, typed, with reject_reason
     clean: DataFrame        # clean, enriched, flagged rows
     funnel: DataFrame       # reject_reason -> rows
     staged: str | None = None  # folder of the staged de-dup frame, if staged
@@ -35,14 +39,12 @@ class Transformed:
         return quality_report(self.funnel, self.clean)
 
 
-def transform(raw: DataFrame, stage: bool = True, split_seconds: int = 86_400) -> Transformed:
-    """Clean, enrich and flag a raw feed.
+def transform(raw: DataFrame, stage: bool = False, split_seconds: int = SPLIT_SECONDS) -> Transformed:
+    """Clean, enrich and flag a raw feed. Lazy: nothing runs until a result is used.
 
-    With ``stage`` (the default) the de-duplicated, typed frame is written
-    once to the shared checkpoint folder: the funnel, the p95 histogram, the
-    hot-sender check and the main path all read that stage (only the
-    columns each needs) instead of re-running the scan and the
-    de-duplication shuffle per branch.
+    With ``stage`` the de-duplicated, typed frame is written once to the shared
+    checkpoint folder and all branches read that; the caller releases
+    ``staged`` when they are done (see :func:`run_batch`).
     """
     classified = C.classify(raw)
     staged = None
@@ -50,40 +52,51 @@ def transform(raw: DataFrame, stage: bool = True, split_seconds: int = 86_400) -
         classified, staged = materialize_at(classified, "classified")
     rows = C.clean_rows(classified)
     rows = E.enrich(rows)
-    # rapid first: its carry aggregate then does not wait for the quantile
-    # branch (the high-value flag joins the one-row threshold), so AQE runs
-    # both branches' stages concurrently
     rows = flag_rapid_succession(rows, split_seconds=split_seconds)
     rows = flag_high_value(rows)
     rows = E.add_total_debit(rows)
-    return Transformed(classified, rows, C.reject_funnel(classified), staged)
+    return Transformed(classified, rows, C.reject_funnel(raw, classified), staged)
 
 
-def clean_frame(raw: DataFrame, stage: bool = True) -> DataFrame:
-    return transform(raw, stage).clean
+def rule_results(clean: DataFrame, stg: DataFrame, report: DataFrame) -> DataFrame:
+    """``(rule, failures)`` for every data test; 0 is a pass."""
+    n = lambda df, rule: df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(rule).alias("rule"), "failures")
+    nulls = Q.null_counts(stg, ["transaction_id", "transaction_amount_ghs", "transaction_timestamp", "amount_bucket"])
+    out = nulls.select(F.concat(F.lit("not_null_"), F.col("column_name")).alias("rule"), F.col("null_rows").alias("failures"))
+    for rule, df in (("unique_transaction_id", Q.duplicate_keys(stg)), ("accepted_operator", Q.bad_operators(stg)),
+                     ("accepted_status", Q.bad_statuses(stg)), ("accepted_type_label", Q.bad_type_labels(clean)),
+                     ("positive_amount", Q.non_positive_amounts(clean)), ("total_debit", Q.total_debit_mismatch(clean)),
+                     ("report_bounds", Q.report_bounds(report))):
+        out = out.unionByName(n(df, rule))
+    return out
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str) -> dict:
-    """Stage hand-off by files: clean stage -> fact upsert -> audit row
-    (written after the fact partitions are published).
+    """One whole run, by files: clean stage -> fact version -> marts, summaries and
+    data tests -> audit row (last, when everything else is published).
 
-    ``out_dir`` should be on the shared filesystem of the cluster.
+    ``out_dir`` should be on the shared filesystem of the cluster. Under it:
+    ``fact`` (versions), ``marts``, ``summary_by_type``, ``top_regions``, ``rules``, ``audit``
+    and the run's ``stages``.
     """
-    t = transform(raw)
+    t = transform(raw, stage=True)
     stage = os.path.join(out_dir, "stages", run_id)
-    clean_path = os.path.join(stage, "clean")
-    funnel_path = os.path.join(stage, "funnel")
-    t.clean.write.mode("overwrite").partitionBy("txn_date").parquet(clean_path)
-    t.funnel.write.mode("overwrite").parquet(funnel_path)
-    clean = spark.read.parquet(clean_path)
-    funnel = spark.read.parquet(funnel_path)
-    report = quality_report(funnel, clean)
-    written = FT.publish_fact(spark, os.path.join(out_dir, "fact"), FT.fact_rows(clean, loaded_at=True))
-    audit = FT.audit_row(spark, report, run_id, written)
-    FT.append_audit(audit, os.path.join(out_dir, "audit"))
+    clean_path, funnel_path = os.path.join(stage, "clean"), os.path.join(stage, "funnel")
+    try:
+        FT.write_by_date(t.clean, clean_path)
+        t.funnel.write.mode("overwrite").parquet(funnel_path)
+    finally:  # everything derived from the staged de-dup frame is written now
+        release(spark, t.staged)
+    clean = spark.read.schema(t.clean.schema).parquet(clean_path)
+    report = quality_report(spark.read.parquet(funnel_path), clean)
+    fact_root = os.path.join(out_dir, "fact")
+    written = FT.publish_fact(spark, fact_root, FT.fact_rows(clean, loaded_at=True))
+    fact = FT.read_fact(spark, fact_root)
+    publish_marts(fact, os.path.join(out_dir, "marts"))
+    for name, df in (("summary_by_type", summary_by_type(clean)), ("top_regions", top_regions(clean)),
+                     ("rules", rule_results(clean, stg_transactions(fact), report))):
+        df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
+    FT.append_audit(FT.audit_row(spark, report, run_id, written), os.path.join(out_dir, "audit"))
     row = report.first().asDict()
     row["partitions_written"] = written
-    # everything derived from the staged de-dup frame is written now
-    if t.staged:
-        release(spark, t.staged)
     return row

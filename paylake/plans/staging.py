@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from paylake.functions.numeric import cents, half_up_ratio
 from paylake.functions.text import initcap_words
-from paylake.schemas import ACCEPTED_STATUSES
+from paylake.schemas import ACCEPTED_STATUSES, GAP_TYPE
+
+GAP = f"decimal({GAP_TYPE[0]},{GAP_TYPE[1]})"
 
 STAGING_COLUMNS = [
     "transaction_id", "transaction_timestamp", "transaction_date", "transaction_hour",
@@ -52,7 +54,7 @@ def stg_transactions(fact: DataFrame, with_loaded_at: bool = False) -> DataFrame
         initcap_words(F.col("region")).alias("region"),
         F.col("is_high_value"),
         F.col("is_rapid_succession"),
-        F.coalesce(F.col("time_since_last_txn_sec").cast("decimal(10,2)"), F.lit(0).cast("decimal(10,2)"))
+        F.coalesce(F.col("time_since_last_txn_sec").cast(GAP), F.lit(0).cast(GAP))
          .alias("secs_since_last_txn"),
     ]
     if with_loaded_at:

@@ -1,5 +1,6 @@
 """Staging, marts, data-quality rules, fact upsert and versioned publish."""
 
+import json
 import os
 import tempfile
 
@@ -84,15 +85,21 @@ def test_run_batch_publishes_versions_and_audit(spark):
     after = {r.transaction_id: r for r in fact.collect()}
     strip = lambda r: {k: v for k, v in r.asDict().items() if k != "loaded_at"}
     assert all(strip(before[k]) == strip(after[k]) for k in before)
+    for name, rows_ in (("summary_by_type", 1), ("top_regions", 1), ("rules", 11), ("marts/mart_daily_revenue", 3)):
+        assert spark.read.parquet(os.path.join(out, name)).count() == rows_, name
+    assert spark.read.parquet(os.path.join(out, "rules")).where("failures > 0").count() == 0
+    # files follow the data: one for each date here
+    files = [f for d, _, fs in os.walk(os.path.join(out, "fact", "data", "version=1")) for f in fs if f.endswith(".parquet")]
+    assert len(files) == 3
     audit = spark.read.parquet(os.path.join(out, "audit")).collect()
     assert sorted(a.run_id for a in audit) == ["run-1", "run-2"]
     # the staged de-dup frame of a run is released once the run is written
-    from paylake.session import _stage_root, release
+    from paylake.session import release
     import pytest
     with pytest.raises(ValueError):
         release(spark, os.path.join(out, "fact"))
     assert os.path.exists(os.path.join(out, "fact"))
-    assert all(FT.issues_dict(a.issues) == {"duplicate_or_null_ids": 0, "invalid_timestamps": 0,
+    assert all(json.loads(a.issues) == {"duplicate_or_null_ids": 0, "invalid_timestamps": 0,
                                             "invalid_amounts": 0} for a in audit)
 
 
@@ -110,6 +117,10 @@ def test_upsert_rewrites_only_touched_partitions(spark):
     assert FT.publish_fact(spark, root, upd.unionByName(new)) == 2
     got = FT.read_fact(spark, root)
     assert got.count() == 41
+    # a publication is a version of its own: older ones stay readable, touched dates only are written
+    assert FT.read_fact(spark, root, 1).count() == 40
+    assert sorted(d for d in os.listdir(os.path.join(root, "data", "version=2")) if d.startswith("txn")) == [
+        "txn_date=2024-01-02", "txn_date=2024-01-09"]
     assert got.where("transaction_id = 'T1'").first().status == "REVERSED"
     assert got.where("status = 'REVERSED'").count() == 1
     assert sorted(r.txn_date.day for r in got.select("txn_date").distinct().collect()) == [1, 2, 3, 4, 9]

@@ -24,6 +24,13 @@ def null_tokens(c: Column) -> Column:
     return F.when(c.isin(NULL_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 
+def zero_pad(n: Column, width: int) -> Column:
+    """Decimal text of at least ``width`` digits; longer numbers keep every digit
+    (``lpad`` alone would cut them)."""
+    t = n.cast("string")
+    return F.when(F.length(t) >= width, t).otherwise(F.lpad(t, width, "0"))
+
+
 def initcap_words(c: Column) -> Column:
     """Title case that restarts after every non-alphanumeric character.
 

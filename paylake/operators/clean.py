@@ -1,19 +1,21 @@
 """Validation, first-copy de-duplication and the reject funnel.
 
-Plan shape: one aggregation keyed by ``transaction_id`` does all the
-de-duplication work. It keeps the earliest copy (``min`` over a struct led
-by ``ingest_seq``) and counts the copies, with partial aggregation on the
-map side, so a key repeated a billion times -- or the null key -- costs one
-row per map task in the shuffle, never one hot reducer. Everything after it
+Plan shape: null ids are left out before anything moves; the earliest copy of each
+id is the first row of a window over the id in ``ingest_seq`` order. The
+filter on the row number lets the optimizer drop later copies on the map side
+too, so an id repeated a billion times costs one row per map task in the
+shuffle. Only the columns that a query uses are shuffled. Everything after it
 (parsing, reject reasons) is a narrow projection.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylake.functions.parse import parse_decimal, parse_timestamp
+from paylake.functions.text import strip
+from paylake.schemas import FEE_TYPE
 
 KEY = "transaction_id"
 SEQ = "ingest_seq"
@@ -24,80 +26,58 @@ INVALID_TIMESTAMP = "invalid_timestamps"
 INVALID_AMOUNT = "invalid_amounts"
 NON_POSITIVE = "non_positive_amounts"
 ISSUE_KEYS = [DUPLICATE_OR_NULL, INVALID_TIMESTAMP, INVALID_AMOUNT]
-
-
-def first_copies(raw: DataFrame, key: str = KEY, seq: str = SEQ) -> DataFrame:
-    """One row per key value (the null key included): the earliest copy in
-    ``seq`` order, plus ``copies`` = how many rows shared the key."""
-    others = [c for c in raw.columns if c not in (key, seq)]
-    first = F.min(F.struct(F.col(seq).alias(seq), *[F.col(c) for c in others]))
-    return (raw.groupBy(key)
-            .agg(first.alias("_first"), F.count(F.lit(1)).alias("copies"))
-            .select(key, "copies", *[F.col(f"_first.{c}").alias(c) for c in [seq] + others]))
+CLEAN = "clean"
 
 
 def dedup_first(raw: DataFrame, key: str = KEY, seq: str = SEQ) -> DataFrame:
     """Rows with a non-null key, first copy in input order wins (raw columns)."""
-    return first_copies(raw, key, seq).where(F.col(key).isNotNull()).drop("copies")
-
-
-def parse_survivors(survivors: DataFrame) -> DataFrame:
-    """Typed columns and the reject reason of each de-duplicated row.
-
-    ``timestamp`` -> timestamp_ntz, ``amount`` -> decimal(12,2),
-    ``fee`` -> decimal(8,2) defaulting to 0. ``reject_reason`` is null for a
-    clean row, else the first rule that fails.
-    """
-    ts = parse_timestamp(F.col("timestamp"))
-    amount = parse_decimal(F.col("amount"), 12, 2)
-    fee = F.coalesce(parse_decimal(F.col("fee"), 8, 2), F.lit(0).cast("decimal(8,2)"))
-    df = survivors.select(
-        *[c for c in survivors.columns if c not in ("timestamp", "amount", "fee")],
-        ts.alias("timestamp"), amount.alias("amount"), fee.alias("fee"),
-    )
-    reason = (F.when(F.col("timestamp").isNull(), F.lit(INVALID_TIMESTAMP))
-              .when(F.col("amount").isNull(), F.lit(INVALID_AMOUNT))
-              .when(F.col("amount") <= 0, F.lit(NON_POSITIVE)))
-    return df.withColumn("reject_reason", reason)
+    copies = Window.partitionBy(key).orderBy(seq)
+    return (raw.where(F.col(key).isNotNull()).withColumn("_copy", F.row_number().over(copies))
+            .where("_copy = 1").drop("_copy"))
 
 
 def classify(raw: DataFrame) -> DataFrame:
-    """All key groups with their copy count and (for non-null keys) reasons.
+    """The de-duplicated rows with typed columns and their reject reason.
 
-    The null-key group and every extra copy are charged to
-    ``duplicate_or_null_ids``; see :func:`reject_funnel`.
+    ``timestamp`` -> timestamp_ntz, ``amount`` -> decimal(12,2), ``fee`` ->
+    decimal(18,2), 0 where the text is no number. ``reject_reason`` is null for a
+    clean row, else the first rule that fails. An amount's sign is that of its
+    text, before rounding to cents. A fee that is a number but too large for its
+    type is an invalid amount; it never turns into another value silently.
     """
-    groups = first_copies(raw)
-    return parse_survivors(groups)
+    fee = parse_decimal(F.col("fee"), *FEE_TYPE)
+    wide = strip(F.col("fee")).try_cast("double")
+    too_large = fee.isNull() & wide.isNotNull() & ~F.isnan(wide) & (F.abs(wide) < float("inf"))
+    exact = strip(F.col("amount")).try_cast("decimal(38,18)")
+    df = dedup_first(raw)
+    df = df.select(
+        *[c for c in df.columns if c not in ("timestamp", "amount", "fee")],
+        parse_timestamp(F.col("timestamp")).alias("timestamp"), parse_decimal(F.col("amount"), 12, 2).alias("amount"),
+        F.coalesce(fee, F.lit(0).cast(f"decimal({FEE_TYPE[0]},{FEE_TYPE[1]})")).alias("fee"),
+        too_large.alias("_fee_too_large"), (exact <= 0).alias("_not_positive"))
+    reason = (F.when(F.col("timestamp").isNull(), F.lit(INVALID_TIMESTAMP))
+              .when(F.col("amount").isNull() | F.coalesce("_fee_too_large", F.lit(False)), F.lit(INVALID_AMOUNT))
+              .when(F.col("_not_positive"), F.lit(NON_POSITIVE)))
+    return df.withColumn("reject_reason", reason).drop("_fee_too_large", "_not_positive")
 
 
 def clean_rows(classified: DataFrame) -> DataFrame:
-    """Rows that pass every rule, with typed columns (``copies`` dropped)."""
-    keep = F.col(KEY).isNotNull() & F.col("reject_reason").isNull()
-    return classified.where(keep).drop("reject_reason", "copies")
+    """Rows that pass every rule, with typed columns."""
+    return classified.where(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
-def reject_funnel(classified: DataFrame) -> DataFrame:
+def reject_funnel(raw: DataFrame, classified: DataFrame) -> DataFrame:
     """``(reject_reason, rows)``: rows charged to each rule, clean rows as
-    ``clean``. Sums to the raw row count. One small aggregate."""
-    k = F.col(KEY)
-    dup = F.when(k.isNull(), F.col("copies")).otherwise(F.col("copies") - 1)
-    parts = classified.select(
-        F.explode(F.array(
-            F.struct(F.lit(DUPLICATE_OR_NULL).alias("reason"), dup.alias("n")),
-            F.struct(F.when(k.isNotNull(), F.coalesce(F.col("reject_reason"), F.lit("clean")))
-                     .alias("reason"), F.when(k.isNotNull(), F.lit(1)).alias("n")),
-        )).alias("p"))
-    return (parts.where(F.col("p.reason").isNotNull())
-            .groupBy(F.col("p.reason").alias("reject_reason"))
+    ``clean``. Sums to the raw row count: what de-duplication took away (null ids
+    and extra copies) is the raw count less the classified rows."""
+    kept = (classified.groupBy(F.coalesce("reject_reason", F.lit(CLEAN)).alias("reason")).agg(F.count(F.lit(1)).alias("n")))
+    total = raw.agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("reason"), "n")
+    parts = kept.unionByName(total).select(F.explode(F.array(
+        F.struct("reason", "n"),
+        F.struct(F.lit(DUPLICATE_OR_NULL).alias("reason"), F.when(F.col("reason").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")),
+    )).alias("p"))
+    return (parts.where(F.col("p.reason").isNotNull()).groupBy(F.col("p.reason").alias("reject_reason"))
             .agg(F.sum("p.n").cast("long").alias("rows")))
 
 
-def raw_count(raw: DataFrame) -> DataFrame:
-    return raw.agg(F.count(F.lit(1)).alias("raw_count"))
-
-
-__all__ = [
-    "first_copies", "dedup_first", "parse_survivors", "classify",
-    "clean_rows", "reject_funnel", "raw_count", "ISSUE_KEYS",
-]
+__all__ = ["dedup_first", "classify", "clean_rows", "reject_funnel", "ISSUE_KEYS"]

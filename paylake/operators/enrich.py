@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from paylake.functions import calendar
 from paylake.functions.text import strip_upper, type_label
-from paylake.schemas import AMOUNT_BUCKETS, AMOUNT_BUCKET_TOP
+from paylake.schemas import AMOUNT_BUCKETS, AMOUNT_BUCKET_TOP, DEBIT_TYPE
 
 TEXT_COLUMNS = ["transaction_type", "status", "operator", "currency", "region"]
 
@@ -48,8 +48,8 @@ def add_amount_bucket(df: DataFrame) -> DataFrame:
 
 
 def add_total_debit(df: DataFrame) -> DataFrame:
-    """amount + fee, exact decimal addition."""
-    return df.withColumn("total_debit", (F.col("amount") + F.col("fee")).try_cast("decimal(12,2)"))
+    """amount + fee, exact decimal addition (the type holds any sum of the two)."""
+    return df.withColumn("total_debit", (F.col("amount") + F.col("fee")).cast(f"decimal({DEBIT_TYPE[0]},{DEBIT_TYPE[1]})"))
 
 
 def enrich(df: DataFrame) -> DataFrame:

@@ -14,6 +14,10 @@ from paylake.schemas import HIGH_VALUE_QUANTILE, RAPID_GAP_SECONDS
 # decade), not by the row count, so the one-task running sum over the
 # coarse histogram is bounded too.
 _DECADE_OFFSET = 400
+# Sub-ranges that a coarse bucket which holds a wanted rank is split into.
+_SUB_BUCKETS = 1 << 16
+# A sender's rows of so many seconds make one piece of work.
+SPLIT_SECONDS = 3600
 
 
 def _coarse_bucket(v: Column) -> Column:
@@ -34,27 +38,32 @@ def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold") -
          construction) with running counts and the total in one window ->
          the one or two buckets holding ranks ``floor(r)`` and ``ceil(r)``,
          ``r = (n - 1) * q``;
-      3. running counts inside those buckets only -> the two values;
-      4. ``lo + (hi - lo) * (r - floor(r))`` in double.
+      3. the same over ``_SUB_BUCKETS`` equal value ranges of those buckets;
+      4. running counts inside the one or two ranges left -> the two values;
+      5. ``lo + (hi - lo) * (r - floor(r))`` in double.
     Empty input gives a null quantile.
     """
     v = F.col(col).cast("double")
     hist = (df.where(F.col(col).isNotNull()).groupBy(v.alias("v"))
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumn("b", _coarse_bucket(F.col("v"))))
-    everything = Window.partitionBy()
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    r = ((F.sum("bn").over(everything) - 1).cast("double") * F.lit(float(q)))
-    coarse = (hist.groupBy("b").agg(F.sum("n").alias("bn"))
-              .select("b", "bn", F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("bstart"), r.alias("r"))
-              .withColumn("lo", F.floor("r")).withColumn("hi", F.ceil("r")))
-    hit = lambda p: (F.col("bstart") <= F.col(p)) & (F.col(p) < F.col("bstart") + F.col("bn"))
-    targets = coarse.where(hit("lo") | hit("hi")).select("b", "bstart", "lo", "hi", "r")
-    # at most two rows: broadcast is bounded
-    within = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    fine = (hist.join(F.broadcast(targets), "b")
-            .withColumn("start", F.col("bstart") + F.coalesce(F.sum("n").over(within), F.lit(0))))
     covers = lambda p: (F.col("start") <= F.col(p)) & (F.col(p) < F.col("start") + F.col("n"))
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    r = ((F.sum("n").over(Window.partitionBy()) - 1).cast("double") * F.lit(float(q)))
+    coarse = (hist.groupBy("b").agg(F.sum("n").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
+              .select("*", before(Window.orderBy("b")).alias("start"), r.alias("r"))
+              .withColumn("lo", F.floor("r")).withColumn("hi", F.ceil("r")))
+    # at most two rows each: broadcasting them is bounded
+    buckets = coarse.where(covers("lo") | covers("hi")).select("b", F.col("start").alias("bstart"), "lo", "hi", "r", "vmin", "vmax")
+    width = F.col("vmax") - F.col("vmin")
+    sub = F.when(width > 0, F.floor((F.col("v") - F.col("vmin")) / width * F.lit(_SUB_BUCKETS - 1))).otherwise(F.lit(0)).cast("long")
+    inside = hist.join(F.broadcast(buckets), "b").withColumn("sub", sub)
+    subs = (inside.groupBy("b", "sub", "bstart", "lo", "hi").agg(F.sum("n").alias("n"))
+            .withColumn("start", F.col("bstart") + before(Window.partitionBy("b").orderBy("sub"))))
+    ranges = subs.where(covers("lo") | covers("hi")).select("b", "sub", F.col("start").alias("sstart"))
+    fine = (inside.join(F.broadcast(ranges), ["b", "sub"])
+            .withColumn("start", F.col("sstart") + before(Window.partitionBy("b", "sub").orderBy("v"))))
     picked = fine.agg(
         F.max(F.when(covers("lo"), F.col("v"))).alias("vlo"),
         F.max(F.when(covers("hi"), F.col("v"))).alias("vhi"),
@@ -77,7 +86,7 @@ def flag_high_value(df: DataFrame, q: float = HIGH_VALUE_QUANTILE, col: str = "a
 
 
 def flag_rapid_succession(df: DataFrame, gap: float = RAPID_GAP_SECONDS,
-                          split_seconds: int = 86_400) -> DataFrame:
+                          split_seconds: int = SPLIT_SECONDS) -> DataFrame:
     """Seconds since the same sender's previous transaction and the flag
     ``gap < 120 s``. Order: (timestamp, transaction_id). Null senders never
     have a predecessor (never rapid). Each sender's rows are split into

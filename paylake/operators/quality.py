@@ -57,8 +57,8 @@ def non_positive_amounts(clean: DataFrame, col: str = "amount") -> DataFrame:
 
 def total_debit_mismatch(clean: DataFrame) -> DataFrame:
     """Rows where ``total_debit <> amount + fee`` (null-safe)."""
-    expect = (F.col("amount") + F.col("fee")).cast("decimal(13,2)")
-    return clean.where(~F.col("total_debit").cast("decimal(13,2)").eqNullSafe(expect))
+    expect = (F.col("amount") + F.col("fee")).cast("decimal(21,2)")
+    return clean.where(~F.col("total_debit").cast("decimal(21,2)").eqNullSafe(expect))
 
 
 def report_bounds(report: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ deliberately different from the Spark plans (window-based de-duplication,
 
 from __future__ import annotations
 
-from paylake.schemas import ALERT_REASONS, NULL_TOKENS, RAW_COLUMNS, TOPIC_NAME, TYPE_LABELS
+from paylake.plans.staging import STAGING_COLUMNS
+from paylake.schemas import ALERT_REASONS, FACT_COLUMNS, NULL_TOKENS, RAW_COLUMNS, TOPIC_NAME, TYPE_LABELS
 
 WS = r"'^\s+|\s+$'"
 
@@ -17,6 +18,11 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def pad(n: str, width: int) -> str:
+    """At least ``width`` digits; longer numbers keep all of theirs."""
+    return f"(CASE WHEN length(CAST({n} AS VARCHAR)) >= {width} THEN CAST({n} AS VARCHAR) ELSE lpad(CAST({n} AS VARCHAR), {width}, '0') END)"
+
+
 NULL_LIST = ", ".join(_q(t) for t in NULL_TOKENS)
 
 
@@ -56,11 +62,11 @@ ev AS (
   FROM events e LEFT JOIN geo g ON e.user_id = g.c_custkey
 ),
 raw0 AS (
-  SELECT event_id AS ingest_seq,
-    CASE WHEN event_id % 101 = 7 THEN NULL ELSE 'TXN' || lpad(CAST(event_id AS VARCHAR), 8, '0') END AS transaction_id,
+  SELECT event_id * 2 AS ingest_seq,
+    CASE WHEN event_id % 101 = 7 THEN NULL ELSE 'TXN' || {pad('event_id', 8)} END AS transaction_id,
     CASE WHEN event_id % 103 = 5 THEN 'invalid_date' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS timestamp,
-    CASE WHEN event_id % 89 = 3 THEN NULL ELSE '024' || lpad(CAST(user_id AS VARCHAR), 7, '0') END AS sender_msisdn,
-    '055' || lpad(CAST((user_id * 7919 + event_id * 31) % 500 AS VARCHAR), 7, '0') AS receiver_msisdn,
+    CASE WHEN event_id % 89 = 3 THEN NULL ELSE '024' || {pad('user_id', 7)} END AS sender_msisdn,
+    '055' || {pad('(user_id * 7919 + event_id * 31) % 500', 7)} AS receiver_msisdn,
     CASE WHEN event_id % 97 = 11 THEN 'N/A' WHEN event_id % 109 = 13 THEN '-5.00'
          WHEN event_id % 113 = 17 THEN 'NaN' ELSE CAST(amt AS VARCHAR) END AS amount,
     CASE WHEN event_id % 37 = 0 THEN 'USD' ELSE 'GHS' END AS currency,
@@ -71,13 +77,13 @@ raw0 AS (
          WHEN 3 THEN 'failed ' ELSE 'SUCCESS' END AS status,
     region_name AS region,
     CASE WHEN event_id % 61 = 0 THEN 'N/A'
-         ELSE CAST(CAST(round(amt * 0.01, 2) AS DECIMAL(8,2)) AS VARCHAR) END AS fee
+         ELSE CAST(CAST(round(amt * 0.01, 2) AS DECIMAL(18,2)) AS VARCHAR) END AS fee
   FROM ev
 ),
 raw_unnormalised AS (
   SELECT * FROM raw0
   UNION ALL
-  SELECT * REPLACE (ingest_seq + 1000000000 AS ingest_seq) FROM raw0 WHERE ingest_seq % 107 = 19
+  SELECT * REPLACE (ingest_seq + 1 AS ingest_seq) FROM raw0 WHERE (ingest_seq // 2) % 107 = 19
 ),
 raw AS (
   SELECT ingest_seq,
@@ -97,7 +103,7 @@ parsed AS (
          operator, status, region,
          try_strptime(timestamp, ['%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%d %H:%M:%S']) AS ts,
          TRY_CAST(regexp_replace(amount, {WS}, '', 'g') AS DECIMAL(12,2)) AS amount,
-         coalesce(TRY_CAST(regexp_replace(fee, {WS}, '', 'g') AS DECIMAL(8,2)), CAST(0 AS DECIMAL(8,2))) AS fee
+         coalesce(TRY_CAST(regexp_replace(fee, {WS}, '', 'g') AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2))) AS fee
   FROM survivors
 ),
 classified AS (
@@ -136,7 +142,7 @@ enriched AS (
     coalesce(CAST(amount AS DOUBLE) >= (SELECT th FROM p95), false) AS is_high_value,
     CASE WHEN sender_msisdn IS NOT NULL THEN
       lag(ts) OVER (PARTITION BY sender_msisdn ORDER BY ts, transaction_id) END AS prev_ts,
-    CAST(amount + fee AS DECIMAL(12,2)) AS total_debit
+    CAST(amount + fee AS DECIMAL(20,2)) AS total_debit
   FROM std s
 ),
 clean AS (
@@ -179,13 +185,13 @@ live AS (
   SELECT 'TRANSACTION' AS event_type, {_q(TOPIC_NAME)} AS topic,
     CAST((event_id + 1) % 3 AS INTEGER) AS partition,
     CAST(event_id + 1 AS BIGINT) AS "offset",
-    strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
-    ts AS event_ts,
-    'TXN-LIVE-' || lpad(CAST(event_id + 1 AS VARCHAR), 8, '0') AS transaction_id,
-    '024' || lpad(CAST(user_id % 10 AS VARCHAR), 7, '0') AS sender_msisdn,
-    '055' || lpad(CAST((user_id * 7919 + event_id * 31) % 500 AS VARCHAR), 7, '0') AS receiver_msisdn,
+    CASE WHEN event_id % 79 = 7 THEN 'garbage' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS timestamp,
+    CASE WHEN event_id % 79 <> 7 THEN ts END AS event_ts,
+    'TXN-LIVE-' || {pad('event_id + 1', 8)} AS transaction_id,
+    CASE WHEN event_id % 83 <> 5 THEN '024' || {pad('user_id % 10', 7)} END AS sender_msisdn,
+    '055' || {pad('(user_id * 7919 + event_id * 31) % 500', 7)} AS receiver_msisdn,
     CAST(amt AS DOUBLE) AS amount_ghs,
-    CAST(CAST(round(amt * 0.01, 2) AS DECIMAL(8,2)) AS DOUBLE) AS fee_ghs,
+    CAST(CAST(round(amt * 0.01, 2) AS DECIMAL(18,2)) AS DOUBLE) AS fee_ghs,
     CASE event_type WHEN 'click' THEN 'P2P' WHEN 'view' THEN 'MBP' WHEN 'purchase' THEN 'WDR'
          WHEN 'signup' THEN 'DEP' WHEN 'error' THEN 'AIRTIME' END AS transaction_type,
     CASE user_id % 3 WHEN 0 THEN 'MTN' WHEN 1 THEN 'Vodafone' ELSE 'AirtelTigo' END AS operator,
@@ -207,20 +213,12 @@ def _dbl(cols: list[str]) -> str:
     return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
 
 
-FACT_COLS = ["transaction_id", "timestamp", "txn_date", "txn_hour", "txn_day_of_week", "txn_month",
-             "txn_quarter", "is_weekend", "sender_msisdn", "receiver_msisdn", "amount", "fee",
-             "total_debit", "currency", "transaction_type", "transaction_type_label", "amount_bucket",
-             "operator", "status", "region", "is_high_value", "is_rapid_succession",
-             "time_since_last_txn_sec"]
+FACT_COLS = FACT_COLUMNS
 MONEY = {"amount", "fee", "total_debit", "time_since_last_txn_sec"}
 FACT_SELECT = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in MONEY else c for c in FACT_COLS)
 
 STG_MONEY = {"transaction_amount_ghs", "transaction_fee_ghs", "total_debit_ghs", "secs_since_last_txn"}
-STG_COLS = ["transaction_id", "transaction_timestamp", "transaction_date", "transaction_hour", "day_of_week",
-            "transaction_month", "transaction_quarter", "is_weekend", "sender_msisdn", "receiver_msisdn",
-            "transaction_amount_ghs", "transaction_fee_ghs", "total_debit_ghs", "fee_rate_pct",
-            "transaction_type_code", "transaction_type_label", "currency", "amount_bucket", "operator",
-            "transaction_status", "region", "is_high_value", "is_rapid_succession", "secs_since_last_txn"]
+STG_COLS = STAGING_COLUMNS
 STG_SELECT = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in STG_MONEY else c for c in STG_COLS)
 
 RISK = ("CASE WHEN is_high_value AND is_rapid_succession THEN 'CRITICAL' WHEN is_high_value THEN 'HIGH' "
@@ -322,8 +320,9 @@ rg_mart AS (
 
 GAPS = """
 gaps AS (
-  SELECT *, (epoch_us(event_ts) - epoch_us(lag(event_ts) OVER (PARTITION BY sender_msisdn ORDER BY "offset"))) / 1e6 AS gap_sec
-  FROM live
+  SELECT *, (epoch_us(event_ts) - epoch_us(lag(event_ts) OVER (PARTITION BY sender_msisdn, event_ts IS NULL ORDER BY "offset"))) / 1e6 AS gap_sec
+  FROM live WHERE sender_msisdn IS NOT NULL
+  UNION ALL SELECT *, NULL FROM live WHERE sender_msisdn IS NULL
 ),
 alerts AS (
   SELECT transaction_id, amount_ghs, operator, region,
@@ -366,6 +365,13 @@ incoming AS (
 )"""
 
 
+UPSERT_FACT = """
+existing AS (SELECT * FROM fact WHERE ingest_seq % 3 <> 0),
+incoming AS (
+  SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(12,2)) AS amount, 'REVERSED' AS status) FROM fact WHERE ingest_seq % 3 <> 1
+)"""
+
+
 def _sql() -> dict[str, str]:
     text_cols = ["transaction_type", "status", "operator", "currency", "region"]
     type_values = ", ".join(_q(v) for v in list(TYPE_LABELS.values()) + ["Unknown"])
@@ -475,7 +481,7 @@ SELECT column_name, null_rows FROM (
         "dq_positive_amount": q("SELECT transaction_id, CAST(amount AS DOUBLE) AS amount FROM clean WHERE amount <= 0"),
         "dq_total_debit": q("SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, CAST(fee AS DOUBLE) AS fee, "
                             "CAST(total_debit AS DOUBLE) AS total_debit FROM clean "
-                            "WHERE total_debit IS DISTINCT FROM CAST(amount + fee AS DECIMAL(13,2))"),
+                            "WHERE total_debit IS DISTINCT FROM CAST(amount + fee AS DECIMAL(20,2))"),
         "dq_report_bounds": q("""
 SELECT rule FROM (
   SELECT 'counts_add_up' AS rule, coalesce(raw_count = clean_count + records_dropped, false) AS ok FROM report
@@ -483,6 +489,19 @@ SELECT rule FROM (
   UNION ALL SELECT 'rate_in_range', coalesce(success_rate_pct IS NULL OR success_rate_pct BETWEEN 0 AND 100, false)
   FROM report
 ) WHERE NOT ok""", FUNNEL, REPORT),
+        "dq_unique_dirty": q("SELECT transaction_id, count(*) AS occurrences FROM raw WHERE transaction_id IS NOT NULL "
+                             "GROUP BY 1 HAVING count(*) > 1"),
+        "dq_accepted_operator_dirty": q("SELECT operator, count(*) AS rows FROM raw WHERE operator NOT IN "
+                                        "('MTN', 'VODAFONE', 'AIRTELTIGO') GROUP BY 1"),
+        "dq_accepted_status_dirty": q("SELECT status AS transaction_status, count(*) AS rows FROM raw WHERE status NOT IN "
+                                      "('SUCCESS', 'FAILED', 'PENDING', 'REVERSED') GROUP BY 1"),
+        "dq_type_labels_dirty": q("SELECT transaction_type AS transaction_type_label, count(*) AS rows FROM clean "
+                                  f"WHERE ingest_seq % 5 = 0 AND transaction_type NOT IN ({type_values}) GROUP BY 1"),
+        "dq_positive_amount_dirty": q("SELECT transaction_id, CAST(amount AS DOUBLE) AS amount FROM classified WHERE amount <= 0"),
+        "dq_total_debit_dirty": q("SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, CAST(fee AS DOUBLE) AS fee, "
+                                  "CASE WHEN ingest_seq % 11 <> 0 THEN CAST(amount AS DOUBLE) END AS total_debit FROM clean "
+                                  "WHERE ingest_seq % 11 = 0 OR (ingest_seq % 7 = 0 AND fee <> 0)"),
+        "dq_report_bounds_dirty": q("SELECT unnest(['counts_add_up', 'clean_not_above_raw', 'rate_in_range']) AS rule"),
         "dirty_profile": q("""
 SELECT count(*) AS raw_rows, count(*) FILTER (WHERE transaction_id IS NULL) AS null_ids,
   count(*) FILTER (WHERE amount = 'N/A') AS na_amounts, count(*) FILTER (WHERE amount = 'NaN') AS nan_amounts,
@@ -500,6 +519,11 @@ SELECT coalesce(e.transaction_id, i.transaction_id) AS transaction_id,
   {keep('e', 'i', 'is_high_value')} AS is_high_value,
   {keep('e', 'i', 'is_rapid_succession')} AS is_rapid_succession
 FROM existing e FULL OUTER JOIN incoming i ON e.transaction_id = i.transaction_id""", UPSERT),
+        "fact_publish": q("SELECT " + ", ".join(
+            (f"CAST({e} AS DOUBLE)" if c in MONEY else e) + f" AS {c}"
+            for c, e in ((c, "CASE WHEN i.transaction_id IS NOT NULL THEN i.status ELSE e.status END" if c == "status"
+                          else keep("e", "i", c)) for c in FACT_COLS))
+            + " FROM existing e FULL OUTER JOIN incoming i ON e.transaction_id = i.transaction_id", UPSERT_FACT),
         "partition_slice": q("""
 SELECT CAST(("offset" - 1) % 3 AS INTEGER) AS queue_partition, count(*) AS events,
   min("offset") AS first_offset, max("offset") AS last_offset FROM live GROUP BY 1"""),
@@ -536,7 +560,18 @@ def _stream_sql(base: dict[str, str]) -> dict[str, str]:
 SELECT transaction_id, amount_ghs, operator, region, array_to_string(alerts, ' + ') AS alerts
 FROM alerts WHERE len(alerts) > 0""", GAPS),
         "stream_metrics": base["metrics_snapshot"],
+        "stream_snapshots": q("""
+SELECT CAST(g.b AS INTEGER) AS batch_id, count(*) AS total_transactions,
+  round(CAST(sum(CAST(l.amount_ghs AS DECIMAL(12,2))) AS DOUBLE), 2) AS total_volume_ghs,
+  count(*) FILTER (WHERE l.is_high_value) AS high_value_count
+FROM (SELECT unnest([0, 1, 2, 3]) AS b) g
+JOIN (SELECT min("offset") AS lo, greatest(1, (max("offset") - min("offset") + 4) // 4) AS step FROM live) s ON true
+JOIN live l ON l."offset" < s.lo + (g.b + 1) * s.step
+GROUP BY g.b"""),
         "csv_funnel": base["reject_funnel"],
+        "csv_scan": q("SELECT " + ", ".join(
+            "'Zone \"' || u.region || '\",' || chr(10) || u.transaction_type AS region" if c == "region" else f"r.{c}"
+            for c in RAW_COLUMNS) + " FROM raw r JOIN raw_unnormalised u USING (ingest_seq)"),
     }
 
 

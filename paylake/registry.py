@@ -25,11 +25,13 @@ from paylake.operators.report import summary_by_type, top_regions
 from paylake.plans import marts as M
 from paylake.plans.batch import transform
 from paylake.plans.staging import stg_transactions
+from paylake.replay import replay_in_order
 from paylake.sources import fixtures as FX
+from paylake.sources.tables import read_raw_csv, write_raw_csv
 from paylake.streaming import fraud as FR
 from paylake.streaming import jobs as J
 from paylake.streaming import metrics as MT
-from paylake.schemas import EVENT
+from paylake.schemas import EVENT, FEE_TYPE, RAW_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,8 +43,8 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
     ])
 
 
-def _raw(spark, sf):
-    return FX.raw_feed(spark, sf)
+def _raw(spark, sf, columns=RAW_COLUMNS):
+    return FX.raw_feed(spark, sf, columns=columns)
 
 
 def _t(spark, sf):
@@ -72,11 +74,17 @@ def scan_raw(spark, sf):
 
 
 def scan_clean(spark, sf):
-    return decimals_to_double(_clean(spark, sf).drop("ingest_seq"))
+    """The clean stage as a run stores it, read back with its types."""
+    clean, path = _clean(spark, sf), J.scratch(spark, "clean")
+    FT.write_by_date(clean, path)
+    return decimals_to_double(spark.read.schema(clean.schema).parquet(path).drop("ingest_seq"))
 
 
 def scan_fact(spark, sf):
-    return decimals_to_double(_fact(spark, sf))
+    """The fact table after its first publication."""
+    root = J.scratch(spark, "fact")
+    FT.publish_fact(spark, root, FT.fact_rows(_clean(spark, sf), loaded_at=True))
+    return decimals_to_double(FT.read_fact(spark, root).drop("loaded_at"))
 
 
 def fact_rows(spark, sf):
@@ -91,7 +99,8 @@ def dedup_first(spark, sf):
 
 
 def reject_funnel(spark, sf):
-    return C.reject_funnel(C.classify(_raw(spark, sf)))
+    raw = _raw(spark, sf, ["transaction_id", "timestamp", "amount", "fee"])
+    return C.reject_funnel(raw, C.classify(raw))
 
 
 def parse_timestamp(spark, sf):
@@ -102,7 +111,7 @@ def parse_timestamp(spark, sf):
 
 def parse_amount(spark, sf):
     s = _survivors(spark, sf)
-    fee = F.coalesce(P.parse_decimal(F.col("fee"), 8, 2), F.lit(0).cast("decimal(8,2)"))
+    fee = F.coalesce(P.parse_decimal(F.col("fee"), *FEE_TYPE), F.lit(0).cast("decimal(18,2)"))
     return decimals_to_double(s.select(
         "transaction_id", F.col("amount").alias("amount_text"), F.col("fee").alias("fee_text"),
         P.parse_decimal(F.col("amount"), 12, 2).alias("amount"), fee.alias("fee")))
@@ -144,7 +153,8 @@ def fee_rate(spark, sf):
 # --- flags -----------------------------------------------------------------
 
 def p95_threshold(spark, sf):
-    q = quantile_frame(C.clean_rows(C.classify(_raw(spark, sf))))
+    raw = _raw(spark, sf, ["transaction_id", "timestamp", "amount", "fee"])
+    q = quantile_frame(C.clean_rows(C.classify(raw)))
     return q.select(F.round("p95_amount", 6).alias("p95_amount"))
 
 
@@ -261,6 +271,48 @@ def dq_report_bounds(spark, sf):
     return Q.report_bounds(_t(spark, sf).report())
 
 
+# The same rules on inputs that break them: the raw feed before cleaning, and frames with
+# seeded faults, so that every rule has rows to find.
+
+def dq_unique_dirty(spark, sf):
+    return Q.duplicate_keys(_raw(spark, sf))
+
+
+def dq_accepted_operator_dirty(spark, sf):
+    return Q.bad_operators(_raw(spark, sf))
+
+
+def dq_accepted_status_dirty(spark, sf):
+    return Q.bad_statuses(_raw(spark, sf).withColumnRenamed("status", "transaction_status"))
+
+
+def dq_type_labels_dirty(spark, sf):
+    """Every fifth row's label is its code."""
+    c = _clean(spark, sf)
+    fifth = F.pmod(F.col("ingest_seq"), F.lit(5)) == 0
+    return Q.bad_type_labels(c.withColumn("transaction_type_label", F.when(fifth, F.col("transaction_type"))
+                                          .otherwise(F.col("transaction_type_label"))))
+
+
+def dq_positive_amount_dirty(spark, sf):
+    """The typed rows before the reject rules."""
+    return decimals_to_double(Q.non_positive_amounts(C.classify(_raw(spark, sf))).select("transaction_id", "amount"))
+
+
+def dq_total_debit_dirty(spark, sf):
+    """Every seventh row's debit lacks the fee, every eleventh's is missing."""
+    seq, debit = F.col("ingest_seq"), F.col("total_debit")
+    c = _clean(spark, sf).withColumn("total_debit", F.when(F.pmod(seq, F.lit(11)) == 0, F.lit(None))
+                                     .when(F.pmod(seq, F.lit(7)) == 0, F.col("amount")).otherwise(debit))
+    return decimals_to_double(Q.total_debit_mismatch(c).select("transaction_id", "amount", "fee", "total_debit"))
+
+
+def dq_report_bounds_dirty(spark, sf):
+    """A report whose clean count is one above the raw count, with a rate of -1."""
+    r = _t(spark, sf).report()
+    return Q.report_bounds(r.withColumn("clean_count", F.col("raw_count") + 1).withColumn("success_rate_pct", F.lit(-1.0)))
+
+
 def dirty_profile(spark, sf):
     raw = FX.raw_feed(spark, sf, normalise=False)
     return raw.agg(
@@ -291,6 +343,16 @@ def fact_upsert(spark, sf):
     return decimals_to_double(out)
 
 
+def fact_publish(spark, sf):
+    """Two publications of the stored fact table (all 23 columns): first the rows of the
+    existing side, then the incoming batch as an upsert."""
+    existing, incoming = FX.upsert_pair(_clean(spark, sf))
+    root = J.scratch(spark, "fact")
+    for batch in (existing, incoming):
+        FT.publish_fact(spark, root, FT.fact_rows(batch, loaded_at=True))
+    return decimals_to_double(FT.read_fact(spark, root).drop("loaded_at"))
+
+
 # --- stream twins ----------------------------------------------------------
 
 def partition_slice(spark, sf):
@@ -324,10 +386,20 @@ def csv_funnel(spark, sf):
     """The raw feed written as CSV in input order, scanned back with the
     all-string CSV reader (null tokens, file-order ``ingest_seq``), then the
     reject funnel: first-copy-wins must follow the file order."""
-    from paylake.sources.tables import read_raw_csv, write_raw_csv
     path = J.scratch(spark, "raw-csv")
     write_raw_csv(FX.raw_feed(spark, sf, normalise=False), path)
-    return C.reject_funnel(C.classify(read_raw_csv(spark, path)))
+    raw = read_raw_csv(spark, path)
+    return C.reject_funnel(raw, C.classify(raw))
+
+
+def csv_scan(spark, sf):
+    """All rows and columns of a CSV feed whose columns come in another order and whose
+    regions hold quotes, commas and line breaks."""
+    path = J.scratch(spark, "raw-csv")
+    region = F.concat(F.lit('Zone "'), F.col("region"), F.lit('",\n'), F.col("transaction_type"))
+    feed = FX.raw_feed(spark, sf, normalise=False).withColumn("region", region)
+    write_raw_csv(feed, path, columns=RAW_COLUMNS[::-1])
+    return read_raw_csv(spark, path).drop("ingest_seq")
 
 
 # --- streaming jobs (file source, several micro-batches, drained) ----------
@@ -338,8 +410,8 @@ def _run(start, spark, sf, parts=4):
     range is appended; return the sink folder."""
     src = J.scratch(spark, "events-in")
     out, ckpt = J.scratch(spark, "out"), J.scratch(spark, "ckpt")
-    J.replay_in_order(FX.live_events(spark, sf), src, parts,
-                      lambda: J.drain(start(J.read_events(spark, src), out, ckpt)))
+    replay_in_order(FX.live_events(spark, sf), src, parts,
+                    lambda: J.drain(start(J.read_events(spark, src), out, ckpt)))
     return out
 
 
@@ -371,6 +443,12 @@ def stream_alert_csv(spark, sf):
     return spark.read.schema(schema).option("header", True).csv(out).drop("detected_at")
 
 
+def stream_snapshots(spark, sf):
+    """One row per trigger of the metrics job."""
+    rows = J.read_snapshots(spark, _run(J.start_metrics, spark, sf))
+    return rows.select(F.col("batch_id").cast("int").alias("batch_id"), "total_transactions", "total_volume_ghs", "high_value_count")
+
+
 def stream_metrics(spark, sf):
     return J.read_snapshot(spark, _run(J.start_metrics, spark, sf))
 
@@ -414,19 +492,29 @@ QUERIES: dict[str, Query] = {
     "dq_positive_amount": dq_positive_amount,
     "dq_total_debit": dq_total_debit,
     "dq_report_bounds": dq_report_bounds,
+    "dq_unique_dirty": dq_unique_dirty,
+    "dq_accepted_operator_dirty": dq_accepted_operator_dirty,
+    "dq_accepted_status_dirty": dq_accepted_status_dirty,
+    "dq_type_labels_dirty": dq_type_labels_dirty,
+    "dq_positive_amount_dirty": dq_positive_amount_dirty,
+    "dq_total_debit_dirty": dq_total_debit_dirty,
+    "dq_report_bounds_dirty": dq_report_bounds_dirty,
     "dirty_profile": dirty_profile,
     "distinct_operators": distinct_operators,
     "fact_upsert": fact_upsert,
+    "fact_publish": fact_publish,
     "partition_slice": partition_slice,
     "fraud_alerts": fraud_alerts,
     "metrics_totals": metrics_totals,
     "metrics_by_key": metrics_by_key,
     "metrics_snapshot": metrics_snapshot,
     "csv_funnel": csv_funnel,
+    "csv_scan": csv_scan,
     "stream_scan": stream_scan,
     "stream_log": stream_log,
     "stream_rapid": stream_rapid,
     "stream_alerts": stream_alerts,
     "stream_alert_csv": stream_alert_csv,
     "stream_metrics": stream_metrics,
+    "stream_snapshots": stream_snapshots,
 }

@@ -66,6 +66,12 @@ NULL_TOKENS = [
     "nan", "null",
 ]
 
+# Precision and scale of fees, debits and gaps: wide enough that no value that
+# passes validation can overflow (a debit is an amount plus a fee).
+FEE_TYPE = (18, 2)
+DEBIT_TYPE = (20, 2)
+GAP_TYPE = (18, 2)
+
 # Declared timestamp text format: seconds, with an optional fraction.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
@@ -102,8 +108,8 @@ FACT = T.StructType([
     T.StructField("sender_msisdn", T.StringType(), True),
     T.StructField("receiver_msisdn", T.StringType(), True),
     T.StructField("amount", T.DecimalType(12, 2), True),
-    T.StructField("fee", T.DecimalType(8, 2), True),
-    T.StructField("total_debit", T.DecimalType(12, 2), True),
+    T.StructField("fee", T.DecimalType(*FEE_TYPE), True),
+    T.StructField("total_debit", T.DecimalType(*DEBIT_TYPE), True),
     T.StructField("currency", T.StringType(), True),
     T.StructField("transaction_type", T.StringType(), True),
     T.StructField("transaction_type_label", T.StringType(), True),
@@ -113,7 +119,7 @@ FACT = T.StructType([
     T.StructField("region", T.StringType(), True),
     T.StructField("is_high_value", T.BooleanType(), False),
     T.StructField("is_rapid_succession", T.BooleanType(), False),
-    T.StructField("time_since_last_txn_sec", T.DecimalType(10, 2), True),
+    T.StructField("time_since_last_txn_sec", T.DecimalType(*GAP_TYPE), True),
     T.StructField("loaded_at", T.TimestampType(), True),
 ])
 
@@ -148,12 +154,3 @@ EVENT = T.StructType([
     T.StructField("region", T.StringType(), True),
     T.StructField("is_high_value", T.BooleanType(), True),
 ])
-
-ALERT = T.StructType([
-    T.StructField("transaction_id", T.StringType(), True),
-    T.StructField("amount_ghs", T.DoubleType(), True),
-    T.StructField("operator", T.StringType(), True),
-    T.StructField("region", T.StringType(), True),
-    T.StructField("alerts", T.ArrayType(T.StringType()), True),
-    T.StructField("detected_at", T.TimestampType(), True),
-])

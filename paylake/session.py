@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -37,9 +38,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared filesystem).
-    Only when it is unset -- local runs and tests -- a private folder is
-    created and registered.
+    On a cluster it must be set by the deployment (a shared filesystem): a
+    missing setting is an error there, since each executor would write to its
+    own disk. Only with a ``local`` master -- tests and trials -- a private folder
+    is created and registered.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -47,20 +49,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="paylake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def _stage_root(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/paylake/"
+_ROOTS: dict[str, str] = {}
+
+
+def stage_root(spark: SparkSession) -> str:
+    """This application's own folder under the shared checkpoint folder; whatever is
+    staged in it and not released earlier goes when the application's driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        _ROOTS[app] = f"{checkpoint_dir(spark).rstrip('/')}/paylake-{app}/"
+        atexit.register(_drop, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), _ROOTS[app])
+    return _ROOTS[app]
+
+
+def _drop(jvm, conf, root: str) -> None:
+    try:
+        p = jvm.org.apache.hadoop.fs.Path(root)
+        p.getFileSystem(conf).delete(p, True)
+    except Exception:  # the JVM may have ended first; the folder then stays
+        pass
 
 
 def release(spark: SparkSession, path: str) -> None:
     """Delete a folder written by :func:`materialize_at` (shared storage, via
     the Hadoop filesystem). Refuses any path outside the staging root. Only
     for folders no lazy frame will read again."""
-    if not path.startswith(_stage_root(spark)):
+    if not path.startswith(stage_root(spark)):
         raise ValueError(f"not a staged folder: {path}")
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -77,7 +98,7 @@ def materialize_at(df, name: str):
     cannot be pruned.
     """
     spark = df.sparkSession
-    path = f"{_stage_root(spark)}{name}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -87,45 +108,8 @@ def materialize(df, name: str):
     return materialize_at(df, name)[0]
 
 
-_SHIPPED: set = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``paylake`` importable in executor-side Python workers (needed
-    by the stateful stream processor): zip the package, write it to the
-    shared checkpoint folder and register it with ``addPyFile``. Once per
-    application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    import io
-    import os
-    import zipfile
-
-    root = os.path.dirname(os.path.abspath(__file__))
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        for d, _, files in os.walk(root):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(d, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    target = f"{checkpoint_dir(spark).rstrip('/')}/paylake/pkg-{uuid.uuid4().hex}.zip"
-    jvm = sc._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
-    try:
-        out.write(bytearray(buf.getvalue()))
-    finally:
-        out.close()
-    sc.addPyFile(target)
-    _SHIPPED.add(sc.applicationId)
-
-
 def ensure_streaming_conf(spark: SparkSession) -> None:
-    """Stateful stream operators need the RocksDB state store provider and
-    the package on the executors."""
+    """Stateful stream operators need the RocksDB state store provider."""
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, "") != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
-    ship_package(spark)

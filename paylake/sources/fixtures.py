@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paylake.functions.text import zero_pad
 from paylake.schemas import RAW_COLUMNS, TOPIC_NAME, PARTITION_COUNT
-from paylake.sources.tables import memo_plan, normalise_raw, spread, table
+from paylake.sources.tables import normalise_raw, table
 
 # Fixed values of the adapter (event kind -> transaction type, etc.).
 RAW_TYPE_BY_EVENT = {"click": "P2P", "view": "mbp ", "purchase": "WDR", "signup": "DEP", "error": "XYZ"}
@@ -21,7 +22,6 @@ LIVE_TYPE_BY_EVENT = {"click": "P2P", "view": "MBP", "purchase": "WDR", "signup"
 RAW_OPERATOR_BY_MOD3 = ["MTN", " Vodafone", "AirtelTigo"]
 LIVE_OPERATOR_BY_MOD3 = ["MTN", "Vodafone", "AirtelTigo"]
 REGION_RENAME = {"MIDDLE EAST": "Brong-Ahafo"}
-DUPLICATE_OFFSET = 1_000_000_000
 
 
 def _pick(c: Column, mapping: dict) -> Column:
@@ -44,8 +44,8 @@ def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("n_nationkey", "r_name"))
 
 
-def _events_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> customer -> (nation -> region).
+def _events_with_region(spark: SparkSession, sf_dir: str, region: bool = True) -> DataFrame:
+    """events -> customer -> (nation -> region); without ``region`` the events alone.
 
     customer grows with the data, so its join is left to the optimizer's
     size statistics (broadcast only under the configured threshold, a
@@ -53,7 +53,9 @@ def _events_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows) and is always broadcast, after the customer join, so the event
     rows are never shuffled for it.
     """
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    if not region:
+        return ev.withColumn("r_name", F.lit(None).cast("string"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     geo = nation_regions(spark, sf_dir)
     return (ev.join(cust, ev.user_id == cust.c_custkey, "left")
@@ -72,34 +74,31 @@ def _region_name() -> Column:
     return out.otherwise(r)
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, normalise: bool = True) -> DataFrame:
-    return memo_plan(spark, ("raw_feed", sf_dir, normalise), lambda: _raw_feed(spark, sf_dir, normalise))
-
-
-def _raw_feed(spark: SparkSession, sf_dir: str, normalise: bool) -> DataFrame:
+def raw_feed(spark: SparkSession, sf_dir: str, normalise: bool = True, columns: list[str] = RAW_COLUMNS) -> DataFrame:
     """The raw transaction feed: ``ingest_seq`` + the 11 string columns.
 
     Deterministic dirt is injected from ``event_id``: null ids, unparseable
     timestamps, bad/negative/NaN amounts, fee tokens, untrimmed/odd-cased
-    text, unknown type codes, and a second copy of some rows (later
-    ``ingest_seq``). The duplicate copy is produced by a generator over the
-    same scan, not by a second scan and a union.
+    text, unknown type codes, and a second copy of some rows (the next
+    ``ingest_seq``; first copies have even ones). The duplicate copy is produced by a
+    generator over the same scan, not by a second scan and a union. Only
+    ``columns`` are derived: the dimension joins are left out without ``region``.
     """
-    e = _events_with_region(spark, sf_dir)
+    e = _events_with_region(spark, sf_dir, "region" in columns)
     eid = F.col("event_id")
     amt = _base_amount()
     copies = F.when(F.pmod(eid, F.lit(107)) == 19, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     e = e.select("*", F.explode(copies).alias("_copy"))
     status = F.pmod(eid, F.lit(25))
     df = e.select(
-        (eid + F.col("_copy") * F.lit(DUPLICATE_OFFSET)).alias("ingest_seq"),
+        (eid * 2 + F.col("_copy")).alias("ingest_seq"),
         F.when(F.pmod(eid, F.lit(101)) == 7, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("TXN"), F.lpad(eid.cast("string"), 8, "0"))).alias("transaction_id"),
+         .otherwise(F.concat(F.lit("TXN"), zero_pad(eid, 8))).alias("transaction_id"),
         F.when(F.pmod(eid, F.lit(103)) == 5, F.lit("invalid_date"))
          .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("timestamp"),
         F.when(F.pmod(eid, F.lit(89)) == 3, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("024"), F.lpad(F.col("user_id").cast("string"), 7, "0"))).alias("sender_msisdn"),
-        F.concat(F.lit("055"), F.lpad(F.pmod(F.col("user_id") * 7919 + eid * 31, F.lit(500)).cast("string"), 7, "0"))
+         .otherwise(F.concat(F.lit("024"), zero_pad(F.col("user_id"), 7))).alias("sender_msisdn"),
+        F.concat(F.lit("055"), zero_pad(F.pmod(F.col("user_id") * 7919 + eid * 31, F.lit(500)), 7))
          .alias("receiver_msisdn"),
         F.when(F.pmod(eid, F.lit(97)) == 11, F.lit("N/A"))
          .when(F.pmod(eid, F.lit(109)) == 13, F.lit("-5.00"))
@@ -112,21 +111,18 @@ def _raw_feed(spark: SparkSession, sf_dir: str, normalise: bool) -> DataFrame:
          .when(status == 3, "failed ").otherwise("SUCCESS").alias("status"),
         _region_name().alias("region"),
         F.when(F.pmod(eid, F.lit(61)) == 0, F.lit("N/A"))
-         .otherwise(F.round(amt * F.lit(0.01), 2).cast("decimal(8,2)").cast("string")).alias("fee"),
+         .otherwise(F.round(amt * F.lit(0.01), 2).cast("decimal(18,2)").cast("string")).alias("fee"),
     )
-    df = df.select("ingest_seq", *RAW_COLUMNS)
+    df = df.select("ingest_seq", *columns)
     return normalise_raw(df) if normalise else df
 
 
 def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memo_plan(spark, ("live_events", sf_dir), lambda: _live_events(spark, sf_dir))
-
-
-def _live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live event stream (one row per event, the A5 contract).
 
     Ten senders (``user_id % 10``) so that short gaps between one sender's
-    events occur; ``offset`` is the producer counter starting at 1.
+    events occur, some events without a sender and some with a time that
+    can't be read; ``offset`` is the producer counter starting at 1.
     """
     e = _events_with_region(spark, sf_dir)
     eid = F.col("event_id")
@@ -139,13 +135,15 @@ def _live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(TOPIC_NAME).alias("topic"),
         F.pmod(offset, F.lit(PARTITION_COUNT)).cast("int").alias("partition"),
         offset.cast("long").alias("offset"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.concat(F.lit("TXN-LIVE-"), F.lpad(offset.cast("string"), 8, "0")).alias("transaction_id"),
-        F.concat(F.lit("024"), F.lpad(F.pmod(F.col("user_id"), F.lit(10)).cast("string"), 7, "0")).alias("sender_msisdn"),
-        F.concat(F.lit("055"), F.lpad(F.pmod(F.col("user_id") * 7919 + eid * 31, F.lit(500)).cast("string"), 7, "0"))
+        F.when(F.pmod(eid, F.lit(79)) == 7, F.lit("garbage"))
+         .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("timestamp"),
+        F.concat(F.lit("TXN-LIVE-"), zero_pad(offset, 8)).alias("transaction_id"),
+        F.when(F.pmod(eid, F.lit(83)) != 5, F.concat(F.lit("024"), zero_pad(F.pmod(F.col("user_id"), F.lit(10)), 7)))
+         .alias("sender_msisdn"),
+        F.concat(F.lit("055"), zero_pad(F.pmod(F.col("user_id") * 7919 + eid * 31, F.lit(500)), 7))
          .alias("receiver_msisdn"),
         amount_ghs.alias("amount_ghs"),
-        F.round(amt * F.lit(0.01), 2).cast("decimal(8,2)").cast("double").alias("fee_ghs"),
+        F.round(amt * F.lit(0.01), 2).cast("decimal(18,2)").cast("double").alias("fee_ghs"),
         _pick(et, LIVE_TYPE_BY_EVENT).alias("transaction_type"),
         _by_mod3(F.col("user_id"), LIVE_OPERATOR_BY_MOD3).alias("operator"),
         F.when(et == "error", "FAILED").when(et == "signup", "PENDING").otherwise("SUCCESS").alias("status"),

@@ -4,76 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paylake.schemas import NULL_TOKENS, RAW, RAW_COLUMNS
-
-
-_PLANS: dict = {}
-
-
-def memo_plan(spark: SparkSession, key: tuple, build):
-    """Reuse a source DataFrame *definition* within one Spark application.
-
-    Only the lazy plan is kept (file listing and footer reads happen once);
-    every action still scans and computes from the files.
-    """
-    k = (spark.sparkContext.applicationId,) + key
-    df = _PLANS.get(k)
-    if df is None:
-        df = _PLANS[k] = build()
-    return df
+from paylake.functions.text import null_tokens
+from paylake.schemas import RAW_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One Parquet table of a data directory (``<dir>/<name>.parquet``)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return memo_plan(spark, ("table", path), lambda: spark.read.parquet(path))
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a source that has fewer splits than the cluster has task
-    slots (a small single-file table); a no-op for real inputs, which have
-    far more splits than slots."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
-def _null_token_sql(c: str) -> str:
-    tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in NULL_TOKENS)
-    return f"CASE WHEN `{c}` IN ({tokens}) THEN NULL ELSE `{c}` END AS `{c}`"
+    """One Parquet table of a data directory (``<dir>/<name>.parquet``), listed anew on every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def normalise_raw(df: DataFrame) -> DataFrame:
     """Turn the CSV null tokens (``N/A``, ``NaN``, ``NULL``, ...) into nulls in
     every raw column; other columns pass through."""
-    return df.selectExpr(*[_null_token_sql(c) if c in RAW_COLUMNS else f"`{c}`" for c in df.columns])
+    return df.select(*[null_tokens(F.col(c)).alias(c) if c in RAW_COLUMNS else F.col(c) for c in df.columns])
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Scan a raw transaction CSV with every column as a string.
 
-    No schema inference. ``ingest_seq`` records the input order (file, split
-    offset, row), which first-copy-wins de-duplication needs: Spark does not
-    schedule file splits in file order.
+    Columns go by the header's names, in any order; columns that the feed lacks
+    are null, others are ignored. Files of one feed must share a header (a file
+    with another one raises an error). Quotes inside quoted text are doubled.
+    With ``multi_line`` (the default) quoted text may hold line breaks, and a file
+    is one split; without it large files are split, for feeds that have none.
+
+    ``ingest_seq`` records the input order (file number, path, split offset, row),
+    which first-copy-wins de-duplication needs: Spark does not schedule splits in
+    file order, and part numbers have no fixed width.
     """
-    df = spark.read.schema(RAW).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    df = df.withColumn(
-        "ingest_seq",
-        F.struct(F.col("_metadata.file_path").alias("file"),
-                 F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("row")),
-    )
-    return normalise_raw(df.select("ingest_seq", *RAW_COLUMNS))
+    def reader():
+        return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+
+    names = reader().csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    df = reader().schema(schema).option("enforceSchema", False).csv(path)
+    file = F.col("_metadata.file_path")
+    number = F.regexp_extract(file, r"part-(\d+)[^/]*$", 1).try_cast("long")
+    seq = F.struct(number.alias("part"), file.alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                   F.monotonically_increasing_id().alias("row"))
+    raw = [F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS]
+    return normalise_raw(df.select(seq.alias("ingest_seq"), *raw))
 
 
-def write_raw_csv(df: DataFrame, path: str, order: str = "ingest_seq") -> None:
+def write_raw_csv(df: DataFrame, path: str, order: str = "ingest_seq", columns: list[str] = RAW_COLUMNS) -> None:
     """Write a raw feed as headered CSV (the original input format), in
     ``order``: range-partitioned (as many ranges as shuffle partitions,
     adjacent ones merged by AQE up to the advisory size, so file sizes
     follow the data), sorted inside each file, so the file names and the
     row positions reproduce the input order. Whitespace is kept as is
-    (Spark's CSV writer trims it by default)."""
-    (df.repartitionByRange(order).sortWithinPartitions(order).select(*RAW_COLUMNS)
-     .write.mode("errorifexists").option("header", True)
+    (Spark's CSV writer trims it by default); quotes are doubled."""
+    (df.repartitionByRange(order).sortWithinPartitions(order).select(*columns)
+     .write.mode("errorifexists").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))

@@ -36,7 +36,9 @@ RARE = 2.0 ** -18
 HOT = 2.0 ** -20
 LEAST = 8
 DISCOUNT = 0.5
-#: Sequences and words that a task counts before it passes the counts on.
+#: Tokens that a task works on at once, and sequences and words that it counts before it
+#: passes the counts on.
+CHUNK = 400_000
 KEYS = 4_000_000
 WORDS = 400_000
 #: The end of a text, as a word (no word is empty).
@@ -212,12 +214,18 @@ def _encode(held):
     return run
 
 
-def _numbers(column):
-    """The numbers of a batch's texts in one array, and where each text starts."""
+def _numbers(batches, column: int, chunk: int | None = None):
+    """Runs of whole texts with about ``chunk`` numbers: the batch, its rows from and to,
+    the numbers in one array, and where each text starts in it."""
     import numpy as np
 
-    offsets = column.offsets.to_numpy()
-    return column.values.to_numpy()[offsets[0]:offsets[-1]].astype(np.int64), offsets - offsets[0]
+    for b in batches:
+        offsets, values = b.column(column).offsets.to_numpy(), b.column(column).values.to_numpy()
+        start = 0
+        while start < b.num_rows:
+            stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + (chunk or CHUNK), "right")) - 1)
+            yield b, start, stop, values[offsets[start]:offsets[stop]].astype(np.int64), offsets[start:stop + 1] - offsets[start]
+            start = stop
 
 
 def _count_sequences(held, m: int):
@@ -232,8 +240,7 @@ def _count_sequences(held, m: int):
                                                  names=["key", "n"])
 
         model, keys, size = held.value, [], 0
-        for b in batches:
-            ids, _ = _numbers(b.column(0))
+        for _, _, _, ids, _ in _numbers(batches, 0):
             key, ok = model.candidates(ids, model.levels(ids, m - 1)[m - 1])
             keys.append(key[ok])
             size += len(keys[-1])
@@ -251,13 +258,10 @@ def _score(held, depth: int):
         import pyarrow as pa
 
         model = held.value
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ids, starts = _numbers(b.column(3))
+        for b, start, stop, ids, starts in _numbers(batches, 3):
             base, extra = model.score(ids, depth)
             sums = [np.add.reduceat(x, starts[:-1]) for x in ((ids >= 0).astype(np.int64), base, extra)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.diff(starts).astype(np.int64)), *map(pa.array, sums)],
+            yield pa.RecordBatch.from_arrays([*(c.slice(start, stop - start) for c in b.columns[:3]), pa.array(np.diff(starts).astype(np.int64)), *map(pa.array, sums)],
                                              names=["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "extra"])
     return run
 

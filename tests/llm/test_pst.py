@@ -121,3 +121,12 @@ def test_long_text_and_chunks(spark, monkeypatch):
     rows = [(i, "x y z " * 2000) for i in range(5)] + [(10, "x y z " * 30000)]
     got = {r.doc_id: r for r in pst.score_texts(docs_frame(spark, rows)).collect()}
     assert got[10].n_tokens == 90001 and got[10].score > got[10].base_score
+
+
+def test_chunks_hold_whole_texts():
+    import pyarrow as pa
+    lists = [[1], [], [2, 3, 4], [5], [6, 7], list(range(20)), [8]]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], names=["ids"]).slice(1)
+    for chunk in (1, 3, 5, 100):
+        got = [ids[a:b].tolist() for _, _, _, ids, starts in pst._numbers([batch], 0, chunk) for a, b in zip(starts, starts[1:])]
+        assert got == lists[1:]

@@ -33,8 +33,6 @@ BATCH_BYTES = 8 << 20
 UNKNOWN = "und"
 
 _COUNT_BITS = 28  # a transition holds the next state below, the phrases it ends above
-_built: dict[int, "Parser"] = {}
-
 
 def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " "))
@@ -175,12 +173,10 @@ def _predict(held):
     def run(batches):
         import pyarrow as pa
 
-        sample = held.value
-        key = hash(tuple(sample))
-        if key not in _built:
-            _built.clear()
-            _built[key] = Parser(sample)
-        parser = _built[key]
+        state = held.value  # a worker's tasks share it
+        if "parser" not in state:
+            state["parser"] = Parser(state["sample"])
+        parser = state["parser"]
         for b in batches:
             texts, ok = texts_of(b, 1), b.column(2).to_pylist()
             langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -209,7 +205,7 @@ def identify(docs: DataFrame, sample: list[tuple[str, bytes]], id_col: str = "do
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(sample)
+    held = docs.sparkSession.sparkContext.broadcast({"sample": sample})
     kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     body = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), normalised(body).alias("body"), has_letter(body).alias("ok"))

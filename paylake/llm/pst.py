@@ -95,8 +95,17 @@ class Model:
             self.index = {w: k for k, w in enumerate(self.words)}
         return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
 
-    def __getstate__(self):
-        return self.__dict__ | {"index": None}
+    def state(self) -> dict:
+        """What makes the model up, as plain data for a broadcast."""
+        return {"model": self.__dict__ | {"index": None}}
+
+    @staticmethod
+    def of(state: dict) -> "Model":
+        """The model of a broadcast state; kept there, since a worker's tasks share it."""
+        if "built" not in state:
+            state["built"] = Model.__new__(Model)
+            state["built"].__dict__.update(state["model"])
+        return state["built"]
 
     def without_words(self) -> "Model":
         """The same without the words' texts: what passes over numbers need."""
@@ -194,7 +203,7 @@ def _encode(held):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        model, row = held.value, TaskContext.get().partitionId() << 36
+        model, row = Model.of(held.value), TaskContext.get().partitionId() << 36
         for b in batches:
             docs = [tokens(t) for t in texts_of(b, 2)]
             if not docs:
@@ -239,7 +248,7 @@ def _count_sequences(held, m: int):
                 yield pa.RecordBatch.from_arrays([pa.array(uniq[k:k + (1 << 18)]), pa.array(n[k:k + (1 << 18)].astype(np.int64))],
                                                  names=["key", "n"])
 
-        model, keys, size = held.value, [], 0
+        model, keys, size = Model.of(held.value), [], 0
         for _, _, _, ids, _ in _numbers(batches, 0):
             key, ok = model.candidates(ids, model.levels(ids, m - 1)[m - 1])
             keys.append(key[ok])
@@ -257,7 +266,7 @@ def _score(held, depth: int):
         import numpy as np
         import pyarrow as pa
 
-        model = held.value
+        model = Model.of(held.value)
         for b, start, stop, ids, starts in _numbers(batches, 3):
             base, extra = model.score(ids, depth)
             sums = [np.add.reduceat(x, starts[:-1]) for x in ((ids >= 0).astype(np.int64), base, extra)]
@@ -280,10 +289,10 @@ def learn(rows: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, "M
     model = Model([w for _, w in order], np.array([c for c, _ in order], np.float64), total, distinct)
     kind = rows.schema["id"].dataType.simpleString()
     encoded = materialize(rows.mapInArrow(
-        _encode(sc.broadcast(model)), f"row long, id {kind}, held_out boolean, ids array<int>, cold array<binary>"), "encoded")
+        _encode(sc.broadcast(model.state())), f"row long, id {kind}, held_out boolean, ids array<int>, cold array<binary>"), "encoded")
     model = model.without_words()
     for m in range(2, depth + 2):
-        held = sc.broadcast(model)
+        held = sc.broadcast(model.state())
         found = (encoded.filter(~F.col("held_out")).select("ids").mapInArrow(_count_sequences(held, m), "key long, n long")
                  .groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= model.least).toArrow())
         model.add_level(m, found.column("key").to_numpy(), found.column("n").to_numpy())
@@ -308,7 +317,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     held_out = remainder(F.col(id_col), held_out_mod) == held_out_rest
     rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("body"))
     counts, encoded, model = learn(rows, depth)
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model.state())
     kind = rows.schema["id"].dataType.simpleString()
     scored = encoded.select("row", "id", "held_out", "ids").mapInArrow(
         _score(held, depth), f"row long, id {kind}, held_out boolean, n_tokens long, hot_known long, hot_base double, extra double")

@@ -25,8 +25,6 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Lengths in a block of the suffix sums.
 BLOCK = 4096
 
-_encoders: dict = {}
-
 
 def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
     """A vocabulary file (base64 piece and rank on a line), read by the driver and
@@ -37,14 +35,13 @@ def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def encoder(ranks: dict[bytes, int]):
+def encoder(state: dict):
+    """The tokenizer of ``state["ranks"]``; kept in ``state``, which a worker's tasks share."""
     import tiktoken
 
-    key = (len(ranks), id(ranks))
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encoders[key]
+    if "encoder" not in state:
+        state["encoder"] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=state["ranks"], special_tokens={})
+    return state["encoder"]
 
 
 def _lengths(held):
@@ -72,7 +69,7 @@ def length_histogram(docs: DataFrame, ranks: dict[bytes, int], text_col: str = "
     empty texts have length 0; every row counts, repeated ones too; an empty table
     gives no rows. Strings of special tokens in a text are ordinary text."""
     bounded_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(ranks)
+    held = docs.sparkSession.sparkContext.broadcast({"ranks": ranks})
     rows = docs.select(F.col(text_col).cast("string").alias("body"))
     return (rows.mapInArrow(_lengths(held), "length long, n_docs long")
             .groupBy("length").agg(F.sum("n_docs").alias("n_docs")))

@@ -23,7 +23,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that this public vocabulary splits texts with (a fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Lengths in a block of the suffix sums.
-BLOCK = 4096
+BLOCK = 256
 
 
 def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -86,6 +87,23 @@ def release(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _STAGED:
+        _STAGED.remove(path)
+
+
+_STAGED: list[str] = []
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Folders staged inside are released at the end, but for those given to the function
+    that the scope yields. For steps whose result is written before the scope ends."""
+    before, kept = set(_STAGED), set()
+    try:
+        yield kept.add
+    finally:
+        for path in [p for p in _STAGED if p not in before and p not in kept]:
+            release(spark, path)
 
 
 def materialize_at(df, name: str):
@@ -100,6 +118,7 @@ def materialize_at(df, name: str):
     spark = df.sparkSession
     path = f"{stage_root(spark)}{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -96,3 +96,14 @@ def test_quality_rules_report_violations(spark):
     nulls = {r.column_name: r.null_rows for r in Q.null_counts(df, ["transaction_id", "transaction_amount_ghs"]).collect()}
     assert nulls == {"transaction_id": 1, "transaction_amount_ghs": 1}
     assert Q.non_positive_amounts(df, "transaction_amount_ghs").count() == 1
+
+
+def test_stage_scope_releases_all_but_the_kept(spark):
+    from paylake.session import materialize_at, stage_scope
+    outside, path0 = materialize_at(spark.range(3), "scope")
+    with stage_scope(spark) as keep:
+        _, path1 = materialize_at(spark.range(4), "scope")
+        kept, path2 = materialize_at(spark.range(5), "scope")
+        keep(path2)
+    exists = lambda p: os.path.exists(p.removeprefix("file:"))
+    assert (outside.count(), kept.count()) == (3, 5) and exists(path0) and not exists(path1)

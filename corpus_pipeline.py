@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from paylake.llm import decontam, linededup, packing, rules, simhash
 from paylake.llm.common import read
-from paylake.session import materialize
+from paylake.session import materialize_at, release, stage_scope
 
 #: No SQL: the decision list, the fingerprints and the packing are not expressible in
 #: it; ``tests/llm`` holds the pipeline against a brute-force version.
@@ -52,7 +52,14 @@ STAGES = [("quality_rules", quality), ("line_dedup", lines), ("near_duplicates",
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage stages goes when its result is written, and that
+    result when the next one is."""
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with stage_scope(spark) as keep:
+            docs, path = materialize_at(stage(spark, docs, sf_dir), f"stage-{name}")
+            keep(path)
+        if last:
+            release(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,13 +9,12 @@ from paylake.functions.calendar import epoch_micros, gap_seconds
 from paylake.operators.sequence import previous_value
 from paylake.schemas import HIGH_VALUE_QUANTILE, RAPID_GAP_SECONDS
 
-# Order-preserving coarse bucket: 3 significant digits per decade.
-# The number of buckets is bounded by the value domain (about 900 per
-# decade), not by the row count, so the one-task running sum over the
-# coarse histogram is bounded too.
+# Order-preserving coarse bucket: 5 significant digits per decade. The number
+# of buckets is bounded by the value domain (90,000 per decade, about a million for
+# amounts of 12 digits), not by the row count, and so is the one-task running sum over
+# them; a bucket of such amounts holds ten million different cents at most.
 _DECADE_OFFSET = 400
-# Sub-ranges that a coarse bucket which holds a wanted rank is split into.
-_SUB_BUCKETS = 1 << 16
+_DIGITS = 5
 # A sender's rows of so many seconds make one piece of work.
 SPLIT_SECONDS = 3600
 
@@ -23,8 +22,8 @@ SPLIT_SECONDS = 3600
 def _coarse_bucket(v: Column) -> Column:
     a = F.abs(v)
     e = F.floor(F.log10(a))
-    m = F.floor(a / F.pow(F.lit(10.0), e - 2))
-    mag = (e + _DECADE_OFFSET) * 1000 + m
+    m = F.floor(a / F.pow(F.lit(10.0), e - (_DIGITS - 1)))
+    mag = (e + _DECADE_OFFSET) * 10 ** _DIGITS + m
     return F.when(v == 0, F.lit(0)).when(v > 0, mag).otherwise(-mag).cast("long")
 
 
@@ -38,9 +37,8 @@ def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold") -
          construction) with running counts and the total in one window ->
          the one or two buckets holding ranks ``floor(r)`` and ``ceil(r)``,
          ``r = (n - 1) * q``;
-      3. the same over ``_SUB_BUCKETS`` equal value ranges of those buckets;
-      4. running counts inside the one or two ranges left -> the two values;
-      5. ``lo + (hi - lo) * (r - floor(r))`` in double.
+      3. running counts inside those buckets only -> the two values;
+      4. ``lo + (hi - lo) * (r - floor(r))`` in double.
     Empty input gives a null quantile.
     """
     v = F.col(col).cast("double")
@@ -51,19 +49,13 @@ def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold") -
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     r = ((F.sum("n").over(Window.partitionBy()) - 1).cast("double") * F.lit(float(q)))
-    coarse = (hist.groupBy("b").agg(F.sum("n").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-              .select("*", before(Window.orderBy("b")).alias("start"), r.alias("r"))
+    coarse = (hist.groupBy("b").agg(F.sum("n").alias("n"))
+              .select("b", "n", before(Window.orderBy("b")).alias("start"), r.alias("r"))
               .withColumn("lo", F.floor("r")).withColumn("hi", F.ceil("r")))
-    # at most two rows each: broadcasting them is bounded
-    buckets = coarse.where(covers("lo") | covers("hi")).select("b", F.col("start").alias("bstart"), "lo", "hi", "r", "vmin", "vmax")
-    width = F.col("vmax") - F.col("vmin")
-    sub = F.when(width > 0, F.floor((F.col("v") - F.col("vmin")) / width * F.lit(_SUB_BUCKETS - 1))).otherwise(F.lit(0)).cast("long")
-    inside = hist.join(F.broadcast(buckets), "b").withColumn("sub", sub)
-    subs = (inside.groupBy("b", "sub", "bstart", "lo", "hi").agg(F.sum("n").alias("n"))
-            .withColumn("start", F.col("bstart") + before(Window.partitionBy("b").orderBy("sub"))))
-    ranges = subs.where(covers("lo") | covers("hi")).select("b", "sub", F.col("start").alias("sstart"))
-    fine = (inside.join(F.broadcast(ranges), ["b", "sub"])
-            .withColumn("start", F.col("sstart") + before(Window.partitionBy("b", "sub").orderBy("v"))))
+    # at most two rows: broadcasting them is bounded
+    buckets = coarse.where(covers("lo") | covers("hi")).select("b", F.col("start").alias("bstart"), "lo", "hi", "r")
+    fine = (hist.join(F.broadcast(buckets), "b")
+            .withColumn("start", F.col("bstart") + before(Window.partitionBy("b").orderBy("v"))))
     picked = fine.agg(
         F.max(F.when(covers("lo"), F.col("v"))).alias("vlo"),
         F.max(F.when(covers("hi"), F.col("v"))).alias("vhi"),

@@ -39,8 +39,8 @@ DISCOUNT = 0.5
 #: Tokens that a task works on at once, and sequences and words that it counts before it
 #: passes the counts on.
 CHUNK = 400_000
-KEYS = 4_000_000
-WORDS = 400_000
+KEYS = 2_000_000
+WORDS = 300_000
 #: The end of a text, as a word (no word is empty).
 END = b""
 

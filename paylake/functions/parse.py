@@ -9,33 +9,29 @@ from paylake.functions.text import strip
 from paylake.schemas import TIMESTAMP_FORMAT
 
 
-# ``yyyy-MM-dd HH:mm:ss`` with an optional fraction of 1 to 6 digits.
-_DEFAULT_TS = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
+# ``yyyy-MM-dd HH:mm:ss`` with an optional fraction of 1 to 6 digits; ISO has a T between.
+_DEFAULT_TS = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?\z"
+_ISO_TS = _DEFAULT_TS.replace(" ", "T")
 
 
 def parse_timestamp(c: Column, fmt: str = TIMESTAMP_FORMAT) -> Column:
     """Text -> ``timestamp_ntz`` with one declared format; anything else -> null.
 
-    A bare ``cast`` would accept ``'12:30'`` (today at 12:30) or ``'2024'``;
-    a declared format does not. The default format is read field by field
-    (fixed positions) into ``try_make_timestamp_ntz``: no time zone is
-    involved, so a wall-clock time inside a DST gap of the session zone is
-    kept as written, and impossible dates give null. Other formats go
+    A bare ``cast`` would accept ``'12:30'`` (today at 12:30) or ``'2024'``, so the
+    text has to match the declared format first. No time zone is involved in a
+    cast to ``timestamp_ntz``: a wall-clock time inside a DST gap of the session
+    zone is kept as written, and impossible dates give null. Other formats go
     through ``try_to_timestamp`` (interpreted in the session time zone).
     """
     if fmt != TIMESTAMP_FORMAT:
         return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
-    part = lambda pos, n: F.substring(c, pos, n).try_cast("int")
-    secs = F.substring(c, 18, 9).try_cast("decimal(8,6)")
-    ts = F.try_make_timestamp_ntz(part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2), secs)
-    return F.when(c.rlike(_DEFAULT_TS), ts)
+    return F.when(c.rlike(_DEFAULT_TS), c.try_cast("timestamp_ntz"))
 
 
 def parse_iso_timestamp(c: Column) -> Column:
     """ISO text (``yyyy-MM-ddTHH:mm:ss`` with an optional fraction) -> ``timestamp_ntz``;
     anything else -> null. No time zone is involved."""
-    spaced = F.concat(F.substring(c, 1, 10), F.lit(" "), F.substring(c, 12, 1 << 30))
-    return F.when(F.substring(c, 11, 1) == "T", parse_timestamp(spaced))
+    return F.when(c.rlike(_ISO_TS), c.try_cast("timestamp_ntz"))
 
 
 def parse_decimal(c: Column, precision: int = 12, scale: int = 2) -> Column:

@@ -51,7 +51,9 @@ def partition_slice(events: DataFrame, partition: int | None = None) -> DataFram
 def event_time(events: DataFrame) -> DataFrame:
     """``event_us``: the ISO ``timestamp`` text as wall-clock micros (null if it can't be
     read; a naive ISO time difference does not depend on a time zone)."""
-    return events.withColumn("event_us", epoch_micros(parse_iso_timestamp(F.col("timestamp"))))
+    # parsed in a step of its own: the micros use the parsed time several times
+    timed = events.withColumn("_time", parse_iso_timestamp(F.col("timestamp")))
+    return timed.withColumn("event_us", epoch_micros(F.col("_time"))).drop("_time")
 
 
 def alert_texts(amount: Column, status: Column, is_high_value: Column, gap_sec: Column) -> Column:

@@ -1,8 +1,8 @@
 """LM scoring with a probabilistic suffix tree over words.
 
 Method: a state is a context of up to ``DEPTH`` preceding words. Candidates are the
-contexts and next words seen at least ``max(LEAST, RARE * N)`` times (N: training
-tokens); a context is retained if its next-word distribution diverges from its parent's
+contexts and next words seen at least ``LEAST`` times, however large the corpus; a context
+is retained if its next-word distribution diverges from its parent's
 (the longest retained proper suffix) by more than its description costs: count times
 Kullback-Leibler divergence over half a log of the count per next word. Retained
 distributions are smoothed: a discount on each seen next word, the rest of the
@@ -12,34 +12,42 @@ retained suffix state. The root is the base model, (c + 1) / (N + V + 1).
 Tokens are words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, then one end of text.
 Contexts don't reach over a text's beginning.
 
-Scale: words are counted over all training texts by a shuffle with map-side counts, and
-so are the sequences of each length, of which only those can be frequent whose two shorter
-parts are. At most ``1 / RARE`` sequences of a length are that frequent, and at most
-``1 / HOT`` words exceed ``HOT * N``: that bounds what is broadcast, whatever the
-corpus. The texts are written once as those words' numbers, which all later passes read;
-their other words get their counts from a distributed join.
+Scale: words and the sequences of each length are counted over all training texts by
+shuffles with map-side counts, and the tree is grown by joins of those tables; it is never
+held in one place. What a sequence adds to a token's score is one number: for a retained
+context, the log of its share for unseen words, and for a seen next word the difference to
+that. So a text's score is its base score and the sum of its sequences' numbers. The most
+frequent ``HELD`` at most of those numbers are broadcast, the others are joined. Passes leave
+out sequences with an infrequent part by a bitmap of ``BITS`` bits, a broadcast of fixed
+size: its false hits cost time and change no result. At most ``1 / HOT`` words exceed
+``HOT * N``: the texts are written once as those words' numbers, which all later passes
+read; their other words get their counts from a distributed join. Sequences are known by
+64-bit hashes (a word by its number, or by a hash of 63 bits).
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 from itertools import repeat
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.llm.common import bounded_batches, remainder, texts_of
-from paylake.session import materialize
+from paylake.session import materialize, materialize_at, stage_scope
 
 DEPTH = 3
-RARE = 2.0 ** -18
 HOT = 2.0 ** -20
 LEAST = 8
 DISCOUNT = 0.5
+#: Sequences whose numbers are broadcast, and bits of a bitmap of sequences.
+HELD = 1 << 20
+BITS = 1 << 27
 #: Tokens that a task works on at once, and sequences and words that it counts before it
 #: passes the counts on.
 CHUNK = 400_000
-KEYS = 2_000_000
+KEYS = 1_500_000
 WORDS = 300_000
 #: The end of a text, as a word (no word is empty).
 END = b""
@@ -66,8 +74,10 @@ def _count_words(batches):
 
 
 class Model:
-    """Frequent words and sequences as sorted keys, and what scoring needs of the tree.
+    """The most frequent words, and a tree that fits into memory: what the distributed
+    tree of :func:`learn` has to agree with.
 
+    Frequent words and sequences are sorted keys, with what scoring needs of the tree.
     Level m holds the frequent sequences of m words. ``keys[m]`` are (number of the
     sequence without its last word at level m - 1) * width + last word's number.
     """
@@ -77,8 +87,7 @@ class Model:
 
         self.words, self.total, self.distinct = words, total, distinct
         self.base = np.log10((counts + 1.0) / (total + distinct + 1))
-        least = max(LEAST, RARE * total)
-        self.least = least
+        self.least = least = LEAST
         self.width = max(1, int((counts >= least).sum()))  # words come by falling count
         self.keys: dict[int, object] = {}
         self.counts = {1: counts[:self.width].astype(np.int64)}
@@ -107,12 +116,6 @@ class Model:
             state["built"].__dict__.update(state["model"])
         return state["built"]
 
-    def without_words(self) -> "Model":
-        """The same without the words' texts: what passes over numbers need."""
-        self.end_id = self.end
-        self.words, self.index = [], {}
-        return self
-
     def levels(self, ids, depth: int):
         """Numbers of the frequent sequences of 1 to ``depth`` words that end at each token (-1: none)."""
         import numpy as np
@@ -195,6 +198,68 @@ class Model:
         return base, now - base
 
 
+def _cold_keys(words: list[bytes]):
+    """Keys of words without a number: hashes below 0."""
+    import hashlib
+
+    import numpy as np
+
+    return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in words), "<i8") | np.int64(-1 << 63)
+
+
+def _mix(context, shorter):
+    """The key of a sequence from those of its first and its last words."""
+    import numpy as np
+
+    x = context.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    for more in (shorter.view(np.uint64), np.uint64(0)):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x = (x ^ (x >> np.uint64(31))) + more
+    return x.view(np.int64)
+
+
+def _marked(bits, keys):
+    """Which keys' bits are set."""
+    import numpy as np
+
+    at = keys & np.int64(len(bits) * 64 - 1)
+    return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
+
+
+def _bitmap(keys: DataFrame, bits=None):
+    """The bitmap of a column ``key``, added to ``bits``; BITS / 64 rows at most reach the driver."""
+    import numpy as np
+
+    out = np.zeros(BITS // 64, np.uint64) if bits is None else bits.copy()
+    at = keys.select(F.col("key").bitwiseAND(F.lit(BITS - 1)).alias("at"))
+    found = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("set")).toArrow()
+    out[found.column("word").to_numpy()] |= found.column("set").to_numpy().view(np.uint64)
+    return out
+
+
+def _word_keys(held):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        model = Model.of(held.value)
+        for b in batches:
+            words = texts_of(b, 0)
+            keys = model.ids(words)
+            keys[keys < 0] = _cold_keys([words[k] for k in np.flatnonzero(keys < 0).tolist()])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), b.column(1)], names=["key", "n"])
+    return run
+
+
+def _sequence_keys(batches):
+    import pyarrow as pa
+
+    for b in batches:
+        key = _mix(b.column(0).to_numpy(), b.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "ctx", "shorter", "n"])
+
+
 def _encode(held):
     """Texts to word numbers, once: every later pass reads the numbers. The words
     without one are kept as they are."""
@@ -217,8 +282,9 @@ def _encode(held):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + len(docs))), b.column(0), b.column(1),
                  pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32))),
-                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(cold, pa.binary()))],
-                names=["row", "id", "held_out", "ids", "cold"])
+                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(cold, pa.binary())),
+                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(_cold_keys(cold)))],
+                names=["row", "id", "held_out", "ids", "cold", "cold_keys"])
             row += len(docs)
     return run
 
@@ -237,27 +303,53 @@ def _numbers(batches, column: int, chunk: int | None = None):
             start = stop
 
 
+def _sequences(b, start: int, stop: int, ids, starts, cold: int, width: int, bits, depth: int):
+    """For each length up to ``depth``, the sequences whose two shorter parts the bitmap
+    holds: the places where they end, their keys, and whether the bitmap holds them."""
+    import numpy as np
+
+    offsets, values = b.column(cold).offsets.to_numpy(), b.column(cold).values.to_numpy()
+    key = ids.copy()
+    key[ids < 0] = values[offsets[start]:offsets[stop]]
+    seen = (ids >= 0) & (ids < width)
+    at = np.flatnonzero(ids < 0)
+    seen[at] = _marked(bits, key[at])
+    yield 1, np.arange(len(ids)), key, seen, None, None
+    inside = np.ones(len(ids), bool)
+    inside[starts[:-1]] = False
+    for m in range(2, depth + 1):
+        at = np.flatnonzero(seen[1:] & seen[:-1] & inside[1:]) + 1
+        ctx, shorter = key[at - 1], key[at]
+        now = _mix(ctx, shorter)
+        hit = _marked(bits, now)
+        yield m, at, now, hit, ctx, shorter
+        key, seen = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+        key[at], seen[at] = now, hit
+
+
 def _count_sequences(held, m: int):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        def out(keys):
-            uniq, n = np.unique(np.concatenate(keys), return_counts=True)
-            for k in range(0, len(uniq), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(uniq[k:k + (1 << 18)]), pa.array(n[k:k + (1 << 18)].astype(np.int64))],
-                                                 names=["key", "n"])
-
-        model, keys, size = Model.of(held.value), [], 0
-        for _, _, _, ids, _ in _numbers(batches, 0):
-            key, ok = model.candidates(ids, model.levels(ids, m - 1)[m - 1])
-            keys.append(key[ok])
-            size += len(keys[-1])
+        def out(found):
+            key, ctx, shorter = map(np.concatenate, zip(*found))
+            _, first, n = np.unique(key, return_index=True, return_counts=True)
+            for k in range(0, len(first), 1 << 18):
+                take = first[k:k + (1 << 18)]
+                yield pa.RecordBatch.from_arrays([pa.array(ctx[take]), pa.array(shorter[take]), pa.array(n[k:k + (1 << 18)].astype(np.int64))],
+                                                 names=["ctx", "shorter", "n"])
+
+        found, size = [], 0
+        for run_of in _numbers(batches, 0):
+            *_, (_, _, key, _, ctx, shorter) = _sequences(*run_of, 1, held.value["width"], held.value["bits"], m)
+            found.append((key, ctx, shorter))
+            size += len(key)
             if size >= KEYS:
-                yield from out(keys)
-                keys, size = [], 0
-        if keys:
-            yield from out(keys)
+                yield from out(found)
+                found, size = [], 0
+        if size:
+            yield from out(found)
     return run
 
 
@@ -266,39 +358,109 @@ def _score(held, depth: int):
         import numpy as np
         import pyarrow as pa
 
-        model = Model.of(held.value)
+        base, width, bits, keys, values, rest = (held.value[k] for k in ("base", "width", "bits", "keys", "values", "rest"))
+        numbered = np.full(len(base), np.nan)  # the held numbers of the words that have one themselves
+        own = (keys >= 0) & (keys < len(base))
+        numbered[keys[own]] = values[own]
         for b, start, stop, ids, starts in _numbers(batches, 3):
-            base, extra = model.score(ids, depth)
-            sums = [np.add.reduceat(x, starts[:-1]) for x in ((ids >= 0).astype(np.int64), base, extra)]
-            yield pa.RecordBatch.from_arrays([*(c.slice(start, stop - start) for c in b.columns[:3]), pa.array(np.diff(starts).astype(np.int64)), *map(pa.array, sums)],
-                                             names=["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "extra"])
+            hot = ids >= 0
+            of = np.where(hot, base[np.maximum(ids, 0)], 0.0) if len(base) else np.zeros(len(ids))
+            extra, open_at, open_keys = np.zeros(len(ids)), [], []
+            for m, at, key, seen, _, _ in _sequences(b, start, stop, ids, starts, 4, width, bits, depth + 1):
+                at, key = at[seen], key[seen]
+                add = np.full(len(key), np.nan)
+                if m == 1:
+                    add[key >= 0] = numbered[key[key >= 0]]
+                look = np.flatnonzero(key < 0) if m == 1 else np.arange(len(key))
+                if len(keys):
+                    k = np.minimum(np.searchsorted(keys, key[look]), len(keys) - 1)
+                    add[look] = np.where(keys[k] == key[look], values[k], np.nan)
+                known = ~np.isnan(add)
+                extra[at[known]] += add[known]
+                at, key = at[~known], key[~known]
+                left = _marked(rest, key)
+                open_at.append(at[left])
+                open_keys.append(key[left])
+            open_at, open_keys = np.concatenate(open_at), np.concatenate(open_keys)
+            order = np.argsort(open_at, kind="stable")
+            cuts = np.searchsorted(open_at[order], starts).astype(np.int32)
+            sums = [np.add.reduceat(x, starts[:-1]) for x in (hot.astype(np.int64), of, extra)]
+            yield pa.RecordBatch.from_arrays([*(c.slice(start, stop - start) for c in b.columns[:3]), pa.array(np.diff(starts).astype(np.int64)), *map(pa.array, sums),
+                                              pa.ListArray.from_arrays(pa.array(cuts), pa.array(open_keys[order]))],
+                                             names=["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "extra", "open"])
     return run
 
 
-def learn(rows: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, "Model"]:
+def _grow(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The divergence test of the contexts in ``grams (key, ctx, shorter, n)``, whose parts are
+    in ``shorter (key, n, lp)``: the grams with ``lp`` and, after a retained context, what
+    they add; and the retained contexts with what they add."""
+    g = (grams.join(shorter.select(F.col("key").alias("ctx"), F.col("n").alias("of")), "ctx")
+         .join(shorter.select(F.col("key").alias("shorter"), F.col("lp").alias("parent")), "shorter")
+         .select("key", "ctx", "n", "of", "parent", ((F.col("n") - DISCOUNT) / F.col("of")).alias("p")))
+    g = materialize(g, "sequences-of")
+    q, least = F.pow(F.lit(10.0), "parent"), F.lit(1e-12)
+    tests = (g.groupBy("ctx").agg(F.first("of").alias("of"), F.count("*").alias("kinds"), F.sum("p").alias("mass"), F.sum(q).alias("parent_mass"),
+                                  F.sum(F.col("p") * F.log(F.col("p") / q)).alias("kl"))
+             .withColumn("rest", F.greatest(1 - F.col("mass"), least)).withColumn("share", F.col("rest") / F.greatest(1 - F.col("parent_mass"), least)))
+    kl = F.col("kl") + F.col("rest") * F.log("share")
+    kept = tests.filter(F.col("of") * kl > 0.5 * (F.col("kinds") + 1) * F.log(F.greatest("of", F.lit(2))))
+    kept = materialize(kept.select("ctx", F.col("of").alias("n"), F.log10("share").alias("add")), "contexts")
+    lp = F.log10("p")
+    out = g.join(kept.select("ctx", F.col("add").alias("la")), "ctx", "left").select(
+        "key", "n", F.when(F.col("la").isNull(), F.col("parent")).otherwise(lp).alias("lp"), (lp - F.col("parent") - F.col("la")).alias("add"))
+    return materialize(out, "sequences"), kept.select(F.col("ctx").alias("key"), "n", "add")
+
+
+def learn(rows: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, DataFrame, "Model", object]:
     """From ``rows (id, held_out, body)``: all training words' counts (a table ``word, c``),
-    the rows in word numbers, and the tree."""
+    the rows in word numbers, the tree as what each sequence adds (a table ``key, n, add``),
+    the most frequent words, and the bitmap of the frequent sequences."""
     import numpy as np
 
-    sc = rows.sparkSession.sparkContext
+    spark = rows.sparkSession
+    sc = spark.sparkContext
     train = rows.filter(~F.col("held_out")).select("body")
-    counts = materialize(train.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    hot = counts.filter(F.col("c") >= HOT * total).toArrow()
-    order = sorted(zip(hot.column("c").to_pylist(), hot.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
-    model = Model([w for _, w in order], np.array([c for c, _ in order], np.float64), total, distinct)
-    kind = rows.schema["id"].dataType.simpleString()
-    encoded = materialize(rows.mapInArrow(
-        _encode(sc.broadcast(model.state())), f"row long, id {kind}, held_out boolean, ids array<int>, cold array<binary>"), "encoded")
-    model = model.without_words()
-    for m in range(2, depth + 2):
+    counts = train.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    with stage_scope(spark) as keep:
+        counts, path = materialize_at(counts, "word-counts")
+        keep(path)
+        total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+        hot = counts.filter(F.col("c") >= HOT * total).toArrow()
+        order = sorted(zip(hot.column("c").to_pylist(), hot.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
+        model = Model([w for _, w in order], np.array([c for c, _ in order], np.float64), total, distinct)
+        kind = rows.schema["id"].dataType.simpleString()
         held = sc.broadcast(model.state())
-        found = (encoded.filter(~F.col("held_out")).select("ids").mapInArrow(_count_sequences(held, m), "key long, n long")
-                 .groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= model.least).toArrow())
-        model.add_level(m, found.column("key").to_numpy(), found.column("n").to_numpy())
-        held.unpersist()
-    model.grow(depth)
-    return counts, encoded, model
+        encoded, path = materialize_at(rows.mapInArrow(
+            _encode(held), f"row long, id {kind}, held_out boolean, ids array<int>, cold array<binary>, cold_keys array<long>"), "encoded")
+        keep(path)
+        words = counts.filter(F.col("c") >= LEAST).select("word", "c").mapInArrow(_word_keys(held), "key long, n long")
+        shorter = materialize(words.withColumn("lp", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))), "words")
+        bits, adds = _bitmap(shorter.filter("key < 0")), []
+        for m in range(2, depth + 2):
+            held = sc.broadcast({"width": model.width if total else 0, "bits": bits})
+            found = (encoded.filter(~F.col("held_out")).select("ids", "cold_keys").mapInArrow(_count_sequences(held, m), "ctx long, shorter long, n long")
+                     .groupBy("ctx", "shorter").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+                     .mapInArrow(_sequence_keys, "key long, ctx long, shorter long, n long"))
+            found = materialize(found, "frequent")
+            held.unpersist()
+            bits = _bitmap(found, bits)
+            shorter, contexts = _grow(found, shorter)
+            adds += [contexts, shorter.filter("add is not null").select("key", "n", "add")]
+        tree, path = materialize_at(reduce(DataFrame.unionAll, adds).groupBy("key").agg(F.max("n").alias("n"), F.sum("add").alias("add")), "tree")
+        keep(path)
+    return counts, encoded, tree, model, bits
+
+
+def _held_from(tree: DataFrame) -> float:
+    """The count from which on ``HELD`` sequences at most are that frequent (by steps of an eighth of a doubling)."""
+    room, least = HELD, float("inf")
+    for step, n in sorted(tree.groupBy(F.floor(8 * F.log2("n")).alias("step")).count().collect(), reverse=True):
+        room -= n
+        if room < 0:
+            break
+        least = step
+    return least
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_mod: int = 7,
@@ -316,18 +478,25 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bounded_batches(docs.sparkSession)
     held_out = remainder(F.col(id_col), held_out_mod) == held_out_rest
     rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("body"))
-    counts, encoded, model = learn(rows, depth)
-    held = docs.sparkSession.sparkContext.broadcast(model.state())
+    counts, encoded, tree, model, bits = learn(rows, depth)
+    often = F.floor(8 * F.log2("n")) >= F.lit(_held_from(tree))
+    held = tree.filter(often).select("key", "add").toArrow().sort_by("key")
+    tail = tree.filter(~often).select("key", "add")
+    held = docs.sparkSession.sparkContext.broadcast({
+        "base": model.base, "width": model.width if model.total else 0, "bits": bits, "rest": _bitmap(tail),
+        "keys": held.column("key").to_numpy(), "values": held.column("add").to_numpy()})
     kind = rows.schema["id"].dataType.simpleString()
-    scored = encoded.select("row", "id", "held_out", "ids").mapInArrow(
-        _score(held, depth), f"row long, id {kind}, held_out boolean, n_tokens long, hot_known long, hot_base double, extra double")
+    scored = materialize(encoded.select("row", "id", "held_out", "ids", "cold_keys").mapInArrow(
+        _score(held, depth), f"row long, id {kind}, held_out boolean, n_tokens long, hot_known long, hot_base double, extra double, open array<long>"), "scored")
+    joined = (scored.select("row", F.explode("open").alias("key")).join(tail, "key")
+              .groupBy("row").agg(F.sum("add").alias("more")))
     room = F.lit(float(model.total + model.distinct + 1))
     cold = (encoded.select("row", F.explode("cold").alias("word")).join(counts, "word", "left")
             .groupBy("row").agg(F.sum(F.log10((F.coalesce("c", F.lit(0)) + 1) / room)).alias("cold_base"),
                                 F.count("c").alias("cold_known")))
-    out = scored.join(cold, "row", "left")
+    out = scored.drop("open").join(cold, "row", "left").join(joined, "row", "left")
     base = F.col("hot_base") + F.coalesce("cold_base", F.lit(0.0))
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens",
                       (F.col("hot_known") + F.coalesce("cold_known", F.lit(0))).alias("n_known"),
                       F.lit(model.total).cast("long").alias("train_tokens"), base.alias("base_score"),
-                      (base + F.col("extra")).alias("score"))
+                      (base + F.col("extra") + F.coalesce("more", F.lit(0.0))).alias("score"))

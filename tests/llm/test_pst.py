@@ -130,3 +130,21 @@ def test_chunks_hold_whole_texts():
     for chunk in (1, 3, 5, 100):
         got = [ids[a:b].tolist() for _, _, _, ids, starts in pst._numbers([batch], 0, chunk) for a, b in zip(starts, starts[1:])]
         assert got == lists[1:]
+
+
+@pytest.mark.parametrize("hot, held", [(pst.HOT, 1 << 20), (0.02, 1 << 20), (0.02, 40), (pst.HOT, 0)])
+def test_every_frequent_sequence_is_used_however_large_the_corpus(spark, monkeypatch, hot, held):
+    monkeypatch.setattr(pst, "HOT", hot)
+    monkeypatch.setattr(pst, "RARE", 0.01, raising=False)  # a cut relative to the corpus, if there is one
+    monkeypatch.setattr(pst, "HELD", held, raising=False)  # few: the others are joined
+    rng = random.Random(11)
+    rows = [(i, " ".join([text_of(rng).decode()] + [f"p{i % 9} q{i % 9} r{i % 9}"] + [f"w{rng.randrange(60)}" for _ in range(10)])) for i in range(150)]
+    rows += [(150, None), (151, "p1 q1 r1")]
+    train = [t for i, t in rows if remainder(i, 7) != 2]
+    model, _ = small_model([(t or "").encode() for t in train], pst.DEPTH, pst.LEAST)
+    assert model.retained[2].any()
+    got = {r.doc_id: r for r in pst.score_texts(docs_frame(spark, rows)).collect()}
+    for i, t in rows:
+        words = pst.tokens((t or "").encode())
+        ids = np.array([model.index.get(w, -1) for w in words])
+        assert got[i].score - got[i].base_score == pytest.approx(model.score(ids, pst.DEPTH)[1].sum(), abs=1e-9)

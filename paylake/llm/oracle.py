@@ -57,4 +57,53 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(p.n_hit, 0)::BIGINT AS n_
 FROM d LEFT JOIN places p USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
-ORACLE = {"op4_chat": _CHAT, "op6_linededup": _LINES, "op10_decontam": _DECONTAM}
+_SPELLING = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) AS r(i)
+), runs AS (
+  SELECT doc_id, word, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({LOWER.format("text")}, '[a-zÀ-ÿ]+')) AS word FROM documents) GROUP BY ALL
+), coded AS (
+  SELECT doc_id, word, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || word, ''), lambda c:
+           CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)]::BIGINT[] END)) AS bytes FROM runs
+), hashed AS (
+  SELECT word, n, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM coded, crc
+), v AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(word, 1, (h % length(word))::BIGINT) || substr(word, (h % length(word))::BIGINT + 2) ELSE word END AS word, n
+    FROM hashed) GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), d AS (
+  SELECT word, n, k, length(word) AS size, substr(word, 1, k - 1) || substr(word, k + 1) AS rest FROM v, unnest(range(1, length(word) + 1)) AS u(k)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM d a JOIN d b ON a.rest = b.rest AND a.k = b.k AND a.size = b.size AND a.word <> b.word
+  UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.rest = v.word
+  UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.rest = v.word
+), best AS (
+  SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS k FROM pairs
+), f AS (
+  SELECT v.word, v.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.n >= 2 * v.n THEN b.near END AS form,
+         CASE WHEN b.n >= 2 * v.n THEN b.n END AS form_n
+  FROM v LEFT JOIN best b ON v.word = b.word AND b.k = 1
+), walk AS (
+  SELECT word, word AS at FROM f UNION ALL SELECT w.word, f.form FROM walk w JOIN f ON w.at = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN walk w ON w.word = f.word JOIN f e ON w.at = e.word WHERE e.form IS NULL
+"""
+
+# The pages of the tables mark their text by <article>, headings and paragraphs; the
+# references in them are those named here (an ampersand may lack its semicolon).
+_PAGES = r"""
+WITH b AS (
+  SELECT page_id, url, list_filter(list_transform(
+           regexp_split_to_array(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '</?(?:p|h1)>'),
+           lambda x: trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(
+             regexp_replace(x, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'),
+             '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM pages
+), t AS (SELECT page_id, url, array_to_string(blocks, chr(10) || chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t
+"""
+
+ORACLE = {"op4_chat": _CHAT, "op6_linededup": _LINES, "op10_decontam": _DECONTAM, "op11_spelling": _SPELLING, "op13_pages": _PAGES}

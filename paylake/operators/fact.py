@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paylake.operators import keyindex as K
+from paylake.operators import versions as V
 from paylake.schemas import AUDIT, FACT, FACT_COLUMNS
+from paylake.session import materialize_at, stage_scope
 
 KEY = "transaction_id"
 
@@ -59,45 +66,32 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = KEY,
 
 # --- publication ------------------------------------------------------------
 #
-# A table folder holds ``data/version=<n>/txn_date=<d>`` (the partitions that version n
-# wrote) and ``versions/<n>`` (a small Parquet table: for every date of the table, the
-# version that holds it). A version counts once the latter is committed, so readers see
-# all of a publication or nothing of it, and a reader of an older version is not disturbed.
+# A version of the table (see :mod:`paylake.operators.versions`) says for every date which
+# folder ``data/run=<id>/txn_date=<d>`` holds it, and which folders its key index has. Readers
+# see all of a publication or nothing of it, and a reader of an older version is not disturbed.
 
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/versions")
-    fs = base.getFileSystem(conf)
-    if not fs.exists(base):
-        return []
-    done = lambda p: fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
-    return sorted(int(s.getPath().getName()) for s in fs.listStatus(base) if done(s.getPath()))
+def create_fact(spark: SparkSession, root: str) -> None:
+    """The empty table, if there is none: version 0, without dates."""
+    if not V.versions(spark, root):
+        with contextlib.suppress(V.CommitConflict):  # created meanwhile
+            V.commit(spark, root, 0, {"dates": {}, "index": [], "buckets": K.BUCKETS})
 
 
-def _manifest(spark: SparkSession, root: str, version: int) -> dict[str, int]:
-    """date -> version that holds it: one entry per calendar day of the table."""
-    rows = spark.read.schema("txn_date string, version int").parquet(f"{root.rstrip('/')}/versions/{version}")
-    return {r.txn_date: r.version for r in rows.collect()}
+def read_fact(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The table's last (or the given) version; empty, with its schema, before the first."""
+    state = V.last_version(spark, root)[1] if version is None else V.read_version(spark, root, version)
+    return read_dates(spark, root, state.get("dates", {}))
 
 
-def read_fact(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
-    """The table's last (or the given) version; ``None`` before the first publication."""
-    versions = _versions(spark, root)
-    if not versions:
-        return None
-    data = f"{root.rstrip('/')}/data"
-    held = _manifest(spark, root, versions[-1] if version is None else version)
+def read_dates(spark: SparkSession, root: str, held: dict[str, str]) -> DataFrame:
+    """The rows of some dates; ``held``: date -> folder."""
     if not held:
         return spark.createDataFrame([], FACT)
-    return _dates(spark, data, held)
-
-
-def _dates(spark: SparkSession, data: str, held: dict[str, int]) -> DataFrame:
-    paths = [f"{data}/version={v}/txn_date={d}" for d, v in sorted(held.items())]
+    data = f"{root.rstrip('/')}/data"
+    paths = [f"{data}/{folder}/txn_date={d}" for d, folder in sorted(held.items())]
     return spark.read.schema(FACT).option("basePath", data).parquet(*paths).select(*[f.name for f in FACT.fields])
 
 
@@ -108,45 +102,109 @@ def write_by_date(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "txn_date").write.mode("overwrite").partitionBy("txn_date").parquet(path)
 
 
-def touched_dates(existing: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
-    """Date partitions an upsert changes: the incoming rows' dates plus the
-    dates of existing rows whose key is in the batch (an updated row keeps
-    its original date). At most one row per calendar day."""
-    matched = (existing.select(key, "txn_date")
-               .join(incoming.select(key), key, "left_semi").select("txn_date"))
-    return incoming.select("txn_date").union(matched).distinct()
+@dataclass
+class Publication:
+    """What a publication has written, in folders that no version names yet."""
+    root: str
+    version: int             # the version it is to become
+    state: dict              # that version's content
+    touched: list[str]       # the dates it writes
+    folders: list[str]       # what it wrote
 
 
-def publish_fact(spark: SparkSession, root: str, incoming: DataFrame) -> int:
-    """Upsert ``incoming`` (fact rows with ``loaded_at``) into the fact table at
-    ``root`` as its next version; returns the number of date partitions written.
+def stage_publication(spark: SparkSession, root: str, incoming: DataFrame, buckets: int = K.BUCKETS) -> Publication:
+    """Write the upsert of ``incoming`` (fact rows with ``loaded_at``, unique ids) into the last version of
+    the table beside it, invisible to readers until :func:`commit_publication`.
 
-    Only the touched dates are merged and written; the version's date list takes the
-    others from the versions before. Dates are bounded by the calendar, so the list
-    passes the driver. Matching the batch's keys scans the key and date columns
-    only. Running a batch again gives the same table but for ``loaded_at``. Two
-    publishers of the same version can't both succeed: the second finds the folder.
-    With a MERGE-capable table format, ``MERGE INTO`` replaces this.
+    Stored keys are matched by the bucketed index, without shuffling them or reading the
+    fact rows; only the dates with incoming or matched rows are merged and written, the
+    others stay where they are. Dates are bounded by the calendar, so their list
+    passes the driver.
+    """
+    root, run = root.rstrip("/"), f"run={uuid.uuid4().hex}"
+    base, state = V.last_version(spark, root)
+    held, index = dict(state.get("dates", {})), list(state.get("index", []))
+    buckets = state.get("buckets", buckets)
+    with stage_scope(spark):
+        incoming, _ = materialize_at(incoming.select(*[f.name for f in FACT.fields]), "fact-incoming")
+        matched, _ = materialize_at(K.find(spark, root, index, incoming, KEY, buckets), "fact-matched")
+        touched = sorted({NO_DATE if r.txn_date is None else str(r.txn_date)
+                          for r in incoming.select("txn_date").union(matched.select("txn_date")).distinct().collect()})
+        before = {d: held[d] for d in touched if d in held}
+        done = Publication(root, 0 if base is None else base + 1, {}, touched, [f"{root}/data/{run}"])
+        try:
+            merged = upsert(read_dates(spark, root, before), incoming, stamp="loaded_at") if before else incoming
+            write_by_date(merged, done.folders[0])
+            new = incoming.select(KEY, "txn_date")
+            if index:
+                new = new.join(matched.select(KEY), KEY, "left_anti")
+            if len(index) >= K.COMPACT:
+                for name in index:
+                    new = new.unionByName(K.open_folder(spark, root, name, KEY, buckets))
+                index = []
+            index.append(K.write_folder(new, root, KEY, buckets))
+            done.folders.append(f"{root}/index/{index[-1]}")
+        except BaseException:
+            discard(spark, done)
+            raise
+        finally:
+            K.close_folders(spark, root, state.get("index", []))
+    done.state = {"dates": held | dict.fromkeys(touched, run), "index": index, "buckets": buckets}
+    return done
+
+
+def discard(spark: SparkSession, publication: Publication) -> None:
+    """Delete what a publication wrote that was not committed."""
+    for folder in publication.folders:
+        V.delete(spark, folder)
+
+
+def commit_publication(spark: SparkSession, publication: Publication) -> None:
+    """Make it the next version. If another writer was faster, what was written is deleted and
+    :class:`~paylake.operators.versions.CommitConflict` raised; the table is as the other left it."""
+    try:
+        V.commit(spark, publication.root, publication.version, publication.state)
+    except BaseException:
+        discard(spark, publication)
+        raise
+
+
+def publish_fact(spark: SparkSession, root: str, incoming: DataFrame, retries: int = 0, buckets: int = K.BUCKETS) -> int:
+    """Upsert ``incoming`` into the fact table at ``root`` as its next version; returns
+    the number of date partitions written. See :func:`stage_publication`.
+
+    A conflict with another writer is raised after ``retries`` more attempts, each of which
+    merges anew with the version that won. Running a batch again gives the same table but
+    for ``loaded_at``. With a MERGE-capable table format, ``MERGE INTO`` replaces this.
     """
-    from paylake.session import materialize_at, release
-
-    incoming, staged = materialize_at(incoming.select(*[f.name for f in FACT.fields]), "fact-incoming")
-    versions, root = _versions(spark, root), root.rstrip("/")
-    held = _manifest(spark, root, versions[-1]) if versions else {}
-    next_version = versions[-1] + 1 if versions else 1
-    merged, dates = incoming, incoming.select("txn_date").distinct()
-    if held:
-        dates = touched_dates(_dates(spark, f"{root}/data", held), incoming)
-    touched = [NO_DATE if r.txn_date is None else str(r.txn_date) for r in dates.collect()]
-    before = {d: held[d] for d in touched if d in held}
-    if before:
-        merged = upsert(_dates(spark, f"{root}/data", before), incoming, stamp="loaded_at")
-    write_by_date(merged, f"{root}/data/version={next_version}")
-    held.update(dict.fromkeys(touched, next_version))
-    spark.createDataFrame(sorted(held.items()), "txn_date string, version int").coalesce(1) \
-        .write.mode("errorifexists").parquet(f"{root}/versions/{next_version}")
-    release(spark, staged)
-    return len(touched)
+    for left in range(retries, -1, -1):
+        staged = stage_publication(spark, root, incoming, buckets)
+        try:
+            commit_publication(spark, staged)
+            return len(staged.touched)
+        except V.CommitConflict:
+            if not left:
+                raise
+
+
+# --- audit --------------------------------------------------------------------
+
+def create_audit(spark: SparkSession, path: str, table: str | None = None) -> None:
+    """The audit table with its schema, if there is none; ``table``: also by this name in the catalog."""
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in AUDIT.fields)
+    name = table or f"paylake_audit_{uuid.uuid4().hex}"
+    if not V.exists(spark, path):
+        spark.createDataFrame([], AUDIT).write.mode("append").partitionBy("run_id").parquet(path)
+    if table:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY (run_id) LOCATION '{path}'")
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each run; empty, with its schema, before the first."""
+    if not V.exists(spark, path):
+        return spark.createDataFrame([], AUDIT)
+    return spark.read.schema(AUDIT).parquet(path).select(*[f.name for f in AUDIT.fields])
 
 
 def audit_row(spark: SparkSession, report: DataFrame, run_id: str, partitions_written: int | None = None) -> DataFrame:
@@ -169,8 +227,12 @@ def audit_row(spark: SparkSession, report: DataFrame, run_id: str, partitions_wr
 
 
 def append_audit(audit: DataFrame, path: str) -> None:
-    """Append the audit row; written only after the fact partitions are published."""
-    audit.select(*[f.name for f in AUDIT.fields]).write.mode("append").parquet(path)
+    """Write the audit row of its run; written only after the fact partitions are published.
+
+    The table is partitioned by ``run_id`` and only the run's own partition is written, so a
+    run that is repeated leaves one row."""
+    (audit.select(*[f.name for f in AUDIT.fields]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(path))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

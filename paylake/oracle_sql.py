@@ -546,6 +546,30 @@ FROM totals t""", BY_KEY),
     }
 
 
+#: The fact after two publications, the second of which brings the incoming rows of odd days.
+UPSERTED = UPSERT_FACT.strip() + """,
+upserted AS (
+  SELECT """ + ", ".join(("CASE WHEN i.transaction_id IS NOT NULL THEN i.status ELSE e.status END" if c == "status" else
+                          f"CASE WHEN e.transaction_id IS NOT NULL THEN e.{c} ELSE i.{c} END") + f" AS {c}" for c in FACT_COLUMNS) + """
+  FROM existing e FULL OUTER JOIN (SELECT * FROM incoming WHERE day(txn_date) % 2 = 1) i ON e.transaction_id = i.transaction_id
+)"""
+
+
+def _incremental_sql(base: dict[str, str]) -> dict[str, str]:
+    """The marts' SQL over the upserted fact."""
+    def over_upserted(sql: str) -> str:
+        out = sql.replace("\nstg AS (", "\n" + UPSERTED + ",\nstg AS (").replace("FROM fact\n  WHERE transaction_id", "FROM upserted\n  WHERE transaction_id")
+        assert out.count("upserted") == 2
+        return out
+
+    out = {f"{k}_incremental": over_upserted(base[k]) for k in ("mart_daily", "mart_operator", "mart_region", "mart_high_value")}
+    counts = " UNION ALL ".join(
+        f"SELECT '{d}' AS dimension, {m} AS member, count(DISTINCT {v}) AS n, true AS sketch_close FROM stg WHERE {v} IS NOT NULL GROUP BY {m}"
+        for d, m, v in (("operator_senders", "operator", "sender_msisdn"), ("operator_receivers", "operator", "receiver_msisdn"),
+                        ("region_senders", "region", "sender_msisdn")))
+    return out | {"subscriber_counts": over_upserted(q(counts))}
+
+
 def _stream_sql(base: dict[str, str]) -> dict[str, str]:
     live_cols = ", ".join(f'"{f}"' for f in ["event_type", "topic", "partition", "offset", "timestamp",
                                              "transaction_id", "sender_msisdn", "receiver_msisdn", "amount_ghs",
@@ -577,3 +601,4 @@ GROUP BY g.b"""),
 
 ORACLE_SQL: dict[str, str] = _sql()
 ORACLE_SQL.update(_stream_sql(ORACLE_SQL))
+ORACLE_SQL.update(_incremental_sql(ORACLE_SQL))

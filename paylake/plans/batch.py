@@ -24,7 +24,8 @@ from paylake.operators import fact as FT
 from paylake.operators import quality as Q
 from paylake.operators.flags import SPLIT_SECONDS, flag_high_value, flag_rapid_succession
 from paylake.operators.report import quality_report, summary_by_type, top_regions
-from paylake.plans.publish import publish_marts
+from paylake.plans.incremental import refresh_marts
+from paylake.plans.publish import register_staging
 from paylake.plans.staging import stg_transactions
 
 
@@ -76,9 +77,14 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str) ->
     data tests -> audit row (last, when everything else is published).
 
     ``out_dir`` should be on the shared filesystem of the cluster. Under it:
-    ``fact`` (versions), ``marts``, ``summary_by_type``, ``top_regions``, ``rules``, ``audit``
-    and the run's ``stages``.
+    ``fact`` and ``marts`` (versions), ``summary_by_type``, ``top_regions``, ``rules``, ``audit``
+    and the run's ``stages``. Fact and audit exist, empty, before the first rows come; a
+    run that is repeated leaves the same rows and one audit row. Runs at the same time merge
+    one after the other.
     """
+    fact_root, audit_path = os.path.join(out_dir, "fact"), os.path.join(out_dir, "audit")
+    FT.create_fact(spark, fact_root)
+    FT.create_audit(spark, audit_path)
     t = transform(raw, stage=True)
     stage = os.path.join(out_dir, "stages", run_id)
     clean_path, funnel_path = os.path.join(stage, "clean"), os.path.join(stage, "funnel")
@@ -89,14 +95,14 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str) ->
         release(spark, t.staged)
     clean = spark.read.schema(t.clean.schema).parquet(clean_path)
     report = quality_report(spark.read.parquet(funnel_path), clean)
-    fact_root = os.path.join(out_dir, "fact")
-    written = FT.publish_fact(spark, fact_root, FT.fact_rows(clean, loaded_at=True))
+    written = FT.publish_fact(spark, fact_root, FT.fact_rows(clean, loaded_at=True), retries=3)
+    refresh_marts(spark, fact_root, os.path.join(out_dir, "marts"), retries=3)
     fact = FT.read_fact(spark, fact_root)
-    publish_marts(fact, os.path.join(out_dir, "marts"))
+    register_staging(fact)
     for name, df in (("summary_by_type", summary_by_type(clean)), ("top_regions", top_regions(clean)),
                      ("rules", rule_results(clean, stg_transactions(fact), report))):
         df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
-    FT.append_audit(FT.audit_row(spark, report, run_id, written), os.path.join(out_dir, "audit"))
+    FT.append_audit(FT.audit_row(spark, report, run_id, written), audit_path)
     row = report.first().asDict()
     row["partitions_written"] = written
     return row

@@ -49,6 +49,11 @@ def mart_daily(stg: DataFrame) -> DataFrame:
         _count_when(F.col("is_high_value")).alias("high_value_count"),
         _sum_when(F.col("is_high_value"), _amt()).alias("_hv"),
     )
+    return daily_rows(agg)
+
+
+def daily_rows(agg: DataFrame) -> DataFrame:
+    """The daily mart from its sums by date."""
     d = F.col("transaction_date")
     return agg.select(
         "transaction_date",
@@ -94,6 +99,11 @@ def mart_operator(stg: DataFrame, approx_distinct: bool = False) -> DataFrame:
         _count_when(F.col("is_high_value")).alias("high_value_transactions"),
         _count_when(F.col("is_rapid_succession")).alias("rapid_succession_flags"),
     )
+    return operator_rows(agg)
+
+
+def operator_rows(agg: DataFrame) -> DataFrame:
+    """The operator mart from its sums by operator."""
     everything = Window.partitionBy()
     return agg.select(
         "operator", "total_transactions", "unique_senders", "unique_receivers",
@@ -131,6 +141,11 @@ def mart_region(stg: DataFrame, approx_distinct: bool = False) -> DataFrame:
         _count_when(F.col("is_high_value")).alias("high_value_count"),
         _sum_when(F.col("is_high_value"), _amt()).alias("_hv"),
     )
+    return region_rows(agg)
+
+
+def region_rows(agg: DataFrame) -> DataFrame:
+    """The region mart from its sums by region."""
     everything = Window.partitionBy()
     return agg.select(
         "region", "total_transactions", "unique_customers",
@@ -157,9 +172,8 @@ def alert_reason(hv, rapid) -> "F.Column":
             .when(rapid, ALERT_REASONS["MEDIUM"]).otherwise(ALERT_REASONS["LOW"]))
 
 
-def mart_high_value(stg: DataFrame, with_loaded_at: bool = False) -> DataFrame:
-    """Flagged transactions with a risk class and an alert reason, ordered
-    by risk rank then amount (largest first)."""
+def flagged(stg: DataFrame, with_loaded_at: bool = False) -> DataFrame:
+    """Flagged transactions with a risk class and an alert reason."""
     hv, rapid = F.col("is_high_value"), F.col("is_rapid_succession")
     cols = [
         "transaction_id", "transaction_date", "transaction_hour", "day_of_week", "is_weekend",
@@ -171,6 +185,56 @@ def mart_high_value(stg: DataFrame, with_loaded_at: bool = False) -> DataFrame:
     ]
     if with_loaded_at:
         cols.append("loaded_at")
-    flagged = stg.where((hv == True) | (rapid == True)).select(*cols)  # noqa: E712
+    return stg.where((hv == True) | (rapid == True)).select(*cols)  # noqa: E712
+
+
+def ordered_high_value(rows: DataFrame) -> DataFrame:
+    """By risk rank, then amount (largest first)."""
     rank = F.coalesce(*[F.when(F.col("risk_level") == k, F.lit(v)) for k, v in RISK_RANK.items()])
-    return flagged.orderBy(rank, F.desc("transaction_amount_ghs"), "transaction_id")
+    return rows.orderBy(rank, F.desc("transaction_amount_ghs"), "transaction_id")
+
+
+def mart_high_value(stg: DataFrame, with_loaded_at: bool = False) -> DataFrame:
+    """Flagged transactions with a risk class and an alert reason, ordered
+    by risk rank then amount (largest first)."""
+    return ordered_high_value(flagged(stg, with_loaded_at))
+
+
+# --- mergeable sums -----------------------------------------------------------
+
+def partial_sums(stg: DataFrame) -> DataFrame:
+    """Additive sums by (date, operator, region, hour): what every mart but the flagged rows
+    and the numbers of different subscribers is made of."""
+    code = F.col("transaction_type_code")
+    return stg.groupBy("transaction_date", "is_weekend", "operator", "region", "transaction_hour").agg(
+        F.count("transaction_id").alias("n"), F.count(_amt()).alias("n_amt"), F.sum(_amt()).alias("amount"),
+        F.min(_amt()).alias("least"), F.max(_amt()).alias("most"), F.sum("transaction_fee_ghs").alias("fees"),
+        *[_count_when(_status() == x.upper()).alias(x) for x in ("success", "failed", "reversed")],
+        _sum_when(_status() == "SUCCESS", _amt()).alias("net"),
+        _count_when(F.col("is_high_value")).alias("high"), _sum_when(F.col("is_high_value"), _amt()).alias("high_amount"),
+        _count_when(F.col("is_rapid_succession")).alias("rapid"),
+        *[_count_when(code == x.upper()).alias(x) for x in ("p2p", "mbp", "wdr", "dep")],
+    )
+
+
+def merge(sums: DataFrame, *by: str) -> DataFrame:
+    """The columns that :func:`daily_rows` and :func:`operator_rows` take, from partial sums."""
+    named = {"total_transactions": "n", "successful_transactions": "success", "failed_transactions": "failed",
+             "reversed_transactions": "reversed", "_gross": "amount", "_sum": "amount", "_net": "net", "_fees": "fees", "_n_amt": "n_amt",
+             "high_value_count": "high", "high_value_transactions": "high", "_hv": "high_amount", "rapid_succession_flags": "rapid",
+             "_succ": "success", "_fail": "failed", "p2p_count": "p2p", "merchant_payment_count": "mbp", "withdrawal_count": "wdr",
+             "deposit_count": "dep"}
+    return sums.groupBy(*by).agg(*[F.sum(c).alias(name) for name, c in named.items()], F.min("least").alias("_min"), F.max("most").alias("_max"))
+
+
+def merge_regions(sums: DataFrame) -> DataFrame:
+    """The columns that :func:`region_rows` takes. The peak hour is that of most rows, the
+    smallest of ties: hours are merged first, then the regions' at most 24 hours."""
+    hours = sums.groupBy("region", "transaction_hour").agg(
+        F.sum("n").alias("n"), F.sum("n_amt").alias("n_amt"), F.sum("amount").alias("amount"), F.sum("fees").alias("fees"),
+        F.sum("success").alias("success"), F.sum(F.when(F.col("is_weekend"), F.col("n")).otherwise(0)).alias("weekend"),
+        F.sum("high").alias("high"), F.sum("high_amount").alias("high_amount"))
+    return hours.groupBy("region").agg(
+        F.sum("n").alias("total_transactions"), F.sum("amount").alias("_sum"), F.sum("n_amt").alias("_n_amt"), F.sum("fees").alias("_fees"),
+        F.sum("success").alias("_succ"), F.min(F.struct(-F.col("n"), F.col("transaction_hour").alias("hour")))["hour"].alias("peak_hour"),
+        F.sum("weekend").alias("weekend_transactions"), F.sum("high").alias("high_value_count"), F.sum("high_amount").alias("_hv"))

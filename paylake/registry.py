@@ -24,6 +24,7 @@ from paylake.operators.flags import quantile_frame
 from paylake.operators.report import summary_by_type, top_regions
 from paylake.plans import marts as M
 from paylake.plans.batch import transform
+from paylake.plans.incremental import HIGH_VALUE, SKETCH_BITS, MartFolder, refresh_marts
 from paylake.plans.staging import stg_transactions
 from paylake.replay import replay_in_order
 from paylake.sources import fixtures as FX
@@ -32,6 +33,7 @@ from paylake.streaming import fraud as FR
 from paylake.streaming import jobs as J
 from paylake.streaming import metrics as MT
 from paylake.schemas import EVENT, FEE_TYPE, RAW_COLUMNS
+from paylake.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -335,9 +337,13 @@ def distinct_operators(spark, sf):
 
 # --- fact upsert -----------------------------------------------------------
 
+def _upsert_sides(spark, sf):
+    """Both sides from one stored clean stage."""
+    return FX.upsert_pair(materialize(_clean(spark, sf), "clean"))
+
+
 def fact_upsert(spark, sf):
-    c = _clean(spark, sf)
-    existing, incoming = FX.upsert_pair(c)
+    existing, incoming = _upsert_sides(spark, sf)
     cols = ["transaction_id", "timestamp", "amount", "fee", "status", "is_high_value", "is_rapid_succession"]
     out = FT.upsert(existing.select(*cols), incoming.select(*cols))
     return decimals_to_double(out)
@@ -346,13 +352,47 @@ def fact_upsert(spark, sf):
 def fact_publish(spark, sf):
     """Two publications of the stored fact table (all 23 columns): first the rows of the
     existing side, then the incoming batch as an upsert."""
-    existing, incoming = FX.upsert_pair(_clean(spark, sf))
     root = J.scratch(spark, "fact")
-    for batch in (existing, incoming):
+    for batch in _upsert_sides(spark, sf):
         FT.publish_fact(spark, root, FT.fact_rows(batch, loaded_at=True))
     return decimals_to_double(FT.read_fact(spark, root).drop("loaded_at"))
 
 
+def _followed_marts(spark, sf) -> MartFolder:
+    """Marts refreshed after each of two publications: the existing side, then those rows of the
+    incoming batch that have an odd day, so that the second refresh finds half of the dates touched."""
+    fact, marts = J.scratch(spark, "fact"), J.scratch(spark, "marts")
+    existing, incoming = _upsert_sides(spark, sf)
+    for batch in (existing, incoming.where(F.dayofmonth("txn_date") % 2 == 1)):
+        FT.publish_fact(spark, fact, FT.fact_rows(batch, loaded_at=True))
+        refresh_marts(spark, fact, marts)
+    return MartFolder(spark, marts)
+
+
+def mart_daily_incremental(spark, sf):
+    return _followed_marts(spark, sf).mart("mart_daily_revenue")
+
+
+def mart_operator_incremental(spark, sf):
+    return _followed_marts(spark, sf).mart("mart_operator_performance")
+
+
+def mart_region_incremental(spark, sf):
+    return _followed_marts(spark, sf).mart("mart_region_summary")
+
+
+def mart_high_value_incremental(spark, sf):
+    return decimals_to_double(_followed_marts(spark, sf).mart(HIGH_VALUE))
+
+
+def subscriber_counts(spark, sf):
+    """Different subscribers by merged bitmaps, and whether the merged sketches are within three
+    standard errors of them."""
+    c = _followed_marts(spark, sf).subscriber_counts()
+    close = F.abs(F.col("estimate") - F.col("n")) <= F.ceil(F.col("n") * (3 * 1.04 / 2 ** (SKETCH_BITS / 2)))
+    return c.select("dimension", "member", "n", close.alias("sketch_close"))
+
+
 # --- stream twins ----------------------------------------------------------
 
 def partition_slice(spark, sf):
@@ -503,6 +543,11 @@ QUERIES: dict[str, Query] = {
     "distinct_operators": distinct_operators,
     "fact_upsert": fact_upsert,
     "fact_publish": fact_publish,
+    "mart_daily_incremental": mart_daily_incremental,
+    "mart_operator_incremental": mart_operator_incremental,
+    "mart_region_incremental": mart_region_incremental,
+    "mart_high_value_incremental": mart_high_value_incremental,
+    "subscriber_counts": subscriber_counts,
     "partition_slice": partition_slice,
     "fraud_alerts": fraud_alerts,
     "metrics_totals": metrics_totals,

@@ -592,6 +592,7 @@ FROM (SELECT unnest([0, 1, 2, 3]) AS b) g
 JOIN (SELECT min("offset") AS lo, greatest(1, (max("offset") - min("offset") + 4) // 4) AS step FROM live) s ON true
 JOIN live l ON l."offset" < s.lo + (g.b + 1) * s.step
 GROUP BY g.b"""),
+        "stream_throughput": q("SELECT c AS consumer, count(*) AS input_rows FROM live, (SELECT unnest(['log', 'alerts', 'metrics']) AS c) GROUP BY c"),
         "csv_funnel": base["reject_funnel"],
         "csv_scan": q("SELECT " + ", ".join(
             "'Zone \"' || u.region || '\",' || chr(10) || u.transaction_type AS region" if c == "region" else f"r.{c}"

@@ -26,7 +26,7 @@ from paylake.plans import marts as M
 from paylake.plans.batch import transform
 from paylake.plans.incremental import HIGH_VALUE, SKETCH_BITS, MartFolder, refresh_marts
 from paylake.plans.staging import stg_transactions
-from paylake.replay import replay_in_order
+from paylake.replay import range_size, replay_in_order
 from paylake.sources import fixtures as FX
 from paylake.sources.tables import read_raw_csv, write_raw_csv
 from paylake.streaming import fraud as FR
@@ -444,14 +444,26 @@ def csv_scan(spark, sf):
 
 # --- streaming jobs (file source, several micro-batches, drained) ----------
 
-def _run(start, spark, sf, parts=4):
-    """Replay the live events in offset order, ``parts`` micro-batches, each
-    drained (and the query restarted from its checkpoint) before the next
-    range is appended; return the sink folder."""
+PARTS = 4
+#: For jobs whose micro-batches are to be the replayed ranges: as much as there is.
+WHOLE = (1 << 62)
+
+
+def _run(start, spark, sf, parts=PARTS, bytes_per_batch=None, reorder=False):
+    """Replay the live events in offset order, ``parts`` ranges, each drained (and the query
+    restarted from its checkpoint) before the next is appended; return the sink folder.
+
+    ``reorder``: the job orders events over the micro-batches of a range."""
     src = J.scratch(spark, "events-in")
     out, ckpt = J.scratch(spark, "out"), J.scratch(spark, "ckpt")
-    replay_in_order(FX.live_events(spark, sf), src, parts,
-                    lambda: J.drain(start(J.read_events(spark, src), out, ckpt)))
+    events = FX.live_events(spark, sf)
+    reach = range_size(events, parts) if reorder else None
+    options = {"reorder": reach} if reorder else {}
+
+    def drain_once():
+        J.drain(start(J.read_events(spark, src, bytes_per_batch=bytes_per_batch), out, ckpt, **options))
+
+    replay_in_order(events, src, parts, drain_once, reach)
     return out
 
 
@@ -467,28 +479,48 @@ def stream_log(spark, sf):
 
 
 def stream_rapid(spark, sf):
-    out = _run(J.start_gaps, spark, sf)
+    out = _run(J.start_gaps, spark, sf, reorder=True)
     return spark.read.parquet(out).select("transaction_id", "offset", "sender_msisdn", "gap_sec")
 
 
 def stream_alerts(spark, sf):
-    a = spark.read.parquet(_run(J.start_alerts, spark, sf))
+    a = spark.read.parquet(_run(J.start_alerts, spark, sf, reorder=True))
     return a.select("transaction_id", "amount_ghs", "operator", "region",
                     F.size("alerts").alias("n_alerts"), F.array_join("alerts", " + ").alias("alerts_text"))
 
 
 def stream_alert_csv(spark, sf):
     schema = "transaction_id string, amount_ghs double, operator string, region string, alerts string, detected_at timestamp"
-    out = _run(J.start_alert_csv, spark, sf)
+    out = _run(J.start_alert_csv, spark, sf, reorder=True)
     return spark.read.schema(schema).option("header", True).csv(out).drop("detected_at")
 
 
 def stream_snapshots(spark, sf):
-    """One row per trigger of the metrics job."""
-    rows = J.read_snapshots(spark, _run(J.start_metrics, spark, sf))
+    """One row per trigger of the metrics job; a trigger takes all of a range."""
+    rows = J.read_snapshots(spark, _run(J.start_metrics, spark, sf, bytes_per_batch=WHOLE))
     return rows.select(F.col("batch_id").cast("int").alias("batch_id"), "total_transactions", "total_volume_ghs", "high_value_count")
 
 
+def stream_throughput(spark, sf):
+    """Rows that each consumer took over its whole run, as its listener counted them."""
+    counted = J.Throughput()
+    spark.streams.addListener(counted)
+    try:
+        rows = []
+        for name, start, options in (("log", J.start_log, {}), ("alerts", J.start_alerts, {"reorder": True}), ("metrics", J.start_metrics, {})):
+            started = []
+
+            def observed_start(events, *args, start=start, started=started, **reorder):
+                started.append(start(J.observed(events), *args, **reorder))
+                return started[-1]
+
+            _run(observed_start, spark, sf, **options)
+            rows.append((name, counted.summary(started[-1])["input_rows"]))
+    finally:
+        spark.streams.removeListener(counted)
+    return spark.createDataFrame(rows, "consumer string, input_rows long")
+
+
 def stream_metrics(spark, sf):
     return J.read_snapshot(spark, _run(J.start_metrics, spark, sf))
 
@@ -562,4 +594,5 @@ QUERIES: dict[str, Query] = {
     "stream_alert_csv": stream_alert_csv,
     "stream_metrics": stream_metrics,
     "stream_snapshots": stream_snapshots,
+    "stream_throughput": stream_throughput,
 }

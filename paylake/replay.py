@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paylake.streaming.fraud import END_MARK
+
 
 def offset_ranges(events: DataFrame, parts: int) -> list[DataFrame]:
     """``events`` split into ``parts`` consecutive offset ranges (only the
@@ -19,12 +21,31 @@ def offset_ranges(events: DataFrame, parts: int) -> list[DataFrame]:
             for i in range(parts)]
 
 
-def replay_in_order(events: DataFrame, path: str, parts: int, drain_once) -> None:
+def range_size(events: DataFrame, parts: int) -> int:
+    """Offsets in each of :func:`offset_ranges`: how far an event of one can lie behind another."""
+    bounds = events.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    return 1 if bounds["lo"] is None else max(1, (int(bounds["hi"]) - int(bounds["lo"]) + parts) // parts)
+
+
+def end_mark(events: DataFrame, after: int) -> DataFrame:
+    """One event that is none, ``after`` offsets behind the last one."""
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name not in ("event_type", "offset")]
+    last = events.agg((F.coalesce(F.max("offset"), F.lit(0)) + F.lit(after)).alias("offset"))
+    return last.select(F.lit(END_MARK).alias("event_type"), "offset", *empty).select(*events.columns)
+
+
+def replay_in_order(events: DataFrame, path: str, parts: int, drain_once, reorder: int | None = None) -> None:
     """Feed ``events`` to a file source at ``path`` the way a live topic
     fills: append one offset range (written in parallel, many files), then
     call ``drain_once()`` to run the stream until it has caught up, and so
-    on. Each range becomes a micro-batch of its own, in offset order, and
-    every run after the first restarts from the query's checkpoint."""
+    on. Every run after the first restarts from the query's checkpoint.
+
+    A range is one micro-batch or, above the source's limit, several, over which its offsets may
+    lie in any order; with ``reorder`` (for a query that reorders so far) an end mark follows the
+    last range."""
     for part in offset_ranges(events, parts):
         part.sortWithinPartitions("offset").write.mode("append").parquet(path)
         drain_once()
+    if reorder is not None:
+        end_mark(events, reorder + 1).coalesce(1).write.mode("append").parquet(path)
+        drain_once()

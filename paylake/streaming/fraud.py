@@ -146,27 +146,104 @@ class LastSeenProcessor(StatefulProcessor):
         pass
 
 
-def stream_gaps(events: DataFrame, mode: str = "parity", ttl_ms: int = STATE_TTL_MS) -> DataFrame:
+#: What the reorder buffer holds of an event.
+PENDING_FIELDS = T.StructType([*[f for f in GAP_FIELDS.fields if f.name != "gap_sec"], T.StructField("event_us", T.LongType())])
+
+
+class ReorderProcessor(StatefulProcessor):
+    """Per sender: the last event time, and the events that wait for their turn.
+
+    Offsets are the event time of the query (one offset is one millisecond), so its
+    watermark says up to which offset everything has arrived. Events wait in a list state
+    and are judged in offset order when the watermark has passed them, whatever micro-batches
+    they came in. A timer at the smallest offset that waits wakes the sender up."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last_us", T.StructType([T.StructField("us", T.LongType(), True)]))
+        self.pending = handle.getListState("pending", PENDING_FIELDS)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:  # a part of the sender's rows at a time
+            if not pdf["timed"].iloc[0]:
+                pdf["gap_sec"] = np.nan
+                yield pdf[[f.name for f in GAP_FIELDS.fields]]
+                continue
+            self.pending.appendList([self._stored(x) for x in pdf[PENDING_FIELDS.names].itertuples(index=False, name=None)])
+            self.handle.registerTimer(int(pdf["offset"].min()))
+
+    @staticmethod
+    def _stored(row: tuple) -> tuple:
+        """Plain values: numpy's don't go into the state, and a missing value is None there."""
+        plain = (x.item() if hasattr(x, "item") else x for x in row)
+        return tuple(None if x is None or x is pd.NA or x != x else x for x in plain)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        at = PENDING_FIELDS.names.index("offset")
+        waiting = list(self.pending.get())
+        due = sorted((x for x in waiting if x[at] <= passed), key=lambda x: x[at])
+        if not due:  # another timer has released them
+            return
+        rest = [tuple(x) for x in waiting if x[at] > passed]
+        if rest:
+            self.pending.put(rest)
+            self.handle.registerTimer(min(x[at] for x in rest))
+        else:
+            self.pending.clear()
+        pdf = pd.DataFrame([tuple(x) for x in due], columns=PENDING_FIELDS.names)
+        us = [x[-1] for x in due]
+        prior = self.last.get() if self.last.exists() else None
+        before = [None if prior is None else prior[0], *us[:-1]]
+        pdf["gap_sec"] = [np.nan if p is None else (u - p) / 1e6 for u, p in zip(us, before)]
+        self.last.update((int(us[-1]),))
+        yield pdf[[f.name for f in GAP_FIELDS.fields]]
+
+    def close(self) -> None:
+        pass
+
+
+#: ``event_type`` of the mark that ends a replay: its offset lets the last events pass.
+END_MARK = "END"
+
+
+def stream_gaps(events: DataFrame, mode: str = "parity", ttl_ms: int = STATE_TTL_MS, reorder: int | None = None) -> DataFrame:
     """Streaming ``gap_sec`` for every event (keyed state per sender), in arrival order.
 
     ``parity``: state is kept for every sender seen (a late event gets a
     negative gap). ``bounded``: an idle sender's state expires after ``ttl_ms``;
     a sender's next event then has no gap, like a first one.
+
+    Without ``reorder`` events are ordered by offset within a micro-batch, and micro-batches
+    as they come. With it (``parity`` only) they are ordered by offset whatever the micro-batches
+    are, as long as no event comes more than ``reorder`` offsets after a later one (Spark
+    counts such an event as dropped by the watermark). An event is judged once one with an offset
+    larger by ``reorder`` has come; an :data:`END_MARK` event stands for it at the end of a replay.
     """
     if mode not in ("parity", "bounded"):
         raise ValueError(f"unknown mode {mode!r}")
+    if reorder is not None and mode != "parity":
+        raise ValueError("reordering needs the parity mode")
     timed = F.col("sender_msisdn").isNotNull() & F.col("event_us").isNotNull()
+    if reorder is not None:
+        timed = timed & F.col("offset").isNotNull()
     other = F.concat(F.lit("-"), F.pmod(F.xxhash64("offset", "transaction_id"), F.lit(STATELESS_KEYS)).cast("string"))
     ev = (event_time(events).withColumn("timed", timed)
           .withColumn("state_key", F.when(F.col("timed"), F.concat(F.lit("+"), F.col("sender_msisdn"))).otherwise(other))
           .withColumn("event_us", F.coalesce("event_us", F.lit(0))))
     cols = [f.name for f in GAP_FIELDS.fields if f.name != "gap_sec"]
+    if reorder is not None:
+        ev = (ev.withColumn("offset_time", F.timestamp_millis("offset")).withWatermark("offset_time", f"{int(reorder)} milliseconds")
+              # names the watermark's column, so that the optimizer leaves the filter behind the watermark
+              .where(F.col("offset_time").isNull() | ~F.col("event_type").eqNullSafe(END_MARK)))
+        keyed = ev.select(*cols, "event_us", "timed", "state_key", "offset_time").groupBy("state_key")
+        return keyed.transformWithStateInPandas(ReorderProcessor(), GAP_FIELDS, "Append", "EventTime")
     keyed = ev.select(*cols, "event_us", "timed", "state_key").groupBy("state_key")
     if mode == "parity":
         return keyed.transformWithStateInPandas(LastSeenProcessor(), GAP_FIELDS, "Append", "None")
     return keyed.transformWithStateInPandas(LastSeenProcessor(ttl_ms), GAP_FIELDS, "Append", "ProcessingTime")
 
 
-def stream_alerts(events: DataFrame, mode: str = "parity") -> DataFrame:
-    """Streaming fraud alerts (append)."""
-    return _alerts(stream_gaps(events, mode))
+def stream_alerts(events: DataFrame, mode: str = "parity", reorder: int | None = None) -> DataFrame:
+    """Streaming fraud alerts (append); see :func:`stream_gaps`."""
+    return _alerts(stream_gaps(events, mode, reorder=reorder))

@@ -9,10 +9,12 @@ to ``availableNow`` (drain what is there, then stop); pass
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from paylake.schemas import EVENT
 from paylake.session import ensure_streaming_conf, stage_root
@@ -31,10 +33,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def read_events(spark: SparkSession, path: str, files_per_batch: int | None = None,
-                fmt: str = "parquet") -> DataFrame:
+                fmt: str = "parquet", bytes_per_batch: int | None = None) -> DataFrame:
     """Streaming event source over files (typed schema, no inference).
 
-    A micro-batch takes ``BYTES_PER_BATCH`` of new files at most (or
+    A micro-batch takes ``bytes_per_batch`` (``BYTES_PER_BATCH``) of new files at most (or
     ``files_per_batch`` files), so that its size does not follow the backlog; all
     files are drained, over as many batches as it takes. For a Kafka topic see :func:`read_kafka_events`; the downstream
     jobs are the same.
@@ -44,7 +46,7 @@ def read_events(spark: SparkSession, path: str, files_per_batch: int | None = No
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
     else:
-        r = r.option("maxBytesPerTrigger", BYTES_PER_BATCH)
+        r = r.option("maxBytesPerTrigger", bytes_per_batch or BYTES_PER_BATCH)
     return r.format(fmt).load(path)
 
 
@@ -73,25 +75,25 @@ def _trigger(w, trigger):
     return w.trigger(**(trigger or DEFAULT_TRIGGER))
 
 
-def start_alerts(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity") -> StreamingQuery:
+def start_alerts(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity", reorder: int | None = None) -> StreamingQuery:
     """Fraud alerts appended to Parquet (exactly once via the checkpoint)."""
     _live_only(mode, trigger)
-    w = FR.stream_alerts(events, mode).writeStream.format("parquet").outputMode("append") \
+    w = FR.stream_alerts(events, mode, reorder).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
     return _trigger(w, trigger).start()
 
 
-def start_gaps(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity") -> StreamingQuery:
+def start_gaps(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity", reorder: int | None = None) -> StreamingQuery:
     """Per-event gap since the sender's previous event (keyed state)."""
     _live_only(mode, trigger)
-    w = FR.stream_gaps(events, mode).writeStream.format("parquet").outputMode("append") \
+    w = FR.stream_gaps(events, mode, reorder=reorder).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
     return _trigger(w, trigger).start()
 
 
-def start_alert_csv(events: DataFrame, out: str, ckpt: str, trigger=None) -> StreamingQuery:
+def start_alert_csv(events: DataFrame, out: str, ckpt: str, trigger=None, reorder: int | None = None) -> StreamingQuery:
     """Alerts as CSV; the list of signals is joined with `` + ``."""
-    alerts = FR.stream_alerts(events).select(
+    alerts = FR.stream_alerts(events, reorder=reorder).select(
         "transaction_id", "amount_ghs", "operator", "region",
         F.array_join("alerts", " + ").alias("alerts"), "detected_at")
     w = alerts.writeStream.format("csv").option("header", True).outputMode("append") \
@@ -141,10 +143,75 @@ def drain(queries) -> None:
 
 
 def progress_summary(q: StreamingQuery) -> dict:
-    """Rows and throughput over the query's recent micro-batches."""
+    """Rows and throughput over the query's recent micro-batches (Spark keeps 100 of them by
+    default); :class:`Throughput` counts whole runs."""
     ps = q.recentProgress
     return {
         "batches": len(ps),
         "input_rows": int(sum(p.numInputRows for p in ps)),
         "rows_per_sec": max([p.processedRowsPerSecond or 0.0 for p in ps] or [0.0]),
     }
+
+
+#: Name of the metric that :func:`observed` adds.
+OBSERVED = "throughput"
+
+
+def observed(events: DataFrame) -> DataFrame:
+    """``events`` with a count of them (end marks are none) reported for every micro-batch, once for each
+    however often the plan reads the source."""
+    return events.observe(OBSERVED, F.count_if(~F.col("event_type").eqNullSafe(FR.END_MARK)).alias("rows"))
+
+
+class Throughput(StreamingQueryListener):
+    """Exact rows and rates of every query of a session over its whole runs, however many
+    micro-batches they have: each batch's report is added to a few sums per run and forgotten.
+
+    Register with ``spark.streams.addListener``; reports of rows need :func:`observed`
+    on the query's input. Restarts of a query are runs of the same ``id``; a batch that is
+    run again after a failure counts once, by its number.
+    """
+
+    def __init__(self) -> None:
+        self._runs: dict[str, dict] = {}
+        self._done: set[str] = set()
+        self._changed = threading.Condition()
+
+    def _of(self, id_) -> dict:
+        return self._runs.setdefault(str(id_), {"batches": 0, "input_rows": 0, "busy_ms": 0, "rows_per_sec": 0.0, "last": -1})
+
+    def onQueryStarted(self, event) -> None:
+        with self._changed:
+            self._of(event.id)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = p.observedMetrics.get(OBSERVED)
+        with self._changed:
+            run = self._of(p.id)
+            if p.batchId <= run["last"]:
+                return
+            n = int(row["rows"]) if row is not None else int(p.numInputRows)
+            run["last"] = p.batchId
+            run["batches"] += 1
+            run["input_rows"] += n
+            run["busy_ms"] += int(p.batchDuration)
+            run["rows_per_sec"] = max(run["rows_per_sec"], n * 1000.0 / max(1, p.batchDuration))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._done.add(str(event.runId))
+            self._changed.notify_all()
+
+    def summary(self, q: StreamingQuery, timeout: float = 60.0) -> dict:
+        """Batches, input rows, and rows a second at most and on average of the query, all its runs
+        together. Waits until the report of a run that has ended has come."""
+        with self._changed:
+            if not q.isActive:
+                self._changed.wait_for(lambda: str(q.runId) in self._done, timeout)
+            run = dict(self._of(q.id))
+        return {"batches": run["batches"], "input_rows": run["input_rows"], "rows_per_sec": run["rows_per_sec"],
+                "mean_rows_per_sec": run["input_rows"] * 1000.0 / max(1, run["busy_ms"])}

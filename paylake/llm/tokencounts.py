@@ -11,6 +11,7 @@ two steps (blocks of lengths, then within each block), so that no task sees all
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,6 +23,10 @@ from paylake.session import materialize
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that this public vocabulary splits texts with (a fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: What ``\s`` means to the pattern: the characters with the property White_Space (fixed values).
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space of so many characters are encoded apart.
+LONG_BLANKS = 4096
 #: Lengths in a block of the suffix sums.
 BLOCK = 256
 
@@ -44,13 +49,36 @@ def encoder(state: dict):
     return state["encoder"]
 
 
+def _whole(state: dict):
+    """The same vocabulary for a text that is one piece of the pattern."""
+    import tiktoken
+
+    if "whole" not in state:
+        state["whole"] = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=state["ranks"], special_tokens={})
+    return state["whole"]
+
+
+def encoded_length(state: dict, text: str, long: int = LONG_BLANKS) -> int:
+    """Tokens of a text. Of a run of white space the pattern makes one piece of all but the last
+    character, which begins what follows (at the end of the text: of all). On long runs
+    its look-ahead would need a stack as deep as the run, so these are cut out first."""
+    enc = encoder(state)
+    # A long run covers a position divisible by its least length.
+    if not any(c.isspace() for c in text[::long]):
+        return len(enc.encode_ordinary(text))
+    total = at = 0
+    for run in re.finditer(f"[{WHITE_SPACE}]{{{long},}}", text):
+        end = run.end() - (run.end() < len(text))
+        total += len(enc.encode_ordinary(text[at:run.start()])) + len(_whole(state).encode_ordinary(text[run.start():end]))
+        at = end
+    return total + len(enc.encode_ordinary(text[at:]))
+
+
 def _lengths(held):
     def run(batches):
-        import pyarrow as pa
-
-        enc, counts = encoder(held.value), Counter()
+        counts = Counter()
         for b in batches:
-            counts.update(len(enc.encode_ordinary((t or b"").decode("utf-8", "replace"))) for t in texts_of(b, 0))
+            counts.update(encoded_length(held.value, (t or b"").decode("utf-8", "replace")) for t in texts_of(b, 0))
             if len(counts) > 100_000:
                 yield _batch(counts)
                 counts.clear()

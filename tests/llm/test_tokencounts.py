@@ -1,4 +1,5 @@
 import os
+import random
 from collections import Counter
 
 import pytest
@@ -47,3 +48,21 @@ def test_answers_for_any_limit(spark):
 def test_empty(spark):
     assert T.token_counts(docs_frame(spark, [])).count() == 0
     assert [(r.length, r.n_docs, r["quantile"]) for r in T.token_counts(docs_frame(spark, [(1, None), (1, None), (2, "")])).collect()] == [(0, 3, 1.0)]
+
+
+def test_long_runs_are_cut_exactly():
+    """Wherever runs are cut out, the lengths are those of the pattern on the whole text."""
+    state, rng = {"ranks": T.read_ranks()}, random.Random(3)
+    enc = T.encoder(state)
+    for _ in range(3000):
+        text = "".join(rng.choice([" ", "  ", "\n", "\t ", "\u00a0", "\u3000", "\x1c", "a", "it's", "42", "!", "é"]) * rng.randint(1, 4)
+                       for _ in range(rng.randint(0, 12)))
+        assert T.encoded_length(state, text, rng.choice([1, 2, 3, 5])) == len(enc.encode_ordinary(text)), repr(text)
+
+
+def test_very_long_runs(spark):
+    n = 1_000_000
+    texts = [" " * n + "x", "x" + "\n" * n, " \n" * (n // 2) + " y", "a" * n, "1" * n, "\u00a0" * 50_000 + "z", "w" + "\t" * 5000 + "\n"]
+    got = Counter({r.length: r.n_docs for r in T.length_histogram(docs_frame(spark, list(enumerate(texts))), T.read_ranks()).collect()})
+    assert sum(got.values()) == len(texts)
+    assert got == Counter(encoded(texts))

@@ -337,7 +337,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     - null or empty html, or a page without text: empty ``text``;
     - null url, or one without a host: no neighbours, markup alone decides; so for the only page of a host;
-    - ties of nearness: the page that comes later in the order;
+    - ties of nearness: the page before it in the order;
     - repeated rows and copies under other URLs of a host are one page to their neighbours,
       and each row gets that page's result; null and repeated ids are allowed;
     - very long pages are read whole; markup that is cut off or not nested is read as far as it goes;

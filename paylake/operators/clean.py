@@ -4,8 +4,14 @@ Plan shape: null ids are left out before anything moves; the earliest copy of ea
 id is the first row of a window over the id in ``ingest_seq`` order. The
 filter on the row number lets the optimizer drop later copies on the map side
 too, so an id repeated a billion times costs one row per map task in the
-shuffle. Only the columns that a query uses are shuffled. Everything after it
-(parsing, reject reasons) is a narrow projection.
+shuffle. Only the columns that a query uses are shuffled.
+
+A run that may store intermediate results takes two phases instead: ids and input numbers
+alone are aggregated into the list of ids that occur more than once (hash aggregates,
+map-side minima), and the wide rows meet the stored list in an outer join. With its size
+known, a small list is broadcast, and the rows are neither shuffled nor sorted; a large one makes a
+shuffled join that AQE may split at hot ids. Everything after it (parsing, reject reasons)
+is a narrow projection.
 """
 
 from __future__ import annotations
@@ -29,14 +35,24 @@ ISSUE_KEYS = [DUPLICATE_OR_NULL, INVALID_TIMESTAMP, INVALID_AMOUNT]
 CLEAN = "clean"
 
 
-def dedup_first(raw: DataFrame, key: str = KEY, seq: str = SEQ) -> DataFrame:
-    """Rows with a non-null key, first copy in input order wins (raw columns)."""
-    copies = Window.partitionBy(key).orderBy(seq)
-    return (raw.where(F.col(key).isNotNull()).withColumn("_copy", F.row_number().over(copies))
-            .where("_copy = 1").drop("_copy"))
+def repeated_ids(raw: DataFrame, key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """``(_id, _first)``: the non-null ids of more than one row, and the input number of the first."""
+    return (raw.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_id"))
+            .agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
 
 
-def classify(raw: DataFrame) -> DataFrame:
+def dedup_first(raw: DataFrame, key: str = KEY, seq: str = SEQ, repeated: DataFrame | None = None) -> DataFrame:
+    """Rows with a non-null key, first copy in input order wins (raw columns). Input numbers
+    are unique. ``repeated``: the stored :func:`repeated_ids` of ``raw``, for the plan of two phases."""
+    rows = raw.where(F.col(key).isNotNull())
+    if repeated is None:
+        copies = Window.partitionBy(key).orderBy(seq)
+        return rows.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
+    rows = rows.join(repeated, F.col(key) == F.col("_id"), "left")
+    return rows.where(F.col("_first").isNull() | (F.col(seq) == F.col("_first"))).drop("_id", "_first")
+
+
+def classify(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """The de-duplicated rows with typed columns and their reject reason.
 
     ``timestamp`` -> timestamp_ntz, ``amount`` -> decimal(12,2), ``fee`` ->
@@ -49,7 +65,7 @@ def classify(raw: DataFrame) -> DataFrame:
     wide = strip(F.col("fee")).try_cast("double")
     too_large = fee.isNull() & wide.isNotNull() & ~F.isnan(wide) & (F.abs(wide) < float("inf"))
     exact = strip(F.col("amount")).try_cast("decimal(38,18)")
-    df = dedup_first(raw)
+    df = dedup_first(raw, repeated=repeated)
     df = df.select(
         *[c for c in df.columns if c not in ("timestamp", "amount", "fee")],
         parse_timestamp(F.col("timestamp")).alias("timestamp"), parse_decimal(F.col("amount"), 12, 2).alias("amount"),
@@ -80,4 +96,4 @@ def reject_funnel(raw: DataFrame, classified: DataFrame) -> DataFrame:
             .agg(F.sum("p.n").cast("long").alias("rows")))
 
 
-__all__ = ["dedup_first", "classify", "clean_rows", "reject_funnel", "ISSUE_KEYS"]
+__all__ = ["repeated_ids", "dedup_first", "classify", "clean_rows", "reject_funnel", "ISSUE_KEYS"]

@@ -47,10 +47,15 @@ def transform(raw: DataFrame, stage: bool = False, split_seconds: int = SPLIT_SE
     checkpoint folder and all branches read that; the caller releases
     ``staged`` when they are done (see :func:`run_batch`).
     """
-    classified = C.classify(raw)
     staged = None
     if stage:
-        classified, staged = materialize_at(classified, "classified")
+        # The list of repeated ids first: with its size known, a small one is broadcast and
+        # the rows are not shuffled.
+        repeated, listed = materialize_at(C.repeated_ids(raw), "repeated-ids")
+        classified, staged = materialize_at(C.classify(raw, repeated), "classified")
+        release(raw.sparkSession, listed)
+    else:
+        classified = C.classify(raw)
     rows = C.clean_rows(classified)
     rows = E.enrich(rows)
     rows = flag_rapid_succession(rows, split_seconds=split_seconds)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import raw_frame
+from paylake.operators import clean as C
 from paylake.operators import fact as FT
 from paylake.operators import keyindex as K
 from paylake.operators import versions as V
@@ -14,7 +15,7 @@ from paylake.plans import incremental as I
 from paylake.plans import marts as M
 from paylake.plans.batch import run_batch, transform
 from paylake.plans.staging import stg_transactions
-from paylake.session import stage_root
+from paylake.session import materialize, stage_root
 
 
 def _raw(spark, n=40, days=4):
@@ -34,6 +35,19 @@ def _files(root):
     return sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet"))
 
 
+def test_a_stored_list_of_repeated_ids_replaces_the_window(spark):
+    rows = [(i, f"T{i % 50}" if i % 7 else None, "2024-01-01 00:00:00", f"S{i}", str(i), "SUCCESS", "ASIA", "0.1") for i in range(300)]
+    rows += [(300 + i, "HOT", "bad" if i == 0 else "2024-01-01 00:00:00", f"H{i}", "1", "SUCCESS", "ASIA", "0") for i in range(500)]
+    raw = raw_frame(spark, rows)
+    repeated = materialize(C.repeated_ids(raw), "repeated-ids")
+    two = C.dedup_first(raw, repeated=repeated)
+    assert sorted(two.collect(), key=str) == sorted(C.dedup_first(raw).collect(), key=str)
+    plan = two._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Window" not in plan and "Sort" not in plan and "hashpartitioning" not in plan
+    lazy, stored = transform(raw), transform(raw, stage=True)
+    assert sorted(lazy.funnel.collect()) == sorted(stored.funnel.collect())
+
+
 def test_the_loser_of_a_race_leaves_nothing(spark):
     root = tempfile.mkdtemp(prefix="paylake-race-") + "/fact"
     fact = _fact(spark)

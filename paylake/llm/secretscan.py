@@ -43,9 +43,15 @@ NAME_WEIGHT = {
 #: Values that stand for a secret without being one.
 PLACEHOLDER = re.compile(r"(?:x+|\*+|\.+|change_?me|your[-_ ]?\w*|example\w*|dummy|test|none|null|nil|true|false|todo|<.*|\$\{.*|\{\{.*|%.*)\Z", re.I)
 LEAST = 1.1
+#: Names of schemes that stand before a token, what several words score, and words of messages (fixed values).
+SCHEMES = frozenset(("bearer", "basic", "token", "apikey", "digest"))
+PASSPHRASE = 0.2
+MESSAGE_WORDS = frozenset("""a an and are be can cannot choose confirm do does enter for forgot from has have here how if in incorrect invalid is it
+least must my new no not of on or our please required reset should that the their this to too type use use was we when will with you your""".split())
 _NAME = re.compile(r"[A-Za-z_$][\w.$-]*\Z")
-_NAME_BEFORE = re.compile(r"""([A-Za-z_$][\w.$-]*|\[\s*["'][^"'\n]{1,64}["']\s*\])["']?\s*\Z""")
-_ITEM = re.compile(r"""\s*(?:(?P<q>\"{3}|'{3}|`)(?P<long>(?:\\[\s\S]|(?!(?P=q))[^\\])*)(?P=q)|(?P<r>["'])(?P<lit>(?:\\[\s\S]|(?!(?P=r))[^\\\n])*)(?P=r)|(?P<bare>[^\s"'`,;(){}\[\]<>+]+))""")
+_SUBSCRIPT = re.compile(r"""\[\s*["'][^"'\n]+["']\s*\]\Z""")
+#: A literal may have a prefix of its language (f, r, b, u, $, @).
+_ITEM = re.compile(r"""\s*(?:[fFrRbBuU$@]{1,2}(?=["']))?(?:(?P<q>\"{3}|'{3}|`)(?P<long>(?:\\[\s\S]|(?!(?P=q))[^\\])*)(?P=q)|(?P<r>["'])(?P<lit>(?:\\[\s\S]|(?!(?P=r))[^\\\n])*)(?P=r)|(?P<bare>[^\s"'`,;(){}\[\]<>+]+))""")
 #: Before a value: blanks up to it, over a line's end, and what opens a bracket or a call.
 _GAP = re.compile(r"[^\S\n]*(?:\\?\r?\n\s*)?")
 _OPENS = re.compile(r"(?:new\s+)?(?:[A-Za-z_$][\w.$:]*!?)?[(\[{]")
@@ -67,8 +73,17 @@ def name_weight(name: str) -> float:
 
 
 def literal_score(value: str) -> float:
-    """From -1 (a placeholder or too short) to about 1, by length, entropy and kinds of characters."""
-    if len(value) < 6 or PLACEHOLDER.match(value) or " " in value.strip():
+    """From -1 (a placeholder or too short) to about 1, by length, entropy and kinds of characters.
+
+    A value with blanks counts by its words: what follows the name of a scheme (``Bearer``) is scored
+    by itself; three words or more make a passphrase, unless some of them are those of a message."""
+    words = value.split()
+    if len(words) == 2 and words[0].lower().rstrip(":") in SCHEMES:
+        return literal_score(words[1])
+    if len(words) > 1:
+        plain = [w.lower().strip(".,;:!?") for w in words]
+        return PASSPHRASE if 3 <= len(words) <= 24 and not MESSAGE_WORDS.intersection(plain) and value[-1] not in ".!?:" else -1.0
+    if len(value) < 6 or PLACEHOLDER.match(value):
         return -1.0
     counts = Counter(value)
     bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
@@ -124,7 +139,8 @@ def _value(text: str, at: int, known: dict):
         if not more or plain:
             break
         at = more.end()
-    return parts[:64], plain, at
+    # each literal once, however often a constant is built from itself
+    return list(dict.fromkeys(parts)), plain, at
 
 
 def _inside(text: str, opened: int, end: int, call: bool, closing: dict, known: dict):
@@ -161,6 +177,24 @@ def _inside(text: str, opened: int, end: int, call: bool, closing: dict, known:
     return items
 
 
+def _name_before(text: str, low: int, stop: int):
+    """Where the name before a sign at ``stop`` starts, and the name; it may be a subscript. Not before ``low``."""
+    end = stop
+    while end > low and text[end - 1].isspace():
+        end -= 1
+    if end > low and text[end - 1] in "\"'":
+        end -= 1
+    if end > low and text[end - 1] == "]":
+        start = text.rfind("[", low, end)
+        return (start, text[start:end]) if start >= 0 and _SUBSCRIPT.match(text, start, end) else None
+    start = end
+    while start > low and (text[start - 1].isalnum() or text[start - 1] in "_.$-"):
+        start -= 1
+    while start < end and not (text[start].isascii() and text[start].isalpha() or text[start] in "_$"):
+        start += 1
+    return (start, text[start:end]) if start < end else None
+
+
 def _block(text: str, line: int, at: int):
     """The lines of a YAML block scalar: those after ``at`` that are indented more than the line at ``line``."""
     def indent(a):
@@ -189,8 +223,8 @@ def pairs(text: str):
         for m in _SIGN.finditer(text, start, end):
             if m.start() < at or m.group() not in (":", "=", ":=", "=>", ">"):
                 continue
-            before = _NAME_BEFORE.search(text, max(at, start, m.start() - 80), m.start())
-            if not before or (m.group() == ">" and text[before.start() - 1:before.start()] != "<"):
+            before = _name_before(text, max(at, start), m.start())
+            if not before or (m.group() == ">" and text[before[0] - 1:before[0]] != "<"):
                 continue
             name = before[1].strip("[]\"' ")
             first, bare = _GAP.match(text, m.end()).end(), False
@@ -275,6 +309,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     - null and empty texts have no spans; ``redacted`` is as the text came;
     - null ids and repeated rows are answered like any other row;
+    - very long texts, names, and constants of any number of literals are read whole;
     - equal starts are ordered by kind as listed in ``KINDS``;
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """

@@ -112,3 +112,35 @@ def test_open_brackets_take_linear_time():
     start = time.time()
     S.scan("a=(" * 30000 + "b={x:[" * 30000 + ")" * 30000)
     assert time.time() - start < 10
+
+
+def literals(text):
+    return [text[a:b] for k, a, b in S.scan(text) if k == "literal"]
+
+
+def test_constants_of_many_literals_and_long_names():
+    pieces = [f"kQ{k}zPw7Lm2" for k in range(80)]
+    joined = "db_pwd = " + " + ".join(f"'{x}'" for x in pieces)
+    assert literals(joined) == pieces
+    grown = "part = ''\n" + "".join(f"part = part + '{x}'\n" for x in pieces) + "db_pwd = part\n"
+    assert literals(grown) == pieces
+    name = "credential_" + "a" * 500
+    assert literals(f"{name} = 'kQ9zPw7Lm2Xv'") == ["kQ9zPw7Lm2Xv"]
+    assert literals(f"cfg['{'x' * 90}_credential'] = 'kQ9zPw7Lm2Xv'") == ["kQ9zPw7Lm2Xv"]
+
+
+def test_prefixes_and_values_with_blanks():
+    for prefix in ("f", "r", "b", "u", "rb", "F", "$", "@"):
+        assert literals(f"db_pwd={prefix}'kQ9zPw7Lm2Xv'") == ["kQ9zPw7Lm2Xv"], prefix
+    assert literals('passphrase = "correct horse battery staple 42"') == ["correct horse battery staple 42"]
+    assert literals('auth_bearer: "Bearer kQ9zPw7Lm2Xv8Rt5Yb3N"') == ["Bearer kQ9zPw7Lm2Xv8Rt5Yb3N"]
+    for message in ("Please enter your new password", "passwords do not match", "Forgot it?", "two words"):
+        assert literals(f'pwd_label = "{message}"') == [], message
+    assert literals('title = "correct horse battery staple 42"') == []
+
+
+def test_a_long_line_with_many_signs_is_linear():
+    import time
+    began = time.time()
+    S.scan("a=b " * 100_000 + "x" * 200_000 + " = 'kQ9zPw7Lm2Xv'")
+    assert time.time() - began < 20

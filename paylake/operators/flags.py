@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylake.functions.calendar import epoch_micros, gap_seconds
-from paylake.operators.sequence import previous_value
+from paylake.operators.sequence import HOT_ROWS, hot_slices, previous_value, sliced
 from paylake.schemas import HIGH_VALUE_QUANTILE, RAPID_GAP_SECONDS
 
 # Order-preserving coarse bucket: 5 significant digits per decade. The number
@@ -77,16 +77,22 @@ def flag_high_value(df: DataFrame, q: float = HIGH_VALUE_QUANTILE, col: str = "a
     return df.withColumn("is_high_value", flag)
 
 
+def hot_hours(df: DataFrame, split_seconds: int = SPLIT_SECONDS, target: int = HOT_ROWS) -> DataFrame | None:
+    """The hours of single senders that hold more than ``target`` of the (stored) rows, for
+    :func:`flag_rapid_succession`."""
+    return hot_slices(df, "sender_msisdn", epoch_micros(F.col("timestamp")), split_seconds * 1_000_000, target)
+
+
 def flag_rapid_succession(df: DataFrame, gap: float = RAPID_GAP_SECONDS,
-                          split_seconds: int = SPLIT_SECONDS) -> DataFrame:
+                          split_seconds: int = SPLIT_SECONDS, hot: DataFrame | None = None) -> DataFrame:
     """Seconds since the same sender's previous transaction and the flag
     ``gap < 120 s``. Order: (timestamp, transaction_id). Null senders never
     have a predecessor (never rapid). Each sender's rows are split into
-    ``split_seconds`` time ranges so a hot sender spreads over many tasks
-    (see :mod:`paylake.operators.sequence`)."""
-    bucket = F.floor(epoch_micros(F.col("timestamp")) / F.lit(split_seconds * 1_000_000))
-    out = previous_value(df, "sender_msisdn", ["timestamp", "transaction_id"], "timestamp",
-                         "_prev_ts", bucket)
+    ``split_seconds`` time ranges so a hot sender spreads over many tasks, and those in ``hot``
+    (:func:`hot_hours`) further by their rows (see :mod:`paylake.operators.sequence`)."""
+    rows, bucket = sliced(df, "sender_msisdn", epoch_micros(F.col("timestamp")), split_seconds * 1_000_000, hot)
+    out = previous_value(rows, "sender_msisdn", ["timestamp", "transaction_id"], "timestamp",
+                         "_prev_ts", bucket).drop("_cuts")
     secs = gap_seconds(F.col("_prev_ts"), F.col("timestamp"))
     return (out.withColumn("time_since_last_txn_sec", secs)
             .withColumn("is_rapid_succession", F.coalesce(F.col("time_since_last_txn_sec") < gap, F.lit(False)))

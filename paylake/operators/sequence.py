@@ -13,6 +13,10 @@ key-bucket), a window over that small table per key, and one shuffle of
 the rows on (key, bucket) shared by the carry join and the window.
 Null keys never have a predecessor; their bucket is a hash of the order
 columns so they never pile up in one task.
+
+A fixed time range may still hold most of a key's rows. :func:`hot_slices` counts the rows of
+each (key, range) and cuts the ranges of more than ``target`` rows at quantiles of
+their own times, so that pieces follow the rows and not the clock.
 """
 
 from __future__ import annotations
@@ -20,7 +24,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylake.session import materialize
+
 NULL_KEY_SPREAD = 1 << 16
+#: Rows of a (key, time range) above which it is cut, and room for its pieces' numbers.
+HOT_ROWS = 1_000_000
+PIECES = 1 << 20
+
+
+def hot_slices(df: DataFrame, key: str, micros: Column, width_us: int, target: int = HOT_ROWS) -> DataFrame | None:
+    """``(_key, _slice, _cuts)``: the times at which the slices (``width_us`` wide) of more than
+    ``target`` rows of a key are cut, into pieces of about ``target`` rows or less; ``None`` if there are
+    none. For stored rows: counts them at once. There is at most one slice for each ``target`` rows of
+    the table, and only their number of pieces reaches the driver. Rows of a key at
+    one same time stay together."""
+    rows = (df.select(F.col(key).alias("_key"), micros.alias("_us")).where("_key IS NOT NULL AND _us IS NOT NULL")
+            .withColumn("_slice", F.floor(F.col("_us") / F.lit(width_us))))
+    hot = materialize(rows.groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target), "hot-slices")
+    most = hot.agg(F.max("_n")).first()[0]
+    if most is None:
+        return None
+    pieces = min(PIECES - 1, -(-int(most) // target))
+    quantiles = F.percentile_approx("_us", [k / pieces for k in range(1, pieces)], 100 * pieces)
+    return materialize(rows.join(hot.drop("_n"), ["_key", "_slice"]).groupBy("_key", "_slice").agg(quantiles.alias("_cuts")), "hot-cuts")
+
+
+def sliced(df: DataFrame, key: str, micros: Column, width_us: int, hot: DataFrame | None = None) -> tuple[DataFrame, Column]:
+    """``df`` and the bucket of its rows for :func:`previous_value`: the slice of their time or, with
+    ``hot`` (:func:`hot_slices`), the piece of it. It doesn't decrease with the time."""
+    number = F.floor(micros / F.lit(width_us))
+    if hot is None:
+        return df, number
+    cuts = hot.select(F.col("_key").alias("_hot_key"), F.col("_slice").alias("_hot_slice"), "_cuts")
+    df = df.join(cuts, (F.col(key) == F.col("_hot_key")) & (number == F.col("_hot_slice")), "left").drop("_hot_key", "_hot_slice")
+    return df, number * PIECES + F.coalesce(F.size(F.filter("_cuts", lambda c: c <= micros)), F.lit(0))
 
 
 def previous_value(df: DataFrame, key: str, order: list[str], value: str, out: str,

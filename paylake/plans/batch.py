@@ -22,7 +22,7 @@ from paylake.operators import clean as C
 from paylake.operators import enrich as E
 from paylake.operators import fact as FT
 from paylake.operators import quality as Q
-from paylake.operators.flags import SPLIT_SECONDS, flag_high_value, flag_rapid_succession
+from paylake.operators.flags import SPLIT_SECONDS, flag_high_value, flag_rapid_succession, hot_hours
 from paylake.operators.report import quality_report, summary_by_type, top_regions
 from paylake.plans.incremental import refresh_marts
 from paylake.plans.publish import register_staging
@@ -57,8 +57,9 @@ def transform(raw: DataFrame, stage: bool = False, split_seconds: int = SPLIT_SE
     else:
         classified = C.classify(raw)
     rows = C.clean_rows(classified)
+    hot = hot_hours(rows, split_seconds) if stage else None
     rows = E.enrich(rows)
-    rows = flag_rapid_succession(rows, split_seconds=split_seconds)
+    rows = flag_rapid_succession(rows, split_seconds=split_seconds, hot=hot)
     rows = flag_high_value(rows)
     rows = E.add_total_debit(rows)
     return Transformed(classified, rows, C.reject_funnel(raw, classified), staged)

@@ -228,3 +228,23 @@ def test_csv_part_numbers_order_by_value(spark, tmp_path):
         row = {c: "" for c in RAW_COLUMNS} | {"transaction_id": "T1", "amount": amount}
         (tmp_path / f"{part}.csv").write_text(",".join(RAW_COLUMNS) + "\n" + ",".join(row[c] for c in RAW_COLUMNS) + "\n")
     assert [r.amount for r in C.dedup_first(read_raw_csv(spark, str(tmp_path))).collect()] == ["1.00"]
+
+
+def test_a_hot_hour_is_cut_by_its_rows(spark):
+    """A sender with 60 % of an hour's rows, most of them in two seconds of it, some at one time."""
+    from paylake.functions.calendar import epoch_micros
+    from paylake.operators.flags import flag_rapid_succession, hot_hours
+    from paylake.operators.sequence import sliced
+    n = spark.range(5000).select(
+        F.format_string("T%05d", "id").alias("transaction_id"),
+        F.when(F.col("id") % 5 < 3, F.lit("HOT")).when(F.col("id") % 50 == 4, F.lit(None)).otherwise(F.concat(F.lit("S"), F.col("id") % 40)).alias("sender_msisdn"),
+        F.when(F.col("id") % 7 < 5, F.timestamp_micros(F.pmod(F.col("id") * 7919, F.lit(2_000_000)) + 1_800_000_000))
+         .when(F.col("id") % 7 == 5, F.timestamp_micros(F.lit(1_801_000_000))).otherwise(F.timestamp_micros(F.col("id") * 700_000)).cast("timestamp_ntz").alias("timestamp"))
+    plain = flag_rapid_succession(n)
+    hot = hot_hours(n, target=200)
+    assert {r._key for r in hot.collect()} == {"HOT"} and hot_hours(n, target=10_000) is None
+    assert sorted(flag_rapid_succession(n, hot=hot).select(plain.columns).collect(), key=str) == sorted(plain.collect(), key=str)
+    rows, bucket = sliced(n, "sender_msisdn", epoch_micros(F.col("timestamp")), 3_600_000_000, hot)
+    sizes = rows.where("sender_msisdn = 'HOT'").groupBy(bucket.alias("b"), "timestamp").count().groupBy("b").agg(F.sum("count").alias("n"), F.max("count").alias("tie"))
+    # no piece is much above the target but for the rows of one same time
+    assert all(r.n - r.tie <= 2 * 200 for r in sizes.collect()) and sizes.count() > 10

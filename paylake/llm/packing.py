@@ -1,24 +1,25 @@
 """Best-fit packing.
 
 Method: conflict-constrained best fit. Pieces go, the largest first, into the open bin
-of the least sufficient residual. Bins are ordered by residual and carry bitmaps of the
-sources and of the duplicate clusters that they hold; from the first bin that is large
-enough the search goes on to its successors until one is compatible (no common
-source, no common cluster), which is the tightest compatible bin. Else a bin is opened.
+of the least sufficient residual. Open bins are ordered by residual, and bitmaps say which
+bins hold a source or a duplicate cluster; from the first residual that is large
+enough the search goes on to its successors until one has a compatible bin (no common
+source, no common cluster): the tightest one, the oldest of ties. Else a bin is opened.
+The bitmaps are over bins: a residual's bins without those of the piece's source and
+cluster are found at once, however many conflict.
 
 Sizes are words (``[^\\x20\\x09-\\x0D]+``) and one separator per document. A document
 over the capacity is cut into pieces of ``capacity``, of which the last may be smaller.
-A cluster is the texts that are equal after lower-casing A-Z and folding white space.
+A cluster is the texts that are equal after lower-casing A-Z and folding white space
+(exact copies; near copies of different sources may share a bin).
 
-Scale: pieces are dealt by hash into shards of ``SHARD_BINS`` full bins on average,
-whatever the input; each shard is packed alone, so a hot source or cluster is spread
+Scale: pieces are dealt by hash into shards of ``SHARD_BINS`` full bins on average, or of
+``SHARD_PIECES`` pieces if they are small, whatever the input; each shard is packed alone, so a hot source or cluster is spread
 over all shards. Only sizes and ids move, not texts. All pieces get a bin.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,33 +28,42 @@ from paylake.session import materialize
 
 CAPACITY = 2048
 SHARD_BINS = 512
+SHARD_PIECES = 1 << 17
 
 
 def pack(pieces: list[tuple[int, int, int]], capacity: int) -> list[tuple[int, int]]:
     """(bin, offset) for each (size, source, cluster); numbers below 0 conflict with nothing."""
-    bit: dict[tuple[str, int], int] = {}
     order = sorted(range(len(pieces)), key=lambda k: (-pieces[k][0], k))
-    bins: list[tuple[int, int]] = []  # (residual, number), ascending
-    sources, clusters = [], []
-    placed = [(0, 0)] * len(pieces)
+    having: dict[tuple[str, int], int] = {}  # the bins (bits) that hold a source or a cluster
+    left = [0] * (capacity + 1)  # the open bins (bits) of each residual
+    open_left = 0  # the residuals (bits) that open bins have
+    placed, bins = [(0, 0)] * len(pieces), 0
     for k in order:
         size, source, cluster = pieces[k]
-        s = 1 << bit.setdefault(("source", source), len(bit)) if source >= 0 else 0
-        c = 1 << bit.setdefault(("cluster", cluster), len(bit)) if cluster >= 0 else 0
-        at = bisect_left(bins, (size, -1))
-        while at < len(bins) and (sources[bins[at][1]] & s or clusters[bins[at][1]] & c):
-            at += 1
-        if at < len(bins):
-            left, number = bins.pop(at)
+        marks = [("source", source)] * (source >= 0) + [("cluster", cluster)] * (cluster >= 0)
+        taken = 0
+        for mark in marks:
+            taken |= having.get(mark, 0)
+        free, residual, later = 0, capacity, open_left >> size
+        while later:
+            residual = size + (later & -later).bit_length() - 1
+            free = left[residual] & ~taken
+            if free:
+                break
+            later &= later - 1
+        if free:
+            bit = free & -free
+            left[residual] ^= bit
+            if not left[residual]:
+                open_left ^= 1 << residual
         else:
-            left, number = capacity, len(sources)
-            sources.append(0)
-            clusters.append(0)
-        placed[k] = number, capacity - left
-        sources[number] |= s
-        clusters[number] |= c
-        if left > size:
-            insort(bins, (left - size, number))
+            residual, bit, bins = capacity, 1 << bins, bins + 1
+        placed[k] = bit.bit_length() - 1, capacity - residual
+        for mark in marks:
+            having[mark] = having.get(mark, 0) | bit
+        if residual > size:
+            left[residual - size] |= bit
+            open_left |= 1 << (residual - size)
     return placed
 
 
@@ -108,6 +118,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     - null and wordless texts are a piece of one token (the separator);
     - a null source is a source of its own, the empty one; null ids are packed like others;
     - repeated rows are copies of each other, hence in different bins;
+    - very long texts are cut into pieces, all of which are packed;
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
@@ -115,8 +126,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("body"))
     pieces = materialize(rows.mapInArrow(
         _pieces(capacity), "id long, source string, cluster binary, piece long, start long, n_tokens long"), "pieces")
-    total = pieces.agg(F.sum("n_tokens")).first()[0] or 0
-    shards = max(1, -(-total // (capacity * shard_bins)))
+    total, n = pieces.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count(F.lit(1))).first()
+    shards = max(1, -(-total // (capacity * shard_bins)), -(-n // SHARD_PIECES))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece", F.monotonically_increasing_id()), F.lit(shards)))
     out = dealt.groupBy("shard").applyInPandas(
         _pack(capacity, by_source), "bin long, offset long, id long, piece long, start long, n_tokens long, source string")

@@ -31,6 +31,15 @@ def test_pack_against_brute_force():
         assert packing.pack(pieces, 50) == brute_pack(pieces, 50)
 
 
+def test_many_small_pieces_of_one_source():
+    import time
+    began = time.time()
+    placed = packing.pack([(1, 0, -1)] * 100_000, packing.CAPACITY)
+    assert [b for b, _ in placed] == list(range(100_000)) and time.time() - began < 60
+    two = packing.pack([(1, k % 2, -1) for k in range(20_000)], packing.CAPACITY)
+    assert max(b for b, _ in two) == 9_999
+
+
 def check(rows, got, capacity, by_source=True):
     sizes = sorted(len((t or "").encode().split()) + 1 for _, t, *_ in rows)
     assert sum(sizes) == sum(r.n_tokens for r in got)

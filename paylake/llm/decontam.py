@@ -9,8 +9,8 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A wi
 window. A document word inside any occurrence of a window is hit.
 
 Scale: one pass over the documents without a shuffle. The set is broadcast in
-blocks of at most ``max_windows`` (window, item) pairs, the number of which is
-counted first; each block is one more pass, so a larger benchmark costs time and
+blocks of ``max_windows`` (window, item) pairs on average, the number of which is
+counted first and which are dealt by hash; each block is one more pass, so a larger benchmark costs time and
 not memory, and no pair is left out.
 """
 
@@ -160,7 +160,8 @@ def mark(docs: DataFrame, bench: DataFrame, keep: list[str], text_col: str = "te
     rows = rows.select("*", F.array().cast("array<int>").alias("starts"), F.array().cast("array<int>").alias("ends"),
                        F.array().cast("array<string>").alias("items"))
     for k in range(blocks):
-        part = pairs.filter(F.pmod(F.xxhash64("win"), F.lit(blocks)) == k)
+        # by both, so that a window which many items share is in no block with all of them
+        part = pairs.filter(F.pmod(F.xxhash64("win", "item"), F.lit(blocks)) == k)
         held = spark.sparkContext.broadcast([(bytes(r.win), r.item) for r in part.collect()])
         rows = rows.mapInArrow(_scan(held, text_at), f"{kinds}, starts array<int>, ends array<int>, items array<string>")
         if k + 1 < blocks:  # one block's set at a time in the workers

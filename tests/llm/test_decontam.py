@@ -64,3 +64,16 @@ def test_empty_tables(spark):
     rows, items, df, bench = tables(spark)
     assert decontam.decontaminate(df.limit(0), bench).count() == 0
     assert decontam.decontaminate(df, bench.limit(0)).filter("contaminated").count() == 0
+
+
+def test_a_window_of_many_items_is_spread_over_blocks(spark, monkeypatch):
+    """The blocks stay small though most pairs are of one window, and no item is lost."""
+    preamble = " ".join(f"p{k}" for k in range(10))
+    bench = spark.createDataFrame([(f"i{k:03d}", preamble) for k in range(200)] + [("z", "some other words")], "item_id string, text string")
+    docs = docs_frame(spark, [(1, f"x {preamble} y"), (2, "some other words"), (3, "nothing")])
+    sizes, scanner = [], decontam._scan
+    monkeypatch.setattr(decontam, "_scan", lambda held, at: sizes.append(len(held.value)) or scanner(held, at))
+    got = {r.doc_id: r for r in decontam.decontaminate(docs, bench, max_windows=20).collect()}
+    assert got[1]["items"] == [f"i{k:03d}" for k in range(200)] and got[1].n_hit == 10
+    assert got[2]["items"] == ["z"] and got[3]["items"] == []
+    assert len(sizes) == 11 and max(sizes) < 60

@@ -7,8 +7,9 @@ log2 of the training length, over the document's length, estimates the cross ent
 The language of the fewest normalised phrases wins.
 
 Texts are compared as UTF-8 after lower-casing, with every run of other characters than
-letters and marks as one blank. A text is parsed in pieces of ``PIECE`` bytes, where phrases
-end, so that many pieces move through the automata in step.
+letters and marks as one blank. A batch's texts move through the automata in step, a byte of
+each at a time; each is parsed whole. Languages are dealt into tables of bounded size, each over the bytes
+that its languages use; the fewest phrases are found over all tables.
 
 Learning uses a bounded sample: per language ``SAMPLE_TEXTS`` distinct texts (those of
 the smallest text hash), ``SAMPLE_CHARS`` characters of each. It is the only thing broadcast;
@@ -25,7 +26,6 @@ from paylake.llm.common import bounded_batches, remainder, texts_of
 
 SAMPLE_TEXTS = 48
 SAMPLE_CHARS = 1024
-PIECE = 1024
 #: Times the sample that is looked at to find it.
 OVER = 8
 #: Bytes that move through the automata at once.
@@ -33,6 +33,9 @@ BATCH_BYTES = 8 << 20
 UNKNOWN = "und"
 
 _COUNT_BITS = 28  # a transition holds the next state below, the phrases it ends above
+#: Transitions in one table of automata: one language has far less.
+TABLE = 1 << 26
+
 
 def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " "))
@@ -96,21 +99,18 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
     return go
 
 
-class Parser:
-    """All languages' automata as one table of transitions over bytes. Where a match
+class Table:
+    """Some languages' automata as one table of transitions over bytes. Where a match
     can't go on, the phrase ends and the byte begins the next one at the start."""
 
-    def __init__(self, sample: list[tuple[str, bytes]]):
+    def __init__(self, sample: list[tuple[bytes, list[dict[int, int]]]]):
         import numpy as np
 
-        self.langs = [lang for lang, _ in sample]
-        self.bits = np.log2([max(2, len(text)) for _, text in sample])
-        symbols = sorted({c for _, text in sample for c in text} - {0})
-        self.code = np.full(256, len(symbols), np.uint8)  # the last column: bytes that nobody has
+        symbols = sorted({c for text, _ in sample for c in text} - {0})
+        self.code = np.full(256, len(symbols), np.int64)  # the last column: bytes that nobody has
         self.code[symbols] = np.arange(len(symbols))
         width, tables, starts, base = len(symbols) + 1, [], [], 0
-        for _, text in sample:
-            go = suffix_automaton(text)
+        for _, go in sample:
             table = np.full((len(go), width), -1, np.int64)
             for s, edges in enumerate(go):
                 for c, to in edges.items():
@@ -125,36 +125,56 @@ class Parser:
             tables.append(step.ravel())
             starts.append(base)
             base += step.size
-        if base >= 1 << _COUNT_BITS:
-            raise ValueError("the sample is too large for one table; lower SAMPLE_TEXTS or SAMPLE_CHARS")
-        self.step = np.concatenate(tables).astype(np.int64 if base * 8 >= 1 << 31 else np.int32) if tables else np.zeros(0, np.int32)
+        self.step = np.concatenate(tables).astype(np.int64 if base * 8 >= 1 << 31 else np.int32)
         self.start = np.array(starts, np.int32)
 
-    def phrases(self, texts: list[bytes]):
-        """How many phrases each text has in each language (texts x languages)."""
+    def phrases(self, data, at, sizes):
+        """Phrases of the texts (starts and sizes in ``data``, the largest first) in each language."""
         import numpy as np
 
-        data = self.code[np.frombuffer(b"".join(texts), np.uint8)]
-        sizes = np.array([len(t) for t in texts], np.int64)
-        pieces = -(-sizes // PIECE)
-        owner = np.repeat(np.arange(len(texts)), pieces)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        at = (np.cumsum(sizes) - sizes)[owner] + nth * PIECE
-        left = np.minimum(sizes[owner] - nth * PIECE, PIECE)
-        order = np.argsort(-left, kind="stable")
-        owner, at, left = owner[order], at[order], left[order]
-        active = np.searchsorted(-left, -np.arange(PIECE), "left")  # pieces longer than t
+        data = self.code[data]
+        active = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), "left")  # texts longer than t
         state = np.repeat(self.start[:, None], len(at), 1).astype(self.step.dtype)
-        ended = np.zeros(state.shape, np.int32)
+        ended = np.zeros(state.shape, np.int64)
         low = (1 << _COUNT_BITS) - 1
-        for t in range(int(left[0]) if len(left) else 0):
-            k = int(active[t])
+        for t, k in enumerate(active.tolist()):
             v = self.step[state[:, :k] + data[at[:k] + t]]
             ended[:, :k] += v >> _COUNT_BITS
             state[:, :k] = v & low
-        ended += state != self.start[:, None]  # the phrase at a piece's end
+        return ended + (state != self.start[:, None])  # the phrase at a text's end
+
+
+class Parser:
+    """All languages' automata, in tables."""
+
+    def __init__(self, sample: list[tuple[str, bytes]], most: int = TABLE):
+        import numpy as np
+
+        self.langs = [lang for lang, _ in sample]
+        self.bits = np.log2([max(2, len(text)) for _, text in sample])
+        self.tables, block, used, states = [], [], set(), 0
+        for _, text in sample:
+            go = suffix_automaton(text)
+            if block and (states + len(go)) * (len(used | set(text)) + 1) > most:
+                self.tables.append(Table(block))
+                block, used, states = [], set(), 0
+            block.append((text, go))
+            used |= set(text)
+            states += len(go)
+        if block:
+            self.tables.append(Table(block))
+
+    def phrases(self, texts: list[bytes]):
+        """How many phrases each text has in each language (texts x languages)."""
+        import numpy as np
+
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        at = (np.cumsum(sizes) - sizes)[order]
         out = np.zeros((len(texts), len(self.langs)), np.int64)
-        np.add.at(out, owner, ended.T)
+        if self.tables:
+            out[order] = np.concatenate([x.phrases(data, at, sizes[order]) for x in self.tables]).T
         return out
 
     def predict(self, texts: list[bytes]):
@@ -201,7 +221,7 @@ def identify(docs: DataFrame, sample: list[tuple[str, bytes]], id_col: str = "do
     language); of equally good languages the first by name wins, with score 0.
 
     - a null text or one without a letter, or an empty sample: ``und``, score 0;
-    - null ids and repeated rows are answered like any other row;
+    - null ids and repeated rows are answered like any other row; very long texts are parsed whole;
     - other columns are ignored, whatever their names; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)

@@ -11,16 +11,14 @@ def text(rng, lang, n):
 
 
 def brute_phrases(data, train):
-    """Greedy longest matches by substring search, piece by piece."""
-    count = 0
-    for at in range(0, len(data), langid.PIECE):
-        piece, i = data[at:at + langid.PIECE], 0
-        while i < len(piece):
-            n = 1
-            while i + n <= len(piece) and any(piece[i:i + n] in t for t in train.split(b"\0")):
-                n += 1
-            i += max(1, n - 1)
-            count += 1
+    """Greedy longest matches by substring search over the whole text."""
+    count, i, parts = 0, 0, train.split(b"\0")
+    while i < len(data):
+        n = 1
+        while i + n <= len(data) and any(data[i:i + n] in t for t in parts):
+            n += 1
+        i += max(1, n - 1)
+        count += 1
     return count
 
 
@@ -31,6 +29,22 @@ def test_phrase_counts_against_brute_force():
     texts = [text(rng, lang, n).encode() for lang in SYLLABLES for n in (1, 5, 400)] + [b"q", b"zzqq kalo", "ж".encode()]
     got = parser.phrases(texts)
     assert got.tolist() == [[brute_phrases(t, train) for _, train in sample] for t in texts]
+    # as many tables as it takes, each with an alphabet of its own
+    for most in (1, 8000):
+        dealt = langid.Parser(sample, most)
+        assert len(dealt.tables) > 1 and dealt.phrases(texts).tolist() == got.tolist()
+
+
+def test_many_languages_and_alphabets():
+    rng = random.Random(9)
+    letters = "абвгдежз αβγδεζηθ אבגדהוזח かきくけこさしす abcdefgh".split()
+    sample = [(f"{k:02d}", "".join(rng.choice(letters[k % 5]) for _ in range(200)).encode()) for k in range(40)]
+    parser = langid.Parser(sample, 20_000)
+    assert len(parser.tables) > 3
+    texts = [sample[k][1][20:120] for k in (0, 7, 39)] + [b""]
+    assert parser.phrases(texts).tolist() == [[brute_phrases(t, train) for _, train in sample] for t in texts]
+    best, _ = parser.predict(texts[:3])
+    assert best.tolist() == [0, 7, 39]
 
 
 def test_suffix_automaton_has_all_substrings():

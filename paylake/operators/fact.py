@@ -192,12 +192,11 @@ def publish_fact(spark: SparkSession, root: str, incoming: DataFrame, retries: i
 def create_audit(spark: SparkSession, path: str, table: str | None = None) -> None:
     """The audit table with its schema, if there is none; ``table``: also by this name in the catalog."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in AUDIT.fields)
-    name = table or f"paylake_audit_{uuid.uuid4().hex}"
     if not V.exists(spark, path):
         spark.createDataFrame([], AUDIT).write.mode("append").partitionBy("run_id").parquet(path)
     if table:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY (run_id) LOCATION '{path}'")
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY (run_id) LOCATION '{path}'")
+        spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:

@@ -89,6 +89,8 @@ class MartFolder:
     def partials(self, kind: str, schema) -> DataFrame:
         """The partial results of every date, from the run that wrote the date last."""
         runs = self.state.get("runs", {})
+        if not runs:
+            return self.spark.createDataFrame([], schema).drop("run")
         current = self.spark.createDataFrame(sorted(runs.items()), f"{DATE} string, run string")
         current = current.withColumn(DATE, F.col(DATE).cast("date"))
         base = f"{self.root}/{kind}"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -87,22 +88,29 @@ def release(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    if path in _STAGED:
-        _STAGED.remove(path)
+    if path in _STAGED.paths:
+        _STAGED.paths.remove(path)
 
 
-_STAGED: list[str] = []
+class _Staged(threading.local):
+    """Folders staged and not yet released, for each thread: a scope releases its own thread's only."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_STAGED = _Staged()
 
 
 @contextmanager
 def stage_scope(spark: SparkSession):
     """Folders staged inside are released at the end, but for those given to the function
     that the scope yields. For steps whose result is written before the scope ends."""
-    before, kept = set(_STAGED), set()
+    before, kept = set(_STAGED.paths), set()
     try:
         yield kept.add
     finally:
-        for path in [p for p in _STAGED if p not in before and p not in kept]:
+        for path in [p for p in _STAGED.paths if p not in before and p not in kept]:
             release(spark, path)
 
 
@@ -118,7 +126,7 @@ def materialize_at(df, name: str):
     spark = df.sparkSession
     path = f"{stage_root(spark)}{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    _STAGED.append(path)
+    _STAGED.paths.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

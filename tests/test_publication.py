@@ -197,6 +197,15 @@ def test_marts_follow_the_touched_dates(spark):
     assert old.mart("mart_daily_revenue").count() == 4
 
 
+def test_marts_of_an_empty_table(spark):
+    root = tempfile.mkdtemp(prefix="paylake-empty-")
+    FT.create_fact(spark, root + "/fact")
+    assert I.refresh_marts(spark, root + "/fact", root + "/marts") == 0
+    folder = I.MartFolder(spark, root + "/marts")
+    assert folder.version == 0 and all(folder.mart(name).count() == 0 for name in MARTS)
+    assert folder.subscriber_counts().count() == 0
+
+
 def test_a_lost_refresh_leaves_nothing(spark, monkeypatch):
     root = tempfile.mkdtemp(prefix="paylake-lost-")
     FT.publish_fact(spark, root + "/fact", _fact(spark))

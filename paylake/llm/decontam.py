@@ -177,6 +177,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     ``clean_text`` is the text without the hit spans (from the first to the last hit
     word of a run), unchanged where nothing is hit.
 
+    - very long texts are read whole;
     - null or wordless text: no words, not contaminated, ``clean_text`` as it came;
     - null or wordless items have no window; a null item id is the text ``null``;
     - repeated rows of either table: each document row is answered, and an item

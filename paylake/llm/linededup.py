@@ -106,6 +106,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``text`` is what stays of the text; ``n_lines`` counts lines before dropping.
 
     - null or empty text: one empty line, which stays; ``text`` is then empty;
+    - very long texts and lines are read whole;
     - a text whose lines all go: empty text, ``n_dropped = n_lines``;
     - repeated ids: the rows are one document, so they don't make a line shared;
     - null id: one document that sorts after every other;

@@ -18,8 +18,9 @@ held in one place. What a sequence adds to a token's score is one number: for a
 context, the log of its share for unseen words, and for a seen next word the difference to
 that. So a text's score is its base score and the sum of its sequences' numbers. The most
 frequent ``HELD`` at most of those numbers are broadcast, the others are joined. Passes leave
-out sequences with an infrequent part by a bitmap of ``BITS`` bits, a broadcast of fixed
-size: its false hits cost time and change no result. At most ``1 / HOT`` words exceed
+out sequences with an infrequent part by a bitmap for each length, of ``BITS`` bits at most: false
+hits cost time and change no result. Counts of sequences go from task to task packed, a row
+for each summing part. At most ``1 / HOT`` words exceed
 ``HOT * N``: the texts are written once as those words' numbers, which all later passes
 read; their other words get their counts from a distributed join. Sequences are known by
 64-bit hashes (a word by its number, or by a hash of 63 bits).
@@ -41,14 +42,17 @@ DEPTH = 3
 HOT = 2.0 ** -20
 LEAST = 8
 DISCOUNT = 0.5
-#: Sequences whose numbers are broadcast, and bits of a bitmap of sequences.
-HELD = 1 << 20
-BITS = 1 << 27
+#: Sequences whose numbers are broadcast (64 MB), and the most bits of a bitmap of sequences of one length.
+HELD = 1 << 22
+BITS = 1 << 28
 #: Tokens that a task works on at once, and sequences and words that it counts before it
 #: passes the counts on.
 CHUNK = 400_000
-KEYS = 1_500_000
+KEYS = 1_200_000
 WORDS = 300_000
+#: Training tokens for each part of the sequences, and counts that a task holds before it sums them up.
+PART = 4_000_000
+SUMMED = 1_000_000
 #: The end of a text, as a word (no word is empty).
 END = b""
 
@@ -74,28 +78,16 @@ def _count_words(batches):
 
 
 class Model:
-    """The most frequent words, and a tree that fits into memory: what the distributed
-    tree of :func:`learn` has to agree with.
-
-    Frequent words and sequences are sorted keys, with what scoring needs of the tree.
-    Level m holds the frequent sequences of m words. ``keys[m]`` are (number of the
-    sequence without its last word at level m - 1) * width + last word's number.
-    """
+    """The numbered words and what scoring needs of them. Words come by falling count; those
+    before ``width`` are frequent enough to be part of a sequence."""
 
     def __init__(self, words: list[bytes], counts, total: int, distinct: int):
         import numpy as np
 
         self.words, self.total, self.distinct = words, total, distinct
         self.base = np.log10((counts + 1.0) / (total + distinct + 1))
-        self.least = least = LEAST
-        self.width = max(1, int((counts >= least).sum()))  # words come by falling count
-        self.keys: dict[int, object] = {}
-        self.counts = {1: counts[:self.width].astype(np.int64)}
-        self.lp: dict[int, object] = {}
-        self.la: dict[int, object] = {}
-        self.retained: dict[int, object] = {}
+        self.width = max(1, int((counts >= LEAST).sum()))
         self.index = None
-        self.end_id = None
 
     def ids(self, words: list[bytes]):
         import numpy as np
@@ -116,87 +108,6 @@ class Model:
             state["built"].__dict__.update(state["model"])
         return state["built"]
 
-    def levels(self, ids, depth: int):
-        """Numbers of the frequent sequences of 1 to ``depth`` words that end at each token (-1: none)."""
-        import numpy as np
-
-        out = {1: np.where(ids < self.width, ids, -1)}
-        for m in range(2, depth + 1):
-            key, ok = self.candidates(ids, out[m - 1])
-            at = np.full(len(ids), -1, np.int64)
-            if len(self.keys[m]):
-                k = np.minimum(np.searchsorted(self.keys[m], key), len(self.keys[m]) - 1)
-                hit = ok & (self.keys[m][k] == key)
-                at[hit] = k[hit]
-            out[m] = at
-        return out
-
-    def candidates(self, ids, below):
-        """Keys of the sequences one longer than ``below``'s, and where both parts are frequent in one text."""
-        import numpy as np
-
-        before = np.concatenate([[-1], below[:-1]])
-        word_before = np.concatenate([[-1], ids[:-1]])
-        ok = (before >= 0) & (below >= 0) & (word_before != self.end)
-        return before * self.width + np.where(ids < self.width, ids, 0), ok
-
-    @property
-    def end(self) -> int:
-        if self.end_id is None:
-            self.ids([])
-            self.end_id = self.index.get(END, -2)
-        return self.end_id
-
-    def add_level(self, m: int, keys, counts) -> None:
-        import numpy as np
-
-        order = np.argsort(keys)
-        self.keys[m], self.counts[m] = keys[order].astype(np.int64), counts[order].astype(np.int64)
-
-    def grow(self, depth: int) -> None:
-        """The divergence tests, from short contexts to long ones."""
-        import numpy as np
-
-        self.lp = {1: self.base[:self.width]}
-        shorter = {1: None}  # of each sequence, the number of the one without its first word
-        for d in range(1, depth + 1):
-            keys, c = self.keys[d + 1], self.counts[d + 1]
-            ctx, word = keys // self.width, keys % self.width
-            if d == 1:
-                shorter[2] = word
-            else:
-                shorter[d + 1] = np.searchsorted(self.keys[d], shorter[d][ctx] * self.width + word)
-            parent = self.lp[d][shorter[d + 1]] if len(keys) else np.zeros(0)
-            n = len(self.counts[d])
-            of = self.counts[d][ctx].astype(float)
-            p, q = (c - DISCOUNT) / of, 10.0 ** parent
-            mass, parent_mass = np.bincount(ctx, p, n), np.bincount(ctx, q, n)
-            rest, parent_rest = np.maximum(1 - mass, 1e-12), np.maximum(1 - parent_mass, 1e-12)
-            kl = np.bincount(ctx, p * np.log(p / q), n) + rest * np.log(rest / parent_rest)
-            kinds = np.bincount(ctx, minlength=n)
-            total = self.counts[d].astype(float)
-            self.retained[d] = (kinds > 0) & (total * kl > 0.5 * (kinds + 1) * np.log(np.maximum(total, 2)))
-            self.la[d] = np.where(self.retained[d], np.log10(rest / parent_rest), 0.0)
-            self.lp[d + 1] = np.where(self.retained[d][ctx], np.log10(p), parent) if len(keys) else np.zeros(0)
-
-    def score(self, ids, depth: int):
-        """Base log10 probabilities (0 where a word's count is not held) and what the tree adds to them."""
-        import numpy as np
-
-        at = self.levels(ids, depth + 1)
-        base = np.where(ids >= 0, self.base[np.maximum(ids, 0)], 0.0) if len(self.base) else np.zeros(len(ids))
-        now = base.copy()
-        for d in range(1, depth + 1):
-            ctx = np.concatenate([[-1], at[d][:-1]])
-            ctx[np.concatenate([[-1], ids[:-1]]) == self.end] = -1
-            held = ctx >= 0
-            held[held] = self.retained[d][ctx[held]]
-            seen = held & (at[d + 1] >= 0)
-            now[seen] = self.lp[d + 1][at[d + 1][seen]]
-            rest = held & ~seen
-            now[rest] += self.la[d][ctx[rest]]
-        return base, now - base
-
 
 def _cold_keys(words: list[bytes]):
     """Keys of words without a number: hashes below 0."""
@@ -207,12 +118,12 @@ def _cold_keys(words: list[bytes]):
     return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in words), "<i8") | np.int64(-1 << 63)
 
 
-def _mix(context, shorter):
-    """The key of a sequence from those of its first and its last words."""
+def _mix(context, word):
+    """The key of a sequence from those of its words but the last, and of the last."""
     import numpy as np
 
     x = context.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-    for more in (shorter.view(np.uint64), np.uint64(0)):
+    for more in (word.view(np.uint64), np.uint64(0)):
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         x = (x ^ (x >> np.uint64(31))) + more
@@ -227,12 +138,14 @@ def _marked(bits, keys):
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
-def _bitmap(keys: DataFrame, bits=None):
-    """The bitmap of a column ``key``, added to ``bits``; BITS / 64 rows at most reach the driver."""
+def _bitmap(keys: DataFrame):
+    """The bitmap of a column ``key``: 16 bits or more for each key, up to ``BITS``; a 64th
+    of that in rows at most reaches the driver."""
     import numpy as np
 
-    out = np.zeros(BITS // 64, np.uint64) if bits is None else bits.copy()
-    at = keys.select(F.col("key").bitwiseAND(F.lit(BITS - 1)).alias("at"))
+    size = min(BITS, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
+    out = np.zeros(size // 64, np.uint64)
+    at = keys.select(F.col("key").bitwiseAND(F.lit(size - 1)).alias("at"))
     found = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("set")).toArrow()
     out[found.column("word").to_numpy()] |= found.column("set").to_numpy().view(np.uint64)
     return out
@@ -252,12 +165,18 @@ def _word_keys(held):
     return run
 
 
-def _sequence_keys(batches):
-    import pyarrow as pa
+def _sequence_keys(pairs: bool):
+    """The keys of sequences ``(ctx, word, n, of, ctx_short)`` and of what is left without their
+    first words (of a pair: the last word)."""
+    def run(batches):
+        import pyarrow as pa
 
-    for b in batches:
-        key = _mix(b.column(0).to_numpy(), b.column(1).to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "ctx", "shorter", "n"])
+        for b in batches:
+            ctx, word, n, of, short = (c.to_numpy() for c in b.columns)
+            shorter = word if pairs else _mix(short, word)
+            yield pa.RecordBatch.from_arrays([pa.array(_mix(ctx, word)), pa.array(ctx), pa.array(shorter), pa.array(n), pa.array(of)],
+                                             names=["key", "ctx", "shorter", "n", "of"])
+    return run
 
 
 def _encode(held):
@@ -304,55 +223,110 @@ def _numbers(batches, column: int, chunk: int | None = None):
 
 
 def _sequences(b, start: int, stop: int, ids, starts, cold: int, width: int, bits, depth: int):
-    """For each length up to ``depth``, the sequences whose two shorter parts the bitmap
-    holds: the places where they end, their keys, and whether the bitmap holds them."""
+    """For each length up to ``depth``, the sequences whose two shorter parts the bitmaps
+    hold: the places where they end, their keys, whether their length's bitmap holds them (if
+    there is one yet), and the keys of their first words and of the last."""
     import numpy as np
 
     offsets, values = b.column(cold).offsets.to_numpy(), b.column(cold).values.to_numpy()
-    key = ids.copy()
-    key[ids < 0] = values[offsets[start]:offsets[stop]]
-    seen = (ids >= 0) & (ids < width)
+    words = ids.copy()
+    words[ids < 0] = values[offsets[start]:offsets[stop]]
+    key, seen = words, (ids >= 0) & (ids < width)
     at = np.flatnonzero(ids < 0)
-    seen[at] = _marked(bits, key[at])
+    seen[at] = _marked(bits[0], words[at])
     yield 1, np.arange(len(ids)), key, seen, None, None
     inside = np.ones(len(ids), bool)
     inside[starts[:-1]] = False
     for m in range(2, depth + 1):
         at = np.flatnonzero(seen[1:] & seen[:-1] & inside[1:]) + 1
-        ctx, shorter = key[at - 1], key[at]
-        now = _mix(ctx, shorter)
-        hit = _marked(bits, now)
-        yield m, at, now, hit, ctx, shorter
+        ctx, word = key[at - 1], words[at]
+        now = _mix(ctx, word)
+        hit = _marked(bits[m - 1], now) if m <= len(bits) else None
+        yield m, at, now, hit, ctx, word
+        if hit is None:
+            return
         key, seen = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
         key[at], seen[at] = now, hit
 
 
-def _count_sequences(held, m: int):
+def _packed(*columns) -> bytes:
+    """Integer columns as bytes, those of equal weight together, compressed: sorted and small
+    numbers take a fraction of their width."""
+    import numpy as np
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns))
+
+
+def _unpacked(data: bytes, columns: int) -> list:
+    import numpy as np
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
+
+
+def _summed(ctx, word, n):
+    """The sequences once, by their first words, with their counts added up."""
+    import numpy as np
+
+    _, first, at = np.unique(_mix(ctx, word), return_index=True, return_inverse=True)
+    total = np.bincount(at, n, len(first)).astype(np.int64)
+    order = np.argsort(ctx[first], kind="stable")
+    return ctx[first[order]], word[first[order]], total[order]
+
+
+def _count_sequences(held, m: int, parts: int):
+    """A task's counts, packed by the part that will sum them: one row for each part and chunk."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         def out(found):
-            key, ctx, shorter = map(np.concatenate, zip(*found))
-            _, first, n = np.unique(key, return_index=True, return_counts=True)
-            for k in range(0, len(first), 1 << 18):
-                take = first[k:k + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(ctx[take]), pa.array(shorter[take]), pa.array(n[k:k + (1 << 18)].astype(np.int64))],
-                                                 names=["ctx", "shorter", "n"])
+            ctx, word = map(np.concatenate, zip(*found))
+            ctx, word, n = _summed(ctx, word, np.ones(len(ctx)))
+            part = (_mix(word, ctx).view(np.uint64) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            rows = [(p, _packed(*(x[order[a:b]] for x in (ctx, word, n)))) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())],
+                                              names=["part", "packed"])
 
         found, size = [], 0
         for run_of in _numbers(batches, 0):
-            *_, (_, _, key, _, ctx, shorter) = _sequences(*run_of, 1, held.value["width"], held.value["bits"], m)
-            found.append((key, ctx, shorter))
-            size += len(key)
+            *_, (_, _, _, _, ctx, word) = _sequences(*run_of, 1, held.value["width"], held.value["bits"], m)
+            found.append((ctx, word))
+            size += len(ctx)
             if size >= KEYS:
-                yield from out(found)
+                yield out(found)
                 found, size = [], 0
         if size:
-            yield from out(found)
+            yield out(found)
     return run
 
 
+def _sum_sequences(batches):
+    """The sequences seen ``LEAST`` times or more. A task's rows are of whole parts; what it holds is
+    summed up whenever it has doubled, so it grows with the different sequences only."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, waiting, size = None, [], 0
+    for b in batches:
+        for data in b.column(0).to_pylist():
+            waiting.append(_unpacked(data, 3))
+            size += len(waiting[-1][0])
+            if size > max(SUMMED, len(held[0]) if held else 0):
+                held, waiting, size = _summed(*map(np.concatenate, zip(*([held] if held else []), *waiting))), [], 0
+    if waiting:
+        held = _summed(*map(np.concatenate, zip(*([held] if held else []), *waiting)))
+    if held:
+        often = held[2] >= LEAST
+        ctx, word, n = (x[often] for x in held)
+        for k in range(0, len(n), 1 << 18):
+            yield pa.RecordBatch.from_arrays([pa.array(x[k:k + (1 << 18)]) for x in (ctx, word, n)], names=["ctx", "word", "n"])
+
+
 def _score(held, depth: int):
     def run(batches):
         import numpy as np
@@ -372,9 +346,11 @@ def _score(held, depth: int):
                 if m == 1:
                     add[key >= 0] = numbered[key[key >= 0]]
                 look = np.flatnonzero(key < 0) if m == 1 else np.arange(len(key))
-                if len(keys):
-                    k = np.minimum(np.searchsorted(keys, key[look]), len(keys) - 1)
-                    add[look] = np.where(keys[k] == key[look], values[k], np.nan)
+                if len(keys) and len(look):
+                    # each key once and in order, which the search is fast for
+                    asked, back = np.unique(key[look], return_inverse=True)
+                    k = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                    add[look] = np.where(keys[k] == asked, values[k], np.nan)[back]
                 known = ~np.isnan(add)
                 extra[at[known]] += add[known]
                 at, key = at[~known], key[~known]
@@ -391,13 +367,14 @@ def _score(held, depth: int):
     return run
 
 
-def _grow(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The divergence test of the contexts in ``grams (key, ctx, shorter, n)``, whose parts are
-    in ``shorter (key, n, lp)``: the grams with ``lp`` and, after a retained context, what
-    they add; and the retained contexts with what they add."""
-    g = (grams.join(shorter.select(F.col("key").alias("ctx"), F.col("n").alias("of")), "ctx")
-         .join(shorter.select(F.col("key").alias("shorter"), F.col("lp").alias("parent")), "shorter")
-         .select("key", "ctx", "n", "of", "parent", ((F.col("n") - DISCOUNT) / F.col("of")).alias("p")))
+def _grow(grams: DataFrame, below: DataFrame, pairs: bool) -> tuple[DataFrame, DataFrame, tuple[str, str]]:
+    """The divergence test of the contexts in ``grams (ctx, word, n)``, whose parts are in ``below
+    (key, n, lp, short)``: the grams as such a table, with what they ``add`` after a retained
+    context; the retained contexts with what they add; and the folders of both."""
+    g = (grams.join(below.select(F.col("key").alias("ctx"), F.col("n").alias("of"), "short"), "ctx").select("ctx", "word", "n", "of", "short")
+         .mapInArrow(_sequence_keys(pairs), "key long, ctx long, shorter long, n long, of long")
+         .join(below.select(F.col("key").alias("shorter"), F.col("lp").alias("parent")), "shorter")
+         .select("key", "ctx", "shorter", "n", "of", "parent", ((F.col("n") - DISCOUNT) / F.col("of")).alias("p")))
     g = materialize(g, "sequences-of")
     q, least = F.pow(F.lit(10.0), "parent"), F.lit(1e-12)
     tests = (g.groupBy("ctx").agg(F.first("of").alias("of"), F.count("*").alias("kinds"), F.sum("p").alias("mass"), F.sum(q).alias("parent_mass"),
@@ -405,17 +382,19 @@ def _grow(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
              .withColumn("rest", F.greatest(1 - F.col("mass"), least)).withColumn("share", F.col("rest") / F.greatest(1 - F.col("parent_mass"), least)))
     kl = F.col("kl") + F.col("rest") * F.log("share")
     kept = tests.filter(F.col("of") * kl > 0.5 * (F.col("kinds") + 1) * F.log(F.greatest("of", F.lit(2))))
-    kept = materialize(kept.select("ctx", F.col("of").alias("n"), F.log10("share").alias("add")), "contexts")
+    kept, kept_at = materialize_at(kept.select("ctx", F.col("of").alias("n"), F.log10("share").alias("add")), "contexts")
     lp = F.log10("p")
     out = g.join(kept.select("ctx", F.col("add").alias("la")), "ctx", "left").select(
-        "key", "n", F.when(F.col("la").isNull(), F.col("parent")).otherwise(lp).alias("lp"), (lp - F.col("parent") - F.col("la")).alias("add"))
-    return materialize(out, "sequences"), kept.select(F.col("ctx").alias("key"), "n", "add")
+        "key", "n", F.when(F.col("la").isNull(), F.col("parent")).otherwise(lp).alias("lp"), F.col("shorter").alias("short"),
+        (lp - F.col("parent") - F.col("la")).alias("add"))
+    out, out_at = materialize_at(out, "sequences")
+    return out, kept.select(F.col("ctx").alias("key"), "n", "add"), (out_at, kept_at)
 
 
 def learn(rows: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, DataFrame, "Model", object]:
     """From ``rows (id, held_out, body)``: all training words' counts (a table ``word, c``),
     the rows in word numbers, the tree as what each sequence adds (a table ``key, n, add``),
-    the most frequent words, and the bitmap of the frequent sequences."""
+    the most frequent words, and the bitmaps of the frequent sequences by length."""
     import numpy as np
 
     spark = rows.sparkSession
@@ -435,18 +414,23 @@ def learn(rows: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, Da
             _encode(held), f"row long, id {kind}, held_out boolean, ids array<int>, cold array<binary>, cold_keys array<long>"), "encoded")
         keep(path)
         words = counts.filter(F.col("c") >= LEAST).select("word", "c").mapInArrow(_word_keys(held), "key long, n long")
-        shorter = materialize(words.withColumn("lp", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))), "words")
-        bits, adds = _bitmap(shorter.filter("key < 0")), []
+        below = materialize(words.select("key", "n", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))).alias("lp"),
+                                         F.lit(0).cast("long").alias("short")), "words")
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART))
+        bits, adds = [_bitmap(below.filter("key < 0"))], []
         for m in range(2, depth + 2):
             held = sc.broadcast({"width": model.width if total else 0, "bits": bits})
-            found = (encoded.filter(~F.col("held_out")).select("ids", "cold_keys").mapInArrow(_count_sequences(held, m), "ctx long, shorter long, n long")
-                     .groupBy("ctx", "shorter").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
-                     .mapInArrow(_sequence_keys, "key long, ctx long, shorter long, n long"))
-            found = materialize(found, "frequent")
-            held.unpersist()
-            bits = _bitmap(found, bits)
-            shorter, contexts = _grow(found, shorter)
-            adds += [contexts, shorter.filter("add is not null").select("key", "n", "add")]
+            found = (encoded.filter(~F.col("held_out")).select("ids", "cold_keys").mapInArrow(_count_sequences(held, m, parts), "part int, packed binary")
+                     .repartition(parts, "part").select("packed").mapInArrow(_sum_sequences, "ctx long, word long, n long"))
+            # A length's intermediate tables go when the next length has what it needs of them.
+            with stage_scope(spark) as last:
+                found, _ = materialize_at(found, "frequent")
+                held.unpersist()
+                below, contexts, folders = _grow(found, below, pairs=m == 2)
+                for folder in folders:
+                    last(folder)
+            bits = [*bits, _bitmap(below)]
+            adds += [contexts, below.filter("add is not null").select("key", "n", "add")]
         tree, path = materialize_at(reduce(DataFrame.unionAll, adds).groupBy("key").agg(F.max("n").alias("n"), F.sum("add").alias("add")), "tree")
         keep(path)
     return counts, encoded, tree, model, bits

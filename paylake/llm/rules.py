@@ -203,6 +203,7 @@ def judge(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...], id_col: str
     """The columns ``keep``, the statistics, ``rule`` (number of the rejecting rule or
     null) and ``kept``, one row for each input row; and the list.
 
+    - very long texts are read whole;
     - null, empty or short texts fail the base rule and are not kept;
     - repeated ids: each row is judged by its own text; if their labels differ, good wins;
     - no labels, or none of one kind: the list is empty and the base rule decides;

@@ -261,6 +261,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Rows ``(<id_col>, fp, component_id)``, one for each input row: the fingerprint
     (as a signed long) and the smallest id reachable over links.
 
+    - very long texts are read whole;
     - null and wordless texts have fingerprint zero and link like any other;
     - repeated rows and ties: each row is answered, all with the same component;
     - a null id sorts after every other; its component is null only if no other id is reached;

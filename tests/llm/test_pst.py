@@ -37,22 +37,47 @@ def test_base_score_against_brute_force(spark, monkeypatch, hot):
         assert r.held_out == (remainder(r.doc_id, 7) == 2)
 
 
-def small_model(texts, depth, least=3):
-    """The tree by direct counting, as :func:`learn` builds it."""
-    docs = [pst.tokens(t) for t in texts]
-    flat = [w for d in docs for w in d]
-    c = Counter(flat)
-    words = sorted(c, key=lambda w: (-c[w], w))
-    model = pst.Model(words, np.array([c[w] for w in words], float), len(flat), len(c))
-    model.least, model.width = least, sum(v >= least for v in c.values())
-    model.counts = {1: np.array([c[w] for w in words[:model.width]], np.int64)}
-    ids = model.ids(flat)
-    for m in range(2, depth + 2):
-        key, ok = model.candidates(ids, model.levels(ids, m - 1)[m - 1])
-        uniq, n = np.unique(key[ok], return_counts=True)
-        model.add_level(m, uniq[n >= least], n[n >= least])
-    model.grow(depth)
-    return model, docs
+class Tree:
+    """The suffix tree by direct counting in dictionaries."""
+
+    def __init__(self, texts, depth, least):
+        docs = [pst.tokens(t) for t in texts]
+        self.words = Counter(w for d in docs for w in d)
+        self.total, self.depth, self.lp, self.la = sum(self.words.values()), depth, {}, {}
+        grams = {m: Counter(tuple(d[i:i + m]) for d in docs for i in range(len(d) - m + 1)) for m in range(1, depth + 2)}
+        for m in grams:
+            grams[m] = {g: n for g, n in grams[m].items() if n >= least}
+        self.lp.update({g: math.log10(self.base(g[0])) for g in grams[1]})
+        for m in range(2, depth + 2):
+            following = {}
+            for g, n in grams[m].items():
+                following.setdefault(g[:-1], {})[g[-1]] = n
+            for ctx, nexts in following.items():
+                of = grams[m - 1][ctx]
+                p = {w: (n - pst.DISCOUNT) / of for w, n in nexts.items()}
+                q = {w: 10 ** self.lp[ctx[1:] + (w,)] for w in nexts}
+                rest, parent_rest = max(1 - sum(p.values()), 1e-12), max(1 - sum(q.values()), 1e-12)
+                kl = sum(p[w] * math.log(p[w] / q[w]) for w in p) + rest * math.log(rest / parent_rest)
+                retained = of * kl > 0.5 * (len(p) + 1) * math.log(max(of, 2))
+                if retained:
+                    self.la[ctx] = math.log10(rest / parent_rest)
+                for w in nexts:
+                    self.lp[ctx + (w,)] = math.log10(p[w] if retained else q[w])
+
+    def base(self, w):
+        return (self.words[w] + 1) / (self.total + len(self.words) + 1)
+
+    def token(self, before, w):
+        """The log10 probability of ``w`` after the words ``before`` of its text."""
+        now = math.log10(self.base(w))
+        for d in range(1, min(self.depth, len(before)) + 1):
+            ctx = tuple(before[-d:])
+            if ctx in self.la:
+                now = self.lp[ctx + (w,)] if ctx + (w,) in self.lp else now + self.la[ctx]
+        return now
+
+    def score(self, words):
+        return sum(self.token(words[:k], w) for k, w in enumerate(words))
 
 
 def text_of(rng):
@@ -64,43 +89,14 @@ def text_of(rng):
     return b" ".join(out)
 
 
-def test_levels_hold_exactly_the_frequent_sequences():
-    rng = random.Random(4)
-    model, docs = small_model([text_of(rng) for _ in range(30)], 2)
-    grams = Counter(tuple(d[i:i + 3]) for d in docs for i in range(len(d) - 2))
-    frequent = {g for g, n in grams.items() if n >= 3 and pst.END not in g[:-1]}
-    def name(m, k):
-        if m == 1:
-            return (model.words[k],)
-        return name(m - 1, model.keys[m][k] // model.width) + (model.words[model.keys[m][k] % model.width],)
-    assert {name(3, k) for k in range(len(model.keys[3]))} == frequent
-
-
 def test_distributions_sum_to_one_and_contexts_are_used():
+    """Of the brute-force tree, and so of what the operator is held against."""
     rng = random.Random(6)
-    model, docs = small_model([text_of(rng) for _ in range(60)], 2)
-    assert model.retained[2].any()
-    words = [*model.words]
+    tree = Tree([text_of(rng) for _ in range(60)], 2, 3)
+    assert any(len(c) == 2 for c in tree.la)
     for ctx in product([b"a", b"b", b"c", b"d"], repeat=2):
-        probs = []
-        for w in words:
-            ids = model.ids([*ctx, w])
-            base, extra = model.score(ids, 2)
-            probs.append(10 ** (base[-1] + extra[-1]))
-        unseen, extra = model.score(model.ids([*ctx, b"unseen"]), 2)
-        probs.append(10 ** (-math.log10(model.total + model.distinct + 1) + extra[-1]))
-        assert sum(probs) == pytest.approx(1.0, abs=1e-6)
-    ids = model.ids([b"a", b"b", b"d"])
-    base, extra = model.score(ids, 2)
-    assert 10 ** (base[-1] + extra[-1]) > 0.8
-
-
-def test_contexts_stop_at_texts():
-    rng = random.Random(6)
-    model, _ = small_model([text_of(rng) for _ in range(60)], 2)
-    first = model.ids([b"d"])
-    after = model.ids([b"a", b"b", pst.END, b"d"])
-    assert sum(model.score(after, 2)[1][-1:]) == sum(model.score(first, 2)[1][-1:]) == 0
+        assert sum(10 ** tree.token(ctx, w) for w in [*tree.words, b"unseen"]) == pytest.approx(1.0, abs=1e-6)
+    assert 10 ** tree.token([b"a", b"b"], b"d") > 0.8
 
 
 def test_better_than_the_base_on_held_out_texts(spark):
@@ -135,16 +131,43 @@ def test_chunks_hold_whole_texts():
 @pytest.mark.parametrize("hot, held", [(pst.HOT, 1 << 20), (0.02, 1 << 20), (0.02, 40), (pst.HOT, 0)])
 def test_every_frequent_sequence_is_used_however_large_the_corpus(spark, monkeypatch, hot, held):
     monkeypatch.setattr(pst, "HOT", hot)
-    monkeypatch.setattr(pst, "RARE", 0.01, raising=False)  # a cut relative to the corpus, if there is one
     monkeypatch.setattr(pst, "HELD", held, raising=False)  # few: the others are joined
     rng = random.Random(11)
     rows = [(i, " ".join([text_of(rng).decode()] + [f"p{i % 9} q{i % 9} r{i % 9}"] + [f"w{rng.randrange(60)}" for _ in range(10)])) for i in range(150)]
     rows += [(150, None), (151, "p1 q1 r1")]
     train = [t for i, t in rows if remainder(i, 7) != 2]
-    model, _ = small_model([(t or "").encode() for t in train], pst.DEPTH, pst.LEAST)
-    assert model.retained[2].any()
+    tree = Tree([(t or "").encode() for t in train], pst.DEPTH, pst.LEAST)
+    assert any(len(c) == 2 for c in tree.la)
     got = {r.doc_id: r for r in pst.score_texts(docs_frame(spark, rows)).collect()}
     for i, t in rows:
         words = pst.tokens((t or "").encode())
-        ids = np.array([model.index.get(w, -1) for w in words])
-        assert got[i].score - got[i].base_score == pytest.approx(model.score(ids, pst.DEPTH)[1].sum(), abs=1e-9)
+        assert got[i].score == pytest.approx(tree.score(words), abs=1e-8)
+
+
+def test_counts_survive_packing():
+    rng = random.Random(12)
+    for n in (1, 2, 500):
+        ctx, word = (np.array([rng.randint(-2**63, 2**63 - 1) if rng.random() < 0.3 else rng.randint(0, 4) for _ in range(n)]) for _ in "ab")
+        back = pst._unpacked(pst._packed(ctx, word, np.arange(n)), 3)
+        assert all((x == y).all() for x, y in zip(back, (ctx, word, np.arange(n))))
+        got = dict(((a, b), c) for a, b, c in zip(*(x.tolist() for x in pst._summed(ctx, word, np.arange(n)))))
+        want = Counter()
+        for a, b, c in zip(ctx.tolist(), word.tolist(), range(n)):
+            want[a, b] += c
+        assert got == dict(want) | {k: 0 for k in got if k not in want}
+
+
+def test_parts_are_summed_whatever_the_chunks(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(pst, "SUMMED", 7)
+    rng = random.Random(13)
+    want, rows = Counter(), []
+    for _ in range(40):
+        pairs = [(rng.randrange(4), rng.randrange(3)) for _ in range(rng.randint(1, 9))]
+        want.update(pairs)
+        ctx, word = map(np.array, zip(*pairs))
+        rows.append(pst._packed(*pst._summed(ctx, word, np.ones(len(pairs)))))
+    batches = [pa.RecordBatch.from_arrays([pa.array(rows[k:k + 5], pa.binary())], names=["packed"]) for k in range(0, 40, 5)]
+    out = [r for b in pst._sum_sequences(batches) for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert {(a, b): n for a, b, n in out} == {k: n for k, n in want.items() if n >= pst.LEAST} and out
+    assert list(pst._sum_sequences([])) == []

@@ -18,6 +18,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,8 +108,13 @@ GAP_FIELDS = T.StructType([
 ])
 
 
-#: Events that can't have a gap are dealt over so many keys, which hold no state.
-STATELESS_KEYS = 1 << 16
+#: Events that can't have a gap are dealt over so many keys, which hold no state. A key costs a
+#: call in the worker for each micro-batch, its rows come in parts: a few for each core are enough.
+STATELESS_KEYS = 1 << 6
+#: Senders of a reordering query are dealt over so many keys. A checkpoint is for one number.
+SENDER_BUCKETS = 1 << 10
+#: Rows that the reorder buffer sorts at once, and rows of one of its pieces.
+RUN_ROWS, PIECE_ROWS = 1 << 16, 1 << 12
 #: How long ``bounded`` keeps an idle sender's state, by the clock of the cluster.
 STATE_TTL_MS = 3_600_000
 
@@ -127,77 +133,150 @@ class LastSeenProcessor(StatefulProcessor):
         self.last = handle.getValueState("last_us", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts = []
+        for pdf in rows:
+            if pdf["timed"].iloc[0]:
+                parts.append(pdf)
+            else:
+                yield _without_gap(pdf)
+        if not parts:
+            return
         # A micro-batch's rows of one sender; the source's rate limit bounds them.
-        pdf = pd.concat(list(rows), ignore_index=True)
-        if not pdf["timed"].iloc[0]:
-            pdf["gap_sec"] = np.nan
-        else:
-            pdf = pdf.sort_values("offset", kind="stable")
-            us = pdf["event_us"].to_numpy(dtype="int64")
-            prev = np.empty(len(us), dtype="float64")
-            prior = self.last.get() if self.last.exists() else None
-            prev[0] = np.nan if prior is None or prior[0] is None else float(prior[0])
-            prev[1:] = us[:-1]
-            pdf["gap_sec"] = (us - prev) / 1e6
-            self.last.update((int(us[-1]),))
-        yield pdf[[f.name for f in GAP_FIELDS.fields]]
+        pdf = pd.concat(parts, ignore_index=True).sort_values("offset", kind="stable")
+        us = pdf["event_us"].to_numpy(dtype="int64")
+        prev = np.empty(len(us), dtype="float64")
+        prior = self.last.get() if self.last.exists() else None
+        prev[0] = np.nan if prior is None or prior[0] is None else float(prior[0])
+        prev[1:] = us[:-1]
+        pdf["gap_sec"] = (us - prev) / 1e6
+        self.last.update((int(us[-1]),))
+        yield pdf[GAP_FIELDS.names]
 
     def close(self) -> None:
         pass
 
 
-#: What the reorder buffer holds of an event.
-PENDING_FIELDS = T.StructType([*[f for f in GAP_FIELDS.fields if f.name != "gap_sec"], T.StructField("event_us", T.LongType())])
+#: What the reorder buffer holds of an event; ``n``: the piece that it came in.
+PENDING = pa.schema([("transaction_id", pa.string()), ("offset", pa.int64()), ("sender_msisdn", pa.string()),
+                     ("amount_ghs", pa.float64()), ("status", pa.string()), ("operator", pa.string()),
+                     ("region", pa.string()), ("is_high_value", pa.bool_()), ("event_us", pa.int64())])
+PIECE = PENDING.append(pa.field("n", pa.int64()))
+LAST = pa.schema([("sender_msisdn", pa.string()), ("us", pa.int64())])
+
+
+def _without_gap(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pdf.assign(gap_sec=np.nan)[GAP_FIELDS.names]
+
+
+def _packed(table: pa.Table) -> bytes:
+    """``table`` as a value of the state."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value) -> pa.Table:
+    return pa.ipc.open_stream(pa.py_buffer(bytes(value))).read_all()
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    """By offset, equal ones as they came."""
+    return table.take(np.lexsort((table["n"].to_numpy(), table["offset"].to_numpy())))
+
+
+def _judged(table: pa.Table, last: dict[str, int]) -> pd.DataFrame:
+    """Rows in offset order with their gaps; ``last``: each sender's last event time, brought up to date."""
+    senders = table["sender_msisdn"].combine_chunks().dictionary_encode()
+    code, names = senders.indices.to_numpy(), senders.dictionary.to_pylist()
+    by_sender = np.argsort(code, kind="stable")
+    code, us = code[by_sender], table["event_us"].to_numpy()[by_sender]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    ends = np.r_[starts[1:], len(code)] - 1
+    found = [names[c] for c in code[starts]]
+    gap = np.empty(len(us), dtype="float64")
+    gap[1:] = (us[1:] - us[:-1]) / 1e6
+    gap[starts] = [(u - last[s]) / 1e6 if s in last else np.nan for s, u in zip(found, us[starts].tolist())]
+    last.update(zip(found, us[ends].tolist()))
+    pdf = table.drop_columns(["event_us", "n"]).to_pandas()
+    pdf.loc[by_sender, "gap_sec"] = gap
+    return pdf[GAP_FIELDS.names]
 
 
 class ReorderProcessor(StatefulProcessor):
-    """Per sender: the last event time, and the events that wait for their turn.
+    """Per bucket of senders: their last event times, and the events that wait for their turn.
 
     Offsets are the event time of the query (one offset is one millisecond), so its
-    watermark says up to which offset everything has arrived. Events wait in a list state
-    and are judged in offset order when the watermark has passed them, whatever micro-batches
-    they came in. A timer at the smallest offset that waits wakes the sender up."""
+    watermark says up to which offset everything has arrived. Events wait in sorted pieces
+    of some thousand rows, each one value of a map state by its first offset, and are judged in offset
+    order when the watermark has passed them, whatever micro-batches they came in. A timer at
+    the smallest offset that waits wakes the bucket up; pieces are then merged, a part of them in
+    memory at a time. Calls of the state go by pieces and buckets, never by events or senders."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last_us", T.StructType([T.StructField("us", T.LongType(), True)]))
-        self.pending = handle.getListState("pending", PENDING_FIELDS)
+        self.last = handle.getValueState("last", "senders binary")
+        self.pieces = handle.getValueState("pieces", "n long")
+        self.waiting = handle.getMapState("waiting", "first long, n long", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:  # a part of the sender's rows at a time
+        held, size, first = [], 0, []
+        for pdf in rows:  # a part of the bucket's rows at a time
             if not pdf["timed"].iloc[0]:
-                pdf["gap_sec"] = np.nan
-                yield pdf[[f.name for f in GAP_FIELDS.fields]]
+                yield _without_gap(pdf)
                 continue
-            self.pending.appendList([self._stored(x) for x in pdf[PENDING_FIELDS.names].itertuples(index=False, name=None)])
-            self.handle.registerTimer(int(pdf["offset"].min()))
-
-    @staticmethod
-    def _stored(row: tuple) -> tuple:
-        """Plain values: numpy's don't go into the state, and a missing value is None there."""
-        plain = (x.item() if hasattr(x, "item") else x for x in row)
-        return tuple(None if x is None or x is pd.NA or x != x else x for x in plain)
+            held.append(pa.Table.from_pandas(pdf[PENDING.names], schema=PENDING, preserve_index=False))
+            size += len(pdf)
+            if size >= RUN_ROWS:
+                first.append(self._store(pa.concat_tables(held)))
+                held, size = [], 0
+        if held:
+            first.append(self._store(pa.concat_tables(held)))
+        if first:
+            self.handle.registerTimer(min(first))
+
+    def _store(self, table: pa.Table) -> int:
+        """Add rows to those that wait; their first offset."""
+        n = self.pieces.get()[0] if self.pieces.exists() else 0
+        if "n" not in table.column_names:
+            table = table.append_column("n", pa.array(np.full(len(table), n, dtype="int64")))
+        table = _in_order(table)
+        for at in range(0, len(table), PIECE_ROWS):
+            piece = table.slice(at, PIECE_ROWS)
+            self.waiting.updateValue((piece["offset"][0].as_py(), n), (_packed(piece),))
+            n += 1
+        self.pieces.update((n,))
+        return table["offset"][0].as_py()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        at = PENDING_FIELDS.names.index("offset")
-        waiting = list(self.pending.get())
-        due = sorted((x for x in waiting if x[at] <= passed), key=lambda x: x[at])
+        waiting = sorted((int(first), int(n)) for first, n in self.waiting.keys())
+        due = [k for k in waiting if k[0] <= passed]
         if not due:  # another timer has released them
             return
-        rest = [tuple(x) for x in waiting if x[at] > passed]
+        senders = _unpacked(self.last.get()[0]) if self.last.exists() else LAST.empty_table()
+        last = dict(zip(*(senders[c].to_pylist() for c in LAST.names)))
+        held, at = PIECE.empty_table(), 0
+        while at < len(due):
+            parts, read = [held], 0
+            while at < len(due) and read < max(RUN_ROWS, len(held)):
+                parts.append(_unpacked(self.waiting.getValue(due[at])[0]))
+                self.waiting.removeKey(due[at])
+                read += len(parts[-1])
+                at += 1
+            held = _in_order(pa.concat_tables(parts))
+            # what lies before the next piece is complete
+            until = passed if at == len(due) else due[at][0] - 1
+            ready = int(np.searchsorted(held["offset"].to_numpy(), until, side="right"))
+            if ready:
+                yield _judged(held.slice(0, ready), last)
+            held = held.slice(ready)
+        rest = [k[0] for k in waiting[len(due):]]
+        if len(held):
+            rest.append(self._store(held))
         if rest:
-            self.pending.put(rest)
-            self.handle.registerTimer(min(x[at] for x in rest))
-        else:
-            self.pending.clear()
-        pdf = pd.DataFrame([tuple(x) for x in due], columns=PENDING_FIELDS.names)
-        us = [x[-1] for x in due]
-        prior = self.last.get() if self.last.exists() else None
-        before = [None if prior is None else prior[0], *us[:-1]]
-        pdf["gap_sec"] = [np.nan if p is None else (u - p) / 1e6 for u, p in zip(us, before)]
-        self.last.update((int(us[-1]),))
-        yield pdf[[f.name for f in GAP_FIELDS.fields]]
+            self.handle.registerTimer(min(rest))
+        self.last.update((_packed(pa.table([list(last), list(last.values())], schema=LAST)),))
 
     def close(self) -> None:
         pass
@@ -227,9 +306,12 @@ def stream_gaps(events: DataFrame, mode: str = "parity", ttl_ms: int = STATE_TTL
     timed = F.col("sender_msisdn").isNotNull() & F.col("event_us").isNotNull()
     if reorder is not None:
         timed = timed & F.col("offset").isNotNull()
+    sender = F.col("sender_msisdn")
+    if reorder is not None:
+        sender = F.pmod(F.xxhash64(sender), F.lit(SENDER_BUCKETS)).cast("string")
     other = F.concat(F.lit("-"), F.pmod(F.xxhash64("offset", "transaction_id"), F.lit(STATELESS_KEYS)).cast("string"))
     ev = (event_time(events).withColumn("timed", timed)
-          .withColumn("state_key", F.when(F.col("timed"), F.concat(F.lit("+"), F.col("sender_msisdn"))).otherwise(other))
+          .withColumn("state_key", F.when(F.col("timed"), F.concat(F.lit("+"), sender)).otherwise(other))
           .withColumn("event_us", F.coalesce("event_us", F.lit(0))))
     cols = [f.name for f in GAP_FIELDS.fields if f.name != "gap_sec"]
     if reorder is not None:

@@ -90,3 +90,88 @@ def test_throughput_over_many_batches(spark):
         assert s["input_rows"] == 301
     finally:
         spark.streams.removeListener(counted)
+
+
+class _Handle:
+    """A state in memory that counts its calls."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, []
+
+    def getValueState(self, *_):
+        return _State(self)
+
+    getMapState = getListState = getValueState
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+class _State:
+    def __init__(self, handle):
+        self.handle, self.held = handle, {}
+
+    def _called(self, result=None):
+        self.handle.calls += 1
+        return result
+
+    def exists(self):
+        return self._called(bool(self.held))
+
+    def get(self):
+        return self._called(self.held[None])
+
+    def update(self, value):
+        self._called(self.held.update({None: value}))
+
+    def getValue(self, key):
+        return self._called(self.held[key])
+
+    def updateValue(self, key, value):
+        self._called(self.held.update({key: value}))
+
+    def removeKey(self, key):
+        self._called(self.held.pop(key))
+
+    def keys(self):
+        return self._called(list(self.held))
+
+    def appendList(self, values):
+        self.handle.calls += len(values)
+        self.held.setdefault(None, []).extend(values)
+
+
+@pytest.mark.parametrize("run_rows, piece_rows", [(40, 7), (FR.RUN_ROWS, FR.PIECE_ROWS)])
+def test_reordering_calls_the_state_by_pieces(monkeypatch, run_rows, piece_rows):
+    """Many senders of a bucket in any order, released in steps that cut pieces."""
+    import numpy as np
+    import pandas as pd
+    monkeypatch.setattr(FR, "RUN_ROWS", run_rows)
+    monkeypatch.setattr(FR, "PIECE_ROWS", piece_rows)
+    rnd = random.Random(3)
+    events = [(f"T{o}", o, f"S{rnd.randrange(300)}", 1.0, "SUCCESS", "MTN", None, rnd.choice((True, None)), rnd.randrange(10 ** 9)) for o in range(1, 6001)]
+    last, expected = {}, []
+    for e in events:
+        expected.append((e[1], e[2], None if e[2] not in last else (e[-1] - last[e[2]]) / 1e6))
+        last[e[2]] = e[-1]
+    handle, got = _Handle(), []
+    p = FR.ReorderProcessor()
+    p.init(handle)
+    for k in range(3):  # each third reaches 500 offsets into the next
+        rows = [e for e in events if (e[1] + (e[1] * 7919) % 500 - 1) // 2500 == k]
+        rnd.shuffle(rows)
+        parts = [pd.DataFrame(rows[i:i + 100], columns=FR.PENDING.names).assign(timed=True) for i in range(0, len(rows), 100)]
+        assert list(p.handleInputRows(("+1",), iter(parts), None)) == []
+        passed = type("T", (), {"getCurrentWatermarkInMs": staticmethod(lambda k=k: 2500 * (k + 1) - 500 if k < 2 else 10_000)})
+        while handle.timers and min(handle.timers) <= passed.getCurrentWatermarkInMs():
+            handle.timers.remove(min(handle.timers))
+            for pdf in p.handleExpiredTimer(("+1",), passed, None):
+                got += [(r.offset, r.sender_msisdn, None if np.isnan(r.gap_sec) else r.gap_sec) for r in pdf.itertuples()]
+        assert len(got) == min(6000, passed.getCurrentWatermarkInMs())
+    assert got == expected
+    assert handle.calls < (6000 if piece_rows == 7 else 100)
+
+
+def test_events_without_a_gap_share_few_keys():
+    assert FR.STATELESS_KEYS <= 1024 and FR.SENDER_BUCKETS <= 1 << 14

@@ -343,7 +343,7 @@ def _upsert_sides(spark, sf):
 
 
 def fact_upsert(spark, sf):
-    existing, incoming = _upsert_sides(spark, sf)
+    existing, incoming = FX.upsert_pair(_clean(spark, sf))  # nothing runs before the result is used
     cols = ["transaction_id", "timestamp", "amount", "fee", "status", "is_high_value", "is_rapid_succession"]
     out = FT.upsert(existing.select(*cols), incoming.select(*cols))
     return decimals_to_double(out)

@@ -40,15 +40,18 @@ class Transformed:
         return quality_report(self.funnel, self.clean)
 
 
-def transform(raw: DataFrame, stage: bool = False, split_seconds: int = SPLIT_SECONDS) -> Transformed:
+def transform(raw: DataFrame, stage: bool = False, split_seconds: int = SPLIT_SECONDS, numbered: bool = True) -> Transformed:
     """Clean, enrich and flag a raw feed. Lazy: nothing runs until a result is used.
 
     With ``stage`` the de-duplicated, typed frame is written once to the shared
     checkpoint folder and all branches read that; the caller releases
-    ``staged`` when they are done (see :func:`run_batch`).
+    ``staged`` when they are done (see :func:`run_batch`). Its plan of two phases needs input
+    numbers that are unique; without ``numbered`` they may repeat.
     """
     staged = None
-    if stage:
+    if stage and not numbered:
+        classified, staged = materialize_at(C.classify(raw), "classified")
+    elif stage:
         # The list of repeated ids first: with its size known, a small one is broadcast and
         # the rows are not shuffled.
         repeated, listed = materialize_at(C.repeated_ids(raw), "repeated-ids")

@@ -33,7 +33,7 @@ from paylake.streaming import fraud as FR
 from paylake.streaming import jobs as J
 from paylake.streaming import metrics as MT
 from paylake.schemas import EVENT, FEE_TYPE, RAW_COLUMNS
-from paylake.session import materialize
+from paylake.session import materialize, release
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -338,8 +338,12 @@ def distinct_operators(spark, sf):
 # --- fact upsert -----------------------------------------------------------
 
 def _upsert_sides(spark, sf):
-    """Both sides from one stored clean stage."""
-    return FX.upsert_pair(materialize(_clean(spark, sf), "clean"))
+    """Both sides from one stored clean stage, which is derived from the stored de-duplicated
+    rows, as in a run: its branches don't repeat the de-duplication."""
+    t = transform(_raw(spark, sf), stage=True, numbered=False)
+    clean = materialize(t.clean, "clean")
+    release(spark, t.staged)
+    return FX.upsert_pair(clean)
 
 
 def fact_upsert(spark, sf):

@@ -453,22 +453,29 @@ PARTS = 4
 WHOLE = (1 << 62)
 
 
-def _run(start, spark, sf, parts=PARTS, bytes_per_batch=None, reorder=False):
-    """Replay the live events in offset order, ``parts`` ranges, each drained (and the query
-    restarted from its checkpoint) before the next is appended; return the sink folder.
+def _run_all(starts, spark, sf, parts=PARTS, bytes_per_batch=None):
+    """Replay the live events in offset order, ``parts`` ranges, each drained (and the queries
+    restarted from their checkpoints) before the next is appended, for jobs that read the
+    same folder side by side like consumers of one topic; return the sink folders.
 
-    ``reorder``: the job orders events over the micro-batches of a range."""
+    ``starts``: how to start a job, and whether it orders events over the micro-batches of a range."""
     src = J.scratch(spark, "events-in")
-    out, ckpt = J.scratch(spark, "out"), J.scratch(spark, "ckpt")
+    jobs = [(start, reorder, J.scratch(spark, "out"), J.scratch(spark, "ckpt")) for start, reorder in starts]
     events = FX.live_events(spark, sf)
-    reach = range_size(events, parts) if reorder else None
-    options = {"reorder": reach} if reorder else {}
+    reach = range_size(events, parts) if any(reorder for _, reorder in starts) else None
+
+    def drain(end=False):
+        # only jobs that reorder wait for the end mark
+        J.drain([start(J.read_events(spark, src, bytes_per_batch=bytes_per_batch), out, ckpt, **({"reorder": reach} if reorder else {}))
+                 for start, reorder, out, ckpt in jobs if reorder or not end])
 
-    def drain_once():
-        J.drain(start(J.read_events(spark, src, bytes_per_batch=bytes_per_batch), out, ckpt, **options))
+    replay_in_order(events, src, parts, drain, reach, lambda: drain(end=True))
+    return [out for _, _, out, _ in jobs]
 
-    replay_in_order(events, src, parts, drain_once, reach)
-    return out
+
+def _run(start, spark, sf, parts=PARTS, bytes_per_batch=None, reorder=False):
+    """:func:`_run_all` for one job."""
+    return _run_all([(start, reorder)], spark, sf, parts, bytes_per_batch)[0]
 
 
 def stream_scan(spark, sf):
@@ -508,18 +515,19 @@ def stream_snapshots(spark, sf):
 def stream_throughput(spark, sf):
     """Rows that each consumer took over its whole run, as its listener counted them."""
     counted = J.Throughput()
-    spark.streams.addListener(counted)
-    try:
-        rows = []
-        for name, start, options in (("log", J.start_log, {}), ("alerts", J.start_alerts, {"reorder": True}), ("metrics", J.start_metrics, {})):
-            started = []
+    consumers = {"log": (J.start_log, False), "alerts": (J.start_alerts, True), "metrics": (J.start_metrics, False)}
+    last = {}
 
-            def observed_start(events, *args, start=start, started=started, **reorder):
-                started.append(start(J.observed(events), *args, **reorder))
-                return started[-1]
+    def observed_start(name, start):
+        def started(events, *args, **options):
+            last[name] = start(J.observed(events), *args, **options)
+            return last[name]
+        return started
 
-            _run(observed_start, spark, sf, **options)
-            rows.append((name, counted.summary(started[-1])["input_rows"]))
+    spark.streams.addListener(counted)
+    try:
+        _run_all([(observed_start(name, start), reorder) for name, (start, reorder) in consumers.items()], spark, sf)
+        rows = [(name, counted.summary(last[name])["input_rows"]) for name in consumers]
     finally:
         spark.streams.removeListener(counted)
     return spark.createDataFrame(rows, "consumer string, input_rows long")

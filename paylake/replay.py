@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paylake.session import materialize_at, release
 from paylake.streaming.fraud import END_MARK
 
 
@@ -34,18 +35,27 @@ def end_mark(events: DataFrame, after: int) -> DataFrame:
     return last.select(F.lit(END_MARK).alias("event_type"), "offset", *empty).select(*events.columns)
 
 
-def replay_in_order(events: DataFrame, path: str, parts: int, drain_once, reorder: int | None = None) -> None:
+def _dealt(part: DataFrame) -> DataFrame:
+    """``part`` over all cores: a range's rows may lie in few of the files."""
+    cores = part.sparkSession.sparkContext.defaultParallelism
+    return part.repartition(max(cores, part.rdd.getNumPartitions()), "offset")
+
+
+def replay_in_order(events: DataFrame, path: str, parts: int, drain_once, reorder: int | None = None, drain_end=None) -> None:
     """Feed ``events`` to a file source at ``path`` the way a live topic
     fills: append one offset range (written in parallel, many files), then
     call ``drain_once()`` to run the stream until it has caught up, and so
     on. Every run after the first restarts from the query's checkpoint.
 
-    A range is one micro-batch or, above the source's limit, several, over which its offsets may
-    lie in any order; with ``reorder`` (for a query that reorders so far) an end mark follows the
-    last range."""
-    for part in offset_ranges(events, parts):
-        part.sortWithinPartitions("offset").write.mode("append").parquet(path)
+    ``events`` are derived once, into a folder that the ranges are taken from. A range is one
+    micro-batch or, above the source's limit, several, over which its offsets may lie in any order;
+    with ``reorder`` (for a query that reorders so far) an end mark follows the last range, and
+    ``drain_end()`` (``drain_once()`` by default)."""
+    staged, at = materialize_at(events, "replay")
+    for part in offset_ranges(staged, parts):
+        _dealt(part).sortWithinPartitions("offset").write.mode("append").parquet(path)
         drain_once()
     if reorder is not None:
-        end_mark(events, reorder + 1).coalesce(1).write.mode("append").parquet(path)
-        drain_once()
+        end_mark(staged, reorder + 1).coalesce(1).write.mode("append").parquet(path)
+        (drain_end or drain_once)()
+    release(events.sparkSession, at)

@@ -19,6 +19,7 @@ from typing import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,6 +116,8 @@ STATELESS_KEYS = 1 << 6
 SENDER_BUCKETS = 1 << 10
 #: Rows that the reorder buffer sorts at once, and rows of one of its pieces.
 RUN_ROWS, PIECE_ROWS = 1 << 16, 1 << 12
+#: Events that a task deals into pieces at once, on their way to the state.
+PACK_ROWS = 1 << 17
 #: How long ``bounded`` keeps an idle sender's state, by the clock of the cluster.
 STATE_TTL_MS = 3_600_000
 
@@ -182,7 +185,7 @@ def _unpacked(value) -> pa.Table:
 
 def _in_order(table: pa.Table) -> pa.Table:
     """By offset, equal ones as they came."""
-    return table.take(np.lexsort((table["n"].to_numpy(), table["offset"].to_numpy())))
+    return table.combine_chunks().take(np.lexsort((table["n"].to_numpy(), table["offset"].to_numpy())))
 
 
 def _judged(table: pa.Table, last: dict[str, int]) -> pd.DataFrame:
@@ -203,6 +206,40 @@ def _judged(table: pa.Table, last: dict[str, int]) -> pd.DataFrame:
     return pdf[GAP_FIELDS.names]
 
 
+#: Events on their way to the state: pieces of one key's rows. ``last``: the largest offset of a piece.
+PACKED = "state_key string, timed boolean, last long, rows binary"
+PACKED_PIECE = pa.schema([("state_key", pa.string()), ("timed", pa.bool_()), ("last", pa.int64()), ("rows", pa.binary())])
+
+
+def _pieces(table: pa.Table) -> pa.RecordBatch:
+    """``table`` dealt into pieces by key, each sorted by offset."""
+    keys = table["state_key"].combine_chunks().dictionary_encode()
+    code, names = keys.indices.to_numpy(), keys.dictionary.to_pylist()
+    order = np.lexsort((pc.fill_null(table["offset"], 0).to_numpy(), code))
+    code, events = code[order], table.select(PENDING.names).cast(PENDING).combine_chunks().take(order)
+    timed = table["timed"].to_numpy()[order]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    rows = []
+    for start, end in zip(starts, np.r_[starts[1:], len(code)]):
+        for at in range(start, end, PIECE_ROWS):
+            piece = events.slice(at, min(PIECE_ROWS, end - at))
+            rows.append((names[code[start]], bool(timed[start]), pc.max(piece["offset"]).as_py(), _packed(piece)))
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKED_PIECE)], schema=PACKED_PIECE)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of a task's events, some of them in memory at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= PACK_ROWS:
+            yield _pieces(pa.Table.from_batches(held))
+            held, size = [], 0
+    if size:
+        yield _pieces(pa.Table.from_batches(held))
+
+
 class ReorderProcessor(StatefulProcessor):
     """Per bucket of senders: their last event times, and the events that wait for their turn.
 
@@ -211,42 +248,53 @@ class ReorderProcessor(StatefulProcessor):
     of some thousand rows, each one value of a map state by its first offset, and are judged in offset
     order when the watermark has passed them, whatever micro-batches they came in. A timer at
     the smallest offset that waits wakes the bucket up; pieces are then merged, a part of them in
-    memory at a time. Calls of the state go by pieces and buckets, never by events or senders."""
+    memory at a time. Calls of the state go by pieces and buckets, never by events or senders.
+
+    The watermark drops what comes too late; of what it lets through, an event that the bucket has
+    judged past is dropped here, so that no event is judged after a later one."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "senders binary")
-        self.pieces = handle.getValueState("pieces", "n long")
+        self.pieces = handle.getValueState("pieces", "n long, passed long")
         self.waiting = handle.getMapState("waiting", "first long, n long", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         held, size, first = [], 0, []
         for pdf in rows:  # a part of the bucket's rows at a time
-            if not pdf["timed"].iloc[0]:
-                yield _without_gap(pdf)
-                continue
-            held.append(pa.Table.from_pandas(pdf[PENDING.names], schema=PENDING, preserve_index=False))
-            size += len(pdf)
-            if size >= RUN_ROWS:
-                first.append(self._store(pa.concat_tables(held)))
-                held, size = [], 0
+            for table in self._tables(pdf):
+                if not pdf["timed"].iloc[0]:
+                    yield _without_gap(table.to_pandas())
+                    continue
+                held.append(table)
+                size += len(table)
+                if size >= RUN_ROWS:
+                    first += self._store(pa.concat_tables(held))
+                    held, size = [], 0
         if held:
-            first.append(self._store(pa.concat_tables(held)))
+            first += self._store(pa.concat_tables(held))
         if first:
             self.handle.registerTimer(min(first))
 
-    def _store(self, table: pa.Table) -> int:
-        """Add rows to those that wait; their first offset."""
-        n = self.pieces.get()[0] if self.pieces.exists() else 0
+    def _tables(self, pdf: pd.DataFrame) -> Iterator[pa.Table]:
+        yield pa.Table.from_pandas(pdf[PENDING.names], schema=PENDING, preserve_index=False)
+
+    def _store(self, table: pa.Table) -> list[int]:
+        """Add rows to those that wait; their first offset, if there are any."""
+        n, passed = self.pieces.get() if self.pieces.exists() else (0, None)
         if "n" not in table.column_names:
             table = table.append_column("n", pa.array(np.full(len(table), n, dtype="int64")))
+        if passed is not None:
+            table = table.filter(pc.greater(table["offset"], passed))
+        if not len(table):
+            return []
         table = _in_order(table)
         for at in range(0, len(table), PIECE_ROWS):
             piece = table.slice(at, PIECE_ROWS)
             self.waiting.updateValue((piece["offset"][0].as_py(), n), (_packed(piece),))
             n += 1
-        self.pieces.update((n,))
-        return table["offset"][0].as_py()
+        self.pieces.update((n, passed))
+        return [table["offset"][0].as_py()]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
@@ -273,15 +321,24 @@ class ReorderProcessor(StatefulProcessor):
             held = held.slice(ready)
         rest = [k[0] for k in waiting[len(due):]]
         if len(held):
-            rest.append(self._store(held))
+            rest += self._store(held)
         if rest:
             self.handle.registerTimer(min(rest))
+        self.pieces.update((self.pieces.get()[0], passed))
         self.last.update((_packed(pa.table([list(last), list(last.values())], schema=LAST)),))
 
     def close(self) -> None:
         pass
 
 
+class PackedReorderProcessor(ReorderProcessor):
+    """The same for events that come in pieces (:func:`_pack`): the engine hands over input row by row, which
+    costs more for an event than judging it."""
+
+    def _tables(self, pdf: pd.DataFrame) -> Iterator[pa.Table]:
+        return map(_unpacked, pdf["rows"])
+
+
 #: ``event_type`` of the mark that ends a replay: its offset lets the last events pass.
 END_MARK = "END"
 
@@ -295,8 +352,8 @@ def stream_gaps(events: DataFrame, mode: str = "parity", ttl_ms: int = STATE_TTL
 
     Without ``reorder`` events are ordered by offset within a micro-batch, and micro-batches
     as they come. With it (``parity`` only) they are ordered by offset whatever the micro-batches
-    are, as long as no event comes more than ``reorder`` offsets after a later one (Spark
-    counts such an event as dropped by the watermark). An event is judged once one with an offset
+    are, as long as no event comes more than ``reorder`` offsets after a later one (such an event
+    is dropped with the pieces that the watermark drops, as Spark counts them, or by the processor). An event is judged once one with an offset
     larger by ``reorder`` has come; an :data:`END_MARK` event stands for it at the end of a replay.
     """
     if mode not in ("parity", "bounded"):
@@ -315,11 +372,12 @@ def stream_gaps(events: DataFrame, mode: str = "parity", ttl_ms: int = STATE_TTL
           .withColumn("event_us", F.coalesce("event_us", F.lit(0))))
     cols = [f.name for f in GAP_FIELDS.fields if f.name != "gap_sec"]
     if reorder is not None:
-        ev = (ev.withColumn("offset_time", F.timestamp_millis("offset")).withWatermark("offset_time", f"{int(reorder)} milliseconds")
-              # names the watermark's column, so that the optimizer leaves the filter behind the watermark
-              .where(F.col("offset_time").isNull() | ~F.col("event_type").eqNullSafe(END_MARK)))
-        keyed = ev.select(*cols, "event_us", "timed", "state_key", "offset_time").groupBy("state_key")
-        return keyed.transformWithStateInPandas(ReorderProcessor(), GAP_FIELDS, "Append", "EventTime")
+        key = F.when(F.col("event_type").eqNullSafe(END_MARK), END_MARK).otherwise(F.col("state_key"))
+        packed = (ev.select(*cols, "event_us", "timed", key.alias("state_key")).mapInArrow(_pack, PACKED)
+                  .withColumn("offset_time", F.timestamp_millis("last")).withWatermark("offset_time", f"{int(reorder)} milliseconds")
+                  # names the watermark's column, so that the optimizer leaves the filter behind the watermark
+                  .where(F.col("offset_time").isNull() | (F.col("state_key") != END_MARK)))
+        return packed.groupBy("state_key").transformWithStateInPandas(PackedReorderProcessor(), GAP_FIELDS, "Append", "EventTime")
     keyed = ev.select(*cols, "event_us", "timed", "state_key").groupBy("state_key")
     if mode == "parity":
         return keyed.transformWithStateInPandas(LastSeenProcessor(), GAP_FIELDS, "Append", "None")

@@ -24,6 +24,8 @@ from paylake.streaming import metrics as MT
 DEFAULT_TRIGGER = {"availableNow": True}
 #: Input of one micro-batch by default; what is over it comes in the next ones.
 BYTES_PER_BATCH = 1 << 30
+#: State partitions of a query on a small cluster.
+STATE_PARTITIONS = 12
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -75,12 +77,29 @@ def _trigger(w, trigger):
     return w.trigger(**(trigger or DEFAULT_TRIGGER))
 
 
+_STARTING = threading.Lock()
+
+
+def _start_stateful(spark: SparkSession, w, trigger) -> StreamingQuery:
+    """Start a query with state. Its first start fixes the number of its state partitions, by the session's shuffle
+    partitions. Each partition writes its files to the checkpoint in every micro-batch, be it empty or
+    not, so a query gets no more of them than the cluster has cores (``STATE_PARTITIONS`` at least)."""
+    key = "spark.sql.shuffle.partitions"
+    with _STARTING:
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(min(int(before), max(STATE_PARTITIONS, spark.sparkContext.defaultParallelism))))
+        try:
+            return _trigger(w, trigger).start()
+        finally:
+            spark.conf.set(key, before)
+
+
 def start_alerts(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity", reorder: int | None = None) -> StreamingQuery:
     """Fraud alerts appended to Parquet (exactly once via the checkpoint)."""
     _live_only(mode, trigger)
     w = FR.stream_alerts(events, mode, reorder).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
-    return _trigger(w, trigger).start()
+    return _start_stateful(events.sparkSession, w, trigger)
 
 
 def start_gaps(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str = "parity", reorder: int | None = None) -> StreamingQuery:
@@ -88,7 +107,7 @@ def start_gaps(events: DataFrame, out: str, ckpt: str, trigger=None, mode: str =
     _live_only(mode, trigger)
     w = FR.stream_gaps(events, mode, reorder=reorder).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
-    return _trigger(w, trigger).start()
+    return _start_stateful(events.sparkSession, w, trigger)
 
 
 def start_alert_csv(events: DataFrame, out: str, ckpt: str, trigger=None, reorder: int | None = None) -> StreamingQuery:
@@ -98,7 +117,7 @@ def start_alert_csv(events: DataFrame, out: str, ckpt: str, trigger=None, reorde
         F.array_join("alerts", " + ").alias("alerts"), "detected_at")
     w = alerts.writeStream.format("csv").option("header", True).outputMode("append") \
         .option("checkpointLocation", ckpt).option("path", out)
-    return _trigger(w, trigger).start()
+    return _start_stateful(events.sparkSession, w, trigger)
 
 
 def start_log(events: DataFrame, out: str, ckpt: str, trigger=None) -> StreamingQuery:
@@ -120,7 +139,7 @@ def start_metrics(events: DataFrame, out: str, ckpt: str, trigger=None) -> Strea
 
     w = MT.keyed_sums(events).writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", ckpt)
-    return _trigger(w, trigger).start()
+    return _start_stateful(events.sparkSession, w, trigger)
 
 
 def read_snapshots(spark: SparkSession, out: str) -> DataFrame:
@@ -136,10 +155,15 @@ def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
 
 
 def drain(queries) -> None:
-    for q in queries if isinstance(queries, (list, tuple)) else [queries]:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    queries = queries if isinstance(queries, (list, tuple)) else [queries]
+    try:
+        for q in queries:
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+    finally:  # after a failure the others end too
+        for q in queries:
+            q.stop()
 
 
 def progress_summary(q: StreamingQuery) -> dict:

@@ -175,3 +175,77 @@ def test_reordering_calls_the_state_by_pieces(monkeypatch, run_rows, piece_rows)
 
 def test_events_without_a_gap_share_few_keys():
     assert FR.STATELESS_KEYS <= 1024 and FR.SENDER_BUCKETS <= 1 << 14
+
+
+def _packed_frames(rows, keys, batch=700):
+    import pandas as pd
+    import pyarrow as pa
+    df = pd.DataFrame(rows, columns=FR.PENDING.names)
+    table = pa.Table.from_pandas(df, schema=FR.PENDING, preserve_index=False)
+    table = table.append_column("timed", pa.array([k.startswith("+") for k in keys])).append_column("state_key", pa.array(keys))
+    return list(FR._pack(iter(table.to_batches(batch))))
+
+
+def test_events_reach_the_state_in_pieces(monkeypatch):
+    """The engine hands its input over row by row: a row is a piece of a key's events."""
+    monkeypatch.setattr(FR, "PACK_ROWS", 3000)
+    rnd = random.Random(5)
+    rows = [(f"T{o}", o if o % 50 else None, f"S{o % 7}", 1.0, "SUCCESS", None, "ASIA", o % 3 == 0, o * 10) for o in range(1, 8001)]
+    rnd.shuffle(rows)
+    keys = [f"+{r[1] % 7}" if r[1] is not None else "-3" for r in rows]
+    pieces = [p for b in _packed_frames(rows, keys) for p in b.to_pylist()]
+    assert len(pieces) <= 40
+    back = []
+    for p in pieces:
+        part = FR._unpacked(p["rows"]).to_pylist()
+        offsets = [e["offset"] for e in part]
+        assert p["timed"] == (p["state_key"] != "-3") and len(part) <= FR.PIECE_ROWS
+        assert p["last"] == (max(offsets) if p["timed"] else None)
+        assert not p["timed"] or (offsets == sorted(offsets) and {f"+{o % 7}" for o in offsets} == {p["state_key"]})
+        back += [tuple(e.values()) for e in part]
+    assert sorted(back) == sorted(rows)
+
+
+def test_no_event_is_judged_after_a_later_one():
+    """Of a piece that the watermark lets through, what the bucket has judged past is dropped."""
+    p, handle = FR.PackedReorderProcessor(), _Handle()
+    p.init(handle)
+
+    def step(offsets, passed):
+        rows = [(f"T{o}", o, "S", 1.0, "SUCCESS", None, None, None, o * 1_000_000) for o in offsets]
+        pdfs = (b.to_pandas() for b in _packed_frames(rows, ["+1"] * len(rows)))
+        assert list(p.handleInputRows(("+1",), pdfs, None)) == []
+        at = type("T", (), {"getCurrentWatermarkInMs": staticmethod(lambda: passed)})
+        return [(r.offset, r.gap_sec) for pdf in p.handleExpiredTimer(("+1",), at, None) for r in pdf.itertuples()]
+
+    assert [o for o, _ in step([4, 2, 9], 5)] == [2, 4]
+    assert step([3, 5, 7, 12], 10) == [(7, 3.0), (9, 2.0)]
+    assert step([1], 11) == []
+    assert step([13], 20) == [(12, 3.0), (13, 1.0)]
+
+
+def test_state_partitions_follow_the_cores(spark):
+    """A partition costs its files in the checkpoint for every micro-batch: 200 of them are for few senders no gain."""
+    src = J.scratch(spark, "few-in")
+    spark.createDataFrame([_event(k, f"2024-01-01T00:00:{k:02d}") for k in range(1, 9)], EVENT).write.parquet(src)
+    most = max(J.STATE_PARTITIONS, spark.sparkContext.defaultParallelism)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(most + 30))
+    try:
+        for start, options in ((J.start_gaps, {"reorder": 9}), (J.start_metrics, {})):
+            q = start(J.read_events(spark, src), J.scratch(spark, "few-out"), J.scratch(spark, "few-ckpt"), **options)
+            J.drain(q)
+            assert q.lastProgress.stateOperators[0].numShufflePartitions == most
+            assert spark.conf.get("spark.sql.shuffle.partitions") == str(most + 30)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_consumers_share_one_replay(spark, monkeypatch):
+    from paylake import registry
+    fed = []
+    replay = registry.replay_in_order
+    monkeypatch.setattr(registry, "replay_in_order", lambda events, path, *args: fed.append(path) or replay(events, path, *args))
+    n = live_events(spark, SF_SMALL).count()
+    assert sorted(map(tuple, registry.stream_throughput(spark, SF_SMALL).collect())) == [("alerts", n), ("log", n), ("metrics", n)]
+    assert len(fed) == 1
